@@ -65,7 +65,7 @@ def add_periods(c: ColumnOrName, n: int | Column, grain: str = "month") -> Colum
 
 def parse_date_col(c: ColumnOrName, formats: Sequence[str]) -> Column:
     """Try each pattern in order; NULL when none matches (never raises)."""
-    parts = [F.try_to_date(F.trim(_col(c)), F.lit(f)) for f in formats]
+    parts = [F.try_to_date(F.trim(_col(c)), f) for f in formats]
     return F.coalesce(*parts) if len(parts) > 1 else parts[0]
 
 
@@ -105,7 +105,7 @@ def roc_date(c: ColumnOrName) -> Column:
     year = F.substring(s, 1, 3).try_cast("int") + F.lit(1911)
     text = F.concat(F.lpad(year.cast("string"), 4, "0"), F.substring(s, 4, 4))
     ok = s.rlike(r"^[0-9]{7}$")
-    return F.when(ok, F.try_to_date(text, F.lit("yyyyMMdd")))
+    return F.when(ok, F.try_to_date(text, "yyyyMMdd"))
 
 
 # ---------------------------------------------------------------------------------------
