@@ -97,7 +97,9 @@ def demean(df: DataFrame, cols: Sequence[str], absorb: Sequence[str] = (), tol:
         for fe in absorb:
             cur, means = _subtract_means(cur, cols, fe)
             cur = cut_lineage(cur)
-            m = means.agg(F.greatest(*[F.max(F.abs(f"_m_{c}")) for c in cols]).alias("w")).first()["w"]
+            peaks = [F.max(F.abs(f"_m_{c}")) for c in cols]
+            top = F.greatest(*peaks) if len(peaks) > 1 else peaks[0]
+            m = means.agg(top.alias("w")).first()["w"]
             worst = max(worst, m or 0.0)
         if worst < tol:
             return cur
@@ -175,7 +177,7 @@ def _independent(xtx: np.ndarray, rel_tol: float = 1e-9) -> list[int]:
         if kept:
             a = xtx[np.ix_(kept, kept)]
             v = xtx[np.ix_(kept, [j])]
-            s = d - float(v.T @ np.linalg.solve(a, v))
+            s = d - float((v.T @ np.linalg.solve(a, v)).item())
         else:
             s = d
         if s > rel_tol * d:
