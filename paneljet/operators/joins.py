@@ -159,12 +159,15 @@ def alias_expand(df: DataFrame, aliases: DataFrame, name: str, alias_col: str =
                  target_col: str = "name", max_alias_rows: int = 100_000) -> DataFrame:
     """Rows also appear under each alternative name of their name.
 
-    ``aliases`` is ``(alias, name)``; it is broadcast after a size check.
+    ``aliases`` is ``(alias, name)``. It is grouped to one list of alternatives per name and
+    broadcast after a size check; each input row is then exploded into itself plus its
+    aliases in a single pass (the input is not read twice).
     """
-    a = broadcast_if_small(aliases.select(alias_col, target_col), max_alias_rows)
-    dup = (df.join(a, df[name] == a[target_col])
-           .drop(name, target_col).withColumnRenamed(alias_col, name))
-    return df.unionByName(dup.select(*df.columns))
+    alts = aliases.groupBy(target_col).agg(F.collect_list(alias_col).alias("_alts"))
+    a = broadcast_if_small(alts, max_alias_rows)
+    j = df.join(a, df[name] == a[target_col], "left")
+    names = F.concat(F.array(df[name]), F.coalesce(F.col("_alts"), F.array().cast("array<string>")))
+    return j.select(*[F.explode(names).alias(name) if c == name else df[c] for c in df.columns])
 
 
 def attach(df: DataFrame, lookup: DataFrame, on: Sequence[str], required: Sequence[str]) -> DataFrame:

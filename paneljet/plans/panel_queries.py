@@ -740,3 +740,75 @@ def s6_pending(spark, sf):
     grid = table(spark, sf, "nation").select(F.col("n_name").alias("district")).crossJoin(F.broadcast(cal))
     done = f.where(F.col("status") == "F").select("district", "month")
     return io.pending_keys(grid, done, ["district", "month"])
+
+
+# --------------------------------------------------------------------------------------
+# A1/A4/A12, W1/W2/W8, P9/P14 used directly
+# --------------------------------------------------------------------------------------
+
+def _finished_revenue(spark, sf) -> DataFrame:
+    """District x month revenue of finished orders; NULL where a month had none."""
+    f = order_facts(spark, sf).withColumn("price_f", F.when(F.col("status") == "F", F.col("price")))
+    return f
+
+
+@register("a1_group_sum", f"""WITH {FACTS_SQL}
+SELECT district, month, round(sum(CASE WHEN status = 'F' THEN price END), 2) AS revenue_f,
+       round(coalesce(sum(CASE WHEN status = 'F' THEN price END), 0), 2) AS revenue_f0
+FROM facts GROUP BY district, month""")
+def a1_group_sum(spark, sf):
+    f = _finished_revenue(spark, sf)
+    a = agg.group_sum(f, ["district", "month"], ["price_f"], empty="null")
+    b = agg.group_sum(f, ["district", "month"], ["price_f"], empty="zero", suffix="0")
+    return a.join(b, ["district", "month"]).select(
+        "district", "month", F.round("price_f", 2).alias("revenue_f"),
+        F.round("price_f0", 2).alias("revenue_f0"))
+
+
+@register("a4_count_by", """
+SELECT o_orderstatus, o_orderpriority, count(*) AS n FROM orders GROUP BY o_orderstatus, o_orderpriority""")
+def a4_count_by(spark, sf):
+    return agg.count_by(table(spark, sf, "orders"), ["o_orderstatus", "o_orderpriority"])
+
+
+@register("a12_share_of_flag", f"""WITH {FACTS_SQL}
+SELECT county, round(sum(price) FILTER (WHERE flag), 2) AS flagged, round(sum(price), 2) AS total,
+       round(sum(price) FILTER (WHERE flag) / sum(price), 6) AS share
+FROM facts GROUP BY county""")
+def a12_share_of_flag(spark, sf):
+    out = agg.share_of_flag(order_facts(spark, sf), ["county"], F.col("flag"), "price")
+    return out.select("county", F.round("flagged", 2).alias("flagged"), F.round("total", 2).alias("total"),
+                      F.round("share", 6).alias("share"))
+
+
+@register("w1_fill_gaps", f"""WITH {FACTS_SQL},
+s AS (SELECT district, month, round(sum(CASE WHEN status = 'F' AND series = '1-URGENT' THEN price END), 2) AS v
+      FROM facts GROUP BY district, month),
+w AS (SELECT district, month, v,
+        last_value(v IGNORE NULLS) OVER (PARTITION BY district ORDER BY month
+          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS v_ffill,
+        first_value(v IGNORE NULLS) OVER (PARTITION BY district ORDER BY month
+          ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS v_bfill FROM s)
+SELECT district, month, v, v_ffill, v_bfill, coalesce(v_ffill, v_bfill) AS v_either,
+       coalesce(v, 0.0) AS v_zero FROM w""")
+def w1_fill_gaps(spark, sf):
+    f = order_facts(spark, sf)
+    s = f.groupBy("district", "month").agg(F.round(F.sum(F.when(
+        (F.col("status") == "F") & (F.col("series") == "1-URGENT"), F.col("price"))), 2).alias("v"))
+    s = windows.ffill(s, ["district"], ["month"], "v", "v_ffill")
+    s = windows.bfill(s, ["district"], ["month"], "v", "v_bfill")
+    s = s.withColumn("v_either", clean.first_non_null("v_ffill", "v_bfill")).withColumn("v_zero", F.col("v"))
+    s = clean.fill_missing(s, ["v_zero"], 0.0)
+    return s.select("district", "month", "v", "v_ffill", "v_bfill", "v_either", "v_zero")
+
+
+@register("w8_last_per_group", f"""WITH {FACTS_SQL},
+cm AS (SELECT county, month, count(*) AS n_orders FROM facts GROUP BY county, month)
+SELECT county, CAST(year(month) AS INTEGER) AS year, month, n_orders FROM (
+  SELECT *, row_number() OVER (PARTITION BY county, year(month) ORDER BY month DESC) AS rn FROM cm)
+WHERE rn = 1""")
+def w8_last_per_group(spark, sf):
+    cm = order_facts(spark, sf).groupBy("county", "month").agg(F.count(F.lit(1)).alias("n_orders"))
+    cm = cm.withColumn("year", F.year("month").cast("int"))
+    return windows.last_per_group(cm, ["county", "year"], ["month"]).select(
+        "county", "year", "month", "n_orders")
