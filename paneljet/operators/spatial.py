@@ -8,8 +8,6 @@ pairs come from an equi-join on grid cells, never from a cross join.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -106,7 +104,8 @@ def point_in_ring(px: Column, py: Column, ring: Column) -> Column:
 
 
 def points_in_polygons(points: DataFrame, polygons: DataFrame, cell: float, x: str = "x",
-                       y: str = "y", ring: str = "ring", poly_keys=("poly_id",)) -> DataFrame:
+                       y: str = "y", ring: str = "ring", poly_keys=("poly_id",),
+                       match: tuple = ()) -> DataFrame:
     """Pairs (point, polygon) with the point inside the polygon.
 
     Points go to their grid cell, polygons to every cell of their bounding box; the equi-join
@@ -114,12 +113,13 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, cell: float, x: s
     cell, so no pair is produced twice.
     """
     minx, miny, maxx, maxy = ring_bbox(F.col(ring))
-    polys = polygons.select(*poly_keys, ring, minx.alias("_minx"), miny.alias("_miny"),
+    polys = polygons.select(*match, *[k for k in poly_keys if k not in match], ring,
+                            minx.alias("_minx"), miny.alias("_miny"),
                             maxx.alias("_maxx"), maxy.alias("_maxy"))
     polys = polys.withColumn("_cell", F.explode(cells_of_box(
         F.col("_minx"), F.col("_miny"), F.col("_maxx"), F.col("_maxy"), cell)))
     pts = points.withColumn("_cell", cell_of(F.col(x), F.col(y), cell))
-    j = pts.join(polys, "_cell")
+    j = pts.join(polys, ["_cell", *match])
     inside = ((F.col(x) >= F.col("_minx")) & (F.col(x) <= F.col("_maxx"))
               & (F.col(y) >= F.col("_miny")) & (F.col(y) <= F.col("_maxy"))
               & point_in_ring(F.col(x), F.col(y), F.col(ring)))
@@ -168,7 +168,8 @@ def clip_segment_to_ring(x0: Column, y0: Column, x1: Column, y1: Column, ring: C
 
 
 def clip_lines(segments: DataFrame, polygons: DataFrame, cell: float,
-               seg_keys=("seg_id",), poly_keys=("poly_id",), ring: str = "ring") -> DataFrame:
+               seg_keys=("seg_id",), poly_keys=("poly_id",), ring: str = "ring",
+               match: tuple = (), keep: tuple = ()) -> DataFrame:
     """Pieces of segments ``(x0, y0, x1, y1)`` inside polygons, with their length.
 
     Candidates from a grid-cell join of both bounding boxes; each (segment, polygon) pair is
@@ -176,7 +177,8 @@ def clip_lines(segments: DataFrame, polygons: DataFrame, cell: float,
     pairs are not duplicated and no distinct/shuffle is needed.
     """
     minx, miny, maxx, maxy = ring_bbox(F.col(ring))
-    polys = (polygons.select(*poly_keys, ring, minx.alias("_pminx"), miny.alias("_pminy"),
+    polys = (polygons.select(*match, *[k for k in poly_keys if k not in match], ring,
+                             minx.alias("_pminx"), miny.alias("_pminy"),
                              maxx.alias("_pmaxx"), maxy.alias("_pmaxy"))
              .withColumn("_cell", F.explode(cells_of_box(F.col("_pminx"), F.col("_pminy"),
                                                          F.col("_pmaxx"), F.col("_pmaxy"), cell))))
@@ -185,7 +187,7 @@ def clip_lines(segments: DataFrame, polygons: DataFrame, cell: float,
         "_smaxx": F.greatest("x0", "x1"), "_smaxy": F.greatest("y0", "y1")})
     segs = segs.withColumn("_cell", F.explode(cells_of_box(
         F.col("_sminx"), F.col("_sminy"), F.col("_smaxx"), F.col("_smaxy"), cell)))
-    j = segs.join(polys, "_cell")
+    j = segs.join(polys, ["_cell", *match])
     ix0 = F.greatest("_sminx", "_pminx")
     iy0 = F.greatest("_sminy", "_pminy")
     overlap = ((ix0 <= F.least("_smaxx", "_pmaxx")) & (iy0 <= F.least("_smaxy", "_pmaxy")))
@@ -193,10 +195,11 @@ def clip_lines(segments: DataFrame, polygons: DataFrame, cell: float,
     j = j.where(overlap & ref)
     seg_len = F.sqrt((F.col("x1") - F.col("x0")) ** 2 + (F.col("y1") - F.col("y0")) ** 2)
     pieces = clip_segment_to_ring(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"), F.col(ring))
-    out = j.select(*seg_keys, *poly_keys, seg_len.alias("seg_len"), pieces.alias("pieces"))
+    extra = [c for c in (*match, *keep) if c not in seg_keys and c not in poly_keys]
+    out = j.select(*seg_keys, *poly_keys, *extra, seg_len.alias("seg_len"), pieces.alias("pieces"))
     inside_len = F.aggregate("pieces", F.lit(0.0), lambda acc, p: acc + (p["b"] - p["a"]))
     return (out.withColumn("len_inside", inside_len * F.col("seg_len"))
-            .where(F.size("pieces") > 0).drop("seg_len"))
+            .where(F.size("pieces") > 0))
 
 
 # --------------------------------------------------------------------------------------
@@ -205,7 +208,7 @@ def clip_lines(segments: DataFrame, polygons: DataFrame, cell: float,
 
 def snap_points(points: DataFrame, segments: DataFrame, max_m: float = 200.0,
                 cell: float | None = None, point_keys=("point_id",), seg_keys=("seg_id",),
-                x: str = "x", y: str = "y") -> DataFrame:
+                x: str = "x", y: str = "y", match: tuple = ()) -> DataFrame:
     """Nearest segment ``(x0, y0, x1, y1)`` within ``max_m`` of each point, with the
     projection parameter ``t`` (0..1), the offset along the segment and the distance.
 
@@ -217,9 +220,10 @@ def snap_points(points: DataFrame, segments: DataFrame, max_m: float = 200.0,
     segs = segments.withColumn("_cell", F.explode(cells_of_box(
         F.least("x0", "x1") - max_m, F.least("y0", "y1") - max_m,
         F.greatest("x0", "x1") + max_m, F.greatest("y0", "y1") + max_m, cell)))
-    pts = points.select(*point_keys, F.col(x).alias("_px"), F.col(y).alias("_py")).withColumn(
+    pts = points.select(*dict.fromkeys([*match, *point_keys]), F.col(x).alias("_px"),
+                        F.col(y).alias("_py")).withColumn(
         "_cell", cell_of(F.col("_px"), F.col("_py"), cell))
-    j = pts.join(segs, "_cell")
+    j = pts.join(segs, ["_cell", *match])
     dx, dy = F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")
     l2 = dx * dx + dy * dy
     t_raw = ((F.col("_px") - F.col("x0")) * dx + (F.col("_py") - F.col("y0")) * dy) / l2
@@ -229,10 +233,10 @@ def snap_points(points: DataFrame, segments: DataFrame, max_m: float = 200.0,
     j = j.withColumn("dist", F.sqrt((F.col("_px") - qx) ** 2 + (F.col("_py") - qy) ** 2)).where(
         F.col("dist") <= max_m)
     j = j.withColumn("offset", F.col("t") * F.sqrt(l2))
-    best = j.groupBy(*point_keys).agg(F.min_by(
+    best = j.groupBy(*dict.fromkeys([*match, *point_keys])).agg(F.min_by(
         F.struct(*[F.col(k) for k in seg_keys], "t", "offset", "dist"),
         F.struct("dist", *[F.col(k) for k in seg_keys])).alias("_b"))
-    return best.select(*point_keys, "_b.*")
+    return best.select(*dict.fromkeys([*match, *point_keys]), "_b.*")
 
 
 def rect_ring(x0: float, y0: float, x1: float, y1: float) -> list[tuple[float, float]]:
@@ -244,6 +248,3 @@ def ring_literal(points: list[tuple[float, float]]) -> Column:
     return F.array(*[F.struct(F.lit(float(px)).alias("x"), F.lit(float(py)).alias("y"))
                      for px, py in points])
 
-
-def degrees_to_radians(v: float) -> float:
-    return v * math.pi / 180.0
