@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import network, spatial
+from .util import cut_lineage
 
 CITY, MONTH = "city", "month"
 
@@ -94,15 +95,16 @@ def coverage_panel(roads: DataFrame, towns: DataFrame, stations: DataFrame,
     City-months without a (snapped) station give no rows unless ``emit_empty``, in which case
     every town of every city-month in ``stations`` appears with zero coverage.
     """
-    edges = town_edges(roads, towns, cell)
+    # The clipped edges feed the snap, the search, the coverage and the totals: computed once.
+    edges = cut_lineage(town_edges(roads, towns, cell))
+    # Covered once: one representative per duplicated piece (same town and end points);
+    # stations snap to representatives only, totals count every piece.
+    uniq = edges.dropDuplicates([CITY, "TOWNID", "u", "v"])
     pts = station_points(stations, towns, project, cell)
-    seg = edges.select(CITY, F.col("edge_id").alias("seg_id"), "x0", "y0", "x1", "y1")
+    seg = uniq.select(CITY, F.col("edge_id").alias("seg_id"), "x0", "y0", "x1", "y1")
     snapped = spatial.snap_points(pts, seg, max_m=snap_m, cell=max(snap_m, 1.0),
                                   point_keys=(MONTH, "station_id"), seg_keys=("seg_id",), match=(CITY,))
-    snapped = snapped.withColumnRenamed("seg_id", "edge_id")
-    # Covered once: one representative per duplicated piece (same town and end points).
-    uniq = edges.dropDuplicates([CITY, "TOWNID", "u", "v"])
-    on_edge = snapped.join(uniq.select(CITY, "edge_id"), [CITY, "edge_id"], "left_semi")
+    on_edge = cut_lineage(snapped.withColumnRenamed("seg_id", "edge_id"))
     ends = on_edge.join(uniq.select(CITY, "edge_id", "u", "v", "len_m"), [CITY, "edge_id"])
     sources = (ends.select(CITY, MONTH, F.col("u").alias("node"), F.col("offset").alias("d0"))
                .unionByName(ends.select(CITY, MONTH, F.col("v").alias("node"),
@@ -111,7 +113,7 @@ def coverage_panel(roads: DataFrame, towns: DataFrame, stations: DataFrame,
                                     d0="d0", checkpoint_every=2)
     cov = network.covered_length(uniq, dist, [CITY], [MONTH], thresholds,
                                  on_edge=on_edge.select(CITY, MONTH, "edge_id", "offset"))
-    keys = (stations if emit_empty else snapped).select(CITY, MONTH).distinct()
+    keys = (stations if emit_empty else on_edge).select(CITY, MONTH).distinct()
     by_town = network.length_by_region(edges, cov, [CITY], [MONTH], keys, town="TOWNID",
                                        thresholds=thresholds)
     out = network.coverage_bands(by_town, thresholds, digits_len=digits_len, digits_pct=digits_pct)

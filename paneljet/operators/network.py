@@ -73,7 +73,9 @@ def network_distance(edges: DataFrame, sources: DataFrame, graph_keys: Sequence[
     adjacency, so total work is bounded by the improvements, and stops when none are left.
     """
     keys = [*graph_keys, *search_keys]
-    adj = adjacency(edges, graph_keys, u, v, length)
+    # Materialised once: every round joins the frontier with it, and recomputing it from
+    # its source (e.g. an aggregate over a fact table) each round would rescan that source.
+    adj = cut_lineage(adjacency(edges, graph_keys, u, v, length))
     start = F.col(d0).cast("double") if d0 else F.lit(0.0)
     dist = (sources.select(*keys, F.col(node).alias("node"), start.alias("d"))
             .where(F.col("d") <= max_cost)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import network, spatial
+from ..operators.util import cut_lineage
 from ..sources import io
 from .catalog import register
 from .tables import table
@@ -70,7 +71,7 @@ def station_sets(spark, sf) -> DataFrame:
 
 
 def _distances(spark, sf):
-    edges = supplier_graph(spark, sf)
+    edges = cut_lineage(supplier_graph(spark, sf))
     return edges, network.network_distance(edges, station_sets(spark, sf), [], ["yr"], 1500.0,
                                            checkpoint_every=2)
 
@@ -130,7 +131,7 @@ FROM g"""
 
 def coverage(spark, sf, keys: DataFrame | None = None) -> DataFrame:
     """N6 + N8 + N9 for every search key (or only the given ``keys``)."""
-    edges = supplier_graph(spark, sf)
+    edges = cut_lineage(supplier_graph(spark, sf))
     sources = station_sets(spark, sf)
     if keys is not None:
         sources = sources.join(keys, ["yr"], "left_semi")
@@ -337,3 +338,34 @@ def s7_base_layers(spark, sf):
     towns = [polygons_df(spark, TOWNS).withColumn("city", F.lit(c)) for c in ("A", "B")]
     roads, _ = io.build_base_layers([city_a, city_b], towns)
     return roads.select("seg_id", "city", "ROADCLASS1")
+
+
+# --------------------------------------------------------------------------------------
+# N10 from raw layers: embedding segments as roads, quadrant towns, embedding points as
+# stations with the embedding label as month
+# --------------------------------------------------------------------------------------
+
+@register("n10_coverage_layers")
+def n10_coverage_layers(spark, sf):
+    """The full layer pipeline (clip, edges, snap, search, bands) on whole tables. No SQL
+    oracle: clipping, snapping and the search are checked against hand-computed and brute
+    force results in the unit tests."""
+    from ..operators import coverage
+
+    e = table(spark, sf, "embeddings")
+    seg = _segments(spark, sf)
+    roads = seg.select(F.lit("X").alias("city"), F.col("seg_id").alias("road_id"),
+                       F.when(F.col("label") == 0, "HW").otherwise("LOCAL").alias("ROADCLASS1"),
+                       F.array(F.struct(F.col("x0").alias("x"), F.col("y0").alias("y")),
+                               F.struct(F.col("x1").alias("x"), F.col("y1").alias("y"))).alias("path"))
+    towns = polygons_df(spark, TOWNS).select(F.lit("X").alias("city"), F.col("poly_id").alias("TOWNID"),
+                                             F.col("poly_id").alias("TOWNNAME"), "ring")
+    stations = e.select(F.lit("X").alias("city"), F.col("label").cast("string").alias("month"),
+                        F.col("vec_id").cast("string").alias("station_id"),
+                        (F.get("embedding", 0).cast("double") * 1000).alias("x"),
+                        (F.get("embedding", 1).cast("double") * 1000).alias("y"))
+    out = coverage.coverage_panel(roads, towns, stations, thresholds=(50, 100, 150), snap_m=20.0,
+                                  project=False, cell=100.0, digits_pct=6)
+    return out.select("city", "month", "TOWNID", "TOWNNAME", "len_total_m", "n_pieces",
+                      "len_0_50_m", "len_50_100_m", "len_100_150_m", "len_gt150_m",
+                      "reach50_pct", "reach100_pct", "reach150_pct")

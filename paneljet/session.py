@@ -61,6 +61,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - core confs are not always readable here
             configured = None
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "set spark.checkpoint.dir to a shared folder: iterative jobs cut their lineage "
+                "with reliable checkpoints there")
         configured = tempfile.mkdtemp(prefix="paneljet-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

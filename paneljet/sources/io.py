@@ -100,10 +100,9 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str], fmt: str = "p
 
     Range partitioning on (by, sort keys) lets a large slice span several tasks/files.
     """
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     (df.repartitionByRange(*by, *sort_keys).sortWithinPartitions(*by, *sort_keys)
-     .write.mode("overwrite").format(fmt).option("header", True).partitionBy(*by).save(path))
+     .write.mode("overwrite").format(fmt).option("header", True)
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*by).save(path))
 
 
 def done_keys(spark: SparkSession, path: str, keys: Sequence[str], fmt: str = "parquet") -> DataFrame:
