@@ -305,7 +305,7 @@ def safe_ratio(num: ColumnOrName, den: ColumnOrName, pct: bool = False, digits:
                zero: str = "null") -> Column:
     """num/den, NULL (``zero="null"``) or 0 (``zero="zero"``) when den is 0 or NULL."""
     n, d = _col(num).cast("double"), _col(den).cast("double")
-    r = F.when(d != 0, n / d)
+    r = F.try_divide(n, d)
     if pct:
         r = r * 100.0
     if zero == "zero":

@@ -29,19 +29,22 @@ THRESHOLDS = (500, 1000, 1500)
 def road_edges(segments: DataFrame, keys: Sequence[str], line_id: str, path: str = "path",
                x: str = "x", y: str = "y", town: str | None = None) -> DataFrame:
     """Polylines ``(keys, line_id, path ARRAY<STRUCT<x,y>>)`` to edges
-    ``(keys, edge_id, u, v, len_m[, town])``. Nodes are vertices with identical coordinates
-    (tolerance 0): ``u``/``v`` are ``struct(x, y)``. Zero-length pieces are dropped.
+    ``(keys, line_id, edge_id, u, v, len_m[, town])``. Nodes are vertices with identical
+    coordinates (tolerance 0): ``u``/``v`` are ``struct(x, y)``. Zero-length pieces are dropped.
 
-    ``posexplode`` + ``lead`` over each line's own vertices; a line is one window partition
-    (bounded by its vertex count, not by the data).
+    Consecutive vertex pairs are built inside each row with ``transform`` over the array,
+    so no shuffle or window is needed, whatever the length of a line.
     """
     cols = [*keys, line_id] + ([town] if town else [])
-    pts = segments.select(*cols, F.posexplode(path).alias("i", "p"))
-    w = Window.partitionBy(*keys, line_id).orderBy("i")
-    seg = (pts.withColumn("q", F.lead("p").over(w)).where(F.col("q").isNotNull())
-           .select(*cols, "i",
-                   F.struct(F.col(f"p.{x}").alias("x"), F.col(f"p.{y}").alias("y")).alias("u"),
-                   F.struct(F.col(f"q.{x}").alias("x"), F.col(f"q.{y}").alias("y")).alias("v")))
+    n = F.size(path)
+
+    def vertex(i):
+        p = F.get(path, i)
+        return F.struct(p[x].alias("x"), p[y].alias("y"))
+
+    pairs = F.when(n >= 2, F.transform(F.sequence(F.lit(0), n - 2), lambda i: F.struct(
+        i.alias("i"), vertex(i).alias("u"), vertex(i + 1).alias("v"))))
+    seg = segments.select(*cols, F.explode(pairs).alias("_s")).select(*cols, "_s.i", "_s.u", "_s.v")
     seg = seg.withColumn("len_m", F.sqrt((F.col("v.x") - F.col("u.x")) ** 2
                                          + (F.col("v.y") - F.col("u.y")) ** 2))
     return (seg.where(F.col("len_m") > 0)

@@ -96,7 +96,8 @@ def point_in_ring(px: Column, py: Column, ring: Column) -> Column:
         a = F.get(ring, i)
         b = F.get(ring, (i + 1) % n)
         straddles = (a["y"] > py) != (b["y"] > py)
-        xcross = (b["x"] - a["x"]) * (py - a["y"]) / (b["y"] - a["y"]) + a["x"]
+        # try_divide: horizontal edges never straddle, but ANSI mode must not see a 0 divisor
+        xcross = F.try_divide((b["x"] - a["x"]) * (py - a["y"]), b["y"] - a["y"]) + a["x"]
         return F.when(straddles & (px < xcross), F.lit(1)).otherwise(F.lit(0))
 
     hits = F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0), lambda acc, i: acc + crossing(i))
@@ -155,8 +156,8 @@ def clip_segment_to_ring(x0: Column, y0: Column, x1: Column, y1: Column, ring: C
         ex, ey = b["x"] - a["x"], b["y"] - a["y"]
         den = _cross(dx, dy, ex, ey)
         wx, wy = a["x"] - x0, a["y"] - y0
-        t = _cross(wx, wy, ex, ey) / den
-        s = _cross(wx, wy, dx, dy) / den
+        t = F.try_divide(_cross(wx, wy, ex, ey), den)
+        s = F.try_divide(_cross(wx, wy, dx, dy), den)
         return F.when((den != 0) & (t > 0) & (t < 1) & (s >= 0) & (s <= 1), t)
 
     cuts = F.filter(F.transform(F.sequence(F.lit(0), n - 1), cut), lambda t: t.isNotNull())
@@ -226,7 +227,7 @@ def snap_points(points: DataFrame, segments: DataFrame, max_m: float = 200.0,
     j = pts.join(segs, ["_cell", *match])
     dx, dy = F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")
     l2 = dx * dx + dy * dy
-    t_raw = ((F.col("_px") - F.col("x0")) * dx + (F.col("_py") - F.col("y0")) * dy) / l2
+    t_raw = F.try_divide((F.col("_px") - F.col("x0")) * dx + (F.col("_py") - F.col("y0")) * dy, l2)
     t = F.when(l2 > 0, F.least(F.lit(1.0), F.greatest(F.lit(0.0), t_raw))).otherwise(F.lit(0.0))
     j = j.withColumn("t", t)
     qx, qy = F.col("x0") + F.col("t") * dx, F.col("y0") + F.col("t") * dy

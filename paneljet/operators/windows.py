@@ -74,7 +74,7 @@ def expanding_ratio(df: DataFrame, keys: Sequence[str], order: str, num: str, de
            .withColumn("_cd", F.sum(F.coalesce("_d", F.lit(0))).over(wc))
            .withColumn("_next", F.lead("pos").over(w))
            .crossJoin(F.broadcast(n_pos)))
-    ratio = F.when(F.col("_cd") != 0, round_half_even(F.col("_cn") / F.col("_cd"), digits))
+    ratio = round_half_even(F.try_divide(F.col("_cn"), F.col("_cd")), digits)
     expanded = cum.select(*keys, F.explode(F.sequence(
         F.col("pos"), F.coalesce(F.col("_next") - 1, F.col("_maxpos")))).alias("pos"),
         ratio.alias(out))
