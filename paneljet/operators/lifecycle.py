@@ -120,3 +120,56 @@ def active_per_period(status_df: DataFrame, by: Sequence[str] = (), period: str
     return status_df.groupBy(period, *by).agg(
         F.sum(status).cast("long").alias("n_active"),
         F.count(F.lit(1)).alias("n_entities"))
+
+
+def status_from_wide(df: DataFrame, entity: str, activate_cols: Sequence[str],
+                     remove_cols: Sequence[str], current_col: str | None = None,
+                     active_value=None, grain: str = "month", period: str = "period",
+                     status: str = "status") -> DataFrame:
+    """C1 on the wide lifecycle layout: one row per entity with ``activate_time1..n`` and
+    ``remove_time1..m`` columns and a current-status column (``active_value`` marks active).
+
+    The melt order gives the tie-break (activations before removals), labels are the column
+    names, so a column counts as activation/removal by the list it is passed in.
+    """
+    ev = melt_events(df, entity, activate_cols, remove_cols)
+    cur = None
+    if current_col is not None:
+        cur = (F.col(current_col) == F.lit(active_value)).cast("int")
+    ent = df.select(entity, *([current_col] if current_col else []))
+    return entity_status(ev, ent, entity=entity, label="event", ts="ts", seq="seq", grain=grain,
+                         activate=tuple(activate_cols), remove=tuple(remove_cols), current=cur,
+                         period=period, status=status)
+
+
+def region_panel(status_df: DataFrame, attrs: DataFrame, regions: DataFrame, entity: str,
+                 region_keys: Sequence[str], join_key: str, period: str = "period",
+                 status: str = "status", value: str | None = None,
+                 grain: str = "month") -> DataFrame:
+    """Per region x period the number of active entities, the active total of ``value``
+    (e.g. batteries; all-missing counts as 0) and the active entities with a value, over
+    the full region list x all periods (gaps 0; regions outside the list kept, names taken
+    from the list where both exist).
+
+    ``attrs`` carries ``entity``, the region keys and ``value``; ``regions`` is the region
+    list (e.g. all districts) keyed by ``join_key``.
+    """
+    from ..functions.clean import indicator_product
+    from .joins import grid, outer_join
+    from .reshape import densify, periods_of
+
+    st = status_df.join(attrs, entity)
+    cols = {"n_active": F.col(status)}
+    if value is not None:
+        cols["value_active"] = indicator_product(status, value)
+        cols["active_with_value"] = indicator_product(status, F.col(value).isNotNull().cast("int"))
+    st = st.withColumns(cols)
+    measures = list(cols)
+    agg = st.groupBy(*region_keys, period).agg(
+        *[F.coalesce(F.sum(m), F.lit(0)).cast("long").alias(m) for m in measures])
+    cal = periods_of(st, period, grain, period)
+    dense = densify(agg, list(region_keys), period, cal, measures, 0)
+    full = grid(regions.select(*region_keys), cal)
+    out = outer_join(dense, full, [join_key, period], prefer="right", fill_zero=measures)
+    return out.select(*region_keys, period, *[F.col(m).cast("long").alias(m) for m in measures])
+

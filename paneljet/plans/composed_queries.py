@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clean
-from ..operators import agg, joins, reshape, windows
+from ..operators import agg, joins, lifecycle, windows
 from .catalog import W3_SQL, register, user_status
 from .panel_queries import (_SERIES_WIDE_SQL, _W5_SQL, CENTRAL, FACTS_SQL, IV_TERMS, districts,
                             installed_base, instruments, nation_month, order_facts)
@@ -74,20 +74,12 @@ SELECT coalesce(fullp.county, dense.county) AS county,
        CAST(coalesce(dense.nstation_w_battery, 0) AS BIGINT) AS nstation_w_battery
 FROM dense FULL JOIN fullp ON dense.district = fullp.district AND dense.day = fullp.day""")
 def c2_region_day_active(spark, sf):
-    st = station_status(spark, sf).withColumns({
-        "nbattery": clean.indicator_product("status", "batteries"),
-        "w_batt": clean.indicator_product("status", F.col("batteries").isNotNull().cast("int"))})
-    td = st.groupBy("county", "district", "day").agg(
-        F.sum("status").alias("nstation"), F.coalesce(F.sum("nbattery"), F.lit(0)).alias("nbattery"),
-        F.sum("w_batt").alias("nstation_w_battery"))
-    cal = reshape.periods_of(st, "day", "day", "day")
-    dense = reshape.densify(td, ["county", "district"], "day", cal,
-                            ["nstation", "nbattery", "nstation_w_battery"], 0)
-    full = joins.grid(districts(spark, sf).select("county", "district"), cal)
-    out = joins.outer_join(dense, full, ["district", "day"], prefer="right",
-                           fill_zero=["nstation", "nbattery", "nstation_w_battery"])
-    return out.select("county", "district", "day",
-                      *[F.col(c).cast("long").alias(c) for c in ("nstation", "nbattery", "nstation_w_battery")])
+    out = lifecycle.region_panel(user_status(spark, sf), user_attributes(spark, sf),
+                                 districts(spark, sf), "user_id", ["county", "district"],
+                                 "district", period="day", value="batteries", grain="day")
+    return out.select("county", "district", "day", F.col("n_active").alias("nstation"),
+                      F.col("value_active").alias("nbattery"),
+                      F.col("active_with_value").alias("nstation_w_battery"))
 
 
 @register("c5_snapshots", _C1_SQL + """,

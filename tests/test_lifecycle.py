@@ -101,3 +101,30 @@ def test_melt_events_and_first_last(spark):
     assert long.count() == 3
     fl = lifecycle.first_last_event(long.where(F.col("ts").isNotNull()), ["id"], "event", "ts", "seq")
     assert rows(fl, "first", "last") == [("activate_time1", "remove_time1")]
+
+
+def test_status_from_wide_and_region_panel(spark):
+    acts = [f"activate_time{i}" for i in range(1, 5)]
+    rems = ["remove_time1", "remove_time2"]
+    schema = ("id long, " + ", ".join(f"{c} timestamp" for c in acts + rems)
+              + ", current_status string, nBatteries double, district string, county string")
+    none4 = [None] * 4
+    wide = spark.createDataFrame([
+        (1, ts(2019, 1, 5), None, None, None, ts(2019, 3, 2), None, "on", 4.0, "d1", "c1"),
+        (2, *none4, None, None, "on", None, "d1", "c1"),                 # no events, active now
+        (3, *none4, ts(2019, 2, 1), None, "off", 2.0, "d2", "c1"),      # only a removal
+    ], schema)
+    st = lifecycle.status_from_wide(wide, "id", acts, rems, "current_status", "on")
+    got = {(r["id"], r["period"].month): r["status"] for r in st.collect()}
+    assert got == {(1, 1): 1, (1, 2): 1, (1, 3): 0, (2, 1): 1, (2, 2): 1, (2, 3): 1,
+                   (3, 1): 1, (3, 2): 0, (3, 3): 0}
+    regions = spark.createDataFrame([("c1", "d1"), ("c1", "d2"), ("c2", "d3")],
+                                    "county string, district string")
+    panel = lifecycle.region_panel(st, wide.select("id", "county", "district", "nBatteries"),
+                                   regions, "id", ["county", "district"], "district",
+                                   value="nBatteries")
+    got = {(r["district"], r["period"].month): (r["n_active"], r["value_active"], r["active_with_value"])
+           for r in panel.collect()}
+    assert got[("d1", 1)] == (2, 4, 1) and got[("d1", 3)] == (1, 0, 0)
+    assert got[("d2", 1)] == (1, 2, 1) and got[("d2", 2)] == (0, 0, 0)
+    assert got[("d3", 2)] == (0, 0, 0) and len(got) == 9             # full district x month panel
