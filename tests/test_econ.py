@@ -142,3 +142,18 @@ def test_two_way_demean_converges(spark):
     worst = max(abs(r[0]) for r in d.groupBy("month").agg(F.avg("y")).select(F.col("avg(y)")).collect())
     worst2 = max(abs(r[0]) for r in d.groupBy("cl").agg(F.avg("y")).select(F.col("avg(y)")).collect())
     assert worst < 1e-8 and worst2 < 1e-8
+
+
+def test_one_row_cluster(spark):
+    rows = make_panel(seed=8)
+    rows.append(("lonely", 0, 1.0, 0.5, 0.2, 0.0))
+    df = to_df(spark, rows, 0)
+    fit = econ.ols_fe(df, "y", ["x", "w"], ["month"], "cl")
+    y = np.array([r[2] for r in rows])
+    D, m = dummies([r[1] for r in rows])
+    X = np.column_stack([[r[3] for r in rows], [r[4] for r in rows], D])
+    bread = np.linalg.inv(X.T @ X)
+    b = bread @ X.T @ y
+    V = np_cluster_vcov(X, y - X @ b, [r[0] for r in rows], bread, 2 + m)
+    assert fit.g == 15
+    assert fit.se == pytest.approx(np.sqrt(np.diag(V))[:2], rel=1e-6)

@@ -155,3 +155,25 @@ def test_tm2_projection(spark):
     assert r[0]["x"] == pytest.approx(250000.0) and r[1]["y"] == pytest.approx(0.0, abs=1e-6)
     assert r[2]["y"] == pytest.approx(r[3]["y"]) and r[2]["x"] + r[3]["x"] == pytest.approx(500000.0)
     assert 2.59e6 < r[0]["y"] < 2.61e6                       # 23.5N is about 2,600 km north
+
+
+def test_two_stations_on_one_edge_and_threshold_at_node(spark):
+    edges = spark.createDataFrame([("e1", "a", "b", 1000.0), ("e2", "b", "c", 400.0)],
+                                  "edge_id string, u string, v string, len_m double")
+    # two stations on e1 at 100 and 300: overlapping reach counted once
+    on_edge = spark.createDataFrame([(1, "e1", 100.0), (1, "e1", 300.0)], "m int, edge_id string, offset double")
+    src = spark.createDataFrame([(1, "a", 100.0), (1, "b", 900.0), (1, "a", 300.0), (1, "b", 700.0)],
+                                "m int, node string, d0 double")
+    dist = network.network_distance(edges, src, [], ["m"], 1500.0, d0="d0")
+    got_d = {r["node"]: r["d"] for r in dist.collect()}
+    assert got_d == {"a": 100.0, "b": 700.0, "c": 1100.0}
+    cov = {(r["edge_id"], r["D"]): r["covered_m"]
+           for r in network.covered_length(edges, dist, [], ["m"], on_edge=on_edge).collect()}
+    assert cov[("e1", 500.0)] == pytest.approx(800.0)        # [0, 800]
+    assert cov[("e1", 1000.0)] == pytest.approx(1000.0)
+    assert ("e2", 500.0) not in cov                          # b is at 700 > 500
+    assert cov[("e2", 1000.0)] == pytest.approx(300.0)
+    # threshold equal to a node's distance: c is at exactly 1100, nothing beyond it at D=1100
+    cov2 = {(r["edge_id"], r["D"]): r["covered_m"] for r in
+            network.covered_length(edges, dist, [], ["m"], thresholds=(1100.0,), on_edge=on_edge).collect()}
+    assert cov2[("e2", 1100.0)] == pytest.approx(400.0)

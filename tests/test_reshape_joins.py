@@ -224,3 +224,18 @@ def test_exact_positions_across_partitions(spark):
         got = sorted((r["rank"], r["x"]) for r in pos.where(F.col("g") == g).collect())
         assert [p for p, _ in got] == list(range(1, 501))
         assert [x for _, x in got] == sorted(x for gg, x in vals if gg == g)
+
+
+def test_category_split_central_missing_month(spark):
+    long = spark.createDataFrame([
+        (d(2020, 1), "light", "臺北市", 5.0), (d(2020, 1), "light", "IDB", 1.0),
+        (d(2020, 1), "light", "EPA", None), (d(2020, 2), "light", "臺北市", None),
+        (d(2020, 2), "heavy", "臺北市", 3.0)], "date date, category string, unit string, value double")
+    out = agg.category_split_totals(long, "date", "category", "unit", "value", ["IDB", "EPA"],
+                                    ["light", "heavy"], "sub", unit_out="county")
+    got = {r["date"]: r for r in out.collect()}
+    jan, feb = got[d(2020, 1)], got[d(2020, 2)]
+    assert jan["sub_light_local"] == 5.0 and jan["sub_light_total"] == 6.0   # EPA NULL skipped
+    assert jan["sub_heavy_local"] is None and jan["sub_heavy_total"] == 0.0
+    assert feb["sub_light_local"] is None and feb["sub_light_total"] == 0.0  # no central rows
+    assert feb["sub_heavy_total"] == 3.0
