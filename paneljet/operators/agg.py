@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clean import safe_ratio
 from .util import ValidationError
-from .windows import exact_positions
+from .windows import weighted_positions
 
 
 def group_sum(df: DataFrame, keys: Sequence[str], cols: Sequence[str], empty: str = "null",
@@ -104,8 +104,10 @@ def describe(df: DataFrame, cols: Sequence[str], var: str = "variable") -> DataF
     detail`` quantile rule: with R = n*p, whole R -> mean of x_R and x_{R+1}, else
     x_ceil(R)).
 
-    The columns are melted to (variable, value) once; moments come from one aggregate and
-    the quartiles from exact positions (no single-task sort of a variable).
+    The columns are melted to (variable, value) once; moments come from one aggregate. The
+    quartiles are exact order statistics taken from the table of value counts (a partial
+    aggregate, small when values repeat) with weighted rank ranges, so no variable is
+    sorted in one task and raw rows are never sorted at all.
     """
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias(var), F.col(c).cast("double").alias("x")) for c in cols
@@ -113,33 +115,45 @@ def describe(df: DataFrame, cols: Sequence[str], var: str = "variable") -> DataF
     moments = long.groupBy(var).agg(
         F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("sd"),
         F.min("x").alias("min"), F.max("x").alias("max"))
-    ranked = exact_positions(long, [var], "x", "rank")
+    counts = long.groupBy(var, "x").agg(F.count(F.lit(1)).alias("_w"))
+    ranked = weighted_positions(counts, [var], "x", "_w")
     picks = []
     for name, p in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75)):
         r = F.col("n") * F.lit(p)
         whole = r == F.floor(r)
         lo = F.when(whole, F.floor(r)).otherwise(F.ceil(r)).cast("long")
         hi = F.when(whole, F.floor(r) + 1).otherwise(F.ceil(r)).cast("long")
-        picks.append(F.avg(F.when((F.col("rank") == lo) | (F.col("rank") == hi), F.col("x")))
-                     .alias(name))
+
+        def covers(k):
+            return (F.col("first_rank") <= k) & (F.col("last_rank") >= k)
+
+        picks.append(((F.max(F.when(covers(lo), F.col("x"))) + F.max(F.when(covers(hi), F.col("x"))))
+                      / 2).alias(name))
     quart = ranked.groupBy(var).agg(*picks)
     return moments.join(quart, var).select(var, "count", "mean", "sd", "min", "p25", "p50",
                                            "p75", "max")
 
 
 def pairwise_corr(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Correlation matrix in long form (var1, var2, corr); pairwise complete rows.
+    """Correlation matrix in long form (var1, var2, corr); pairwise complete rows
+    (Spark's ``corr`` skips rows where either side is NULL).
 
-    One aggregate computes all K*K coefficients.
+    One aggregate computes the K(K+1)/2 distinct coefficients; the matrix is mirrored.
     """
     aggs = []
-    for a in cols:
-        for b in cols:
+    for i, a in enumerate(cols):
+        for b in cols[i:]:
             aggs.append(F.corr(F.col(a).cast("double"), F.col(b).cast("double"))
                         .alias(f"{a}\u0001{b}"))
     wide = df.agg(*aggs)
-    pairs = [F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2"),
-                      F.col(f"`{a}\u0001{b}`").alias("corr")) for a in cols for b in cols]
+
+    def cell(a, b):
+        i, j = cols.index(a), cols.index(b)
+        x, y = (a, b) if i <= j else (b, a)
+        return F.col(f"`{x}\u0001{y}`")
+
+    pairs = [F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2"), cell(a, b).alias("corr"))
+             for a in cols for b in cols]
     return wide.select(F.explode(F.array(*pairs)).alias("_p")).select("_p.*")
 
 
@@ -175,8 +189,3 @@ def category_split_totals(long: DataFrame, date: str, category: str, unit: str,
               for c in categories}
     return j.withColumns(totals).drop(*[f"central_{c}" for c in categories])
 
-
-def top_share(df: DataFrame, keys: Sequence[str], w_order: Sequence[Column]) -> DataFrame:
-    """Rank helper used by reports: ``row_order`` within keys."""
-    return df.withColumn("row_order", F.row_number().over(
-        Window.partitionBy(*keys).orderBy(*w_order)))

@@ -140,3 +140,27 @@ def exact_positions(df: DataFrame, group: Sequence[str], value: str, name: str =
     return (local.join(offsets.select("_pid", *group, "_off", "n"), ["_pid", *group])
             .withColumn(name, F.col("_off") + F.col("_r"))
             .drop("_pid", "_r", "_off"))
+
+
+def weighted_positions(df: DataFrame, group: Sequence[str], value: str, weight: str) -> DataFrame:
+    """Rank ranges of distinct values carrying a count: each row ``(group, value, weight)``
+    gets ``first_rank`` and ``last_rank`` (1-based) of the rows it stands for, and ``n``.
+
+    Same plan as ``exact_positions`` on the (much smaller) table of value counts: range
+    partitions on (group, value), running sums inside each range, offsets from the earlier
+    ranges of the group.
+    """
+    d = (df.where(F.col(value).isNotNull()).repartitionByRange(*group, value)
+         .withColumn("_pid", F.spark_partition_id()))
+    local = d.withColumn("_cum", F.sum(weight).over(
+        Window.partitionBy("_pid", *group).orderBy(value)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    sizes = d.groupBy("_pid", *group).agg(F.sum(weight).alias("_c"))
+    wg = Window.partitionBy(*group).orderBy("_pid")
+    offsets = (sizes.withColumn("_off", F.coalesce(F.sum("_c").over(
+        wg.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+        .withColumn("n", F.sum("_c").over(Window.partitionBy(*group))))
+    j = local.join(offsets.select("_pid", *group, "_off", "n"), ["_pid", *group])
+    return (j.withColumn("last_rank", F.col("_off") + F.col("_cum"))
+            .withColumn("first_rank", F.col("last_rank") - F.col(weight) + 1)
+            .drop("_pid", "_cum", "_off"))
