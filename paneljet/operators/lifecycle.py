@@ -58,6 +58,14 @@ def first_last_event(events: DataFrame, keys: Sequence[str], label: str, ts: str
                                      F.max_by(label, order).alias("last"))
 
 
+def _micros(df: DataFrame, ts: str) -> Column:
+    """Microseconds since the epoch without any time-zone shift (NTZ stays wall-clock)."""
+    if df.schema[ts].dataType.typeName() == "timestamp_ntz":
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
+                                F.col(ts))
+    return F.unix_micros(F.col(ts).cast("timestamp"))
+
+
 def _is_prefixed(c: Column, prefixes: Sequence[str]) -> Column:
     out = F.lit(False)
     for p in prefixes:
@@ -69,19 +77,31 @@ def entity_status(events: DataFrame, entities: DataFrame | None = None, *, entit
                   label: str = "event", ts: str = "ts", seq: str | None = "seq",
                   grain: str = "month", activate: Sequence[str] = ("activate",),
                   remove: Sequence[str] = ("remove",), current: str | Column | None = None,
-                  period: str = "period", status: str = "status") -> DataFrame:
+                  period: str = "period", status: str = "status",
+                  seq_bits: int | None = None) -> DataFrame:
     """W3 (flagship): ``(entity, period, status)`` for every entity and every period.
 
     ``events``: long events ``(entity, label, ts[, seq])``; rows with NULL ``ts`` are ignored
     as events. ``entities``: the entity table (one row per entity) carrying ``current``; when
     omitted the entities are the distinct ids of ``events``. ``current``: column (0/1 or
-    boolean) used for entities with no event at all; default 0.
+    boolean) used for entities with no event at all; default 0. ``seq_bits``: when ``seq``
+    is known to be below ``2**seq_bits`` (e.g. the melt position of a wide table), the order
+    key (ts, seq) is packed into one long, so the per-period aggregate is a hash aggregate
+    on primitives instead of a sort-based one on a struct.
     """
     ev = events.where(F.col(ts).isNotNull()).withColumn(period, period_start(ts, grain))
-    fl = first_last_event(ev, [entity, period], label, ts, seq)
-    fl = fl.select(entity, period,
-                   _is_prefixed(F.col("first"), remove).cast("int").alias("_start"),
-                   _is_prefixed(F.col("last"), activate).cast("int").alias("_end"))
+    # Only the two flags are needed from the first/last event, so they are computed per
+    # event and the aggregate carries integers, not labels.
+    ev = ev.withColumns({"_rem": _is_prefixed(F.col(label), remove).cast("int"),
+                         "_act": _is_prefixed(F.col(label), activate).cast("int")})
+    if seq is not None and seq_bits:
+        key = F.shiftleft(_micros(events, ts), seq_bits) + F.col(seq).cast("long")
+    elif seq is not None:
+        key = F.struct(F.col(ts), F.col(seq))
+    else:
+        key = F.col(ts)
+    fl = ev.groupBy(entity, period).agg(F.min_by("_rem", key).alias("_start"),
+                                        F.max_by("_act", key).alias("_end"))
 
     # The span of the grid: one row, so a broadcast of it is bounded by construction.
     span = F.broadcast(fl.agg(F.min(period).alias("_lo"), F.max(period).alias("_hi")))
@@ -137,9 +157,10 @@ def status_from_wide(df: DataFrame, entity: str, activate_cols: Sequence[str],
     if current_col is not None:
         cur = (F.col(current_col) == F.lit(active_value)).cast("int")
     ent = df.select(entity, *([current_col] if current_col else []))
+    n_cols = len(activate_cols) + len(remove_cols)
     return entity_status(ev, ent, entity=entity, label="event", ts="ts", seq="seq", grain=grain,
                          activate=tuple(activate_cols), remove=tuple(remove_cols), current=cur,
-                         period=period, status=status)
+                         period=period, status=status, seq_bits=max(1, (n_cols - 1).bit_length()))
 
 
 def region_panel(status_df: DataFrame, attrs: DataFrame, regions: DataFrame, entity: str,
