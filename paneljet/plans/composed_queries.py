@@ -15,7 +15,7 @@ from ..functions import clean
 from ..operators import agg, joins, lifecycle, windows
 from .catalog import W3_SQL, register, user_status
 from .panel_queries import (_SERIES_WIDE_SQL, _W5_SQL, CENTRAL, FACTS_SQL, IV_TERMS, districts,
-                            installed_base, instruments, nation_month, order_facts)
+                            installed_base, instruments, money, nation_month, nsum, order_cube)
 from .tables import table
 
 N_NATIONS = 25
@@ -118,11 +118,12 @@ SELECT iv.district, iv.month, top_series, revenue_f, n_orders,
 FROM iv JOIN best ON best.district = iv.district AND best.month = iv.month""")
 def c7_instrument_panel(spark, sf):
     """One row per district-month: the best series row (W7) and the instruments."""
-    s = order_facts(spark, sf).groupBy("district", "month", "series").agg(
-        F.round(F.sum(F.when(F.col("status") == "F", F.col("price"))), 2).alias("revenue_f"))
+    cube = order_cube(spark, sf)
+    s = cube.groupBy("district", "month", "series").agg(
+        money(F.col("status") == "F").alias("revenue_f"))
     best = windows.best_value_row(s, ["district", "month"], "revenue_f", ["series"]).select(
         "district", "month", F.col("series").alias("top_series"), "revenue_f")
-    iv = instruments(spark, sf)
+    iv = instruments(cube)
     return iv.join(best, ["district", "month"]).select(
         "district", "month", "top_series", "revenue_f", "n_orders",
         *[F.round(F.col(f"iv_{t}"), 6).alias(f"iv_{t}") for t in IV_TERMS])
@@ -133,7 +134,7 @@ SELECT county, district, 'first_' || pos || '_m' AS label, ratio,
        round_even(ratio * baseline, 0) AS stock FROM ratio""")
 def c8_installed_base(spark, sf):
     """Cumulative share and reconstructed stock labelled by prefix length."""
-    ib = installed_base(spark, sf)
+    ib = installed_base(spark, sf, order_cube(spark, sf))
     return ib.select("county", "district",
                      F.concat(F.lit("first_"), F.col("pos").cast("string"), F.lit("_m")).alias("label"),
                      "ratio", "stock")
@@ -147,8 +148,9 @@ FROM pn LEFT JOIN ratio ON ratio.county = pn.county AND ratio.district = pn.dist
  AND ratio.month = pn.month""")
 def c9_attach_base(spark, sf):
     """The panel with the installed base attached (m:1 validated, completeness checked)."""
-    panel = nation_month(spark, sf).select("county", "district", "month", "n_orders")
-    ib = installed_base(spark, sf).select("county", "district", "month", "ratio", "stock", "baseline")
+    cube = order_cube(spark, sf)
+    panel = nation_month(cube).select("county", "district", "month", "n_orders")
+    ib = installed_base(spark, sf, cube).select("county", "district", "month", "ratio", "stock", "baseline")
     out = joins.left_join(panel, ib, ["county", "district", "month"], validate="m:1",
                           require_match="baseline", what="attach installed base")
     return out.select("county", "district", "month", "n_orders", "ratio", "stock")
@@ -177,15 +179,15 @@ FROM panel p LEFT JOIN pl ON pl.unit = p.county AND pl.month = p.month""")
 def c10_policy_panel(spark, sf):
     """Panel + policy totals (A13), exact 1-year lags on the full policy history (J5),
     restricted to the panel months (J8), logs (P15), attached m:1 (J1)."""
-    f = order_facts(spark, sf)
+    f = order_cube(spark, sf)
     long = f.groupBy("month", F.col("status").alias("category"), F.col("county").alias("unit")).agg(
-        F.count(F.lit(1)).cast("double").alias("value"))
+        nsum().cast("double").alias("value"))
     pol = clean.drop_if_exists(
         agg.category_split_totals(long, "month", "category", "unit", "value", CENTRAL, ["F", "O"], "ord"),
         ["ord_F_local", "ord_O_local"])
     totals = ["ord_F_total", "ord_O_total"]
     lagged = joins.calendar_lag(pol, ["unit"], "month", totals)
-    panel = nation_month(spark, sf).select("county", "district", "month", "n_orders")
+    panel = nation_month(f).select("county", "district", "month", "n_orders")
     lagged = joins.semi_join(lagged, panel.select("month").distinct(), ["month"])
     lagged = clean.log_columns(lagged, [f"lag1y_{t}" for t in totals], "log1p_nonneg")
     lagged = lagged.withColumnRenamed("unit", "county")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators import agg, econ, joins
 from .catalog import register
-from .panel_queries import FACTS_SQL, order_facts
+from .panel_queries import FACTS_SQL, money, nsum, order_cube
 
 REG_SQL = f"""{FACTS_SQL},
 reg AS (
@@ -32,11 +32,10 @@ lv AS (SELECT count(DISTINCT month) AS lv FROM s)"""
 
 
 def reg_panel(spark, sf) -> DataFrame:
-    f = order_facts(spark, sf)
+    f = order_cube(spark, sf)
     p = f.groupBy("county", "district", "month").agg(
-        F.round(F.sum("price"), 2).alias("revenue"), F.count(F.lit(1)).alias("n"),
-        F.count_if("flag").alias("nb"), F.count_if(F.col("series") == "1-URGENT").alias("nu"),
-        F.count_if(F.col("status") == "F").alias("nf"))
+        money().alias("revenue"), nsum().alias("n"), nsum(F.col("flag")).alias("nb"),
+        nsum(F.col("series") == "1-URGENT").alias("nu"), nsum(F.col("status") == "F").alias("nf"))
     return p.select("county", "district", "month", F.ln("revenue").alias("ln_revenue"),
                     F.ln("n").alias("ln_orders"), F.log1p("nb").alias("z_building"),
                     F.log1p("nu").alias("z_urgent"), (F.col("nf") / F.col("n")).alias("share_f"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clean
 from ..operators import agg, joins, reshape, windows
+from ..operators.util import cut_lineage
 from .catalog import register
 from .tables import table
 
@@ -57,11 +58,39 @@ def order_facts(spark, sf) -> DataFrame:
                     "o_orderkey", (F.col("c_mktsegment") == "BUILDING").alias("flag")))
 
 
-def nation_month(spark, sf) -> DataFrame:
+CUBE_KEYS = ("county", "district", "month", "series", "status", "flag")
+
+
+def order_cube(spark, sf) -> DataFrame:
+    """One pass over orders x customer x nation x region: order counts and price sums at the
+    finest grain any panel query needs (district x month x priority x status x flag: at most
+    25 x months x 5 x 3 x 2 rows, whatever the data volume).
+
+    The partial aggregate shrinks each input partition before the shuffle, and the result
+    is materialised with a reliable checkpoint so that every query built on it reads the
+    fact join once: filters applied later cannot be pushed into it and split the plan.
+    """
+    cube = order_facts(spark, sf).groupBy(*CUBE_KEYS).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("price").alias("price_sum"))
+    return cut_lineage(cube)
+
+
+def nsum(cond=None) -> F.Column:
+    """Order count (sum of cube counts), optionally only where ``cond``."""
+    return F.sum("n") if cond is None else F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0))
+
+
+def money(cond=None) -> F.Column:
+    """Price sum rounded to cents; NULL when no order qualifies."""
+    v = F.col("price_sum") if cond is None else F.when(cond, F.col("price_sum"))
+    return F.round(F.sum(v), 2)
+
+
+def nation_month(cube: DataFrame) -> DataFrame:
     """The county x district x month panel."""
-    return order_facts(spark, sf).groupBy("county", "district", "month").agg(
-        F.count(F.lit(1)).alias("n_orders"), F.round(F.sum("price"), 2).alias("revenue"),
-        F.count_if("flag").cast("long").alias("n_building"))
+    return cube.groupBy("county", "district", "month").agg(
+        nsum().alias("n_orders"), money().alias("revenue"),
+        nsum(F.col("flag")).alias("n_building"))
 
 
 def r6(c):
@@ -89,7 +118,7 @@ SELECT county,
        CAST(list_position(['ASIA', 'EUROPE', 'AMERICA'], county) AS INTEGER) AS county_order
 FROM cm""")
 def c3_running_totals(spark, sf):
-    p = nation_month(spark, sf)
+    p = nation_month(order_cube(spark, sf))
     cm = clean.filter_members(p, "county", C3_ORDER).groupBy("county", "month").agg(
         F.sum("n_orders").cast("long").alias("n_orders"))
     cm = cm.withColumn("label", clean.map_values("county", {"ASIA": "Asia", "EUROPE": "Europe"}))
@@ -169,9 +198,9 @@ c AS (SELECT month, county, series, count(*) AS n FROM facts GROUP BY month, cou
 SELECT m.month, lab.county, lab.series, CAST(coalesce(c.n, 0) AS BIGINT) AS n_orders
 FROM m CROSS JOIN lab LEFT JOIN c ON c.month = m.month AND c.county = lab.county AND c.series = lab.series""")
 def s2_wide_long(spark, sf):
-    f = order_facts(spark, sf).withColumn("label", clean.composite_key(["county", "series"], "_"))
+    f = order_cube(spark, sf).withColumn("label", clean.composite_key(["county", "series"], "_"))
     labels = [f"{r}_{p}" for r in REGIONS for p in PRIORITIES]
-    wide = reshape.pivot_sum(f, ["month"], "label", None, labels)
+    wide = reshape.pivot_sum(f, ["month"], "label", "n", labels)
     long = reshape.melt(wide, ["month"], labels, "label", "n_orders")
     county, series = reshape.split_label("label", "_")
     return long.select("month", county.alias("county"), series.alias("series"),
@@ -184,9 +213,9 @@ SELECT month, county, series, round(sum(price), 2) AS revenue FROM facts
 WHERE status = 'F' GROUP BY month, county, series""")
 def r2_stack_dropnull(spark, sf):
     """R3 pivot with NULL cells, then the legacy stack that drops them (R2)."""
-    f = order_facts(spark, sf).where(F.col("status") == "F").withColumn(
+    f = order_cube(spark, sf).where(F.col("status") == "F").withColumn(
         "label", clean.composite_key(["county", "series"], "_"))
-    per = f.groupBy("month", "label").agg(F.round(F.sum("price"), 2).alias("revenue"))
+    per = f.groupBy("month", "label").agg(money().alias("revenue"))
     pairs = {f"{r}_{p}": (r, p) for r in REGIONS for p in PRIORITIES}
     wide = reshape.pivot_first(per, ["month"], "label", "revenue", list(pairs))
     return reshape.stack_levels(wide, ["month"], pairs, ("county", "series"), "revenue",
@@ -212,8 +241,7 @@ SELECT district, month,
   CAST(NULL AS BIGINT) AS n_none
 FROM s GROUP BY district, month""")
 def r3_pivot(spark, sf):
-    s = order_facts(spark, sf).groupBy("district", "month", "series").agg(
-        F.count(F.lit(1)).alias("n"))
+    s = order_cube(spark, sf).groupBy("district", "month", "series").agg(nsum().alias("n"))
     return reshape.pivot_first(s, ["district", "month"], "series", "n", list(_R3_NAMES),
                                names=_R3_NAMES)
 
@@ -225,8 +253,8 @@ SELECT district, month,
   count(*) FILTER (WHERE status = 'P') AS n_P, CAST(0 AS BIGINT) AS n_X
 FROM facts GROUP BY district, month""")
 def r4_pivot(spark, sf):
-    f = order_facts(spark, sf)
-    out = reshape.pivot_sum(f, ["district", "month"], "status", None, ["F", "O", "P", "X"],
+    f = order_cube(spark, sf)
+    out = reshape.pivot_sum(f, ["district", "month"], "status", "n", ["F", "O", "P", "X"],
                             prefix="n_")
     return out.select("district", "month", *[F.col(f"n_{s}").cast("long") for s in "FOPX"])
 
@@ -258,9 +286,9 @@ SELECT loc.unit, loc.month, ord_F_local, ord_O_local, ord_P_local,
        coalesce(ord_P_local, 0) + coalesce(c_P, 0) AS ord_P_total
 FROM loc LEFT JOIN cen USING (month)""")
 def a13_local_central(spark, sf):
-    f = order_facts(spark, sf)
+    f = order_cube(spark, sf)
     long = f.groupBy("month", F.col("status").alias("category"), F.col("county").alias("unit")).agg(
-        F.count(F.lit(1)).cast("double").alias("value"))
+        nsum().cast("double").alias("value"))
     return agg.category_split_totals(long, "month", "category", "unit", "value", CENTRAL,
                                      ["F", "O", "P"], "ord")
 
@@ -280,10 +308,11 @@ SELECT county, district, month, n_orders, lag1y_n_orders, lag1y_revenue,
        round(CASE WHEN lag1y_n_orders >= 0 THEN ln(1 + lag1y_n_orders) END, 6) AS ln_lag1y_n_orders
 FROM lagged WHERE month IN (SELECT month FROM panel WHERE month >= DATE '1996-01-01')""")
 def j5_calendar_lag(spark, sf):
-    p = nation_month(spark, sf)
+    cube = order_cube(spark, sf)
+    p = nation_month(cube)
     lagged = joins.calendar_lag(p.select("county", "district", "month", "n_orders", "revenue"),
                                 ["county", "district"], "month", ["n_orders", "revenue"])
-    main_months = p.where(F.col("month") >= F.lit("1996-01-01").cast("date")).select("month")
+    main_months = cube.where(F.col("month") >= F.lit("1996-01-01").cast("date")).select("month")
     kept = joins.semi_join(lagged, main_months, ["month"])
     return kept.select("county", "district", "month", "n_orders", "lag1y_n_orders", "lag1y_revenue",
                        r6(clean.log_col("lag1y_n_orders", "log1p_nonneg")).alias("ln_lag1y_n_orders"))
@@ -304,10 +333,10 @@ SELECT district, month, n, source_rank FROM (
   SELECT *, row_number() OVER (PARTITION BY district, month ORDER BY source_rank) AS rn FROM u)
 WHERE rn = 1""")
 def j6_shifted_panel(spark, sf):
-    f = order_facts(spark, sf)
-    s1 = f.where(F.col("status") == "F").groupBy("district", "month").agg(F.count(F.lit(1)).alias("n"))
+    f = order_cube(spark, sf)
+    s1 = f.where(F.col("status") == "F").groupBy("district", "month").agg(nsum().alias("n"))
     s2 = joins.calendar_shift(
-        f.where(F.col("status") == "O").groupBy("district", "month").agg(F.count(F.lit(1)).alias("n")),
+        f.where(F.col("status") == "O").groupBy("district", "month").agg(nsum().alias("n")),
         "month", -1)
     u = joins.union_sources([(s1, {"district": "district", "month": "month", "n": "n"}),
                              (s2, {"district": "district", "month": "month", "n": "n"})])
@@ -349,19 +378,17 @@ iv AS (SELECT base.district, base.month, CAST(base.n_orders AS BIGINT) AS n_orde
   FROM base JOIN wl USING (district, month))"""
 
 
-def series_lags(spark, sf) -> DataFrame:
-    s = order_facts(spark, sf).groupBy("district", "month", "series").agg(
-        F.count(F.lit(1)).alias("n"))
+def series_lags(cube: DataFrame) -> DataFrame:
+    s = cube.groupBy("district", "month", "series").agg(nsum().alias("n"))
     names = {p: f"n_{v}" for p, v in PRIORITY_NAMES.items()}
     wide = reshape.pivot_first(s, ["district", "month"], "series", "n", PRIORITIES, names=names)
     lagged = joins.calendar_lag(wide, ["district"], "month", SERIES_COLS)
     return lagged.select("district", "month", *[f"lag1y_{c}" for c in SERIES_COLS])
 
 
-def instruments(spark, sf) -> DataFrame:
-    base = nation_month(spark, sf).groupBy("district", "month").agg(
-        F.sum("n_orders").alias("n_orders"))
-    j = base.join(series_lags(spark, sf), ["district", "month"])
+def instruments(cube: DataFrame) -> DataFrame:
+    base = cube.groupBy("district", "month").agg(nsum().alias("n_orders"))
+    j = base.join(series_lags(cube), ["district", "month"])
     return clean.interactions(j, "n_orders", IV_TERMS)
 
 
@@ -372,7 +399,7 @@ SELECT district, month, n_orders, round(iv_urgent, 6) AS iv_urgent, round(iv_hig
        round(iv_medium_low, 6) AS iv_medium_low, round(iv_not_specified, 6) AS iv_not_specified
 FROM iv""")
 def p16_instruments(spark, sf):
-    iv = instruments(spark, sf)
+    iv = instruments(order_cube(spark, sf))
     return iv.select("district", "month", "n_orders",
                      *[r6(F.col(f"iv_{t}")).alias(f"iv_{t}") for t in IV_TERMS])
 
@@ -390,8 +417,8 @@ SELECT district, month, series, revenue_f FROM (
                                ORDER BY revenue_f DESC NULLS LAST, series) AS rn FROM s)
 WHERE rn = 1""")
 def w7_best_row(spark, sf):
-    s = order_facts(spark, sf).groupBy("district", "month", "series").agg(
-        F.round(F.sum(F.when(F.col("status") == "F", F.col("price"))), 2).alias("revenue_f"))
+    s = order_cube(spark, sf).groupBy("district", "month", "series").agg(
+        money(F.col("status") == "F").alias("revenue_f"))
     return windows.best_value_row(s, ["district", "month"], "revenue_f", ["series"]).select(
         "district", "month", "series", "revenue_f")
 
@@ -421,8 +448,8 @@ ratio AS (SELECT *, CASE WHEN cr > 0 AND cd <> 0 THEN round_even(CAST(cn AS DOUB
           FROM cum)"""
 
 
-def installed_base(spark, sf) -> DataFrame:
-    p = nation_month(spark, sf)
+def installed_base(spark, sf, cube: DataFrame) -> DataFrame:
+    p = nation_month(cube)
     ratios = windows.expanding_ratio(p, ["county", "district"], "month", "n_building", "n_orders",
                                      digits=4)
     cust = table(spark, sf, "customer")
@@ -435,7 +462,7 @@ def installed_base(spark, sf) -> DataFrame:
 SELECT county, district, month, pos, ratio, baseline, round_even(ratio * baseline, 0) AS stock
 FROM ratio""")
 def w5_expanding_ratio(spark, sf):
-    return installed_base(spark, sf).select("county", "district", "month", "pos", "ratio",
+    return installed_base(spark, sf, order_cube(spark, sf)).select("county", "district", "month", "pos", "ratio",
                                             "baseline", "stock")
 
 
@@ -735,7 +762,7 @@ EXCEPT SELECT DISTINCT district, month FROM facts WHERE status = 'F'""")
 def s6_pending(spark, sf):
     from ..sources import io
 
-    f = order_facts(spark, sf)
+    f = order_cube(spark, sf)
     cal = reshape.periods_of(f, "month", "month", "month")
     grid = table(spark, sf, "nation").select(F.col("n_name").alias("district")).crossJoin(F.broadcast(cal))
     done = f.where(F.col("status") == "F").select("district", "month")
@@ -747,9 +774,9 @@ def s6_pending(spark, sf):
 # --------------------------------------------------------------------------------------
 
 def _finished_revenue(spark, sf) -> DataFrame:
-    """District x month revenue of finished orders; NULL where a month had none."""
-    f = order_facts(spark, sf).withColumn("price_f", F.when(F.col("status") == "F", F.col("price")))
-    return f
+    """Cube rows with the price sum of finished orders (NULL for other statuses)."""
+    return order_cube(spark, sf).withColumn(
+        "price_f", F.when(F.col("status") == "F", F.col("price_sum")))
 
 
 @register("a1_group_sum", f"""WITH {FACTS_SQL}
@@ -776,7 +803,7 @@ SELECT county, round(sum(price) FILTER (WHERE flag), 2) AS flagged, round(sum(pr
        round(sum(price) FILTER (WHERE flag) / sum(price), 6) AS share
 FROM facts GROUP BY county""")
 def a12_share_of_flag(spark, sf):
-    out = agg.share_of_flag(order_facts(spark, sf), ["county"], F.col("flag"), "price")
+    out = agg.share_of_flag(order_cube(spark, sf), ["county"], F.col("flag"), "price_sum")
     return out.select("county", F.round("flagged", 2).alias("flagged"), F.round("total", 2).alias("total"),
                       F.round("share", 6).alias("share"))
 
@@ -792,9 +819,9 @@ w AS (SELECT district, month, v,
 SELECT district, month, v, v_ffill, v_bfill, coalesce(v_ffill, v_bfill) AS v_either,
        coalesce(v, 0.0) AS v_zero FROM w""")
 def w1_fill_gaps(spark, sf):
-    f = order_facts(spark, sf)
-    s = f.groupBy("district", "month").agg(F.round(F.sum(F.when(
-        (F.col("status") == "F") & (F.col("series") == "1-URGENT"), F.col("price"))), 2).alias("v"))
+    f = order_cube(spark, sf)
+    s = f.groupBy("district", "month").agg(
+        money((F.col("status") == "F") & (F.col("series") == "1-URGENT")).alias("v"))
     s = windows.ffill(s, ["district"], ["month"], "v", "v_ffill")
     s = windows.bfill(s, ["district"], ["month"], "v", "v_bfill")
     s = s.withColumn("v_either", clean.first_non_null("v_ffill", "v_bfill")).withColumn("v_zero", F.col("v"))
@@ -808,7 +835,7 @@ SELECT county, CAST(year(month) AS INTEGER) AS year, month, n_orders FROM (
   SELECT *, row_number() OVER (PARTITION BY county, year(month) ORDER BY month DESC) AS rn FROM cm)
 WHERE rn = 1""")
 def w8_last_per_group(spark, sf):
-    cm = order_facts(spark, sf).groupBy("county", "month").agg(F.count(F.lit(1)).alias("n_orders"))
+    cm = order_cube(spark, sf).groupBy("county", "month").agg(nsum().alias("n_orders"))
     cm = cm.withColumn("year", F.year("month").cast("int"))
     return windows.last_per_group(cm, ["county", "year"], ["month"]).select(
         "county", "year", "month", "n_orders")
