@@ -88,7 +88,7 @@ def _first_open_month(open_col):
 
 def active_count(df: DataFrame, open_col: str, close_col: str, by: Sequence[str],
                  periods: DataFrame, period: str = "month", status_col: str | None = None,
-                 active_value=1, name: str = "n_open") -> DataFrame:
+                 active_value=1, name: str = "n_open", weight: str | None = None) -> DataFrame:
     """Entities open at each month start M: ``open <= M`` and (``close`` NULL or
     ``close >= M``), counted by ``by`` x month; rows with ``status == active_value`` have no
     close date; NULL ``open`` never counts.
@@ -96,24 +96,26 @@ def active_count(df: DataFrame, open_col: str, close_col: str, by: Sequence[str]
     A difference array instead of a range join: each entity contributes +1 at its first
     open month and -1 after its last one; per-group running sums over the calendar give the
     counts. Cost is O(entities + groups x months), independent of interval lengths, and
-    every (group, month) of the calendar is present (0 when nothing is open).
+    every (group, month) of the calendar is present (0 when nothing is open). ``weight``
+    names a count column when rows stand for several identical entities.
     """
     cal = periods.select(F.col(period).alias("_m"))
     bounds = cal.agg(F.min("_m").alias("_lo"), F.max("_m").alias("_hi"))
     close = F.col(close_col)
     if status_col:
         close = F.when(F.col(status_col) == F.lit(active_value), F.lit(None)).otherwise(close)
+    w = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
     ent = (df.where(F.col(open_col).isNotNull())
-           .select(*by, _first_open_month(F.col(open_col)).alias("_a"),
+           .select(*by, w.alias("_w"), _first_open_month(F.col(open_col)).alias("_a"),
                    F.trunc(F.to_date(close), "MM").alias("_b"), close.isNull().alias("_open_end"))
            .crossJoin(F.broadcast(bounds))
-           .select(*by, F.greatest("_a", "_lo").alias("_a"),
+           .select(*by, "_w", F.greatest("_a", "_lo").alias("_a"),
                    F.when(F.col("_open_end"), F.col("_hi"))
                     .otherwise(F.least("_b", "_hi")).alias("_b"))
            .where(F.col("_a") <= F.col("_b")))
     deltas = (ent.select(*by, F.explode(F.array(
-        F.struct(F.col("_a").alias("_m"), F.lit(1).alias("_d")),
-        F.struct(F.add_months("_b", 1).alias("_m"), F.lit(-1).alias("_d")))).alias("_x"))
+        F.struct(F.col("_a").alias("_m"), F.col("_w").alias("_d")),
+        F.struct(F.add_months("_b", 1).alias("_m"), (-F.col("_w")).alias("_d")))).alias("_x"))
         .select(*by, "_x._m", "_x._d")
         .groupBy(*by, "_m").agg(F.sum("_d").alias("_d")))
     dense = densify(deltas, by, "_m", cal, ["_d"], 0)

@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.clean import add_periods, period_start, period_step
+from .util import cut_lineage
 
 
 def melt_events(df: DataFrame, entity: str, activate_cols: Sequence[str],
@@ -81,27 +82,42 @@ def entity_status(events: DataFrame, entities: DataFrame | None = None, *, entit
                   seq_bits: int | None = None) -> DataFrame:
     """W3 (flagship): ``(entity, period, status)`` for every entity and every period.
 
-    ``events``: long events ``(entity, label, ts[, seq])``; rows with NULL ``ts`` are ignored
-    as events. ``entities``: the entity table (one row per entity) carrying ``current``; when
-    omitted the entities are the distinct ids of ``events``. ``current``: column (0/1 or
+    ``events``: long events ``(entity, label, ts[, seq])``; rows with NULL ``ts``, and rows
+    whose label is neither an activation nor a removal, are not events (they may be passed
+    so that one pass over an event log gives both the events and the entity set).
+    ``entities``: the entity table (one row per entity) carrying ``current``; when omitted
+    the entities are the distinct ids of ``events``. ``current``: column (0/1 or
     boolean) used for entities with no event at all; default 0. ``seq_bits``: when ``seq``
     is known to be below ``2**seq_bits`` (e.g. the melt position of a wide table), the order
     key (ts, seq) is packed into one long, so the per-period aggregate is a hash aggregate
     on primitives instead of a sort-based one on a struct.
     """
-    ev = events.where(F.col(ts).isNotNull()).withColumn(period, period_start(ts, grain))
+    is_rem = _is_prefixed(F.col(label), remove)
+    is_act = _is_prefixed(F.col(label), activate)
     # Only the two flags are needed from the first/last event, so they are computed per
-    # event and the aggregate carries integers, not labels.
-    ev = ev.withColumns({"_rem": _is_prefixed(F.col(label), remove).cast("int"),
-                         "_act": _is_prefixed(F.col(label), activate).cast("int")})
+    # event and the aggregate carries integers, not labels. Non-events get a NULL order
+    # key, which min_by/max_by skip.
+    ev = events.withColumns({"_rem": is_rem.cast("int"), "_act": is_act.cast("int"),
+                             "_is_ev": (is_rem | is_act) & F.col(ts).isNotNull()})
     if seq is not None and seq_bits:
         key = F.shiftleft(_micros(events, ts), seq_bits) + F.col(seq).cast("long")
     elif seq is not None:
         key = F.struct(F.col(ts), F.col(seq))
     else:
         key = F.col(ts)
-    fl = ev.groupBy(entity, period).agg(F.min_by("_rem", key).alias("_start"),
-                                        F.max_by("_act", key).alias("_end"))
+    key = F.when(F.col("_is_ev"), key)
+    if entities is None:
+        # one aggregate per (entity, period) over every row; ids without events keep a row
+        ev = ev.withColumn(period, F.coalesce(period_start(ts, grain), F.lit(None).cast("date")))
+    else:
+        ev = ev.where(F.col("_is_ev")).withColumn(period, period_start(ts, grain))
+    agg = ev.groupBy(entity, period).agg(F.min_by("_rem", key).alias("_start"),
+                                         F.max_by("_act", key).alias("_end"),
+                                         F.max("_is_ev").alias("_has_ev"))
+    # Runs, span and entity set all derive from this aggregate (no larger than the output
+    # grid); materialised once so the event log is read in a single pass.
+    agg = cut_lineage(agg)
+    fl = agg.where(F.col("_has_ev")).drop("_has_ev")
 
     # The span of the grid: one row, so a broadcast of it is bounded by construction.
     span = F.broadcast(fl.agg(F.min(period).alias("_lo"), F.max(period).alias("_hi")))
@@ -122,7 +138,7 @@ def entity_status(events: DataFrame, entities: DataFrame | None = None, *, entit
                            F.col("_seg.s").cast("int").alias(status)))
 
     if entities is None:
-        ent = events.select(entity).distinct().withColumn("_cur", F.lit(0))
+        ent = agg.select(entity).distinct().withColumn("_cur", F.lit(0))
     else:
         cur = F.lit(0) if current is None else (
             F.col(current) if isinstance(current, str) else current)

@@ -63,16 +63,15 @@ def register(name: str, sql: str | None = None):
 # --------------------------------------------------------------------------------------
 
 def lifecycle_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """signup = activation, error = removal; other event types are not lifecycle events."""
+    """The whole event log: signup = activation, error = removal; other event types are not
+    lifecycle events but their users are entities (one pass gives both)."""
     ev = table(spark, sf_dir, "events")
-    return (ev.where(F.col("event_type").isin("signup", "error"))
-              .select("user_id", F.col("event_type").alias("event"), "ts",
-                      F.col("event_id").alias("seq")))
+    return ev.select("user_id", F.col("event_type").alias("event"), "ts",
+                     F.col("event_id").alias("seq"))
 
 
 def user_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entities = table(spark, sf_dir, "events").select("user_id").distinct()
-    return lifecycle.entity_status(lifecycle_events(spark, sf_dir), entities, entity="user_id",
+    return lifecycle.entity_status(lifecycle_events(spark, sf_dir), None, entity="user_id",
                                    grain="day", activate=("signup",), remove=("error",),
                                    period="day")
 
