@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import network, spatial
@@ -69,7 +69,8 @@ def town_edges(roads: DataFrame, towns: DataFrame, cell: float = 500.0,
                     F.col("TOWNID").cast("string"), F.col("k").cast("string")).alias("edge_id"),
         node(ax, ay).alias("u"), node(bx, by).alias("v"),
         ((F.col("p.b") - F.col("p.a")) * F.col("seg_len")).alias("len_m"),
-        ax.alias("x0"), ay.alias("y0"), bx.alias("x1"), by.alias("y1"))
+        ax.alias("x0"), ay.alias("y0"), bx.alias("x1"), by.alias("y1"),
+        "road_id", "i", F.col("p.a").alias("t0"))
     return edges.where((F.col("len_m") > 0) & (F.col("u") != F.col("v")))
 
 
@@ -86,10 +87,105 @@ def station_points(stations: DataFrame, towns: DataFrame, project: bool = True,
     return inside.select(CITY, MONTH, "station_id", "x", "y").dropDuplicates([CITY, MONTH, "station_id"])
 
 
+def road_chains(pieces: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Contract runs of pieces joined at degree-2 vertices into chains.
+
+    Pieces are ordered along their road by (segment, start parameter); a new chain starts at
+    the first piece of a road, after a gap (a dropped duplicate), and at any piece whose
+    start vertex has degree other than 2 in the whole graph (a junction or a dead end).
+    Returns ``(pieces with chain_id and off_u - the distance of their start from the chain
+    start -, chains (city, chain_id, start, end, L))``. Windows run per road, so their size
+    is bounded by the road's vertex count.
+    """
+    ends = pieces.select(CITY, F.col("u").alias("node")).unionByName(
+        pieces.select(CITY, F.col("v").alias("node")))
+    deg = ends.groupBy(CITY, "node").agg(F.count(F.lit(1)).alias("_deg"))
+    w = Window.partitionBy(CITY, "road_id").orderBy("i", "t0")
+    p = pieces.join(deg.withColumnRenamed("node", "u"), [CITY, "u"], "left")
+    prev_v = F.lag("v").over(w)
+    brk = (prev_v.isNull() | (prev_v != F.col("u")) | (F.col("_deg") != 2)).cast("int")
+    p = p.withColumn("_brk", brk).withColumn(
+        "_chain", F.sum("_brk").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    wc = Window.partitionBy(CITY, "road_id", "_chain").orderBy("i", "t0")
+    p = (p.withColumn("off_u", F.sum("len_m").over(wc.rowsBetween(Window.unboundedPreceding,
+                                                                    Window.currentRow)) - F.col("len_m"))
+         .withColumn("chain_id", F.concat_ws("#", F.col("road_id").cast("string"),
+                                             F.col("_chain").cast("string"))))
+    order = F.struct("i", "t0")
+    chains = p.groupBy(CITY, "chain_id").agg(F.min_by("u", order).alias("start"),
+                                             F.max_by("v", order).alias("end"),
+                                             F.sum("len_m").alias("L"))
+    return p.drop("_deg", "_brk", "_chain"), chains
+
+
+def contracted_ends(pieces: DataFrame, on_edge: DataFrame, max_d: float) -> DataFrame:
+    """Exact end distances ``(city, month, edge_id, L, d_u, d_v)`` of every piece, from a
+    search over the chain graph only.
+
+    Inside a chain every vertex has degree 2, so a point at chain position x is reached
+    either through the chain's start (``d_start + x``), its end (``d_end + L - x``) or from a
+    station on the same chain (``|x - s|``, nearest station on either side by a window
+    over the chain's positions - no station x piece pairs). The search therefore needs only
+    as many rounds as junction hops, not vertex hops.
+    """
+    p, chains = road_chains(pieces)
+    p = cut_lineage(p.select(CITY, "edge_id", "chain_id", "off_u", "len_m"))
+    chains = cut_lineage(chains)
+    st = (on_edge.join(p, [CITY, "edge_id"])
+          .select(CITY, MONTH, "chain_id", (F.col("off_u") + F.col("offset")).alias("pos"))
+          .join(chains, [CITY, "chain_id"]))
+    sources = (st.select(CITY, MONTH, F.col("start").alias("node"), F.col("pos").alias("d0"))
+               .unionByName(st.select(CITY, MONTH, F.col("end").alias("node"),
+                                      (F.col("L") - F.col("pos")).alias("d0"))))
+    cedges = chains.select(CITY, F.col("chain_id").alias("edge_id"), F.col("start").alias("u"),
+                           F.col("end").alias("v"), F.col("L").alias("len_m"))
+    dist = network.network_distance(cedges, sources, [CITY], [MONTH], max_d, d0="d0",
+                                    checkpoint_every=2)
+    ds = dist.select(CITY, MONTH, F.col("node").alias("start"), F.col("d").alias("_ds"))
+    de = dist.select(CITY, MONTH, F.col("node").alias("end"), F.col("d").alias("_de"))
+    cend = (chains.join(ds, [CITY, "start"]).select(CITY, MONTH, "chain_id", "L", "_ds",
+                                                    F.lit(None).cast("double").alias("_de"))
+            .unionByName(chains.join(de, [CITY, "end"]).select(
+                CITY, MONTH, "chain_id", "L", F.lit(None).cast("double").alias("_ds"), "_de"))
+            .groupBy(CITY, MONTH, "chain_id").agg(F.first("L").alias("_L"), F.min("_ds").alias("_ds"),
+                                                  F.min("_de").alias("_de")))
+    via_ends = (p.join(cend, [CITY, "chain_id"])
+                .select(CITY, MONTH, "edge_id", "len_m",
+                        F.least(F.col("_ds") + F.col("off_u"),
+                                F.col("_de") + (F.col("_L") - F.col("off_u"))).alias("d_u"),
+                        F.least(F.col("_ds") + F.col("off_u") + F.col("len_m"),
+                                F.col("_de") + (F.col("_L") - F.col("off_u") - F.col("len_m"))).alias("d_v")))
+    # stations inside a chain reach its pieces directly
+    st_chains = st.select(CITY, MONTH, "chain_id").distinct()
+    pts = p.join(st_chains, [CITY, "chain_id"])
+    elems = (pts.select(CITY, MONTH, "chain_id", "edge_id", F.lit("u").alias("end_"),
+                        F.col("off_u").alias("pos"), F.lit(None).cast("double").alias("_s"))
+             .unionByName(pts.select(CITY, MONTH, "chain_id", "edge_id", F.lit("v").alias("end_"),
+                                     (F.col("off_u") + F.col("len_m")).alias("pos"),
+                                     F.lit(None).cast("double").alias("_s")))
+             .unionByName(st.select(CITY, MONTH, "chain_id", F.lit(None).cast("string").alias("edge_id"),
+                                    F.lit(None).cast("string").alias("end_"), "pos",
+                                    F.col("pos").alias("_s"))))
+    wpos = Window.partitionBy(CITY, MONTH, "chain_id").orderBy("pos")
+    left = F.last("_s", ignorenulls=True).over(wpos.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    right = F.first("_s", ignorenulls=True).over(wpos.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    near = (elems.withColumn("_near", F.least(F.col("pos") - left, right - F.col("pos")))
+            .where(F.col("edge_id").isNotNull())
+            .groupBy(CITY, MONTH, "edge_id")
+            .agg(F.min(F.when(F.col("end_") == "u", F.col("_near"))).alias("d_u"),
+                 F.min(F.when(F.col("end_") == "v", F.col("_near"))).alias("d_v")))
+    lengths = p.select(CITY, "edge_id", "len_m")
+    ends = (via_ends.drop("len_m").unionByName(near)
+            .groupBy(CITY, MONTH, "edge_id").agg(F.min("d_u").alias("d_u"), F.min("d_v").alias("d_v"))
+            .join(lengths, [CITY, "edge_id"])
+            .withColumnRenamed("len_m", "L"))
+    return ends.where((F.col("d_u") <= max_d) | (F.col("d_v") <= max_d))
+
+
 def coverage_panel(roads: DataFrame, towns: DataFrame, stations: DataFrame,
                    thresholds: Sequence[float] = network.THRESHOLDS, snap_m: float = 200.0,
                    project: bool = True, cell: float = 500.0, emit_empty: bool = False,
-                   digits_len: int = 1, digits_pct: int = 2) -> DataFrame:
+                   digits_len: int = 1, digits_pct: int = 2, contract: bool = True) -> DataFrame:
     """Coverage by (city, month, town): total and banded road length and reach %.
 
     City-months without a (snapped) station give no rows unless ``emit_empty``, in which case
@@ -105,14 +201,24 @@ def coverage_panel(roads: DataFrame, towns: DataFrame, stations: DataFrame,
     snapped = spatial.snap_points(pts, seg, max_m=snap_m, cell=max(snap_m, 1.0),
                                   point_keys=(MONTH, "station_id"), seg_keys=("seg_id",), match=(CITY,))
     on_edge = cut_lineage(snapped.withColumnRenamed("seg_id", "edge_id"))
-    ends = on_edge.join(uniq.select(CITY, "edge_id", "u", "v", "len_m"), [CITY, "edge_id"])
-    sources = (ends.select(CITY, MONTH, F.col("u").alias("node"), F.col("offset").alias("d0"))
-               .unionByName(ends.select(CITY, MONTH, F.col("v").alias("node"),
-                                        (F.col("len_m") - F.col("offset")).alias("d0"))))
-    dist = network.network_distance(uniq, sources, [CITY], [MONTH], float(max(thresholds)),
-                                    d0="d0", checkpoint_every=2)
-    cov = network.covered_length(uniq, dist, [CITY], [MONTH], thresholds,
-                                 on_edge=on_edge.select(CITY, MONTH, "edge_id", "offset"))
+    max_d = float(max(thresholds))
+    stations_on = on_edge.select(CITY, MONTH, "edge_id", "offset")
+    if contract:
+        ends_d = contracted_ends(uniq, stations_on, max_d)
+        raw = network.intervals_from_ends(
+            ends_d, [CITY, MONTH], thresholds, on_edge=stations_on,
+            lengths=uniq.select(CITY, "edge_id", F.col("len_m").alias("L")), graph_keys=[CITY])
+        merged = network.merge_intervals(raw, [CITY, MONTH, "edge_id", "D"])
+        cov = merged.groupBy(CITY, MONTH, "edge_id", "D").agg(
+            F.sum(F.col("to_m") - F.col("from_m")).alias("covered_m"))
+    else:
+        ends = on_edge.join(uniq.select(CITY, "edge_id", "u", "v", "len_m"), [CITY, "edge_id"])
+        sources = (ends.select(CITY, MONTH, F.col("u").alias("node"), F.col("offset").alias("d0"))
+                   .unionByName(ends.select(CITY, MONTH, F.col("v").alias("node"),
+                                            (F.col("len_m") - F.col("offset")).alias("d0"))))
+        dist = network.network_distance(uniq, sources, [CITY], [MONTH], max_d,
+                                        d0="d0", checkpoint_every=2)
+        cov = network.covered_length(uniq, dist, [CITY], [MONTH], thresholds, on_edge=stations_on)
     keys = (stations if emit_empty else on_edge).select(CITY, MONTH).distinct()
     by_town = network.length_by_region(edges, cov, [CITY], [MONTH], keys, town="TOWNID",
                                        thresholds=thresholds)

@@ -143,6 +143,32 @@ def edge_intervals(edges: DataFrame, dist: DataFrame, graph_keys: Sequence[str],
     return out
 
 
+def intervals_from_ends(ends: DataFrame, keys: Sequence[str], thresholds: Sequence[float] = THRESHOLDS,
+                        on_edge: DataFrame | None = None, lengths: DataFrame | None = None,
+                        graph_keys: Sequence[str] = (), edge_id: str = "edge_id") -> DataFrame:
+    """Raw covered intervals from per-edge end distances ``(keys, edge_id, L, d_u, d_v)``
+    (either may be NULL) plus stations lying on edges (``on_edge`` with ``offset``, lengths
+    from ``lengths`` = ``(graph_keys, edge_id, L)``)."""
+    th = F.array(*[F.lit(float(t)) for t in thresholds])
+    e = ends.select(*keys, edge_id, F.col("L").cast("double").alias("L"), "d_u", "d_v",
+                    F.explode(th).alias("D"))
+    from_u = e.where(F.col("d_u") < F.col("D")).select(
+        *keys, edge_id, "D", F.lit(0.0).alias("from_m"),
+        F.least(F.col("L"), F.col("D") - F.col("d_u")).alias("to_m"))
+    from_v = e.where(F.col("d_v") < F.col("D")).select(
+        *keys, edge_id, "D", F.greatest(F.lit(0.0), F.col("L") - (F.col("D") - F.col("d_v"))).alias("from_m"),
+        F.col("L").alias("to_m"))
+    out = from_u.unionByName(from_v)
+    if on_edge is not None:
+        st = (on_edge.join(lengths, [*graph_keys, edge_id])
+              .select(*keys, edge_id, F.col("L").cast("double").alias("L"),
+                      F.col("offset").cast("double").alias("s"), F.explode(th).alias("D"))
+              .select(*keys, edge_id, "D", F.greatest(F.lit(0.0), F.col("s") - F.col("D")).alias("from_m"),
+                      F.least(F.col("L"), F.col("s") + F.col("D")).alias("to_m")))
+        out = out.unionByName(st)
+    return out
+
+
 def merge_intervals(intervals: DataFrame, group: Sequence[str], start: str = "from_m",
                     end: str = "to_m") -> DataFrame:
     """N7 core: union of overlapping/touching intervals per group (gaps and islands).

@@ -54,3 +54,43 @@ def test_coverage_panel_emit_empty(spark):
     assert coverage.coverage_panel(roads, towns, stations, project=False).count() == 0
     r = coverage.coverage_panel(roads, towns, stations, project=False, emit_empty=True).first()
     assert (r["len_total_m"], r["len_gt1500_m"], r["reach1500_pct"]) == (800.0, 800.0, 0.0)
+
+
+def test_contracted_search_equals_vertex_search(spark):
+    import random
+
+    rnd = random.Random(4)
+    roads = []
+    for rid in range(40):
+        x, y = rnd.randint(0, 10), rnd.randint(0, 10)
+        path = [P(100 * x, 100 * y)]
+        for _ in range(rnd.randint(2, 9)):
+            dx, dy = rnd.choice([(1, 0), (-1, 0), (0, 1), (0, -1)])
+            x, y = min(10, max(0, x + dx)), min(10, max(0, y + dy))
+            if P(100 * x, 100 * y) != path[-1]:
+                path.append(P(100 * x, 100 * y))
+        roads.append(("C", rid, "LOCAL", path))
+    roads = spark.createDataFrame(roads, "city string, road_id long, ROADCLASS1 string, "
+                                         "path array<struct<x: double, y: double>>")
+    towns = spark.createDataFrame(
+        [("C", f"T{i}{j}", f"t{i}{j}", [P(x0, y0), P(x0 + 550, y0), P(x0 + 550, y0 + 550), P(x0, y0 + 550)])
+         for i, x0 in enumerate((-0.5, 549.5)) for j, y0 in enumerate((-0.5, 549.5))],
+        "city string, TOWNID string, TOWNNAME string, ring array<struct<x: double, y: double>>")
+    stations = spark.createDataFrame(
+        [("C", m, f"s{m}{k}", OX + rnd.uniform(0, 1000), OY + 100 * rnd.randint(0, 10) + rnd.uniform(-3, 3))
+         for m in ("m1", "m2") for k in range(4)],
+        "city string, month string, station_id string, x double, y double")
+    kw = dict(project=False, thresholds=(150, 300, 450), snap_m=60.0, cell=200.0, digits_pct=6)
+    a = coverage.coverage_panel(roads, towns, stations, contract=True, **kw)
+    b = coverage.coverage_panel(roads, towns, stations, contract=False, **kw)
+    key = lambda r: (r["month"], r["TOWNID"])
+    ra = {key(r): r.asDict() for r in a.collect()}
+    rb = {key(r): r.asDict() for r in b.collect()}
+    assert ra.keys() == rb.keys() and len(ra) > 0
+    for k in ra:
+        for col, v in ra[k].items():
+            if isinstance(v, float):
+                assert v == pytest.approx(rb[k][col], abs=0.11), (k, col)
+            else:
+                assert v == rb[k][col], (k, col)
+    assert any(r["len_0_150_m"] > 0 for r in ra.values())
