@@ -55,6 +55,11 @@ def drop_singletons(df: DataFrame, absorb: Sequence[str], max_iter: int = 100) -
     singletons in another dimension). One small aggregation per dimension and pass."""
     if not absorb:
         return df
+    if len(absorb) == 1:
+        # one dimension: dropping its singletons cannot create new ones - lazy, no action
+        fe = absorb[0]
+        keep = df.groupBy(fe).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+        return df.join(keep.select(fe), fe, "left_semi")
     cur = df
     for _ in range(max_iter):
         removed = False
