@@ -60,11 +60,41 @@ def first_last_event(events: DataFrame, keys: Sequence[str], label: str, ts: str
 
 
 def _micros(df: DataFrame, ts: str) -> Column:
-    """Microseconds since the epoch without any time-zone shift (NTZ stays wall-clock)."""
-    if df.schema[ts].dataType.typeName() == "timestamp_ntz":
-        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
-                                F.col(ts))
-    return F.unix_micros(F.col(ts).cast("timestamp"))
+    """Microseconds since the epoch, monotonic in the column's own order.
+
+    TIMESTAMP values are instants (``unix_micros``). TIMESTAMP_NTZ values are wall-clock
+    times: they are converted from their date and time fields, never through a session time
+    zone (a cast would make times inside a daylight-saving gap overtake later ones).
+    """
+    t = df.schema[ts].dataType.typeName()
+    c = F.col(ts)
+    if t == "timestamp_ntz":
+        return (F.unix_date(F.to_date(c)).cast("long") * F.lit(86_400_000_000)
+                + F.hour(c).cast("long") * F.lit(3_600_000_000)
+                + F.minute(c).cast("long") * F.lit(60_000_000)
+                + (F.date_part(F.lit("SECOND"), c) * F.lit(1_000_000)).cast("long"))
+    if t == "date":
+        return F.unix_date(c).cast("long") * F.lit(86_400_000_000)
+    return F.unix_micros(c.cast("timestamp"))
+
+
+_SEQ_SHIFT = 2 ** 63          # moves any LONG into [0, 2**64) < 10**20
+_DEC = "decimal(38,0)"
+
+
+def _order_key(df: DataFrame, ts: str, seq: str | None, seq_bits: int | None) -> Column:
+    """A single primitive key ordered like (ts, seq), so the first/last aggregate is a hash
+    aggregate: a LONG when ``seq`` fits in ``seq_bits``, else a DECIMAL(38,0)
+    ``micros * 10**20 + (seq + 2**63)`` for any integral ``seq``; a struct otherwise."""
+    if seq is None:
+        return F.col(ts)
+    if seq_bits:
+        return F.shiftleft(_micros(df, ts), seq_bits) + F.col(seq).cast("long")
+    if df.schema[seq].dataType.typeName() in ("byte", "short", "integer", "long"):
+        shifted = F.col(seq).cast(_DEC) + F.expr(f"CAST('{_SEQ_SHIFT}' AS {_DEC})")
+        scale = F.expr(f"CAST('{10 ** 20}' AS {_DEC})")
+        return (_micros(df, ts).cast(_DEC) * scale + shifted).cast(_DEC)
+    return F.struct(F.col(ts), F.col(seq))
 
 
 def _is_prefixed(c: Column, prefixes: Sequence[str]) -> Column:
@@ -87,10 +117,10 @@ def entity_status(events: DataFrame, entities: DataFrame | None = None, *, entit
     so that one pass over an event log gives both the events and the entity set).
     ``entities``: the entity table (one row per entity) carrying ``current``; when omitted
     the entities are the distinct ids of ``events``. ``current``: column (0/1 or
-    boolean) used for entities with no event at all; default 0. ``seq_bits``: when ``seq``
-    is known to be below ``2**seq_bits`` (e.g. the melt position of a wide table), the order
-    key (ts, seq) is packed into one long, so the per-period aggregate is a hash aggregate
-    on primitives instead of a sort-based one on a struct.
+    boolean) used for entities with no event at all; default 0. The order key (ts, seq) is
+    packed into one primitive (``_order_key``) so the per-period aggregate is a hash
+    aggregate; ``seq_bits`` says ``seq < 2**seq_bits`` (e.g. the melt position of a wide
+    table) and allows a LONG instead of a DECIMAL key.
     """
     is_rem = _is_prefixed(F.col(label), remove)
     is_act = _is_prefixed(F.col(label), activate)
@@ -99,13 +129,7 @@ def entity_status(events: DataFrame, entities: DataFrame | None = None, *, entit
     # key, which min_by/max_by skip.
     ev = events.withColumns({"_rem": is_rem.cast("int"), "_act": is_act.cast("int"),
                              "_is_ev": (is_rem | is_act) & F.col(ts).isNotNull()})
-    if seq is not None and seq_bits:
-        key = F.shiftleft(_micros(events, ts), seq_bits) + F.col(seq).cast("long")
-    elif seq is not None:
-        key = F.struct(F.col(ts), F.col(seq))
-    else:
-        key = F.col(ts)
-    key = F.when(F.col("_is_ev"), key)
+    key = F.when(F.col("_is_ev"), _order_key(events, ts, seq, seq_bits))
     if entities is None:
         # one aggregate per (entity, period) over every row; ids without events keep a row
         ev = ev.withColumn(period, F.coalesce(period_start(ts, grain), F.lit(None).cast("date")))

@@ -146,3 +146,14 @@ def test_packed_order_key_equals_struct_key(spark):
     with __import__("contextlib").redirect_stdout(buf):
         b.explain("formatted")
     assert "HashAggregate" in buf.getvalue() and "SortAggregate" not in buf.getvalue()
+
+
+def test_decimal_packed_key_orders_like_struct(spark):
+    from paneljet.operators.lifecycle import _order_key
+
+    rows_in = [(1, dt.datetime(2021, 3, 14, 2, 30, 0, 5), -5), (1, dt.datetime(2021, 3, 14, 2, 30, 0, 5), 7),
+               (1, dt.datetime(2021, 3, 14, 3, 10), 0), (1, dt.datetime(1969, 12, 31, 23, 59, 59, 999999), 2 ** 62),
+               (1, dt.datetime(2021, 3, 14, 2, 30, 0, 4), 2 ** 62)]
+    df = spark.createDataFrame(rows_in, "id long, ts timestamp_ntz, seq long")
+    got = [(r["ts"], r["seq"]) for r in df.withColumn("k", _order_key(df, "ts", "seq", None)).orderBy("k").collect()]
+    assert got == sorted((t, q) for _, t, q in rows_in)
