@@ -227,6 +227,11 @@ def length_by_region(edges: DataFrame, covered: DataFrame, graph_keys: Sequence[
                             for t in thresholds})
 
 
+def reach_label(t: int) -> str:
+    """Threshold label of the reach columns: whole thousands as ``1k``, ``2k``; else metres."""
+    return f"{t // 1000}k" if t >= 1000 and t % 1000 == 0 else str(t)
+
+
 def coverage_bands(df: DataFrame, thresholds: Sequence[float] = THRESHOLDS,
                    total: str = "len_total_m", digits_len: int = 1, digits_pct: int = 2) -> DataFrame:
     """Clamp cumulative lengths to the total, marginal bands 0-D1, D1-D2, ..., > Dn and
@@ -241,6 +246,7 @@ def coverage_bands(df: DataFrame, thresholds: Sequence[float] = THRESHOLDS,
         prev = t
     bands[f"len_gt{ts[-1]}_m"] = F.col(total) - c[ts[-1]]
     out = df.withColumns({k: F.round(v, digits_len) for k, v in bands.items()})
-    pct = {f"reach{t}_pct": F.round(safe_ratio(c[t], F.col(total), pct=True, zero="zero"), digits_pct)
+    pct = {f"reach{reach_label(t)}_pct": F.round(safe_ratio(c[t], F.col(total), pct=True, zero="zero"),
+                                                digits_pct)
            for t in ts}
     return out.withColumns(pct).withColumn(total, F.round(F.col(total), digits_len))

@@ -124,7 +124,7 @@ SELECT yr, town, round(len_total_m, 1) AS len_total_m, n_pieces,
        round(k500, 1) AS len_0_500_m, round(k1000 - k500, 1) AS len_500_1000_m,
        round(k1500 - k1000, 1) AS len_1000_1500_m, round(len_total_m - k1500, 1) AS len_gt1500_m,
        round(CASE WHEN len_total_m <> 0 THEN 100 * k500 / len_total_m ELSE 0 END, 6) AS reach500_pct,
-       round(CASE WHEN len_total_m <> 0 THEN 100 * k1000 / len_total_m ELSE 0 END, 6) AS reach1000_pct,
+       round(CASE WHEN len_total_m <> 0 THEN 100 * k1000 / len_total_m ELSE 0 END, 6) AS reach1k_pct,
        round(CASE WHEN len_total_m <> 0 THEN 100 * k1500 / len_total_m ELSE 0 END, 6) AS reach1500_pct
 FROM g"""
 
@@ -141,7 +141,7 @@ def coverage(spark, sf, keys: DataFrame | None = None) -> DataFrame:
                                        town="town")
     bands = network.coverage_bands(by_town, digits_pct=6)
     return bands.select("yr", "town", "len_total_m", "n_pieces", "len_0_500_m", "len_500_1000_m",
-                        "len_1000_1500_m", "len_gt1500_m", "reach500_pct", "reach1000_pct",
+                        "len_1000_1500_m", "len_gt1500_m", "reach500_pct", "reach1k_pct",
                         "reach1500_pct")
 
 

@@ -36,11 +36,11 @@ def test_coverage_panel_hand_computed(spark):
     assert (t2["len_0_500_m"], t2["len_500_1000_m"], t2["len_1000_1500_m"], t2["len_gt1500_m"]) == (
         0.0, 300.0, 500.0, 100.0)
     assert t1["reach500_pct"] == pytest.approx(76.4706, abs=1e-4)
-    assert t2["reach1000_pct"] == pytest.approx(33.3333, abs=1e-4)
+    assert t2["reach1k_pct"] == pytest.approx(33.3333, abs=1e-4)
     assert t1["TOWNNAME"] == "one"
     # reach is non-decreasing in distance
     for r in got.values():
-        assert r["reach500_pct"] <= r["reach1000_pct"] <= r["reach1500_pct"]
+        assert r["reach500_pct"] <= r["reach1k_pct"] <= r["reach1500_pct"]
 
 
 def test_coverage_panel_emit_empty(spark):

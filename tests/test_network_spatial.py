@@ -98,7 +98,7 @@ def test_coverage_bands(spark):
     out = network.coverage_bands(df).collect()
     r = out[0]
     assert (r["len_0_500_m"], r["len_500_1000_m"], r["len_1000_1500_m"], r["len_gt1500_m"]) == (200.0, 700.0, 100.0, 0.0)
-    assert (r["reach500_pct"], r["reach1000_pct"], r["reach1500_pct"]) == (20.0, 90.0, 100.0)
+    assert (r["reach500_pct"], r["reach1k_pct"], r["reach1500_pct"]) == (20.0, 90.0, 100.0)
     assert out[1]["reach500_pct"] == 0.0
 
 
