@@ -50,6 +50,28 @@ def estimation_sample(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, Da
     return df.dropna(subset=list(cols)), report
 
 
+def prepare_sample(df: DataFrame, numeric: Sequence[str], required: Sequence[str],
+                   ids: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame, dict]:
+    """The estimation sample as the regression script builds it.
+
+    Numeric casts (P6, text that is not a number becomes NULL), an existence check of the
+    wanted columns (P7: absent ones are reported, not fatal), integer ids for categorical
+    keys (P19, ``{source column: id column}``), then listwise deletion over ``required`` in
+    order with the rows lost at each step (lazy report).
+    """
+    from ..functions.clean import encode_ids, keep_columns, to_number
+
+    wanted = list(dict.fromkeys([*numeric, *required, *(ids or {})]))
+    kept, report = keep_columns(df, wanted)
+    cast = kept.withColumns({c: to_number(c) for c in numeric if c in kept.columns})
+    for src, out in (ids or {}).items():
+        if src in cast.columns:
+            cast = encode_ids(cast, src, out)
+    present = [c for c in required if c in cast.columns]
+    sample, steps = estimation_sample(cast, present)
+    return sample, steps, report
+
+
 def drop_singletons(df: DataFrame, absorb: Sequence[str], max_iter: int = 100) -> DataFrame:
     """Drop observations alone in a fixed-effect group, repeatedly (dropping can create new
     singletons in another dimension). One small aggregation per dimension and pass."""

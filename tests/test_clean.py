@@ -106,3 +106,11 @@ def test_keep_columns_report(spark):
     out, rep = clean.keep_columns(df, ["c", "z", "a"])
     assert out.columns == ["c", "a"] and rep["missing"] == ["z"] and rep["dropped"] == ["b"]
     assert clean.drop_if_exists(out, ["a", "q"]).columns == ["c"]
+
+
+def test_recode_join(spark):
+    df = spark.createDataFrame([("統一超商",), ("other",), (None,)], "parent string")
+    lk = spark.createDataFrame([("統一超商", "7-11")], "from string, to string")
+    assert [r[0] for r in clean.recode_join(df, "parent", lk).orderBy("parent").collect()] == [None, "7-11", "other"]
+    got = {r[0] for r in clean.recode_join(df, "parent", lk, default="null").collect()}
+    assert got == {None, "7-11"}

@@ -157,3 +157,12 @@ def test_one_row_cluster(spark):
     V = np_cluster_vcov(X, y - X @ b, [r[0] for r in rows], bread, 2 + m)
     assert fit.g == 15
     assert fit.se == pytest.approx(np.sqrt(np.diag(V))[:2], rel=1e-6)
+
+
+def test_prepare_sample(spark):
+    df = spark.createDataFrame([("a", "1.5", "2"), ("b", "x", "3"), ("a", "2", None), ("c", "4", "5")],
+                               "county string, y string, x string")
+    sample, steps, rep = econ.prepare_sample(df, ["y", "x", "z"], ["y", "x", "z"], {"county": "cd_id"})
+    assert rep["missing"] == ["z"]
+    assert sorted((r["county"], r["cd_id"], r["y"]) for r in sample.collect()) == [("a", 1, 1.5), ("c", 3, 4.0)]
+    assert sorted(tuple(r) for r in steps.collect()) == [(1, "y", 4, 1, 3), (2, "x", 3, 1, 2)]
