@@ -104,44 +104,43 @@ def _is_prefixed(c: Column, prefixes: Sequence[str]) -> Column:
     return out
 
 
-def entity_status(events: DataFrame, entities: DataFrame | None = None, *, entity: str = "id",
-                  label: str = "event", ts: str = "ts", seq: str | None = "seq",
-                  grain: str = "month", activate: Sequence[str] = ("activate",),
-                  remove: Sequence[str] = ("remove",), current: str | Column | None = None,
-                  period: str = "period", status: str = "status",
-                  seq_bits: int | None = None) -> DataFrame:
-    """W3 (flagship): ``(entity, period, status)`` for every entity and every period.
-
-    ``events``: long events ``(entity, label, ts[, seq])``; rows with NULL ``ts``, and rows
-    whose label is neither an activation nor a removal, are not events (they may be passed
-    so that one pass over an event log gives both the events and the entity set).
-    ``entities``: the entity table (one row per entity) carrying ``current``; when omitted
-    the entities are the distinct ids of ``events``. ``current``: column (0/1 or
-    boolean) used for entities with no event at all; default 0. The order key (ts, seq) is
-    packed into one primitive (``_order_key``) so the per-period aggregate is a hash
-    aggregate; ``seq_bits`` says ``seq < 2**seq_bits`` (e.g. the melt position of a wide
-    table) and allows a LONG instead of a DECIMAL key.
+def event_periods(events: DataFrame, *, entity: str = "id", label: str = "event",
+                  ts: str = "ts", seq: str | None = "seq", grain: str = "month",
+                  activate: Sequence[str] = ("activate",), remove: Sequence[str] = ("remove",),
+                  period: str = "period", seq_bits: int | None = None,
+                  keep_non_events: bool = True, extra: dict[str, Column] | None = None) -> DataFrame:
+    """A7 as W3 needs it, in one pass over the event log: per (entity, period) the start flag
+    (first event is a removal), the end flag (last event is an activation) and whether the
+    period has an event at all, plus optional ``extra`` aggregates over the same rows (e.g.
+    per-period counts of other event types).
+
+    Only the two flags are needed from the first/last event, so they are computed per event
+    and the aggregate carries integers; the order key (ts, seq) is packed into one primitive
+    (``_order_key``), so it is a hash aggregate. Non-events get a NULL key, which
+    ``min_by``/``max_by`` skip. With ``keep_non_events`` every row keeps its (entity, period),
+    so entities without any event still appear. The result (no larger than the output grid)
+    is materialised with a reliable checkpoint.
     """
     is_rem = _is_prefixed(F.col(label), remove)
     is_act = _is_prefixed(F.col(label), activate)
-    # Only the two flags are needed from the first/last event, so they are computed per
-    # event and the aggregate carries integers, not labels. Non-events get a NULL order
-    # key, which min_by/max_by skip.
     ev = events.withColumns({"_rem": is_rem.cast("int"), "_act": is_act.cast("int"),
                              "_is_ev": (is_rem | is_act) & F.col(ts).isNotNull()})
     key = F.when(F.col("_is_ev"), _order_key(events, ts, seq, seq_bits))
-    if entities is None:
-        # one aggregate per (entity, period) over every row; ids without events keep a row
-        ev = ev.withColumn(period, F.coalesce(period_start(ts, grain), F.lit(None).cast("date")))
-    else:
-        ev = ev.where(F.col("_is_ev")).withColumn(period, period_start(ts, grain))
-    agg = ev.groupBy(entity, period).agg(F.min_by("_rem", key).alias("_start"),
-                                         F.max_by("_act", key).alias("_end"),
-                                         F.max("_is_ev").alias("_has_ev"))
-    # Runs, span and entity set all derive from this aggregate (no larger than the output
-    # grid); materialised once so the event log is read in a single pass.
-    agg = cut_lineage(agg)
-    fl = agg.where(F.col("_has_ev")).drop("_has_ev")
+    if not keep_non_events:
+        ev = ev.where(F.col("_is_ev"))
+    ev = ev.withColumn(period, period_start(ts, grain))
+    aggs = [F.min_by("_rem", key).alias("_start"), F.max_by("_act", key).alias("_end"),
+            F.max("_is_ev").alias("_has_ev")]
+    aggs += [c.alias(name) for name, c in (extra or {}).items()]
+    return cut_lineage(ev.groupBy(entity, period).agg(*aggs))
+
+
+def status_from_periods(agg: DataFrame, entities: DataFrame | None = None, *, entity: str = "id",
+                        grain: str = "month", current: str | Column | None = None,
+                        period: str = "period", status: str = "status") -> DataFrame:
+    """W3 from ``event_periods``: ``status = coalesce(ffill(end), bfill(start), current)`` on
+    the grid of all entities x all periods between the first and the last event period."""
+    fl = agg.where(F.col("_has_ev")).select(entity, period, "_start", "_end")
 
     # The span of the grid: one row, so a broadcast of it is bounded by construction.
     span = F.broadcast(fl.agg(F.min(period).alias("_lo"), F.max(period).alias("_hi")))
@@ -174,6 +173,30 @@ def entity_status(events: DataFrame, entities: DataFrame | None = None, *, entit
     return with_events.unionByName(quiet)
 
 
+def entity_status(events: DataFrame, entities: DataFrame | None = None, *, entity: str = "id",
+                  label: str = "event", ts: str = "ts", seq: str | None = "seq",
+                  grain: str = "month", activate: Sequence[str] = ("activate",),
+                  remove: Sequence[str] = ("remove",), current: str | Column | None = None,
+                  period: str = "period", status: str = "status",
+                  seq_bits: int | None = None) -> DataFrame:
+    """W3 (flagship): ``(entity, period, status)`` for every entity and every period.
+
+    ``events``: long events ``(entity, label, ts[, seq])``; rows with NULL ``ts``, and rows
+    whose label is neither an activation nor a removal, are not events (they may be passed
+    so that one pass over an event log gives both the events and the entity set).
+    ``entities``: the entity table (one row per entity) carrying ``current``; when omitted
+    the entities are the distinct ids of ``events``. ``current``: column (0/1 or boolean)
+    used for entities with no event at all; default 0. ``seq_bits`` says
+    ``seq < 2**seq_bits`` (e.g. the melt position of a wide table) and allows a LONG order
+    key instead of a DECIMAL one.
+    """
+    agg = event_periods(events, entity=entity, label=label, ts=ts, seq=seq, grain=grain,
+                        activate=activate, remove=remove, period=period, seq_bits=seq_bits,
+                        keep_non_events=entities is None)
+    return status_from_periods(agg, entities, entity=entity, grain=grain, current=current,
+                               period=period, status=status)
+
+
 def active_per_period(status_df: DataFrame, by: Sequence[str] = (), period: str = "period",
                       status: str = "status") -> DataFrame:
     """Count of active entities (and of all entities) per period and optional keys."""

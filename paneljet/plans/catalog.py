@@ -70,10 +70,17 @@ def lifecycle_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.col("event_id").alias("seq"))
 
 
-def user_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lifecycle.entity_status(lifecycle_events(spark, sf_dir), None, entity="user_id",
-                                   grain="day", activate=("signup",), remove=("error",),
-                                   period="day")
+def user_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One pass over the event log: lifecycle flags and purchase counts per user and day."""
+    return lifecycle.event_periods(
+        lifecycle_events(spark, sf_dir), entity="user_id", grain="day", activate=("signup",),
+        remove=("error",), period="day",
+        extra={"purchases": F.count_if(F.col("event") == "purchase")})
+
+
+def user_status(spark: SparkSession, sf_dir: str, periods: DataFrame | None = None) -> DataFrame:
+    periods = periods if periods is not None else user_periods(spark, sf_dir)
+    return lifecycle.status_from_periods(periods, None, entity="user_id", grain="day", period="day")
 
 
 @register("w3_entity_status", W3_SQL + "SELECT user_id, day, status FROM st")

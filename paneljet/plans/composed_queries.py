@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clean
 from ..operators import agg, joins, lifecycle, windows
-from .catalog import W3_SQL, register, user_status
+from .catalog import W3_SQL, register, user_periods, user_status
 from .panel_queries import (_SERIES_WIDE_SQL, _W5_SQL, CENTRAL, FACTS_SQL, IV_TERMS, districts,
                             installed_base, instruments, money, nation_month, nsum, order_cube)
 from .tables import table
@@ -31,9 +31,10 @@ c1 AS (SELECT st.user_id, st.day, st.status, u.batteries, dim.district, dim.coun
        FROM st JOIN users u USING (user_id) LEFT JOIN dim ON dim.n_nationkey = st.user_id % 25)"""
 
 
-def user_attributes(spark, sf) -> DataFrame:
-    ev = table(spark, sf, "events").select("user_id", "event_type")
-    u = ev.groupBy("user_id").agg(F.count_if(F.col("event_type") == "purchase").alias("_p"))
+def user_attributes(spark, sf, periods: DataFrame) -> DataFrame:
+    """Per user: battery count = purchases (missing when none) and district, from the same
+    per-(user, day) aggregate that gives the status (no second pass over the event log)."""
+    u = periods.groupBy("user_id").agg(F.sum("purchases").alias("_p"))
     u = u.select("user_id", F.when(F.col("_p") > 0, F.col("_p")).alias("batteries"),
                  F.pmod("user_id", F.lit(N_NATIONS)).cast("int").alias("_nk"))
     dim = districts(spark, sf)
@@ -43,7 +44,8 @@ def user_attributes(spark, sf) -> DataFrame:
 
 def station_status(spark, sf) -> DataFrame:
     """Entity x day status with the entity's region and battery count."""
-    return user_status(spark, sf).join(user_attributes(spark, sf), "user_id")
+    periods = user_periods(spark, sf)
+    return user_status(spark, sf, periods).join(user_attributes(spark, sf, periods), "user_id")
 
 
 @register("c1_station_status", _C1_SQL + """
@@ -74,7 +76,8 @@ SELECT coalesce(fullp.county, dense.county) AS county,
        CAST(coalesce(dense.nstation_w_battery, 0) AS BIGINT) AS nstation_w_battery
 FROM dense FULL JOIN fullp ON dense.district = fullp.district AND dense.day = fullp.day""")
 def c2_region_day_active(spark, sf):
-    out = lifecycle.region_panel(user_status(spark, sf), user_attributes(spark, sf),
+    periods = user_periods(spark, sf)
+    out = lifecycle.region_panel(user_status(spark, sf, periods), user_attributes(spark, sf, periods),
                                  districts(spark, sf), "user_id", ["county", "district"],
                                  "district", period="day", value="batteries", grain="day")
     return out.select("county", "district", "day", F.col("n_active").alias("nstation"),
