@@ -104,7 +104,7 @@ def _subtract_means(df: DataFrame, cols: Sequence[str], fe: str) -> tuple[DataFr
     return out, means
 
 
-def demean(df: DataFrame, cols: Sequence[str], absorb: Sequence[str] = (), tol: float = 1e-9,
+def demean(df: DataFrame, cols: Sequence[str], absorb: Sequence[str] = (), tol: float = 1e-8,
            max_iter: int = 1000) -> DataFrame:
     """Remove fixed effects from ``cols``.
 
@@ -289,7 +289,7 @@ def ols_fe(df: DataFrame, y: str, x: Sequence[str], absorb: Sequence[str] = (),
 
 def iv_2sls(df: DataFrame, y: str, endog: Sequence[str], instruments: Sequence[str],
             exog: Sequence[str] = (), absorb: Sequence[str] = (), cluster: str | None = None,
-            singletons: bool = True) -> dict[str, Fit]:
+            singletons: bool = True, _prepared=None) -> dict[str, Fit]:
     """E4 + E6 + E7 + E8: 2SLS of ``y`` on ``endog`` (instrumented) and ``exog``.
 
     Returns ``{"iv": Fit, "first:<endog>": Fit, ...}``. The IV fit's ``stats`` carry the
@@ -299,7 +299,7 @@ def iv_2sls(df: DataFrame, y: str, endog: Sequence[str], instruments: Sequence[s
     """
     endog, exog, instruments = list(endog), list(exog), list(instruments)
     cols = [*endog, *exog, *instruments, y]
-    sample, dm = _prepare(df, cols, absorb, cluster, singletons)
+    sample, dm = _prepared or _prepare(df, cols, absorb, cluster, singletons)
     m, n = cross_products(dm, cols)
     ix = {c: i for i, c in enumerate(cols)}
     xi = [ix[c] for c in [*endog, *exog]]
@@ -384,10 +384,13 @@ def spec_grid(df: DataFrame, y: str, endog: Sequence[str], instruments: Sequence
     for name, absorb in specs:
         fe = "+".join(absorb) if absorb else "none"
         fits = {}
+        # One sample per spec, complete on every model variable, demeaned once and shared
+        # by the OLS, 2SLS and first-stage fits.
+        prepared = _prepare(base, [*endog, *exog, *instruments, y], absorb, cluster)
         if "ols" in models:
-            fits["ols"] = ols_fe(base, y, [*endog, *exog], absorb, cluster)
+            fits["ols"] = ols_fe(base, y, [*endog, *exog], absorb, cluster, _prepared=prepared)
         if "iv" in models or "first" in models:
-            ivf = iv_2sls(base, y, endog, instruments, exog, absorb, cluster)
+            ivf = iv_2sls(base, y, endog, instruments, exog, absorb, cluster, _prepared=prepared)
             if "iv" in models:
                 fits["iv"] = ivf["iv"]
             if "first" in models:
