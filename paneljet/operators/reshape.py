@@ -43,36 +43,37 @@ def _pivot_name(v, prefix: str, suffix: str) -> str:
     return f"{prefix}{v}{suffix}"
 
 
+def _rename_pivoted(wide: DataFrame, keys: Sequence[str], pivot_values: Sequence, names: Mapping,
+                    prefix: str, suffix: str, fill=None) -> DataFrame:
+    cols = []
+    for v in pivot_values:
+        c = F.col(f"`{v}`")
+        if fill is not None:
+            c = F.coalesce(c, F.lit(fill))
+        cols.append(c.alias(names.get(v, _pivot_name(v, prefix, suffix))))
+    return wide.select(*keys, *cols)
+
+
 def pivot_first(df: DataFrame, keys: Sequence[str], on: str, values: str,
                 pivot_values: Sequence, names: Mapping | None = None, prefix: str = "",
                 suffix: str = "") -> DataFrame:
     """Long to wide, one value per cell; every listed column exists even when empty.
 
-    Cells take the single non-NULL value of the group (``max`` keeps it deterministic if the
+    ``groupBy().pivot(on, values)`` with the explicit list (no job to discover values). Cells
+    take the single non-NULL value of the group (``max`` keeps it deterministic if the
     input broke the one-value rule; check with ``assert_unique`` when that matters).
     """
-    names = names or {}
-    aggs = [F.max(F.when(F.col(on) == F.lit(v), F.col(values))).alias(
-        names.get(v, _pivot_name(v, prefix, suffix))) for v in pivot_values]
-    return df.groupBy(*keys).agg(*aggs)
+    wide = df.groupBy(*keys).pivot(on, list(pivot_values)).agg(F.max(values))
+    return _rename_pivoted(wide, keys, pivot_values, names or {}, prefix, suffix)
 
 
 def pivot_sum(df: DataFrame, keys: Sequence[str], on: str, values: str | None,
               pivot_values: Sequence, names: Mapping | None = None, prefix: str = "",
               suffix: str = "", fill: float | int | None = 0) -> DataFrame:
     """Long to wide sum (``values``) or row count (``values=None``); gaps filled."""
-    names = names or {}
-    aggs = []
-    for v in pivot_values:
-        hit = F.col(on) == F.lit(v)
-        if values is None:
-            agg = F.count_if(hit)
-        else:
-            agg = F.sum(F.when(hit, F.col(values)))
-        if fill is not None:
-            agg = F.coalesce(agg, F.lit(fill))
-        aggs.append(agg.alias(names.get(v, _pivot_name(v, prefix, suffix))))
-    return df.groupBy(*keys).agg(*aggs)
+    g = df.groupBy(*keys).pivot(on, list(pivot_values))
+    wide = g.count() if values is None else g.agg(F.sum(values))
+    return _rename_pivoted(wide, keys, pivot_values, names or {}, prefix, suffix, fill)
 
 
 def period_table(spark_or_df, lo, hi, grain: str = "month", name: str = "period") -> DataFrame:
