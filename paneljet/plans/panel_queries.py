@@ -711,6 +711,15 @@ def j9_anti_report(spark, sf):
     return joins.anti_report(p, li, ["p_partkey"])
 
 
+@register("j9_unlabelled_docs", """
+SELECT d.doc_id, d.source, d.lang FROM documents d
+WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""")
+def j9_unlabelled_docs(spark, sf):
+    """J9 with a non-empty answer: documents that have no label."""
+    d = table(spark, sf, "documents").select("doc_id", "source", "lang")
+    return joins.anti_report(d, table(spark, sf, "labels"), ["doc_id"])
+
+
 @register("o3_head", """
 SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10""")
 def o3_head(spark, sf):
