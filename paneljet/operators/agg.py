@@ -16,10 +16,17 @@ from .util import ValidationError
 from .windows import weighted_positions
 
 
+def _keyed(df: DataFrame, keys: Sequence[str], drop_null_keys: bool) -> DataFrame:
+    """Rows with a NULL grouping key form no group (pandas ``groupby`` semantics) unless
+    ``drop_null_keys`` is False (Spark keeps a NULL group)."""
+    return df.dropna(subset=list(keys)) if drop_null_keys and keys else df
+
+
 def group_sum(df: DataFrame, keys: Sequence[str], cols: Sequence[str], empty: str = "null",
-              suffix: str = "") -> DataFrame:
+              suffix: str = "", drop_null_keys: bool = True) -> DataFrame:
     """A1: sums per key; an all-NULL group gives NULL (``empty="null"``, pandas
     ``min_count=1``) or 0 (``empty="zero"``, the pandas default)."""
+    df = _keyed(df, keys, drop_null_keys)
     aggs = []
     for c in cols:
         s = F.sum(c)
@@ -30,9 +37,9 @@ def group_sum(df: DataFrame, keys: Sequence[str], cols: Sequence[str], empty: st
 
 
 def missing_profile(df: DataFrame, by: Sequence[str], id_col: str, col: str,
-                    digits: int | None = None) -> DataFrame:
+                    digits: int | None = None, drop_null_keys: bool = True) -> DataFrame:
     """A2: distinct entities, rows with ``col`` missing, and % missing by group."""
-    out = df.groupBy(*by).agg(F.countDistinct(id_col).alias("number_station"),
+    out = _keyed(df, by, drop_null_keys).groupBy(*by).agg(F.countDistinct(id_col).alias("number_station"),
                               F.count_if(F.col(col).isNull()).alias("n_missing"))
     return out.withColumn("percent_missing",
                           safe_ratio("n_missing", "number_station", pct=True, digits=digits))
@@ -60,9 +67,10 @@ def with_total_row(df: DataFrame, label_col: str, sum_cols: Sequence[str],
     return agg.drop("_is_total")
 
 
-def count_by(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
+def count_by(df: DataFrame, keys: Sequence[str], name: str = "n",
+             drop_null_keys: bool = True) -> DataFrame:
     """A4."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+    return _keyed(df, keys, drop_null_keys).groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
 def distinct_share(df: DataFrame, id_col: str, cond_a: Column, cond_b: Column,
@@ -158,9 +166,9 @@ def pairwise_corr(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def share_of_flag(df: DataFrame, keys: Sequence[str], flag: Column, measure: str,
-                  out: str = "share") -> DataFrame:
+                  out: str = "share", drop_null_keys: bool = True) -> DataFrame:
     """Flagged total over total by key (NULL when the total is 0)."""
-    return (df.groupBy(*keys).agg(F.sum(F.when(flag, F.col(measure))).alias("flagged"),
+    return (_keyed(df, keys, drop_null_keys).groupBy(*keys).agg(F.sum(F.when(flag, F.col(measure))).alias("flagged"),
                                   F.sum(measure).alias("total"))
             .withColumn(out, safe_ratio("flagged", "total")))
 

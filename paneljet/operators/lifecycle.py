@@ -247,7 +247,7 @@ def region_panel(status_df: DataFrame, attrs: DataFrame, regions: DataFrame, ent
     if value is not None:
         cols["value_active"] = indicator_product(status, value)
         cols["active_with_value"] = indicator_product(status, F.col(value).isNotNull().cast("int"))
-    st = st.withColumns(cols)
+    st = st.withColumns(cols).dropna(subset=list(region_keys))   # no NULL-region group
     measures = list(cols)
     agg = st.groupBy(*region_keys, period).agg(
         *[F.coalesce(F.sum(m), F.lit(0)).cast("long").alias(m) for m in measures])

@@ -94,3 +94,19 @@ def test_contracted_search_equals_vertex_search(spark):
             else:
                 assert v == rb[k][col], (k, col)
     assert any(r["len_0_150_m"] > 0 for r in ra.values())
+
+
+def test_duplicate_roads_total_twice_covered_once(spark):
+    towns = spark.createDataFrame(
+        [("C", "T1", "one", [P(0, 0), P(2000, 0), P(2000, 1000), P(0, 1000)])],
+        "city string, TOWNID string, TOWNNAME string, ring array<struct<x: double, y: double>>")
+    road = [P(100, 500), P(1100, 500)]
+    roads = spark.createDataFrame([("C", 1, "LOCAL", road), ("C", 2, "LOCAL", road)],
+                                  "city string, road_id long, ROADCLASS1 string, path array<struct<x: double, y: double>>")
+    stations = spark.createDataFrame([("C", "m", "s", OX + 100, OY + 500)],
+                                     "city string, month string, station_id string, x double, y double")
+    r = coverage.coverage_panel(roads, towns, stations, project=False).first()
+    assert r["len_total_m"] == 2000.0 and r["n_pieces"] == 2
+    assert (r["len_0_500_m"], r["len_500_1000_m"], r["len_1000_1500_m"], r["len_gt1500_m"]) == (
+        500.0, 500.0, 0.0, 1000.0)
+    assert r["reach1k_pct"] == 50.0

@@ -239,3 +239,10 @@ def test_category_split_central_missing_month(spark):
     assert jan["sub_heavy_local"] is None and jan["sub_heavy_total"] == 0.0
     assert feb["sub_light_local"] is None and feb["sub_light_total"] == 0.0  # no central rows
     assert feb["sub_heavy_total"] == 3.0
+
+
+def test_null_keys_form_no_group(spark):
+    df = spark.createDataFrame([("A", 1.0), (None, 2.0), ("A", None)], "k string, v double")
+    assert rows(agg.group_sum(df, ["k"], ["v"]), "k", "v") == [("A", 1.0)]
+    assert len(agg.group_sum(df, ["k"], ["v"], drop_null_keys=False).collect()) == 2
+    assert rows(agg.count_by(df, ["k"]), "k", "n") == [("A", 2)]
