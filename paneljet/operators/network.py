@@ -60,10 +60,50 @@ def adjacency(edges: DataFrame, graph_keys: Sequence[str], u: str = "u", v: str
     return fwd.unionByName(bwd)
 
 
+def share_identical_sources(sources: DataFrame, graph_keys: Sequence[str],
+                            search_keys: Sequence[str], node: str = "node",
+                            d0: str = "d0") -> tuple[DataFrame, DataFrame]:
+    """Months (search keys) with the same source set need one search, not one each.
+
+    Returns ``(representative sources, key map (graph_keys, search_keys, rep_*))``. Keys are
+    grouped by an order-independent signature (size and two 64-bit hash sums of the
+    (node, d0) rows); each key is then verified against its group's representative by an
+    exact intersection count, so a hash collision can only cost a shared search, never a
+    wrong answer. Work is linear in the sources; no key pairs are formed beyond key ->
+    representative.
+    """
+    keys = [*graph_keys, *search_keys]
+    rep_names = [f"rep_{k}" for k in search_keys]
+    src = sources.select(*keys, F.col(node).alias("_node"), F.col(d0).cast("double").alias("_d0")).distinct()
+    sig = src.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"),
+        # DECIMAL sums: 64-bit hash sums would overflow a LONG (an error under ANSI)
+        F.sum(F.xxhash64("_node", "_d0").cast("decimal(38,0)")).alias("_h1"),
+        F.sum(F.hash("_node", "_d0").cast("decimal(38,0)")).alias("_h2"))
+    rep = (sig.groupBy(*graph_keys, "_n", "_h1", "_h2")
+           .agg(F.min(F.struct(*search_keys)).alias("_rep")))
+    cand = sig.join(rep, [*graph_keys, "_n", "_h1", "_h2"]).select(
+        *keys, "_n", *[F.col(f"_rep.{k}").alias(r) for k, r in zip(search_keys, rep_names)])
+    # exact check: |S_key ∩ S_rep| must equal |S_key| (= |S_rep|, same signature size)
+    rep_src = src.select(*graph_keys, *[F.col(k).alias(r) for k, r in zip(search_keys, rep_names)],
+                         "_node", "_d0")
+    inter = (src.join(cand.select(*keys, *rep_names), keys)
+             .join(rep_src, [*graph_keys, *rep_names, "_node", "_d0"])
+             .groupBy(*keys).agg(F.count(F.lit(1)).alias("_common")))
+    checked = cand.join(inter, keys, "left").withColumn(
+        "_ok", F.coalesce(F.col("_common"), F.lit(0)) == F.col("_n"))
+    key_map = checked.select(*keys, *[F.when(F.col("_ok"), F.col(r)).otherwise(F.col(k)).alias(r)
+                                      for k, r in zip(search_keys, rep_names)])
+    reps = key_map.select(*graph_keys, *[F.col(r).alias(k) for k, r in zip(search_keys, rep_names)]).distinct()
+    rep_sources = sources.join(reps, keys, "left_semi")
+    return rep_sources, key_map
+
+
 def network_distance(edges: DataFrame, sources: DataFrame, graph_keys: Sequence[str],
                      search_keys: Sequence[str], max_cost: float, u: str = "u", v: str = "v",
                      length: str = "len_m", node: str = "node", d0: str | None = None,
-                     max_rounds: int = 10_000, checkpoint_every: int = 1) -> DataFrame:
+                     max_rounds: int = 10_000, checkpoint_every: int = 1,
+                     share_identical: bool = True) -> DataFrame:
     """Least network distance ``d`` from any source of the same search key to every node
     reachable within ``max_cost``: ``(graph_keys, search_keys, node, d)``.
 
@@ -74,8 +114,22 @@ def network_distance(edges: DataFrame, sources: DataFrame, graph_keys: Sequence[
 
     Each round joins only the nodes improved in the previous round (the frontier) with the
     adjacency, so total work is bounded by the improvements, and stops when none are left.
+    With ``share_identical`` search keys whose source sets are equal share one search
+    (``share_identical_sources``) and the distances are copied to each of them.
     """
     keys = [*graph_keys, *search_keys]
+    if share_identical and search_keys:
+        src = sources if d0 else sources.withColumn("_zero_d0", F.lit(0.0))
+        rep_sources, key_map = share_identical_sources(src, graph_keys, search_keys, node,
+                                                       d0 or "_zero_d0")
+        key_map = cut_lineage(key_map)
+        dist = network_distance(edges, rep_sources.drop("_zero_d0") if not d0 else rep_sources,
+                                graph_keys, search_keys, max_cost, u, v, length, node, d0,
+                                max_rounds, checkpoint_every, share_identical=False)
+        reps = [f"rep_{k}" for k in search_keys]
+        renamed = dist.select(*graph_keys, *[F.col(k).alias(r) for k, r in zip(search_keys, reps)],
+                              node, "d")
+        return key_map.join(renamed, [*graph_keys, *reps]).drop(*reps)
     # Materialised once: every round joins the frontier with it, and recomputing it from
     # its source (e.g. an aggregate over a fact table) each round would rescan that source.
     adj = cut_lineage(adjacency(edges, graph_keys, u, v, length))

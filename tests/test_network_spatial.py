@@ -177,3 +177,18 @@ def test_two_stations_on_one_edge_and_threshold_at_node(spark):
     cov2 = {(r["edge_id"], r["D"]): r["covered_m"] for r in
             network.covered_length(edges, dist, [], ["m"], thresholds=(1100.0,), on_edge=on_edge).collect()}
     assert cov2[("e2", 1100.0)] == pytest.approx(400.0)
+
+
+def test_identical_source_sets_share_one_search(spark):
+    rnd = random.Random(12)
+    edges = random_graph(rnd)
+    e = spark.createDataFrame([("c", u, v, w) for u, v, w in edges], "city string, u long, v long, len_m double")
+    sets = {1: [3, 7], 2: [7, 3], 3: [5], 4: [3, 7], 5: [5, 6]}
+    s = spark.createDataFrame([("c", m, x) for m, xs in sets.items() for x in xs], "city string, month int, node long")
+    shared = network.network_distance(e, s, ["city"], ["month"], 1500.0)
+    alone = network.network_distance(e, s, ["city"], ["month"], 1500.0, share_identical=False)
+    key = lambda r: (r["month"], r["node"])
+    assert sorted((key(r), r["d"]) for r in shared.collect()) == sorted((key(r), r["d"]) for r in alone.collect())
+    _, key_map = network.share_identical_sources(s.withColumn("d0", F.lit(0.0)), ["city"], ["month"])
+    reps = {r["month"]: r["rep_month"] for r in key_map.collect()}
+    assert reps[1] == reps[2] == reps[4] == 1 and reps[3] == 3 and reps[5] == 5
