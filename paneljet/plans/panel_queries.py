@@ -131,6 +131,22 @@ def c3_running_totals(spark, sf):
                      order.cast("int").alias("county_order"))
 
 
+@register("c3_monthly_total", f"""
+WITH {FACTS_SQL}
+SELECT month, CAST(sum(n_orders) AS BIGINT) AS n_orders,
+       CAST(sum(sum(n_orders)) OVER (ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+            AS BIGINT) AS cum_orders
+FROM panel WHERE county IN ('ASIA', 'EUROPE', 'AMERICA') GROUP BY month""")
+def c3_monthly_total(spark, sf):
+    """Monthly sum over the selected counties and its running total (the series behind
+    the national trend plot). The running sum is over a calendar-sized table."""
+    p = clean.filter_members(nation_month(order_cube(spark, sf)), "county", C3_ORDER)
+    m = p.groupBy("month").agg(F.sum("n_orders").cast("long").alias("n_orders"))
+    m = m.withColumn("_all", F.lit(1))
+    out = windows.running_sum(m, ["_all"], ["month"], "n_orders", "cum_orders")
+    return out.select("month", "n_orders", F.col("cum_orders").cast("long").alias("cum_orders"))
+
+
 # --------------------------------------------------------------------------------------
 # C4: missing-data profile with a total row
 # --------------------------------------------------------------------------------------
