@@ -181,7 +181,10 @@ def category_split_totals(long: DataFrame, date: str, category: str, unit: str,
     with missing as 0.
 
     The central table has one row per date (a calendar-sized frame), joined m:1 by date.
+    Missing values are dropped first (the long table comes from a stack that drops them),
+    so a unit-date with no value at all has no row.
     """
+    long = long.where(F.col(value).isNotNull())
     is_central = F.col(unit).isin(list(central_units))
     local = long.where(~is_central)
     local_wide = local.groupBy(F.col(unit).alias(unit_out), date).agg(*[
