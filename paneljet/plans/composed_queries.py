@@ -146,7 +146,8 @@ def c8_installed_base(spark, sf):
 @register("c9_attach_base", _W5_SQL + """,
 pn AS (SELECT county, district, month, sum(d) AS n_orders FROM per GROUP BY county, district, month)
 SELECT pn.county, pn.district, pn.month, CAST(pn.n_orders AS BIGINT) AS n_orders,
-       ratio.ratio, round_even(ratio.ratio * ratio.baseline, 0) AS stock
+       ratio.ratio, round_even(ratio.ratio * ratio.baseline, 0) AS stock,
+       round(ln(round_even(ratio.ratio * ratio.baseline, 0) + 1), 6) AS ln_stock
 FROM pn LEFT JOIN ratio ON ratio.county = pn.county AND ratio.district = pn.district
  AND ratio.month = pn.month""")
 def c9_attach_base(spark, sf):
@@ -155,8 +156,9 @@ def c9_attach_base(spark, sf):
     panel = nation_month(cube).select("county", "district", "month", "n_orders")
     ib = installed_base(spark, sf, cube).select("county", "district", "month", "ratio", "stock", "baseline")
     out = joins.left_join(panel, ib, ["county", "district", "month"], validate="m:1",
-                          require_match="baseline", what="attach installed base")
-    return out.select("county", "district", "month", "n_orders", "ratio", "stock")
+                          require_match="stock", what="attach installed base")
+    out = out.withColumn("ln_stock", F.round(clean.log_col("stock", "log1p"), 6))
+    return out.select("county", "district", "month", "n_orders", "ratio", "stock", "ln_stock")
 
 
 @register("c10_policy_panel", f"""WITH {FACTS_SQL},
