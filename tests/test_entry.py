@@ -14,3 +14,15 @@ def test_queries_run_on_smoke_data(spark):
     qs = entry.queries()
     for name in ("w3_entity_status", "j7_active_count", "n5_network_distance", "a10_describe"):
         assert qs[name](spark, "/root/testdata/sf0.001").count() >= 0
+
+
+def test_every_oracle_binds_in_duckdb():
+    import duckdb
+
+    from paneljet.plans.tables import TABLES
+
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('/root/testdata/sf0.001/{t}.parquet')")
+    for name, sql in entry.oracle_sql().items():
+        con.execute(f"EXPLAIN {sql}")      # raises on syntax or binding errors
