@@ -110,3 +110,26 @@ def test_duplicate_roads_total_twice_covered_once(spark):
     assert (r["len_0_500_m"], r["len_500_1000_m"], r["len_1000_1500_m"], r["len_gt1500_m"]) == (
         500.0, 500.0, 0.0, 1000.0)
     assert r["reach1k_pct"] == 50.0
+
+
+def test_lonlat_stations_are_projected(spark):
+    from pyspark.sql import functions as F
+
+    from paneljet.operators import spatial
+
+    ll = spark.createDataFrame([("C", "m", "s1", 121.01, 23.51), ("C", "m", "s2", 121.02, 23.515)],
+                               "city string, month string, station_id string, lon double, lat double")
+    x, y = spatial.project_tm2(F.col("lon"), F.col("lat"))
+    xy = ll.select("city", "month", "station_id", x.alias("x"), y.alias("y"))
+    pts = [(r["x"], r["y"]) for r in xy.orderBy("station_id").collect()]
+    (x1, y1), (x2, y2) = pts
+    cx, cy = (x1 + x2) / 2, (y1 + y2) / 2
+    towns = spark.createDataFrame(
+        [("C", "T", "t", [(cx - 3000, cy - 3000), (cx + 3000, cy - 3000), (cx + 3000, cy + 3000), (cx - 3000, cy + 3000)])],
+        "city string, TOWNID string, TOWNNAME string, ring array<struct<x: double, y: double>>")
+    roads = spark.createDataFrame(
+        [("C", 1, "LOCAL", [(x1 - 2000, y1 + 5), (x1, y1 + 5), (x2, y2 + 5), (x2 + 2000, y2 + 5)])],
+        "city string, road_id long, ROADCLASS1 string, path array<struct<x: double, y: double>>")
+    a = coverage.coverage_panel(roads, towns, ll, project=True).first().asDict()
+    b = coverage.coverage_panel(roads, towns, xy, project=False).first().asDict()
+    assert a == b and a["len_0_500_m"] > 0
