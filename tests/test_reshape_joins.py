@@ -246,3 +246,20 @@ def test_null_keys_form_no_group(spark):
     assert rows(agg.group_sum(df, ["k"], ["v"]), "k", "v") == [("A", 1.0)]
     assert len(agg.group_sum(df, ["k"], ["v"], drop_null_keys=False).collect()) == 2
     assert rows(agg.count_by(df, ["k"]), "k", "n") == [("A", 2)]
+
+
+def test_io_parquet_csv_and_first_run(spark):
+    base = tempfile.mkdtemp()
+    df = spark.createDataFrame([("A", 1, "x"), ("B", 2, "y")], "county string, n int, extra string")
+    pq = os.path.join(base, "p.parquet")
+    df.write.parquet(pq)
+    got = io.read_panel(spark, pq, {"county": "string", "n": "bigint", "absent": "double"}, fmt="parquet",
+                        required=["county", "n"])
+    assert got.columns == ["county", "n", "absent"] and rows(got, "county", "n") == [("A", 1), ("B", 2)]
+    out = os.path.join(base, "panel_csv")
+    io.write_panel(df, out, ["county"], fmt="csv")
+    back = spark.read.option("header", True).csv(out)
+    assert sorted(r["county"] for r in back.collect()) == ["A", "B"]
+    assert io.done_keys(spark, os.path.join(base, "nothing_yet"), ["county"]) is None
+    grid = spark.createDataFrame([("A", d(2020, 1)), ("A", d(2020, 1))], "city string, month date")
+    assert rows(io.pending_keys(grid, None, ["city", "month"])) == [("A", d(2020, 1))]
