@@ -192,3 +192,43 @@ def test_identical_source_sets_share_one_search(spark):
     _, key_map = network.share_identical_sources(s.withColumn("d0", F.lit(0.0)), ["city"], ["month"])
     reps = {r["month"]: r["rep_month"] for r in key_map.collect()}
     assert reps[1] == reps[2] == reps[4] == 1 and reps[3] == 3 and reps[5] == 5
+
+
+def _star_polygon(rnd, cx, cy, n=9):
+    """Random star-shaped (generally concave) polygon around (cx, cy)."""
+    import math as m
+
+    angles = sorted(rnd.uniform(0, 2 * m.pi) for _ in range(n))
+    return [(cx + rnd.uniform(2, 10) * m.cos(a), cy + rnd.uniform(2, 10) * m.sin(a)) for a in angles]
+
+
+def _inside(px, py, ring):
+    hit = False
+    for i in range(len(ring)):
+        (ax, ay), (bx, by) = ring[i], ring[(i + 1) % len(ring)]
+        if (ay > py) != (by > py) and px < (bx - ax) * (py - ay) / (by - ay) + ax:
+            hit = not hit
+    return hit
+
+
+def test_random_concave_polygons_points_and_clipping(spark):
+    rnd = random.Random(33)
+    polys = {f"P{k}": _star_polygon(rnd, rnd.uniform(-5, 5), rnd.uniform(-5, 5)) for k in range(4)}
+    pdf = spark.createDataFrame([(k, r) for k, r in polys.items()],
+                                "poly_id string, ring array<struct<x: double, y: double>>")
+    pts = [(i, rnd.uniform(-15, 15), rnd.uniform(-15, 15)) for i in range(300)]
+    got = {(r["id"], r["poly_id"]) for r in spatial.points_in_polygons(
+        spark.createDataFrame(pts, "id int, x double, y double"), pdf, cell=3.0).collect()}
+    want = {(i, k) for i, x, y in pts for k, ring in polys.items() if _inside(x, y, ring)}
+    assert got == want and len(want) > 20
+    segs = [(i, rnd.uniform(-15, 15), rnd.uniform(-15, 15), rnd.uniform(-15, 15), rnd.uniform(-15, 15))
+            for i in range(40)]
+    clip = {(r["seg_id"], r["poly_id"]): r["len_inside"] for r in spatial.clip_lines(
+        spark.createDataFrame(segs, "seg_id int, x0 double, y0 double, x1 double, y1 double"), pdf, 4.0).collect()}
+    steps = 4000
+    for i, x0, y0, x1, y1 in segs:
+        L = ((x1 - x0) ** 2 + (y1 - y0) ** 2) ** 0.5
+        for k, ring in polys.items():
+            frac = sum(_inside(x0 + (x1 - x0) * (j + 0.5) / steps, y0 + (y1 - y0) * (j + 0.5) / steps, ring)
+                       for j in range(steps)) / steps
+            assert clip.get((i, k), 0.0) == pytest.approx(frac * L, abs=L * 2 / steps + 1e-9), (i, k)
