@@ -54,3 +54,13 @@ def test_no_python_udfs_in_registered_queries(spark):
                  "j14_snap", "a10_describe", "p1_dates", "p12_url_parts"):
         text = formatted(spark, name)
         assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text, name
+
+
+def test_rank_branches_share_one_range_exchange(spark):
+    df = entry.queries()["p19_ids"](spark, SF)
+    df.collect()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    final = buf.getvalue().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final and "rangepartitioning" in final
