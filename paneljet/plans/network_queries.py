@@ -145,6 +145,34 @@ def coverage(spark, sf, keys: DataFrame | None = None) -> DataFrame:
                         "reach1500_pct")
 
 
+def _by_town(spark, sf) -> DataFrame:
+    edges = cut_lineage(supplier_graph(spark, sf))
+    sources = station_sets(spark, sf)
+    dist = network.network_distance(edges, sources, [], ["yr"], 1500.0, checkpoint_every=2)
+    cov = network.covered_length(edges, dist, [], ["yr"])
+    return network.length_by_region(edges, cov, [], ["yr"], sources.select("yr").distinct(),
+                                    town="town")
+
+
+@register("n8_length_by_region", _C11_SQL.split("\nSELECT yr, town, round(len_total_m, 1)")[0] + """
+SELECT g.yr, g.town, g.len_total_m, g.n_pieces, coalesce(cv.c500, 0) AS cum_500,
+       coalesce(cv.c1000, 0) AS cum_1000, coalesce(cv.c1500, 0) AS cum_1500
+FROM g LEFT JOIN cv ON cv.yr = g.yr AND cv.town = g.town""")
+def n8_length_by_region(spark, sf):
+    """Total length and pieces per town, covered length per threshold (unclamped)."""
+    return _by_town(spark, sf).select("yr", "town", "len_total_m", "n_pieces",
+                                      "cum_500", "cum_1000", "cum_1500")
+
+
+@register("n9_coverage", _C11_SQL)
+def n9_coverage(spark, sf):
+    """Bands and reach from the N8 table."""
+    bands = network.coverage_bands(_by_town(spark, sf), digits_pct=6)
+    return bands.select("yr", "town", "len_total_m", "n_pieces", "len_0_500_m", "len_500_1000_m",
+                        "len_1000_1500_m", "len_gt1500_m", "reach500_pct", "reach1k_pct",
+                        "reach1500_pct")
+
+
 @register("c11_coverage", _C11_SQL)
 def c11_coverage(spark, sf):
     return coverage(spark, sf)
