@@ -375,7 +375,7 @@ def s7_base_layers(spark, sf):
 
 @register("n10_coverage_layers")
 def n10_coverage_layers(spark, sf):
-    """The full layer pipeline (clip, edges, snap, search, bands) on whole tables. No SQL
+    """The full layer chain (clip, edges, snap, search, bands) on whole tables. No SQL
     oracle: clipping, snapping and the search are checked against hand-computed and brute
     force results in the unit tests."""
     from ..operators import coverage
