@@ -99,6 +99,24 @@ def share_identical_sources(sources: DataFrame, graph_keys: Sequence[str],
     return rep_sources, key_map
 
 
+def _signatures(sources: DataFrame, keys: Sequence[str], node: str, d0: str | None) -> DataFrame:
+    d = F.col(d0).cast("double") if d0 else F.lit(0.0)
+    src = sources.select(*keys, F.col(node).alias("_node"), d.alias("_d0")).distinct()
+    return src.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"),
+        # DECIMAL sums: 64-bit hash sums would overflow a LONG (an error under ANSI)
+        F.sum(F.xxhash64("_node", "_d0").cast("decimal(38,0)")).alias("_h1"),
+        F.sum(F.hash("_node", "_d0").cast("decimal(38,0)")).alias("_h2"))
+
+
+def _any_shared_signature(sources, graph_keys, search_keys, node, d0) -> bool:
+    """One small job: can any two search keys have the same source set at all?"""
+    sig = _signatures(sources, [*graph_keys, *search_keys], node, d0)
+    row = sig.agg(F.count(F.lit(1)).alias("k"),
+                  F.countDistinct(F.struct(*graph_keys, "_n", "_h1", "_h2")).alias("s")).first()
+    return row["s"] < row["k"]
+
+
 def network_distance(edges: DataFrame, sources: DataFrame, graph_keys: Sequence[str],
                      search_keys: Sequence[str], max_cost: float, u: str = "u", v: str = "v",
                      length: str = "len_m", node: str = "node", d0: str | None = None,
@@ -118,7 +136,8 @@ def network_distance(edges: DataFrame, sources: DataFrame, graph_keys: Sequence[
     (``share_identical_sources``) and the distances are copied to each of them.
     """
     keys = [*graph_keys, *search_keys]
-    if share_identical and search_keys:
+    if share_identical and search_keys and _any_shared_signature(
+            sources, graph_keys, search_keys, node, d0):
         src = sources if d0 else sources.withColumn("_zero_d0", F.lit(0.0))
         rep_sources, key_map = share_identical_sources(src, graph_keys, search_keys, node,
                                                        d0 or "_zero_d0")
