@@ -86,46 +86,66 @@ def _first_open_month(open_col):
         F.add_months(m, 1))
 
 
-def active_count(df: DataFrame, open_col: str, close_col: str, by: Sequence[str],
-                 periods: DataFrame, period: str = "month", status_col: str | None = None,
-                 active_value=1, name: str = "n_open", weight: str | None = None) -> DataFrame:
-    """Entities open at each month start M: ``open <= M`` and (``close`` NULL or
-    ``close >= M``), counted by ``by`` x month; rows with ``status == active_value`` have no
-    close date; NULL ``open`` never counts.
-
-    A difference array instead of a range join: each entity contributes +1 at its first
-    open month and -1 after its last one; per-group running sums over the calendar give the
-    counts. Cost is O(entities + groups x months), independent of interval lengths, and
-    every (group, month) of the calendar is present (0 when nothing is open). ``weight``
-    names a count column when rows stand for several identical entities.
+def open_spans(df: DataFrame, open_col: str, close_col: str, by: Sequence[str],
+               status_col: str | None = None, active_value=1,
+               weight: str | None = None) -> DataFrame:
+    """J7, step 1: for each entity the first and the last month start at which it is open -
+    ``a`` = earliest month start >= open, ``b`` = month of close (NULL when it never closes:
+    no close date, or ``status == active_value``) - plus ``open_month``, the month of the
+    open date. Identical spans are counted in ``w`` by a partial aggregate, so the result is
+    bounded by groups x months x span lengths, whatever the number of entities. NULL
+    ``open`` never counts.
     """
-    cal = periods.select(F.col(period).alias("_m"))
-    bounds = cal.agg(F.min("_m").alias("_lo"), F.max("_m").alias("_hi"))
     close = F.col(close_col)
     if status_col:
         close = F.when(F.col(status_col) == F.lit(active_value), F.lit(None)).otherwise(close)
     w = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
-    ent = (df.where(F.col(open_col).isNotNull())
-           .select(*by, w.alias("_w"), _first_open_month(F.col(open_col)).alias("_a"),
-                   F.trunc(F.to_date(close), "MM").alias("_b"), close.isNull().alias("_open_end"))
-           .crossJoin(F.broadcast(bounds))
-           .select(*by, "_w", F.greatest("_a", "_lo").alias("_a"),
-                   F.when(F.col("_open_end"), F.col("_hi"))
-                    .otherwise(F.least("_b", "_hi")).alias("_b"))
+    return (df.where(F.col(open_col).isNotNull())
+            .select(*by, F.trunc(F.to_date(open_col), "MM").alias("open_month"),
+                    _first_open_month(F.col(open_col)).alias("a"),
+                    F.trunc(F.to_date(close), "MM").alias("b"), w.alias("_w"))
+            .groupBy(*by, "open_month", "a", "b").agg(F.sum("_w").alias("w")))
+
+
+def count_open(spans: DataFrame, by: Sequence[str], periods: DataFrame, period: str = "month",
+               name: str = "n_open") -> DataFrame:
+    """J7, step 2: clamp the spans to the calendar and count, per group, the entities open at
+    each month start. A difference array instead of a range join: +w at a span's first month,
+    -w after its last; running sums per group over the calendar (bounded by #months) give
+    the counts, and every (group, month) of the calendar is present (0 when none is open).
+    """
+    from pyspark.sql import Window
+
+    cal = periods.select(F.col(period).alias("_m"))
+    bounds = cal.agg(F.min("_m").alias("_lo"), F.max("_m").alias("_hi"))
+    ent = (spans.crossJoin(F.broadcast(bounds))
+           .select(*by, "w", F.greatest("a", "_lo").alias("_a"),
+                   F.when(F.col("b").isNull(), F.col("_hi")).otherwise(F.least("b", "_hi")).alias("_b"))
            .where(F.col("_a") <= F.col("_b")))
     deltas = (ent.select(*by, F.explode(F.array(
-        F.struct(F.col("_a").alias("_m"), F.col("_w").alias("_d")),
-        F.struct(F.add_months("_b", 1).alias("_m"), (-F.col("_w")).alias("_d")))).alias("_x"))
+        F.struct(F.col("_a").alias("_m"), F.col("w").alias("_d")),
+        F.struct(F.add_months("_b", 1).alias("_m"), (-F.col("w")).alias("_d")))).alias("_x"))
         .select(*by, "_x._m", "_x._d")
         .groupBy(*by, "_m").agg(F.sum("_d").alias("_d")))
     dense = densify(deltas, by, "_m", cal, ["_d"], 0)
-    from pyspark.sql import Window
-
-    w = Window.partitionBy(*by).orderBy("_m").rowsBetween(Window.unboundedPreceding, 0)
-    return (dense.withColumn(name, F.sum("_d").over(w).cast("long"))
+    win = Window.partitionBy(*by).orderBy("_m").rowsBetween(Window.unboundedPreceding, 0)
+    return (dense.withColumn(name, F.sum("_d").over(win).cast("long"))
             .select(*by, F.col("_m").alias(period), name))
 
 
+def active_count(df: DataFrame, open_col: str, close_col: str, by: Sequence[str],
+                 periods: DataFrame, period: str = "month", status_col: str | None = None,
+                 active_value=1, name: str = "n_open", weight: str | None = None) -> DataFrame:
+    """Entities open at each month start M: ``open <= M`` and (``close`` NULL or
+    ``close >= M``), counted by ``by`` x month; rows with ``status == active_value`` have no
+    close date; NULL ``open`` never counts. ``open_spans`` then ``count_open``: cost is
+    O(entities) for a partial aggregate plus O(groups x months), independent of interval
+    lengths. ``weight`` names a count column when rows stand for several entities.
+    """
+    spans = open_spans(df, open_col, close_col, by, status_col, active_value, weight)
+    return count_open(spans, by, periods, period, name)
+
+
 def semi_join(df: DataFrame, keys_df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keep rows whose key is in another set."""
     return df.join(keys_df.select(*keys), list(keys), "left_semi")

@@ -509,10 +509,9 @@ def shipments_open(spark, sf) -> DataFrame:
     """Lineitems as entities open from their ship date until ship date + quantity days
     (still open when the line status is 'O').
 
-    One pass over lineitem: identical (district, chain, status, open, close) rows are
-    collapsed to a count first - bounded by nations x flags x ship days x quantities, not by
-    the number of lineitems - and materialised, so the calendar and the counting both read
-    the small table.
+    One pass over lineitem: rows collapse to month spans per (district, chain) by a partial
+    aggregate (``open_spans``, a few thousand rows at any scale), materialised so that the
+    calendar (ship months) and the counting both read the small table.
     """
     li = table(spark, sf, "lineitem").select("l_suppkey", "l_returnflag", "l_linestatus",
                                              "l_shipdate", "l_quantity")
@@ -523,11 +522,10 @@ def shipments_open(spark, sf) -> DataFrame:
                     "l_linestatus", F.col("l_shipdate").alias("open_ts"),
                     F.timestamp_add("DAY", F.col("l_quantity").cast("int"), F.col("l_shipdate"))
                     .alias("close_ts")))
-    combos = cut_lineage(rows.groupBy("district", "chain", "l_linestatus", "open_ts", "close_ts")
-                         .agg(F.count(F.lit(1)).alias("w")))
-    cal = reshape.periods_of(combos.select(clean.month_start("open_ts").alias("m")), "m", "month", "month")
-    return joins.active_count(combos, "open_ts", "close_ts", ["district", "chain"], cal, "month",
-                              status_col="l_linestatus", active_value="O", name="n_open", weight="w")
+    spans = cut_lineage(joins.open_spans(rows, "open_ts", "close_ts", ["district", "chain"],
+                                         status_col="l_linestatus", active_value="O"))
+    cal = reshape.periods_of(spans, "open_month", "month", "month")
+    return joins.count_open(spans, ["district", "chain"], cal, "month", "n_open")
 
 
 @register("j7_active_count", f"WITH {_J7_SQL} SELECT district, chain, month, n_open FROM j7")
