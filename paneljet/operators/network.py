@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.clean import safe_ratio
-from .util import cut_lineage
+from .util import cut_lineage, cut_lineage_counted
 
 THRESHOLDS = (500, 1000, 1500)
 
@@ -169,8 +169,8 @@ def network_distance(edges: DataFrame, sources: DataFrame, graph_keys: Sequence[
         improved = (cand.join(old, [*keys, "node"], "left")
                     .where(F.col("d_old").isNull() | (F.col("d") < F.col("d_old")))
                     .select(*keys, "node", "d"))
-        improved = cut_lineage(improved)
-        if improved.isEmpty():
+        improved, n_improved = cut_lineage_counted(improved)
+        if n_improved == 0:
             return dist.withColumnRenamed("node", node)
         merged = (dist.join(improved.withColumnRenamed("d", "d_new"), [*keys, "node"], "full")
                   .select(*keys, "node", F.least(F.coalesce("d", "d_new"),

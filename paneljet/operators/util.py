@@ -31,5 +31,17 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def cut_lineage_counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """``cut_lineage`` that also returns the row count, observed while the checkpoint is
+    written (no second job)."""
+    import uuid
+
+    from pyspark.sql import Observation
+
+    obs = Observation(f"rows_{uuid.uuid4().hex}")
+    out = cut_lineage(df.observe(obs, F.count(F.lit(1)).alias("n")), eager=True)
+    return out, int(obs.get["n"])
+
+
 class ValidationError(ValueError):
     """Raised by the opt-in validation actions."""
