@@ -144,15 +144,7 @@ def demean(df: DataFrame, cols: Sequence[str], absorb: Sequence[str] = (), tol:
 def cross_products(df: DataFrame, cols: Sequence[str]) -> tuple[np.ndarray, int]:
     """The K x K matrix of sums of products and N, from one aggregation."""
     cols = list(cols)
-    k = len(cols)
-    aggs = [F.sum(F.col(cols[i]) * F.col(cols[j])).alias(f"m{i}_{j}")
-            for i in range(k) for j in range(i, k)]
-    row = df.agg(F.count(F.lit(1)).alias("n"), *aggs).first()
-    m = np.zeros((k, k))
-    for i in range(k):
-        for j in range(i, k):
-            m[i, j] = m[j, i] = row[f"m{i}_{j}"] or 0.0
-    return m, int(row["n"])
+    return _moment_matrix(df.agg(*_moment_aggs(cols)).first(), len(cols))
 
 
 def cluster_meat(df: DataFrame, cluster: str | None, scores: Sequence) -> tuple[np.ndarray, int]:
@@ -257,14 +249,44 @@ def _q(n: int, g: int, k: int, clustered: bool) -> float:
     return n / (n - k) if n > k else float("nan")
 
 
+def _moment_aggs(cols: Sequence[str]) -> list:
+    k = len(cols)
+    return [F.count(F.lit(1)).alias("n")] + [
+        F.sum(F.col(cols[i]) * F.col(cols[j])).alias(f"m{i}_{j}") for i in range(k) for j in range(i, k)]
+
+
+def _moment_matrix(row, k: int) -> tuple[np.ndarray, int]:
+    m = np.zeros((k, k))
+    for i in range(k):
+        for j in range(i, k):
+            m[i, j] = m[j, i] = row[f"m{i}_{j}"] or 0.0
+    return m, int(row["n"])
+
+
 def _prepare(df, cols, absorb, cluster, singletons=True):
+    """Sample (complete cases, singletons dropped), its demeaned copy and the cross-product
+    moments of ``cols``. The moments are observed while the demeaned copy is checkpointed,
+    so they cost no extra pass."""
+    import uuid
+
+    from pyspark.sql import Observation
+
+    cols = list(dict.fromkeys(cols))
     need = [*cols, *absorb] + ([cluster] if cluster else [])
     sample = df.select(*dict.fromkeys(need)).dropna()
     if absorb and singletons:
         sample = drop_singletons(sample, absorb)
     sample = cut_lineage(sample)
-    dm = cut_lineage(demean(sample, list(dict.fromkeys(cols)), absorb))
-    return sample, dm
+    obs = Observation(f"moments_{uuid.uuid4().hex}")
+    dm = cut_lineage(demean(sample, cols, absorb).observe(obs, *_moment_aggs(cols)))
+    m, n = _moment_matrix(obs.get, len(cols))
+    return sample, dm, (m, n, cols)
+
+
+def _sub_moments(moments, want: Sequence[str]) -> tuple[np.ndarray, int]:
+    m, n, cols = moments
+    idx = [cols.index(c) for c in want]
+    return m[np.ix_(idx, idx)], n
 
 
 def ols_fe(df: DataFrame, y: str, x: Sequence[str], absorb: Sequence[str] = (),
@@ -272,8 +294,8 @@ def ols_fe(df: DataFrame, y: str, x: Sequence[str], absorb: Sequence[str] = (),
     """OLS of ``y`` on ``x`` after absorbing ``absorb``; cluster-robust when ``cluster``
     is given, else heteroskedasticity-robust."""
     x = list(x)
-    sample, dm = _prepared or _prepare(df, [y, *x], absorb, cluster, singletons)
-    m, n = cross_products(dm, [*x, y])
+    sample, dm, moments = _prepared or _prepare(df, [y, *x], absorb, cluster, singletons)
+    m, n = _sub_moments(moments, [*x, y])
     k = len(x)
     keep = _independent(m[:k, :k])
     xs = [x[i] for i in keep]
@@ -303,8 +325,8 @@ def iv_2sls(df: DataFrame, y: str, endog: Sequence[str], instruments: Sequence[s
     """
     endog, exog, instruments = list(endog), list(exog), list(instruments)
     cols = [*endog, *exog, *instruments, y]
-    sample, dm = _prepared or _prepare(df, cols, absorb, cluster, singletons)
-    m, n = cross_products(dm, cols)
+    sample, dm, moments = _prepared or _prepare(df, cols, absorb, cluster, singletons)
+    m, n = _sub_moments(moments, cols)
     ix = {c: i for i, c in enumerate(cols)}
     xi = [ix[c] for c in [*endog, *exog]]
     zi = [ix[c] for c in [*instruments, *exog]]
