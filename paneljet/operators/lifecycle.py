@@ -13,9 +13,10 @@ Plan. Instead of materialising the grid and then filling it with two windows, th
 constant between two consecutive event periods of an entity, so each event period row emits
 its own run of periods with ``explode(sequence(...))``:
 
-    events -(partial agg, shuffle on entity+period)-> one row per entity-period with events
-           -(shuffle on entity, window over <= #periods rows)-> run start/end
-           -> explode runs (no shuffle of the expanded grid)
+    event log -(one pass: hash aggregate on (entity, period), packed order key)->
+              per-period start/end flags (+ optional extra aggregates), materialised
+    -(shuffle on entity, window over <= #periods rows)-> run start/end
+    -> explode runs (the expanded grid is never shuffled)
     entities without events -> anti join -> explode the whole span with the current status
 
 Per-entity work is bounded by the number of periods, not by the number of events, so an
