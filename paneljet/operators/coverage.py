@@ -130,7 +130,7 @@ def contracted_ends(pieces: DataFrame, on_edge: DataFrame, max_d: float) -> Data
     """
     p, chains = road_chains(pieces)
     p = cut_lineage(p.select(CITY, "edge_id", "chain_id", "off_u", "len_m"))
-    chains = cut_lineage(chains)
+    # chains is a small aggregate of the materialised pieces: recomputing it is cheap
     st = (on_edge.join(p, [CITY, "edge_id"])
           .select(CITY, MONTH, "chain_id", (F.col("off_u") + F.col("offset")).alias("pos"))
           .join(chains, [CITY, "chain_id"]))
@@ -195,7 +195,7 @@ def coverage_panel(roads: DataFrame, towns: DataFrame, stations: DataFrame,
     edges = cut_lineage(town_edges(roads, towns, cell))
     # Covered once: one representative per duplicated piece (same town and end points);
     # stations snap to representatives only, totals count every piece.
-    uniq = edges.dropDuplicates([CITY, "TOWNID", "u", "v"])
+    uniq = cut_lineage(edges.dropDuplicates([CITY, "TOWNID", "u", "v"]))
     pts = station_points(stations, towns, project, cell)
     seg = uniq.select(CITY, F.col("edge_id").alias("seg_id"), "x0", "y0", "x1", "y1")
     snapped = spatial.snap_points(pts, seg, max_m=snap_m, cell=max(snap_m, 1.0),
