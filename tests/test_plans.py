@@ -64,3 +64,12 @@ def test_rank_branches_share_one_range_exchange(spark):
         df.explain()
     final = buf.getvalue().split("== Initial Plan ==")[0]
     assert "ReusedExchange" in final and "rangepartitioning" in final
+
+
+def test_no_unbounded_cross_products_or_python(spark):
+    bad = []
+    for name in sorted(entry.queries()):
+        text = formatted(spark, name)
+        if "CartesianProduct" in text or "BatchEvalPython" in text or "ArrowEvalPython" in text:
+            bad.append(name)
+    assert bad == []
