@@ -85,6 +85,7 @@ def user_status(spark: SparkSession, sf_dir: str, periods: DataFrame | None = No
 
 @register("w3_entity_status", W3_SQL + "SELECT user_id, day, status FROM st")
 def w3_entity_status(spark, sf_dir):
+    """Status of every user on every day from signup/error events."""
     return user_status(spark, sf_dir)
 
 
@@ -92,4 +93,5 @@ def w3_entity_status(spark, sf_dir):
 SELECT day, CAST(sum(status) AS BIGINT) AS n_active, count(*) AS n_entities
 FROM st GROUP BY day""")
 def w3_daily_active(spark, sf_dir):
+    """Number of active users per day (the flagship aggregate)."""
     return lifecycle.active_per_period(user_status(spark, sf_dir), period="day")

@@ -51,6 +51,7 @@ def station_status(spark, sf) -> DataFrame:
 @register("c1_station_status", _C1_SQL + """
 SELECT user_id, day, status, batteries, district, county FROM c1""")
 def c1_station_status(spark, sf):
+    """User-day status with district, region and battery count."""
     return station_status(spark, sf).select("user_id", "day", "status", "batteries", "district",
                                             "county")
 
@@ -76,6 +77,7 @@ SELECT coalesce(fullp.county, dense.county) AS county,
        CAST(coalesce(dense.nstation_w_battery, 0) AS BIGINT) AS nstation_w_battery
 FROM dense FULL JOIN fullp ON dense.district = fullp.district AND dense.day = fullp.day""")
 def c2_region_day_active(spark, sf):
+    """C2 (R5, J3, A1, P20): active users, batteries and users with batteries per district-day."""
     periods = user_periods(spark, sf)
     out = lifecycle.region_panel(user_status(spark, sf, periods), user_attributes(spark, sf, periods),
                                  districts(spark, sf), "user_id", ["county", "district"],

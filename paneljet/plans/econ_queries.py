@@ -47,6 +47,7 @@ def r6(c):
 
 @register("e1_demean", f"WITH {REG_SQL} SELECT district, month, round(yd, 6) AS y_dm, round(xd, 6) AS x_dm FROM d")
 def e1_demean(spark, sf):
+    """Log revenue and log orders with month effects removed."""
     s = econ.drop_singletons(reg_panel(spark, sf), ["month"])
     d = econ.demean(s, ["ln_revenue", "ln_orders"], ["month"])
     return d.select("district", "month", r6(F.col("ln_revenue")).alias("y_dm"),
@@ -63,6 +64,7 @@ v AS (SELECT b.*, (g / (g - 1.0)) * ((n - 1.0) / (n - (1 + lv))) * meat / (sxx *
 SELECT 'ln_orders' AS term, round(b, 6) AS coef, round(sqrt(var), 6) AS se,
        round(b / sqrt(var), 6) AS t, n AS n_obs, g AS n_clusters FROM v""")
 def e3_ols(spark, sf):
+    """E3 (E2, E5): OLS with month effects, errors clustered by district."""
     fit = econ.ols_fe(reg_panel(spark, sf), "ln_revenue", ["ln_orders"], ["month"], "district")
     return _coef_frame(spark, fit)
 
@@ -92,6 +94,7 @@ v AS (SELECT b.*, (g / (g - 1.0)) * ((n - 1.0) / (n - (1 + lv)))
 SELECT 'ln_orders' AS term, round(b, 6) AS coef, round(sqrt(var), 6) AS se,
        round(b / sqrt(var), 6) AS t, n AS n_obs, g AS n_clusters FROM v""")
 def e4_iv(spark, sf):
+    """2SLS with one instrument, month effects, clustered errors."""
     fits = econ.iv_2sls(reg_panel(spark, sf), "ln_revenue", ["ln_orders"], ["z_building"], [],
                         ["month"], "district")
     return _coef_frame(spark, fits["iv"])
@@ -107,6 +110,7 @@ v AS (SELECT b.*, (g / (g - 1.0)) * ((n - 1.0) / (n - (1 + lv))) * meat / (szz *
 SELECT 'ln_orders' AS endog, round(pi * pi / var, 6) AS f_stat, 1 AS df1, CAST(g - 1 AS BIGINT) AS df2
 FROM v""")
 def e6_first_stage(spark, sf):
+    """First-stage F of the instrument, clustered."""
     fits = econ.iv_2sls(reg_panel(spark, sf), "ln_revenue", ["ln_orders"], ["z_building"], [],
                         ["month"], "district")
     st = fits["first:ln_orders"].stats
@@ -152,6 +156,7 @@ UNION ALL SELECT 2, 'ln_orders', n - d1, d2, n - d1 - d2 FROM c
 UNION ALL SELECT 3, 'lag_ln_orders', n - d1 - d2, d3, n - d1 - d2 - d3 FROM c
 UNION ALL SELECT 4, 'z_building', n - d1 - d2 - d3, d4, n - d1 - d2 - d3 - d4 FROM c""")
 def e10_sample(spark, sf):
+    """Listwise deletion with rows lost at each step (incl. a one-year lag)."""
     reg = reg_panel(spark, sf).select("district", "month", "ln_revenue", "ln_orders", "z_building")
     lagged = joins.calendar_lag(reg, ["district"], "month", ["ln_orders"], prefix="lag_")
     _, report = econ.estimation_sample(lagged, ["ln_revenue", "ln_orders", "lag_ln_orders", "z_building"])

@@ -79,11 +79,13 @@ def _distances(spark, sf):
 @register("n4_edges", "WITH " + GRAPH_SQL.split("src AS")[0].rstrip().rstrip(",")
           + " SELECT u, v, edge_id, len_m, town FROM edges")
 def n4_edges(spark, sf):
+    """Supplier road graph edges with lengths and towns, from all lineitems."""
     return supplier_graph(spark, sf).select("u", "v", "edge_id", "len_m", "town")
 
 
 @register("n5_network_distance", f"WITH RECURSIVE {GRAPH_SQL} SELECT yr, node, d FROM dist")
 def n5_network_distance(spark, sf):
+    """Least network distance of each supplier node from that year's stations (<= 1500 m)."""
     _, dist = _distances(spark, sf)
     return dist.select("yr", "node", "d")
 
@@ -91,6 +93,7 @@ def n5_network_distance(spark, sf):
 @register("n6_covered_length", f"""WITH RECURSIVE {GRAPH_SQL}
 SELECT yr, edge_id, D, covered_m FROM cov WHERE covered_m > 0""")
 def n6_covered_length(spark, sf):
+    """Covered length per edge, year and threshold."""
     edges, dist = _distances(spark, sf)
     return network.covered_length(edges, dist, [], ["yr"]).select("yr", "edge_id", "D", "covered_m")
 
@@ -103,6 +106,7 @@ UNION ALL SELECT yr, edge_id, D, 0.0, least(L, a) FROM ends
 UNION ALL SELECT yr, edge_id, D, greatest(0.0, L - b), L FROM ends
   WHERE b IS NOT NULL AND (a IS NULL OR a + b < L)""")
 def n7_covered_intervals(spark, sf):
+    """Covered parts of each edge as merged intervals."""
     edges, dist = _distances(spark, sf)
     return network.covered_intervals(edges, dist, [], ["yr"]).select(
         "yr", "edge_id", "D", "from_m", "to_m")
@@ -175,6 +179,7 @@ def n9_coverage(spark, sf):
 
 @register("c11_coverage", _C11_SQL)
 def c11_coverage(spark, sf):
+    """C11 (N6-N9): covered road length bands and reach % per year and town."""
     return coverage(spark, sf)
 
 
@@ -219,6 +224,7 @@ _X, _Y = _tm2_sql(_LON, _LAT)
 
 @register("n1_project", f"SELECT vec_id, round({_X}, 3) AS x, round({_Y}, 3) AS y FROM embeddings")
 def n1_project(spark, sf):
+    """Embedding coordinates as lon/lat projected to TWD97 TM2 metres."""
     e = table(spark, sf, "embeddings")
     lon = F.lit(121.0) + F.get("embedding", 0).cast("double") * 2
     lat = F.lit(23.5) + F.get("embedding", 1).cast("double") * 3
@@ -270,12 +276,14 @@ def _points(spark, sf) -> DataFrame:
 
 @register("j13_point_polygon", _J13_SQL + " SELECT vec_id, poly_id FROM inside")
 def j13_point_polygon(spark, sf):
+    """Embedding points inside three fixed polygons (crossing number)."""
     return spatial.points_in_polygons(_points(spark, sf), polygons_df(spark, POLYGONS), 0.1).select(
         "vec_id", "poly_id")
 
 
 @register("n2_clip_points", _J13_SQL + " SELECT poly_id, count(*) AS n_points FROM inside GROUP BY poly_id")
 def n2_clip_points(spark, sf):
+    """Points per polygon."""
     return spatial.clip_points(_points(spark, sf), polygons_df(spark, POLYGONS), 0.1)
 
 
@@ -325,6 +333,7 @@ q AS (SELECT seg_id, poly_id, L,
       FROM p)
 SELECT seg_id, poly_id, round((t1 - t0) * L, 4) AS len_inside FROM q WHERE t1 > t0 AND L > 0""")
 def n3_clip(spark, sf):
+    """Length of each embedding segment inside each of four quadrant towns."""
     out = spatial.clip_lines(_segments(spark, sf), polygons_df(spark, TOWNS), 100.0)
     return out.select("seg_id", "poly_id", F.round("len_inside", 4).alias("len_inside"))
 
@@ -345,6 +354,7 @@ b AS (SELECT *, row_number() OVER (PARTITION BY point_id ORDER BY dist, seg_id)
 SELECT point_id, seg_id, round(t, 6) AS t, round("offset", 6) AS "offset", round(dist, 6) AS dist
 FROM b WHERE rn = 1""")
 def j14_snap(spark, sf):
+    """Nearest embedding segment within 10 m of each embedding point."""
     e = table(spark, sf, "embeddings")
     pts = e.select(F.col("vec_id").alias("point_id"),
                    (F.get("embedding", 0).cast("double") * 1000).alias("x"),
@@ -359,6 +369,7 @@ SELECT seg_id, CASE WHEN label < 5 THEN 'A' ELSE 'B' END AS city,
        CASE WHEN label = 0 THEN 'HW' ELSE 'LOCAL' END AS ROADCLASS1
 FROM segs WHERE label <> 0""")
 def s7_base_layers(spark, sf):
+    """Two cities' road layers united, highways dropped."""
     s = _segments(spark, sf).withColumn(
         "ROADCLASS1", F.when(F.col("label") == 0, "HW").otherwise("LOCAL"))
     city_a = s.where(F.col("label") < 5).withColumn("city", F.lit("A"))

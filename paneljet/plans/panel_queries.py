@@ -118,6 +118,7 @@ SELECT county,
        CAST(list_position(['ASIA', 'EUROPE', 'AMERICA'], county) AS INTEGER) AS county_order
 FROM cm""")
 def c3_running_totals(spark, sf):
+    """C3 (W4, W8, O2, P5, P10): county-month orders, running total, year-end flag, custom order."""
     p = nation_month(order_cube(spark, sf))
     cm = clean.filter_members(p, "county", C3_ORDER).groupBy("county", "month").agg(
         F.sum("n_orders").cast("long").alias("n_orders"))
@@ -175,6 +176,7 @@ def _c4(docs: DataFrame, labels: DataFrame) -> DataFrame:
 WITH d AS (SELECT d.doc_id, d.source, l.quality FROM documents d LEFT JOIN labels l USING (doc_id)),
 {_C4_BODY}""")
 def c4_missing_profile(spark, sf):
+    """C4 (A2, A3, P17): documents and unlabelled documents per source with a total row."""
     return _c4(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
@@ -184,6 +186,7 @@ d AS (SELECT d.doc_id, d.source, l.quality FROM documents d LEFT JOIN labels l U
       WHERE d.source IN (SELECT source FROM act)),
 {_C4_BODY}""")
 def c4_missing_profile_active(spark, sf):
+    """C4 (J8): the same profile for sources with a toxic-labelled document."""
     docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
     active = docs.join(labels.where(F.col("toxic") == 1), "doc_id").select("source").distinct()
     return _c4(joins.semi_join(docs, active, ["source"]), labels)
@@ -196,6 +199,7 @@ SELECT CAST(count(DISTINCT CASE WHEN value > 90 AND event_type = 'purchase' THEN
              / count(DISTINCT CASE WHEN event_type = 'purchase' THEN user_id END), 6) AS share
 FROM events""")
 def a5_distinct_share(spark, sf):
+    """A5: distinct users with a large purchase among purchasing users, and the share."""
     ev = table(spark, sf, "events")
     out = agg.distinct_share(ev, "user_id", F.col("value") > 90, F.col("event_type") == "purchase")
     return out.select(F.col("n_both").cast("long"), F.col("n_b").cast("long"), r6(F.col("share")).alias("share"))
@@ -214,6 +218,7 @@ c AS (SELECT month, county, series, count(*) AS n FROM facts GROUP BY month, cou
 SELECT m.month, lab.county, lab.series, CAST(coalesce(c.n, 0) AS BIGINT) AS n_orders
 FROM m CROSS JOIN lab LEFT JOIN c ON c.month = m.month AND c.county = lab.county AND c.series = lab.series""")
 def s2_wide_long(spark, sf):
+    """Region x priority wide table by month, melted back and labels split."""
     f = order_cube(spark, sf).withColumn("label", clean.composite_key(["county", "series"], "_"))
     labels = [f"{r}_{p}" for r in REGIONS for p in PRIORITIES]
     wide = reshape.pivot_sum(f, ["month"], "label", "n", labels)
@@ -257,6 +262,7 @@ SELECT district, month,
   CAST(NULL AS BIGINT) AS n_none
 FROM s GROUP BY district, month""")
 def r3_pivot(spark, sf):
+    """Order counts per district-month pivoted by priority, with an absent priority column."""
     s = order_cube(spark, sf).groupBy("district", "month", "series").agg(nsum().alias("n"))
     return reshape.pivot_first(s, ["district", "month"], "series", "n", list(_R3_NAMES),
                                names=_R3_NAMES)
@@ -269,6 +275,7 @@ SELECT district, month,
   count(*) FILTER (WHERE status = 'P') AS n_P, CAST(0 AS BIGINT) AS n_X
 FROM facts GROUP BY district, month""")
 def r4_pivot(spark, sf):
+    """Order counts per district-month pivoted by status, gaps 0."""
     f = order_cube(spark, sf)
     out = reshape.pivot_sum(f, ["district", "month"], "status", "n", ["F", "O", "P", "X"],
                             prefix="n_")
@@ -302,6 +309,7 @@ SELECT loc.unit, loc.month, ord_F_local, ord_O_local, ord_P_local,
        coalesce(ord_P_local, 0) + coalesce(c_P, 0) AS ord_P_total
 FROM loc LEFT JOIN cen USING (month)""")
 def a13_local_central(spark, sf):
+    """Local order counts per region and status, central total from two regions, total."""
     f = order_cube(spark, sf)
     long = f.groupBy("month", F.col("status").alias("category"), F.col("county").alias("unit")).agg(
         nsum().cast("double").alias("value"))
@@ -324,6 +332,7 @@ SELECT county, district, month, n_orders, lag1y_n_orders, lag1y_revenue,
        round(CASE WHEN lag1y_n_orders >= 0 THEN ln(1 + lag1y_n_orders) END, 6) AS ln_lag1y_n_orders
 FROM lagged WHERE month IN (SELECT month FROM panel WHERE month >= DATE '1996-01-01')""")
 def j5_calendar_lag(spark, sf):
+    """Orders twelve months earlier by date, from 1996 on, with log1p."""
     cube = order_cube(spark, sf)
     p = nation_month(cube)
     lagged = joins.calendar_lag(p.select("county", "district", "month", "n_orders", "revenue"),
@@ -349,6 +358,7 @@ SELECT district, month, n, source_rank FROM (
   SELECT *, row_number() OVER (PARTITION BY district, month ORDER BY source_rank) AS rn FROM u)
 WHERE rn = 1""")
 def j6_shifted_panel(spark, sf):
+    """Finished-order panel, open-order panel shifted a year back as proxy, first wins."""
     f = order_cube(spark, sf)
     s1 = f.where(F.col("status") == "F").groupBy("district", "month").agg(nsum().alias("n"))
     s2 = joins.calendar_shift(
@@ -415,6 +425,7 @@ SELECT district, month, n_orders, round(iv_urgent, 6) AS iv_urgent, round(iv_hig
        round(iv_medium_low, 6) AS iv_medium_low, round(iv_not_specified, 6) AS iv_not_specified
 FROM iv""")
 def p16_instruments(spark, sf):
+    """P16 (J5, P15): log base x log1p of lagged priority counts, six named terms."""
     iv = instruments(order_cube(spark, sf))
     return iv.select("district", "month", "n_orders",
                      *[r6(F.col(f"iv_{t}")).alias(f"iv_{t}") for t in IV_TERMS])
@@ -433,6 +444,7 @@ SELECT district, month, series, revenue_f FROM (
                                ORDER BY revenue_f DESC NULLS LAST, series) AS rn FROM s)
 WHERE rn = 1""")
 def w7_best_row(spark, sf):
+    """Per district-month the priority with the highest finished revenue, NULLs last."""
     s = order_cube(spark, sf).groupBy("district", "month", "series").agg(
         money(F.col("status") == "F").alias("revenue_f"))
     return windows.best_value_row(s, ["district", "month"], "revenue_f", ["series"]).select(
@@ -478,6 +490,7 @@ def installed_base(spark, sf, cube: DataFrame) -> DataFrame:
 SELECT county, district, month, pos, ratio, baseline, round_even(ratio * baseline, 0) AS stock
 FROM ratio""")
 def w5_expanding_ratio(spark, sf):
+    """Cumulative BUILDING share by observed month and reconstructed stock."""
     return installed_base(spark, sf, order_cube(spark, sf)).select("county", "district", "month", "pos", "ratio",
                                             "baseline", "stock")
 
@@ -530,6 +543,7 @@ def shipments_open(spark, sf) -> DataFrame:
 
 @register("j7_active_count", f"WITH {_J7_SQL} SELECT district, chain, month, n_open FROM j7")
 def j7_active_count(spark, sf):
+    """Lineitems open at each month start (ship date to ship date + quantity days) per district and flag."""
     return shipments_open(spark, sf)
 
 
@@ -540,6 +554,7 @@ SELECT district, month,
   CAST(coalesce(sum(n_open) FILTER (WHERE chain = 'R'), 0) AS BIGINT) AS open_R
 FROM j7 GROUP BY district, month""")
 def c6_store_counts(spark, sf):
+    """C6 (J7, R4): open lineitem counts per district-month pivoted by return flag."""
     long = shipments_open(spark, sf)
     wide = reshape.pivot_sum(long, ["district", "month"], "chain", "n_open", ["A", "N", "R"],
                              prefix="open_", fill=0)
@@ -565,6 +580,7 @@ al AS (SELECT n.n_name || '/' || r.r_name AS alias, n.n_name AS name
 SELECT name, id, x, source_rank FROM best
 UNION ALL SELECT al.alias, best.id, best.x, best.source_rank FROM best JOIN al ON best.name = al.name""")
 def j10_priority_lookup(spark, sf):
+    """Best source per nation (suppliers before customers) plus alias rows."""
     n = table(spark, sf, "nation")
     s = table(spark, sf, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey")).withColumn(
         "x", F.when(F.col("s_acctbal") >= 0, F.col("s_acctbal")))
@@ -594,6 +610,7 @@ SELECT page_id,
      lambda w: upper(substr(w, 1, 1)) || substr(w, 2)), ' ') AS host_label
 FROM pages""")
 def p12_url_parts(spark, sf):
+    """Host, language, path id, page number and a title-cased host label from URLs."""
     pg = table(spark, sf, "pages").select("page_id", "url")
     host = F.nullif(F.regexp_extract("url", r"^https?://([^/?#]+)", 1), F.lit(""))
     return pg.select(
@@ -628,6 +645,7 @@ p AS (SELECT o_orderkey,
       FROM t)
 SELECT o_orderkey, dt, CAST(date_trunc('month', dt) AS DATE) AS month, roc_dt FROM p""")
 def p1_dates(spark, sf):
+    """Order dates from text in three formats (some broken), month, ROC dates."""
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
     k = F.col("o_orderkey")
     roc_year = F.lpad((F.year("o_orderdate") - 1911).cast("string"), 3, "0")
@@ -665,6 +683,7 @@ SELECT CAST(CASE col WHEN 'lang' THEN 1 WHEN 'quality' THEN 2 ELSE 3 END AS INTE
        col, count(*) AS n_dropped
 FROM f WHERE col IS NOT NULL GROUP BY col""")
 def p8_missing_report(spark, sf):
+    """Rows lost at each step of listwise deletion."""
     _, report = clean.drop_missing(_doc_labels(spark, sf), ["lang", "quality", "toxic_pos"])
     return report
 
@@ -673,6 +692,7 @@ def p8_missing_report(spark, sf):
 SELECT d.doc_id, d.lang, l.quality FROM documents d LEFT JOIN labels l USING (doc_id)
 WHERE d.lang IS NOT NULL AND l.quality IS NOT NULL AND l.toxic = 1""")
 def p8_complete_rows(spark, sf):
+    """Documents complete on language, quality and a positive toxic flag."""
     kept, _ = clean.drop_missing(_doc_labels(spark, sf), ["lang", "quality", "toxic_pos"])
     return kept.select("doc_id", "lang", "quality")
 
@@ -682,6 +702,7 @@ SELECT count(*) FILTER (WHERE l.quality IS NULL AND l.toxic IS NULL) AS n_missin
        count(*) AS n_rows
 FROM documents d LEFT JOIN labels l USING (doc_id)""")
 def a9_missing_all(spark, sf):
+    """Documents whose label fields are all missing."""
     d = table(spark, sf, "documents").select("doc_id").join(
         table(spark, sf, "labels").select("doc_id", "quality", "toxic"), "doc_id", "left")
     return d.agg(F.count_if(agg.missing_all(d, ["quality", "toxic"])).alias("n_missing_all"),
@@ -692,6 +713,7 @@ def a9_missing_all(spark, sf):
 SELECT CAST(min(o_orderdate) AS DATE) AS min_date, CAST(max(o_orderdate) AS DATE) AS max_date,
        count(DISTINCT date_trunc('month', o_orderdate)) AS n_months FROM orders""")
 def a8_date_range(spark, sf):
+    """First and last order date and the number of distinct order months."""
     o = table(spark, sf, "orders").select(F.to_date("o_orderdate").alias("d"))
     return agg.date_range(o, "d")
 
@@ -704,6 +726,7 @@ def a8_date_range(spark, sf):
 SELECT p_brand, CAST(dense_rank() OVER (ORDER BY p_brand) AS INTEGER) AS brand_id
 FROM (SELECT DISTINCT p_brand FROM part WHERE p_brand IS NOT NULL)""")
 def p19_ids(spark, sf):
+    """Dense brand ids."""
     p = table(spark, sf, "part").select("p_brand")
     return clean.encode_ids(p, "p_brand", "brand_id").where(F.col("p_brand").isNotNull()).distinct()
 
@@ -712,6 +735,7 @@ def p19_ids(spark, sf):
 SELECT l_orderkey, l_partkey, count(*) AS n_rows FROM lineitem
 GROUP BY l_orderkey, l_partkey HAVING count(*) > 1""")
 def a6_duplicates(spark, sf):
+    """(order, part) keys of lineitem with more than one row."""
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey")
     return agg.duplicate_keys(li, ["l_orderkey", "l_partkey"])
 
@@ -720,6 +744,7 @@ def a6_duplicates(spark, sf):
 SELECT p_partkey, p_name FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem
   WHERE l_partkey IS NOT NULL)""")
 def j9_anti_report(spark, sf):
+    """Parts that no lineitem refers to."""
     p = table(spark, sf, "part").select("p_partkey", "p_name")
     li = table(spark, sf, "lineitem").select(F.col("l_partkey").alias("p_partkey"))
     return joins.anti_report(p, li, ["p_partkey"])
@@ -737,6 +762,7 @@ def j9_unlabelled_docs(spark, sf):
 @register("o3_head", """
 SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10""")
 def o3_head(spark, sf):
+    """O3: the ten most expensive orders (top-k report)."""
     o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
     return o.orderBy(F.col("o_totalprice").desc(), F.col("o_orderkey").asc()).limit(10)
 
@@ -766,6 +792,7 @@ SELECT m.variable, count, round(mean, 6) AS mean, round(sd, 6) AS sd, min, round
        round(p50, 6) AS p50, round(p75, 6) AS p75, max
 FROM m JOIN q USING (variable)""")
 def a10_describe(spark, sf):
+    """A10: count, mean, sd, min, quartiles (summarize rule), max of four lineitem measures."""
     li = table(spark, sf, "lineitem").select(*_MEASURES)
     d = agg.describe(li, _MEASURES)
     return d.select("variable", "count", *[r6(F.col(c)).alias(c) for c in ("mean", "sd")], "min",
@@ -777,6 +804,7 @@ def a10_describe(spark, sf):
     for i, a in enumerate(_MEASURES) for j, b in enumerate(_MEASURES))
     + " " + " UNION ALL ".join(f"SELECT * FROM c{i}{j}" for i in range(4) for j in range(4)))
 def a11_corr(spark, sf):
+    """Pairwise-complete correlation matrix of four lineitem measures."""
     li = table(spark, sf, "lineitem").select(*_MEASURES)
     return agg.pairwise_corr(li, _MEASURES).select("var1", "var2", r6(F.col("corr")).alias("corr"))
 
@@ -793,6 +821,7 @@ grid AS (SELECT n_name AS district, month FROM nation CROSS JOIN cal)
 SELECT district, month FROM grid
 EXCEPT SELECT DISTINCT district, month FROM facts WHERE status = 'F'""")
 def s6_pending(spark, sf):
+    """Nation-months without finished orders (keys with no output yet)."""
     from ..sources import io
 
     f = order_cube(spark, sf)
@@ -817,6 +846,7 @@ SELECT district, month, round(sum(CASE WHEN status = 'F' THEN price END), 2) AS
        round(coalesce(sum(CASE WHEN status = 'F' THEN price END), 0), 2) AS revenue_f0
 FROM facts GROUP BY district, month""")
 def a1_group_sum(spark, sf):
+    """A1: finished-order revenue per district-month, NULL-when-empty and zero-when-empty."""
     f = _finished_revenue(spark, sf)
     a = agg.group_sum(f, ["district", "month"], ["price_f"], empty="null")
     b = agg.group_sum(f, ["district", "month"], ["price_f"], empty="zero", suffix="0")
@@ -828,6 +858,7 @@ def a1_group_sum(spark, sf):
 @register("a4_count_by", """
 SELECT o_orderstatus, o_orderpriority, count(*) AS n FROM orders GROUP BY o_orderstatus, o_orderpriority""")
 def a4_count_by(spark, sf):
+    """A4: order counts by status and priority."""
     return agg.count_by(table(spark, sf, "orders"), ["o_orderstatus", "o_orderpriority"])
 
 
@@ -836,6 +867,7 @@ SELECT county, round(sum(price) FILTER (WHERE flag), 2) AS flagged, round(sum(pr
        round(sum(price) FILTER (WHERE flag) / sum(price), 6) AS share
 FROM facts GROUP BY county""")
 def a12_share_of_flag(spark, sf):
+    """BUILDING-segment share of order value per county."""
     out = agg.share_of_flag(order_cube(spark, sf), ["county"], F.col("flag"), "price_sum")
     return out.select("county", F.round("flagged", 2).alias("flagged"), F.round("total", 2).alias("total"),
                       F.round("share", 6).alias("share"))
@@ -852,6 +884,7 @@ w AS (SELECT district, month, v,
 SELECT district, month, v, v_ffill, v_bfill, coalesce(v_ffill, v_bfill) AS v_either,
        coalesce(v, 0.0) AS v_zero FROM w""")
 def w1_fill_gaps(spark, sf):
+    """Urgent finished revenue per district-month, filled forward/backward/zero."""
     f = order_cube(spark, sf)
     s = f.groupBy("district", "month").agg(
         money((F.col("status") == "F") & (F.col("series") == "1-URGENT")).alias("v"))
@@ -868,6 +901,7 @@ SELECT county, CAST(year(month) AS INTEGER) AS year, month, n_orders FROM (
   SELECT *, row_number() OVER (PARTITION BY county, year(month) ORDER BY month DESC) AS rn FROM cm)
 WHERE rn = 1""")
 def w8_last_per_group(spark, sf):
+    """Last month of each county-year."""
     cm = order_cube(spark, sf).groupBy("county", "month").agg(nsum().alias("n_orders"))
     cm = cm.withColumn("year", F.year("month").cast("int"))
     return windows.last_per_group(cm, ["county", "year"], ["month"]).select(
