@@ -32,6 +32,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # checkpoints of finished rounds/intermediates are removed once unreferenced
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.driver.memory": os.environ.get("PANELJET_DRIVER_MEMORY", "16g"),
     }
     if shuffle_partitions:
