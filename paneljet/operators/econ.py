@@ -280,7 +280,7 @@ def _prepare(df, cols, absorb, cluster, singletons=True):
     obs = Observation(f"moments_{uuid.uuid4().hex}")
     dm = cut_lineage(demean(sample, cols, absorb).observe(obs, *_moment_aggs(cols)))
     m, n = _moment_matrix(obs.get, len(cols))
-    return sample, dm, (m, n, cols)
+    return sample, dm, (m, n, cols), absorbed_dof(sample, absorb, cluster)
 
 
 def _sub_moments(moments, want: Sequence[str]) -> tuple[np.ndarray, int]:
@@ -294,7 +294,7 @@ def ols_fe(df: DataFrame, y: str, x: Sequence[str], absorb: Sequence[str] = (),
     """OLS of ``y`` on ``x`` after absorbing ``absorb``; cluster-robust when ``cluster``
     is given, else heteroskedasticity-robust."""
     x = list(x)
-    sample, dm, moments = _prepared or _prepare(df, [y, *x], absorb, cluster, singletons)
+    sample, dm, moments, dof = _prepared or _prepare(df, [y, *x], absorb, cluster, singletons)
     m, n = _sub_moments(moments, [*x, y])
     k = len(x)
     keep = _independent(m[:k, :k])
@@ -304,7 +304,7 @@ def ols_fe(df: DataFrame, y: str, x: Sequence[str], absorb: Sequence[str] = (),
     b = np.linalg.solve(xtx, xty)
     resid = F.col(y) - sum((F.lit(float(bi)) * F.col(c) for bi, c in zip(b, xs)), F.lit(0.0))
     meat, g = cluster_meat(dm, cluster, [F.col(c) * resid for c in xs])
-    kk = len(xs) + absorbed_dof(sample, absorb, cluster)
+    kk = len(xs) + dof
     inv = np.linalg.inv(xtx)
     v = _q(n, g, kk, cluster is not None) * inv @ meat @ inv
     ssr = m[k, k] - 2 * b @ xty + b @ xtx @ b
@@ -325,7 +325,7 @@ def iv_2sls(df: DataFrame, y: str, endog: Sequence[str], instruments: Sequence[s
     """
     endog, exog, instruments = list(endog), list(exog), list(instruments)
     cols = [*endog, *exog, *instruments, y]
-    sample, dm, moments = _prepared or _prepare(df, cols, absorb, cluster, singletons)
+    sample, dm, moments, dof = _prepared or _prepare(df, cols, absorb, cluster, singletons)
     m, n = _sub_moments(moments, cols)
     ix = {c: i for i, c in enumerate(cols)}
     xi = [ix[c] for c in [*endog, *exog]]
@@ -349,7 +349,7 @@ def iv_2sls(df: DataFrame, y: str, endog: Sequence[str], instruments: Sequence[s
     big, g = cluster_meat(dm, cluster, scores)
     nl = len(znames)
     meat_z = big[:nl, :nl]
-    kk_abs = absorbed_dof(sample, absorb, cluster)
+    kk_abs = dof
     clustered = cluster is not None
     v = _q(n, g, len(xnames) + kk_abs, clustered) * bread @ (a @ meat_z @ a.T) @ bread
     stats = {"N": n, "N_clust": g, "df_absorbed": kk_abs}
