@@ -84,16 +84,18 @@ def drop_singletons(df: DataFrame, absorb: Sequence[str], max_iter: int = 100) -
         return df.join(keep.select(fe), fe, "left_semi")
     cur = df
     for _ in range(max_iter):
-        removed = False
+        # one job tells whether any dimension still has a singleton
+        flags = None
         for fe in absorb:
-            single = cur.groupBy(fe).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") == 1)
-            if not single.isEmpty():
-                cur = cur.join(single.select(fe), fe, "left_anti")
-                removed = True
-        if not removed:
+            part = (cur.groupBy(fe).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") == 1)
+                    .select(F.lit(fe).alias("_fe")).limit(1))
+            flags = part if flags is None else flags.unionByName(part)
+        if flags.isEmpty():
             return cur
-        if len(absorb) > 1:
-            cur = cut_lineage(cur)
+        for fe in absorb:
+            single = cur.groupBy(fe).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") == 1)
+            cur = cur.join(single.select(fe), fe, "left_anti")
+        cur = cut_lineage(cur)
     raise RuntimeError("singleton removal did not converge")
 
 
