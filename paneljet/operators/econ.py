@@ -81,7 +81,7 @@ def drop_singletons(df: DataFrame, absorb: Sequence[str], max_iter: int = 100) -
         # one dimension: dropping its singletons cannot create new ones - lazy, no action
         fe = absorb[0]
         keep = df.groupBy(fe).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
-        return df.join(keep.select(fe), fe, "left_semi")
+        return df.join(keep.select(fe), fe, "left_semi").select(*df.columns)
     cur = df
     for _ in range(max_iter):
         # one job tells whether any dimension still has a singleton
@@ -91,7 +91,7 @@ def drop_singletons(df: DataFrame, absorb: Sequence[str], max_iter: int = 100) -
                     .select(F.lit(fe).alias("_fe")).limit(1))
             flags = part if flags is None else flags.unionByName(part)
         if flags.isEmpty():
-            return cur
+            return cur.select(*df.columns)
         for fe in absorb:
             single = cur.groupBy(fe).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") == 1)
             cur = cur.join(single.select(fe), fe, "left_anti")

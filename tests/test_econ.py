@@ -166,3 +166,11 @@ def test_prepare_sample(spark):
     assert rep["missing"] == ["z"]
     assert sorted((r["county"], r["cd_id"], r["y"]) for r in sample.collect()) == [("a", 1, 1.5), ("c", 3, 4.0)]
     assert sorted(tuple(r) for r in steps.collect()) == [(1, "y", 4, 1, 3), (2, "x", 3, 1, 2)]
+
+
+def test_singletons_removed_iteratively_across_dimensions(spark):
+    # a-level "x" has one row -> dropped; that leaves b-level "q" with one row -> dropped too
+    rows = [("x", "q"), ("y", "q"), ("y", "p"), ("y", "p"), ("z", "p"), ("z", "r"), ("y", "r")]
+    df = spark.createDataFrame(rows, "a string, b string")
+    out = sorted(tuple(r) for r in econ.drop_singletons(df, ["a", "b"]).collect())
+    assert out == sorted([("y", "p"), ("y", "p"), ("z", "p"), ("z", "r"), ("y", "r")])
