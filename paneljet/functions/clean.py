@@ -359,7 +359,7 @@ def encode_ids(df: DataFrame, col: str, out: str) -> DataFrame:
             Window.unboundedPreceding, -1)), F.lit(0)))
     codes = (local.join(F.broadcast(offsets.select("_pid", "_off")), "_pid")
              .select(col, (F.col("_off") + F.col("_r")).cast("int").alias(out)))
-    return df.join(codes, on=col, how="left")
+    return df.join(codes, on=col, how="left").select(*df.columns, out)
 
 
 def indicator_product(status: ColumnOrName, value: ColumnOrName) -> Column:

@@ -147,13 +147,13 @@ def active_count(df: DataFrame, open_col: str, close_col: str, by: Sequence[str]
 
 
 def semi_join(df: DataFrame, keys_df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keep rows whose key is in another set."""
-    return df.join(keys_df.select(*keys), list(keys), "left_semi")
+    """Keep rows whose key is in another set (columns in input order)."""
+    return df.join(keys_df.select(*keys), list(keys), "left_semi").select(*df.columns)
 
 
 def anti_report(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``left`` whose key is absent from ``right``."""
-    return left.join(right.select(*keys), list(keys), "left_anti")
+    """Rows of ``left`` whose key is absent from ``right`` (columns in input order)."""
+    return left.join(right.select(*keys), list(keys), "left_anti").select(*left.columns)
 
 
 def union_sources(frames: Sequence[tuple[DataFrame, Mapping[str, str]]], rank_col: str = "source_rank") -> DataFrame:
