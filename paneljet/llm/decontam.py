@@ -3,10 +3,11 @@
 Texts and items are word sequences (case folded, punctuation and white space separate words). A
 pass over all documents finds every n-gram that occurs in a benchmark item (an item of fewer
 words is one gram) and cuts the passage around each cluster of hits. An item's seeds are its
-rare grams: those in at most ``rare`` of all documents, or at most as frequent as the item's own median
-gram, so an item that leaked into a third of the corpus keeps seeds. Passages with a seed are
-aligned with their item, word by word (match +2, mismatch and gap -1). A passage whose score is
-at least ``threshold`` of the item's self-score is a leak.
+rare grams: those in at most ``rare`` of all documents, or at most as frequent as the item's own
+median gram, so an item that leaked into a third of the corpus keeps seeds. Passages with a seed, and
+those with a tenth of the item's grams, however common, are aligned with their item, word by
+word (match +2, mismatch and gap -1). A passage whose score is at least ``threshold`` of the
+item's self-score is a leak.
 
 The benchmark is taken in blocks of at most about BLOCK_BYTES (a stated query set): each block's grams
 and words are broadcast, so the broadcast is bounded whatever the benchmark's size.
@@ -205,18 +206,20 @@ def _block(docs: DataFrame, items: list[tuple], n: int, rare: float, total: int,
     for g, places in where.items():
         for i in {i for i, _ in places}:
             mine[i].append(signed[g])
-    seeds = {}
+    seeds, dense = {}, {}
     for i, grams in mine.items():
         usual = float(np.median([df.get(g, 0) for g in grams]))
         seeds[i] = {g for g in grams if df.get(g, 0) <= max(rare * total, usual)}
-    plan = spark.sparkContext.broadcast((seeds, words))
+        dense[i] = max(2, -(-len(grams) // 10))
+    plan = spark.sparkContext.broadcast((seeds, dense, words))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seeds, words = plan.value
+        seeds, dense, words = plan.value
         for batch in batches:
             row, cols, seen = [], ([], [], [], []), {}
             for i, (item, grams) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2))):
-                if seeds[item].isdisjoint(grams.as_py()):
+                grams = grams.as_py()
+                if len(grams) < dense[item] and seeds[item].isdisjoint(grams):
                     continue
                 passage = np.asarray(batch.column(3)[i].values, dtype=np.int64).view(np.uint64)
                 key = (item, passage.tobytes())

@@ -3,10 +3,11 @@
 Every language has a codeword of +1/-1 bits. For each bit a binary naive-Bayes classifier over
 hashed byte trigrams (A-Z and Latin-1 capitals lower-cased) tells the languages whose bit is +1
 from the others; all need the same counts, n-grams by language, which one distributed pass over
-all training rows gathers. A text's margin for a bit is its mean log-odds per n-gram. Decoding is
-loss-weighted: bit j of language l counts with the accuracy classifier j reached on training
-rows of l, and the codeword with the least weighted logistic loss wins. The text is ambiguous if the
-runner-up's loss is within ``ambiguity`` (relative) of the winner's.
+all training rows gathers. A text's margin for a bit is its mean log-odds per n-gram, each
+bounded by EVIDENCE. Decoding is loss-weighted: bit j of language l counts with the accuracy
+classifier j reached on training rows of l, and the codeword with the least weighted logistic
+loss wins. The text is ambiguous if the runner-up's loss is within ``ambiguity`` (relative) of
+the winner's.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0 and not ambiguous;
 rows with a null language (or null id, in the query) are not learned from; with no language
@@ -32,7 +33,8 @@ from .common import LOWER, map_arrow, text_slices
 GRAMS = 1 << 14        # hashed trigram features
 MAX_LANGUAGES = 512    # bound on distinct labels: the count table is languages x GRAMS
 SHARPNESS = 4.0        # scale of the margins inside the logistic loss
-AMBIGUITY = 0.05
+EVIDENCE = 2.0         # bound of one n-gram's log-odds, so that a foreign passage weighs by its length
+AMBIGUITY = 0.02
 _ASCII_LETTER = np.zeros(256, dtype=bool)
 _ASCII_LETTER[[*range(65, 91), *range(97, 123)]] = True
 
@@ -147,7 +149,9 @@ def train(rows: DataFrame, lang_col: str = "lang", text_col: str = "text",
     code = codewords(len(labels))
     weights = np.zeros((size, code.shape[1]), dtype=np.float32)
     for j in range(code.shape[1]):
-        weights[:, j] = np.log(share[code[:, j] > 0].mean(0)) - np.log(share[code[:, j] < 0].mean(0))
+        weights[:, j] = (np.log(share[code[:, j] > 0].mean(0))
+                         - np.log(share[code[:, j] < 0].mean(0)))
+    weights = np.clip(weights, -EVIDENCE, EVIDENCE)
     return LanguageModel(labels, code, weights)
 
 
