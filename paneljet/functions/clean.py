@@ -162,9 +162,9 @@ def recode_join(df: DataFrame, col: str, lookup: DataFrame, key: str = "from", v
 def to_number(c: ColumnOrName, dtype: str = "double") -> Column:
     """Lenient numeric cast; text that is not a number becomes NULL.
 
-    Thousands separators and surrounding blanks are removed first; NaN becomes NULL.
+    Surrounding blanks are removed first; ``1,234`` is not a number; NaN becomes NULL.
     """
-    s = F.regexp_replace(F.trim(_col(c).cast("string")), ",", "")
+    s = F.trim(_col(c).cast("string"))
     v = s.try_cast(dtype)
     if dtype in ("double", "float"):
         v = F.when(~F.isnan(v), v)
@@ -350,8 +350,11 @@ def encode_ids(df: DataFrame, col: str, out: str) -> DataFrame:
     """
     from pyspark.sql import Window
 
-    vals = (df.select(col).where(F.col(col).isNotNull()).distinct()
-            .repartitionByRange(col).withColumn("_pid", F.spark_partition_id()))
+    from ..operators.util import cut_lineage
+
+    # materialised once: both branches below must see the same ranges
+    vals = cut_lineage(df.select(col).where(F.col(col).isNotNull()).distinct()
+                       .repartitionByRange(col).withColumn("_pid", F.spark_partition_id()))
     local = vals.withColumn("_r", F.row_number().over(Window.partitionBy("_pid").orderBy(col)))
     sizes = vals.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.withColumn(

@@ -182,13 +182,23 @@ def category_split_totals(long: DataFrame, date: str, category: str, unit: str,
 
     The central table has one row per date (a calendar-sized frame), joined m:1 by date.
     Missing values are dropped first (the long table comes from a stack that drops them),
-    so a unit-date with no value at all has no row.
+    so a unit-date with no value at all has no row. A category outside ``categories`` and a
+    local (unit, date, category) that occurs twice are errors.
     """
     long = long.where(F.col(value).isNotNull())
+    known = F.coalesce(F.col(category).isin(list(categories)), F.lit(False))
+    long = long.withColumn(category, F.when(known, F.col(category)).otherwise(F.raise_error(
+        F.concat(F.lit("unknown category: "), F.coalesce(F.col(category).cast("string"), F.lit("null"))))))
+
+    def only(c):
+        mine = F.when(F.col(category) == F.lit(c), F.col(value))
+        return F.when(F.count(mine) > 1, F.raise_error(F.lit(f"duplicate local key in category {c}"))
+                      ).otherwise(F.max(mine))
+
     is_central = F.col(unit).isin(list(central_units))
     local = long.where(~is_central)
     local_wide = local.groupBy(F.col(unit).alias(unit_out), date).agg(*[
-        F.max(F.when(F.col(category) == F.lit(c), F.col(value))).alias(f"{prefix}_{c}_local")
+        only(c).alias(f"{prefix}_{c}_local")
         for c in categories])
     cent = long.where(is_central).groupBy(date).agg(*[
         F.sum(F.when(F.col(category) == F.lit(c), F.col(value))).alias(f"central_{c}")

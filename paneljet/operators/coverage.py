@@ -3,7 +3,7 @@
 Inputs (planar metres for roads and towns, lon/lat or metres for stations):
 
 * roads    ``(city, road_id, ROADCLASS1, path ARRAY<STRUCT<x, y>>)``
-* towns    ``(city, TOWNID, TOWNNAME, ring ARRAY<STRUCT<x, y>>)``
+* towns    ``(city, TOWNID, TOWNNAME, ring ARRAY<STRUCT<x, y>>)``, one row per ring
 * stations ``(city, month, station_id, lon, lat)`` (or ``x``, ``y`` with ``project=False``)
 
 Steps, all keyed by city (and month for stations), in one Spark job graph:
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from . import network, spatial
 from .util import cut_lineage
+from .windows import first_wins_dedup
 
 CITY, MONTH = "city", "month"
 
@@ -49,9 +50,18 @@ def town_edges(roads: DataFrame, towns: DataFrame, cell: float = 500.0,
     if "ROADCLASS1" in roads.columns:
         r = roads.where(F.col("ROADCLASS1").isNull() | ~F.col("ROADCLASS1").isin(list(drop_classes)))
     segs = road_segments(r)
-    clipped = spatial.clip_lines(segs, towns.select(CITY, "TOWNID", "ring"), cell,
-                                 seg_keys=(CITY, "road_id", "i"), poly_keys=("TOWNID",),
-                                 match=(CITY,), keep=("x0", "y0", "x1", "y1"))
+    parts = spatial.clip_lines(segs, town_parts(towns), cell,
+                               seg_keys=(CITY, "road_id", "i"), poly_keys=("TOWNID", "part"),
+                               match=(CITY,), keep=("x0", "y0", "x1", "y1"))
+    # even-odd over all rings of a town: the cut points in order bound its pieces in turn
+    cuts = F.array_sort(F.flatten(F.collect_list(F.flatten(F.transform(
+        "pieces", lambda p: F.array(p["a"], p["b"]))))))
+    line = [CITY, "road_id", "i", "TOWNID", "x0", "y0", "x1", "y1", "seg_len"]
+    clipped = (parts.groupBy(*line).agg(cuts.alias("t"))
+               .withColumn("pieces", F.filter(F.transform(
+                   F.sequence(F.lit(0), (F.size("t") / 2).cast("int") - 1),
+                   lambda k: F.struct(F.get("t", 2 * k).alias("a"), F.get("t", 2 * k + 1).alias("b"))),
+                   lambda p: p["b"] > p["a"])))
     pieces = clipped.select(CITY, "road_id", "i", "TOWNID", "x0", "y0", "x1", "y1", "seg_len",
                             F.posexplode("pieces").alias("k", "p"))
     dx, dy = F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")
@@ -74,17 +84,31 @@ def town_edges(roads: DataFrame, towns: DataFrame, cell: float = 500.0,
     return edges.where((F.col("len_m") > 0) & (F.col("u") != F.col("v")))
 
 
+def town_parts(towns: DataFrame) -> DataFrame:
+    """``(city, TOWNID, part, ring)``: a town's boundary is the even-odd union of its rings,
+    one row each (separate parts, and holes inside a part)."""
+    return towns.select(CITY, "TOWNID", F.xxhash64("ring").alias("part"), "ring").distinct()
+
+
 def station_points(stations: DataFrame, towns: DataFrame, project: bool = True,
                    cell: float = 500.0) -> DataFrame:
-    """N1 + N2: stations in metres, kept when inside some town of their city."""
+    """N1 + N2: stations in metres, kept when inside some town of their city.
+
+    Places are located once, however many months and stations share them. A station listed
+    with two places is at both.
+    """
     if project:
         x, y = spatial.project_tm2(F.col("lon"), F.col("lat"))
         pts = stations.select(CITY, MONTH, "station_id", x.alias("x"), y.alias("y"))
     else:
         pts = stations.select(CITY, MONTH, "station_id", "x", "y")
-    inside = spatial.points_in_polygons(pts, towns.select(CITY, "TOWNID", "ring"), cell,
-                                        poly_keys=("TOWNID",), match=(CITY,))
-    return inside.select(CITY, MONTH, "station_id", "x", "y").dropDuplicates([CITY, MONTH, "station_id"])
+    places = pts.select(CITY, "x", "y").distinct()
+    hits = spatial.points_in_polygons(places, town_parts(towns), cell,
+                                      poly_keys=("TOWNID", "part"), match=(CITY,))
+    inside = (hits.groupBy(CITY, "x", "y", "TOWNID").agg(F.count(F.lit(1)).alias("rings"))
+              .where(F.col("rings") % 2 == 1).select(CITY, "x", "y").distinct())
+    return pts.distinct().join(inside, [CITY, "x", "y"], "left_semi").select(
+        CITY, MONTH, "station_id", "x", "y")
 
 
 def road_chains(pieces: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -188,19 +212,25 @@ def coverage_panel(roads: DataFrame, towns: DataFrame, stations: DataFrame,
                    digits_len: int = 1, digits_pct: int = 2, contract: bool = True) -> DataFrame:
     """Coverage by (city, month, town): total and banded road length and reach %.
 
-    City-months without a (snapped) station give no rows unless ``emit_empty``, in which case
-    every town of every city-month in ``stations`` appears with zero coverage.
+    Every town of the city, with or without roads, has a row for each city-month with a
+    station inside the city, whether or not one is near a road. City-months without such a
+    station give no rows unless ``emit_empty``, in which case every town of every city-month in
+    ``stations`` appears. A town's boundary may have several rings, one row each.
     """
     # The clipped edges feed the snap, the search, the coverage and the totals: computed once.
     edges = cut_lineage(town_edges(roads, towns, cell))
     # Covered once: one representative per duplicated piece (same town and end points);
     # stations snap to representatives only, totals count every piece.
-    uniq = cut_lineage(edges.dropDuplicates([CITY, "TOWNID", "u", "v"]))
-    pts = station_points(stations, towns, project, cell)
+    # A piece drawn in the other direction is the same piece; the smallest edge id stands for it.
+    ends_of = edges.withColumn("_p", F.least("u", "v")).withColumn("_q", F.greatest("u", "v"))
+    uniq = cut_lineage(first_wins_dedup(ends_of, [CITY, "TOWNID", "_p", "_q"], ["edge_id"]).drop("_p", "_q"))
+    pts = cut_lineage(station_points(stations, towns, project, cell))
     seg = uniq.select(CITY, F.col("edge_id").alias("seg_id"), "x0", "y0", "x1", "y1")
-    snapped = spatial.snap_points(pts, seg, max_m=snap_m, cell=max(snap_m, 1.0),
-                                  point_keys=(MONTH, "station_id"), seg_keys=("seg_id",), match=(CITY,))
-    on_edge = cut_lineage(snapped.withColumnRenamed("seg_id", "edge_id"))
+    places = pts.select(CITY, "x", "y").distinct().withColumn("px", F.col("x")).withColumn("py", F.col("y"))
+    snapped = spatial.snap_points(places, seg, max_m=snap_m, cell=max(snap_m, 1.0),
+                                  point_keys=("px", "py"), seg_keys=("seg_id",), match=(CITY,))
+    snapped = snapped.withColumnsRenamed({"px": "x", "py": "y", "seg_id": "edge_id"})
+    on_edge = cut_lineage(pts.join(snapped, [CITY, "x", "y"]))
     max_d = float(max(thresholds))
     stations_on = on_edge.select(CITY, MONTH, "edge_id", "offset")
     if contract:
@@ -219,9 +249,9 @@ def coverage_panel(roads: DataFrame, towns: DataFrame, stations: DataFrame,
         dist = network.network_distance(uniq, sources, [CITY], [MONTH], max_d,
                                         d0="d0", checkpoint_every=2)
         cov = network.covered_length(uniq, dist, [CITY], [MONTH], thresholds, on_edge=stations_on)
-    keys = (stations if emit_empty else on_edge).select(CITY, MONTH).distinct()
+    keys = (stations if emit_empty else pts).select(CITY, MONTH).distinct()
+    names = towns.groupBy(CITY, "TOWNID").agg(F.min("TOWNNAME").alias("TOWNNAME"))
     by_town = network.length_by_region(edges, cov, [CITY], [MONTH], keys, town="TOWNID",
-                                       thresholds=thresholds)
+                                       thresholds=thresholds, regions=names.select(CITY, "TOWNID"))
     out = network.coverage_bands(by_town, thresholds, digits_len=digits_len, digits_pct=digits_pct)
-    names = towns.select(CITY, "TOWNID", "TOWNNAME").dropDuplicates([CITY, "TOWNID"])
     return out.join(names, [CITY, "TOWNID"], "left")

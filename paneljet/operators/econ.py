@@ -13,7 +13,6 @@ statistic is Hansen's J from two-step GMM with the cluster-robust weight matrix.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -99,6 +98,13 @@ def drop_singletons(df: DataFrame, absorb: Sequence[str], max_iter: int = 100) -
     raise RuntimeError("singleton removal did not converge")
 
 
+def _overall(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float, float]]:
+    """Mean and standard deviation of every column: one row to the driver."""
+    row = df.agg(*[F.avg(c).alias(f"a{i}") for i, c in enumerate(cols)],
+                 *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(cols)]).first()
+    return {c: (row[f"a{i}"] or 0.0, row[f"s{i}"] or 0.0) for i, c in enumerate(cols)}
+
+
 def _subtract_means(df: DataFrame, cols: Sequence[str], fe: str) -> tuple[DataFrame, DataFrame]:
     means = df.groupBy(fe).agg(*[F.avg(c).alias(f"_m_{c}") for c in cols])
     keep = [c for c in df.columns if c not in cols]
@@ -112,15 +118,20 @@ def demean(df: DataFrame, cols: Sequence[str], absorb: Sequence[str] = (), tol:
 
     No fixed effect: subtract the overall mean (the constant). One: subtract group means
     (group means are an aggregate joined back, so a hot group is combined map-side). Several:
-    alternating projections until every group mean is below ``tol``, with a reliable
-    checkpoint each sweep.
+    alternating projections until every group mean is below ``tol`` times the column's
+    standard deviation, with a reliable checkpoint each sweep.
     """
     cols = list(cols)
-    if not absorb:
-        return _subtract_means(df.withColumn(CONST, F.lit(1)), cols, CONST)[0].drop(CONST)
-    if len(absorb) == 1:
+    if absorb and len(absorb) == 1:
         return _subtract_means(df, cols, absorb[0])[0]
-    cur = cut_lineage(df)
+    if absorb:
+        df = cut_lineage(df)
+    overall = _overall(df, cols)
+    keep = [c for c in df.columns if c not in cols]
+    cur = df.select(*keep, *[(F.col(c) - F.lit(float(overall[c][0]))).alias(c) for c in cols])
+    if not absorb:
+        return cur
+    scale = {c: sd if sd > 0 else 1.0 for c, (_, sd) in overall.items()}
     for _ in range(max_iter):
         for fe in absorb:                       # one sweep, lazily
             cur, _ = _subtract_means(cur, cols, fe)
@@ -130,7 +141,7 @@ def demean(df: DataFrame, cols: Sequence[str], absorb: Sequence[str] = (), tol:
         peaks = None
         for fe in absorb[:-1]:
             m = cur.groupBy(fe).agg(*[F.avg(c).alias(f"_m_{c}") for c in cols])
-            tops = [F.max(F.abs(f"_m_{c}")) for c in cols]
+            tops = [F.max(F.abs(f"_m_{c}")) / F.lit(float(scale[c])) for c in cols]
             part = m.agg((F.greatest(*tops) if len(tops) > 1 else tops[0]).alias("w"))
             peaks = part if peaks is None else peaks.unionByName(part)
         worst = peaks.agg(F.max("w")).first()[0] or 0.0
@@ -144,30 +155,47 @@ def demean(df: DataFrame, cols: Sequence[str], absorb: Sequence[str] = (), tol:
 # --------------------------------------------------------------------------------------
 
 def cross_products(df: DataFrame, cols: Sequence[str]) -> tuple[np.ndarray, int]:
-    """The K x K matrix of sums of products and N, from one aggregation."""
+    """The K x K matrix of sums of products and N.
+
+    Rows become vectors whose outer products are summed in the JVM, partition by partition and
+    then in a tree (a Gram matrix), so the plan does not grow with K.
+    """
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.mllib.linalg.distributed import RowMatrix
+    from pyspark.mllib.util import MLUtils
+
     cols = list(cols)
-    return _moment_matrix(df.agg(*_moment_aggs(cols)).first(), len(cols))
+    rows = df.select(array_to_vector(F.array(*[F.col(c).cast("double") for c in cols])).alias("v"))
+    n = rows.count()
+    if not n:
+        return np.zeros((len(cols), len(cols))), 0
+    matrix = RowMatrix(MLUtils.convertVectorColumnsFromML(rows, "v"), n, len(cols))
+    return matrix.computeGramianMatrix().toArray(), n
 
 
 def cluster_meat(df: DataFrame, cluster: str | None, scores: Sequence) -> tuple[np.ndarray, int]:
     """E5: ``sum_g s_g s_g'`` with ``s_g`` the per-cluster sums of the score columns.
 
-    Cluster sums are a partial aggregate (one row per cluster), the outer products a second
-    aggregate; without a cluster every observation is its own cluster (robust errors).
+    Cluster sums are a partial aggregate (one row per cluster), the outer products a Gram
+    matrix; without a cluster every observation is its own cluster (robust errors).
     """
-    k = len(scores)
+    return cluster_meats(df, cluster, [scores])
+
+
+def cluster_meats(df: DataFrame, cluster: str | None, blocks: Sequence[Sequence]
+                  ) -> tuple:
+    """``cluster_meat`` of several blocks of scores from one pass over the data: returns one
+    matrix per block, then the number of clusters. Cross-blocks are not formed."""
+    names = [[f"s{b}_{i}" for i in range(len(scores))] for b, scores in enumerate(blocks)]
+    flat = [(n, s) for ns, scores in zip(names, blocks) for n, s in zip(ns, scores)]
     if cluster is None:
-        sums = df.select(*[s.alias(f"s{i}") for i, s in enumerate(scores)])
+        sums = df.select(*[s.alias(n) for n, s in flat])
     else:
-        sums = df.groupBy(cluster).agg(*[F.sum(s).alias(f"s{i}") for i, s in enumerate(scores)])
-    aggs = [F.sum(F.col(f"s{i}") * F.col(f"s{j}")).alias(f"m{i}_{j}")
-            for i in range(k) for j in range(i, k)]
-    row = sums.agg(F.count(F.lit(1)).alias("g"), *aggs).first()
-    m = np.zeros((k, k))
-    for i in range(k):
-        for j in range(i, k):
-            m[i, j] = m[j, i] = row[f"m{i}_{j}"] or 0.0
-    return m, int(row["g"])
+        sums = df.groupBy(cluster).agg(*[F.sum(s).alias(n) for n, s in flat])
+        if len(blocks) > 1:
+            sums = cut_lineage(sums)
+    grams = [cross_products(sums, ns) for ns in names]
+    return (*[m for m, _ in grams], grams[0][1])
 
 
 def absorbed_dof(df: DataFrame, absorb: Sequence[str], cluster: str | None) -> int:
@@ -192,12 +220,13 @@ def absorbed_dof(df: DataFrame, absorb: Sequence[str], cluster: str | None) -> i
     return dof - (counted - 1)
 
 
-def _independent(xtx: np.ndarray, rel_tol: float = 1e-9) -> list[int]:
-    """Indices of columns kept after dropping those collinear with earlier ones."""
+def _independent(xtx: np.ndarray, norms: np.ndarray, rel_tol: float = 1e-9) -> list[int]:
+    """Indices of columns kept after dropping absorbed ones (what demeaning left is nothing
+    beside ``norms``, the squared deviations before it) and those collinear with earlier ones."""
     kept: list[int] = []
     for j in range(xtx.shape[0]):
         d = xtx[j, j]
-        if d <= 0:
+        if d <= rel_tol * norms[j] or d <= 0:
             continue
         if kept:
             a = xtx[np.ix_(kept, kept)]
@@ -251,44 +280,27 @@ def _q(n: int, g: int, k: int, clustered: bool) -> float:
     return n / (n - k) if n > k else float("nan")
 
 
-def _moment_aggs(cols: Sequence[str]) -> list:
-    k = len(cols)
-    return [F.count(F.lit(1)).alias("n")] + [
-        F.sum(F.col(cols[i]) * F.col(cols[j])).alias(f"m{i}_{j}") for i in range(k) for j in range(i, k)]
-
-
-def _moment_matrix(row, k: int) -> tuple[np.ndarray, int]:
-    m = np.zeros((k, k))
-    for i in range(k):
-        for j in range(i, k):
-            m[i, j] = m[j, i] = row[f"m{i}_{j}"] or 0.0
-    return m, int(row["n"])
-
-
 def _prepare(df, cols, absorb, cluster, singletons=True):
     """Sample (complete cases, singletons dropped), its demeaned copy and the cross-product
-    moments of ``cols``. The moments are observed while the demeaned copy is checkpointed,
-    so they cost no extra pass."""
-    import uuid
-
-    from pyspark.sql import Observation
-
+    moments of ``cols`` with the squared norms the columns had before demeaning."""
     cols = list(dict.fromkeys(cols))
     need = [*cols, *absorb] + ([cluster] if cluster else [])
     sample = df.select(*dict.fromkeys(need)).dropna()
     if absorb and singletons:
         sample = drop_singletons(sample, absorb)
     sample = cut_lineage(sample)
-    obs = Observation(f"moments_{uuid.uuid4().hex}")
-    dm = cut_lineage(demean(sample, cols, absorb).observe(obs, *_moment_aggs(cols)))
-    m, n = _moment_matrix(obs.get, len(cols))
-    return sample, dm, (m, n, cols), absorbed_dof(sample, absorb, cluster)
+    overall = _overall(sample, cols)
+    dm = cut_lineage(demean(sample, cols, absorb))
+    m, n = cross_products(dm, cols)
+    # squared deviations from the mean; a constant column's are rounding of its size
+    norms = np.array([n * (sd * sd + 1e-15 * a * a) for a, sd in (overall[c] for c in cols)])
+    return sample, dm, (m, n, cols, norms), absorbed_dof(sample, absorb, cluster)
 
 
-def _sub_moments(moments, want: Sequence[str]) -> tuple[np.ndarray, int]:
-    m, n, cols = moments
+def _sub_moments(moments, want: Sequence[str]) -> tuple[np.ndarray, int, np.ndarray]:
+    m, n, cols, norms = moments
     idx = [cols.index(c) for c in want]
-    return m[np.ix_(idx, idx)], n
+    return m[np.ix_(idx, idx)], n, norms[idx]
 
 
 def ols_fe(df: DataFrame, y: str, x: Sequence[str], absorb: Sequence[str] = (),
@@ -297,9 +309,11 @@ def ols_fe(df: DataFrame, y: str, x: Sequence[str], absorb: Sequence[str] = (),
     is given, else heteroskedasticity-robust."""
     x = list(x)
     sample, dm, moments, dof = _prepared or _prepare(df, [y, *x], absorb, cluster, singletons)
-    m, n = _sub_moments(moments, [*x, y])
+    m, n, norms = _sub_moments(moments, [*x, y])
     k = len(x)
-    keep = _independent(m[:k, :k])
+    keep = _independent(m[:k, :k], norms)
+    if not keep:
+        raise ValueError("no regressor is left: all are absorbed")
     xs = [x[i] for i in keep]
     xtx = m[np.ix_(keep, keep)]
     xty = m[keep, k]
@@ -328,8 +342,23 @@ def iv_2sls(df: DataFrame, y: str, endog: Sequence[str], instruments: Sequence[s
     endog, exog, instruments = list(endog), list(exog), list(instruments)
     cols = [*endog, *exog, *instruments, y]
     sample, dm, moments, dof = _prepared or _prepare(df, cols, absorb, cluster, singletons)
-    m, n = _sub_moments(moments, cols)
+    m, n, norms = _sub_moments(moments, cols)
     ix = {c: i for i, c in enumerate(cols)}
+
+    def left(first, then):
+        names = [*first, *then]
+        idx = [ix[c] for c in names]
+        return [names[i] for i in _independent(m[np.ix_(idx, idx)], norms[idx])]
+
+    # absorbed and collinear columns go: controls first, then instruments and endogenous
+    # regressors that the kept controls already span
+    asked = [*endog, *instruments, *exog]
+    exog = left([], exog)
+    instruments = [c for c in left(exog, instruments) if c not in exog]
+    endog = [c for c in left(exog, endog) if c not in exog]
+    if not endog or len(instruments) < len(endog):
+        raise ValueError(f"not identified: {len(instruments)} instruments for {len(endog)} regressors")
+    gone = [c for c in asked if c not in {*exog, *instruments, *endog}]
     xi = [ix[c] for c in [*endog, *exog]]
     zi = [ix[c] for c in [*instruments, *exog]]
     yi = ix[y]
@@ -345,12 +374,10 @@ def iv_2sls(df: DataFrame, y: str, endog: Sequence[str], instruments: Sequence[s
     v_first = {e: F.col(e) - sum((F.lit(float(pi[l, j])) * F.col(z) for l, z in enumerate(znames)),
                                  F.lit(0.0)) for j, e in enumerate(endog)}
     # One cluster pass: scores z*e for 2SLS and z*v for every first stage.
-    scores = [F.col(z) * resid for z in znames]
-    for e in endog:
-        scores += [F.col(z) * v_first[e] for z in znames]
-    big, g = cluster_meat(dm, cluster, scores)
+    blocks = [[F.col(z) * resid for z in znames]]
+    blocks += [[F.col(z) * v_first[e] for z in znames] for e in endog]
+    meat_z, *meats_first, g = cluster_meats(dm, cluster, blocks)
     nl = len(znames)
-    meat_z = big[:nl, :nl]
     kk_abs = dof
     clustered = cluster is not None
     v = _q(n, g, len(xnames) + kk_abs, clustered) * bread @ (a @ meat_z @ a.T) @ bread
@@ -370,12 +397,12 @@ def iv_2sls(df: DataFrame, y: str, endog: Sequence[str], instruments: Sequence[s
     b2 = np.linalg.solve(xhx, xhy)
     ssr2 = m[yi, yi] - 2 * b2 @ xhy + b2 @ xhx @ b2
     stats["r2_fitted_second_stage"] = 1 - ssr2 / m[yi, yi] if m[yi, yi] > 0 else float("nan")
-    fits = {"iv": Fit("iv", xnames, b, v, n, g, len(xnames) + kk_abs, stats)}
+    fits = {"iv": Fit("iv", xnames, b, v, n, g, len(xnames) + kk_abs, stats,
+                      [c for c in gone if c not in instruments])}
     # First stages (endog on instruments + exog) with F on the excluded instruments.
     kf = nl + kk_abs
     for j_e, e in enumerate(endog):
-        blk = slice(nl * (j_e + 1), nl * (j_e + 2))
-        meat_f = big[blk, blk]
+        meat_f = meats_first[j_e]
         vf = _q(n, g, kf, clustered) * zz_inv @ meat_f @ zz_inv
         bz = pi[: len(instruments), j_e]
         vzz = vf[: len(instruments), : len(instruments)]
@@ -435,7 +462,3 @@ def spec_grid(df: DataFrame, y: str, endog: Sequence[str], instruments: Sequence
                                              "se double, t double, p double, stars string, fe string")
     stats = spark.createDataFrame(stat_rows, "spec string, model string, stat string, value double")
     return coefs, stats
-
-
-def finite(v: float) -> float | None:
-    return v if v is not None and math.isfinite(v) else None

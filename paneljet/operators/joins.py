@@ -66,11 +66,19 @@ def calendar_lag(df: DataFrame, keys: Sequence[str], date: str, cols: Sequence[s
                  months: int = 12, prefix: str = "lag1y_") -> DataFrame:
     """Value exactly ``months`` earlier, matched by calendar date (not by row).
 
-    Self-join on (keys, date + months); 29 Feb + 12 months lands on 28 Feb. Must run on the
-    full history, before any filtering to the panel months.
+    Self-join on (keys, date + months). Dates that a shorter month cuts off meet on its last
+    day (29 Feb + 12 months is 28 Feb); the latest of them gives the value. (keys, date) must be
+    unique; a repeated one is an error. Must run on the full history, before any filtering to
+    the panel months.
     """
-    lagged = df.select(*keys, add_periods(date, months, "month").alias(date),
-                       *[F.col(c).alias(f"{prefix}{c}") for c in cols])
+    def only(c):
+        repeated = F.count(F.lit(1)) > F.size(F.collect_set("_from"))
+        return F.when(repeated, F.raise_error(F.lit("calendar_lag: keys and date repeat"))
+                      ).otherwise(F.max_by(c, "_from"))
+
+    lagged = (df.withColumn("_from", F.col(date))
+              .groupBy(*keys, add_periods(date, months, "month").alias(date))
+              .agg(*[only(c).alias(f"{prefix}{c}") for c in cols]))
     return df.join(lagged, [*keys, date], "left")
 
 

@@ -277,16 +277,20 @@ def covered_length(edges, dist, graph_keys, search_keys, thresholds=THRESHOLDS,
 def length_by_region(edges: DataFrame, covered: DataFrame, graph_keys: Sequence[str],
                      search_keys: Sequence[str], keys_table: DataFrame, town: str = "town",
                      thresholds: Sequence[float] = THRESHOLDS, edge_id: str = "edge_id",
-                     length: str = "len_m") -> DataFrame:
+                     length: str = "len_m", regions: DataFrame | None = None) -> DataFrame:
     """Total road length and number of pieces per town, and covered length per
     (search key, town, threshold) pivoted to ``cum_<D>`` columns in one aggregation.
 
     ``keys_table`` lists the search keys to report (e.g. every city x month with stations);
     every town of the graph appears for each, with 0 covered when nothing reaches it.
+    ``regions`` lists further towns to report, such as those without roads.
     """
     totals = edges.groupBy(*graph_keys, town).agg(
         F.sum(F.col(length).cast("double")).alias("len_total_m"),
         F.count(F.lit(1)).alias("n_pieces"))
+    if regions is not None:
+        totals = regions.select(*graph_keys, town).distinct().join(
+            totals, [*graph_keys, town], "left").fillna({"len_total_m": 0.0, "n_pieces": 0})
     e_town = edges.select(*graph_keys, edge_id, town)
     cov = (covered.join(e_town, [*graph_keys, edge_id])
            .groupBy(*graph_keys, *search_keys, town)
@@ -294,7 +298,7 @@ def length_by_region(edges: DataFrame, covered: DataFrame, graph_keys: Sequence[
                   for t in thresholds]))
     report_keys = keys_table.select(*graph_keys, *search_keys).distinct()
     grid = (totals.join(report_keys, list(graph_keys)) if graph_keys
-            else totals.crossJoin(F.broadcast(report_keys)))  # search keys only: a calendar
+            else totals.crossJoin(report_keys))   # every town for every search key is the output
     out = grid.join(cov, [*graph_keys, *search_keys, town], "left")
     return out.withColumns({f"cum_{int(t)}": F.coalesce(F.col(f"cum_{int(t)}"), F.lit(0.0))
                             for t in thresholds})

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.clean import round_half_even
+from .util import cut_lineage
 
 Order = str | Column
 
@@ -120,42 +121,17 @@ def last_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     return best_row(df, keys, [F.col(o).desc_nulls_last() for o in order])
 
 
-def exact_positions(df: DataFrame, group: Sequence[str], value: str, name: str = "rank") -> DataFrame:
-    """1-based row position of each row within its group in ``value`` order, with the group
-    size as ``n``. NULL values are excluded.
-
-    No group is sorted in one task: rows are range-partitioned on (group, value), numbered
-    inside each range, and offset by the sizes of the earlier ranges of the same group
-    (a table with one row per partition and group).
-
-    Both branches read the same range exchange (Spark reuses it), and its bounds are fixed
-    when the exchange is prepared, so a re-run map task after an executor loss puts every
-    row in the same partition again: the numbering and the offsets stay consistent.
-    """
-    d = (df.where(F.col(value).isNotNull()).repartitionByRange(*group, value)
-         .withColumn("_pid", F.spark_partition_id()))
-    local = d.withColumn("_r", F.row_number().over(
-        Window.partitionBy("_pid", *group).orderBy(value)))
-    sizes = d.groupBy("_pid", *group).agg(F.count(F.lit(1)).alias("_c"))
-    wg = Window.partitionBy(*group).orderBy("_pid")
-    offsets = (sizes.withColumn("_off", F.coalesce(F.sum("_c").over(
-        wg.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-        .withColumn("n", F.sum("_c").over(Window.partitionBy(*group))))
-    return (local.join(offsets.select("_pid", *group, "_off", "n"), ["_pid", *group])
-            .withColumn(name, F.col("_off") + F.col("_r"))
-            .drop("_pid", "_r", "_off"))
-
-
 def weighted_positions(df: DataFrame, group: Sequence[str], value: str, weight: str) -> DataFrame:
     """Rank ranges of distinct values carrying a count: each row ``(group, value, weight)``
     gets ``first_rank`` and ``last_rank`` (1-based) of the rows it stands for, and ``n``.
 
-    Same plan as ``exact_positions`` on the (much smaller) table of value counts: range
-    partitions on (group, value), running sums inside each range, offsets from the earlier
-    ranges of the group.
+    No group is sorted in one task: the (much smaller) table of value counts is
+    range-partitioned on (group, value), summed inside each range, and offset by the totals
+    of the group's earlier ranges. The ranged table is materialised once, so both branches see
+    the same ranges.
     """
-    d = (df.where(F.col(value).isNotNull()).repartitionByRange(*group, value)
-         .withColumn("_pid", F.spark_partition_id()))
+    d = cut_lineage(df.select(*group, value, weight).where(F.col(value).isNotNull())
+                    .repartitionByRange(*group, value).withColumn("_pid", F.spark_partition_id()))
     local = d.withColumn("_cum", F.sum(weight).over(
         Window.partitionBy("_pid", *group).orderBy(value)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)))

@@ -190,8 +190,9 @@ def c10_policy_panel(spark, sf):
     long = f.groupBy("month", F.col("status").alias("category"), F.col("county").alias("unit")).agg(
         nsum().cast("double").alias("value"))
     pol = clean.drop_if_exists(
-        agg.category_split_totals(long, "month", "category", "unit", "value", CENTRAL, ["F", "O"], "ord"),
-        ["ord_F_local", "ord_O_local"])
+        agg.category_split_totals(long, "month", "category", "unit", "value", CENTRAL, ["F", "O", "P"],
+                                  "ord"),
+        ["ord_F_local", "ord_O_local", "ord_P_local", "ord_P_total"])
     totals = ["ord_F_total", "ord_O_total"]
     lagged = joins.calendar_lag(pol, ["unit"], "month", totals)
     panel = nation_month(f).select("county", "district", "month", "n_orders")

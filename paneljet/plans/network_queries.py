@@ -3,8 +3,8 @@
 Road graph: suppliers are nodes; every lineitem links its supplier ``u`` to the next or the
 one after in key order, ``v = (u + 1 + partkey % 2) % #suppliers``; an edge's length is
 ``floor(20 * avg(quantity))`` metres over all its lineitems, and its town is the nation of
-``u``. Stations of a year are the suppliers of returned full-quantity, undiscounted
-lineitems shipped that year (year = the search key, playing the month). Geometry: points
+``u``. Stations of a year are the suppliers whose returned quantity of that year's lineitems
+exceeds 1.3 times the year's mean over suppliers (year = the search key, playing the month). Geometry: points
 and segments come from embedding coordinates.
 """
 
@@ -27,8 +27,11 @@ edges AS (SELECT e0.u, e0.v, CAST(u AS VARCHAR) || '-' || CAST(v AS VARCHAR) AS
                  CAST(floor(avg(e0.l_quantity) * 20) AS BIGINT) AS len_m, n.n_name AS town
           FROM e0 JOIN supplier s ON s.s_suppkey = e0.u JOIN nation n ON n.n_nationkey = s.s_nationkey
           GROUP BY e0.u, e0.v, n.n_name),
-src AS (SELECT DISTINCT CAST(year(l_shipdate) AS INTEGER) AS yr, l_suppkey AS node FROM lineitem
-        WHERE l_returnflag = 'R' AND l_quantity = 50 AND l_discount = 0),
+ret AS (SELECT CAST(year(l_shipdate) AS INTEGER) AS yr, l_suppkey AS node,
+               sum(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0 END) AS q
+        FROM lineitem GROUP BY ALL),
+usual AS (SELECT yr, sum(q) AS total, count(*) AS n FROM ret GROUP BY yr),
+src AS (SELECT ret.yr, node FROM ret JOIN usual USING (yr) WHERE 10 * q * n > 13 * total),
 adj AS (SELECT u AS a, v AS b, len_m AS len FROM edges UNION ALL SELECT v, u, len_m FROM edges),
 walk(yr, node, d) AS (
   SELECT yr, node, CAST(0 AS BIGINT) FROM src
@@ -63,11 +66,14 @@ def supplier_graph(spark, sf) -> DataFrame:
 
 
 def station_sets(spark, sf) -> DataFrame:
-    li = table(spark, sf, "lineitem")
-    return (li.where((F.col("l_returnflag") == "R") & (F.col("l_quantity") == 50)
-                     & (F.col("l_discount") == 0))
-            .select(F.year("l_shipdate").cast("int").alias("yr"), F.col("l_suppkey").alias("node"))
-            .distinct())
+    """Stations from an aggregate over all lineitems: suppliers with unusually many returns."""
+    returned = F.when(F.col("l_returnflag") == "R", F.col("l_quantity")).otherwise(0)
+    by = (table(spark, sf, "lineitem")
+          .groupBy(F.year("l_shipdate").cast("int").alias("yr"), F.col("l_suppkey").alias("node"))
+          .agg(F.sum(returned).alias("q")))
+    usual = by.groupBy("yr").agg(F.sum("q").alias("total"), F.count(F.lit(1)).alias("n"))
+    return (by.join(usual, "yr").where(10 * F.col("q") * F.col("n") > 13 * F.col("total"))
+            .select("yr", "node"))
 
 
 def _distances(spark, sf):

@@ -548,11 +548,12 @@ def j7_active_count(spark, sf):
 
 
 @register("c6_store_counts", f"""WITH {_J7_SQL}
-SELECT district, month,
-  CAST(sum(n_open) FILTER (WHERE chain = 'A') AS BIGINT) AS open_A,
+SELECT n.n_name AS district, cal.month,
+  CAST(coalesce(sum(n_open) FILTER (WHERE chain = 'A'), 0) AS BIGINT) AS open_A,
   CAST(coalesce(sum(n_open) FILTER (WHERE chain = 'N'), 0) AS BIGINT) AS open_N,
   CAST(coalesce(sum(n_open) FILTER (WHERE chain = 'R'), 0) AS BIGINT) AS open_R
-FROM j7 GROUP BY district, month""")
+FROM nation n CROSS JOIN cal LEFT JOIN j7 ON j7.district = n.n_name AND j7.month = cal.month
+GROUP BY n.n_name, cal.month""")
 def c6_store_counts(spark, sf):
     """C6 (J7, R4): open lineitem counts per district-month pivoted by return flag."""
     long = shipments_open(spark, sf)

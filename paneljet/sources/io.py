@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -70,16 +71,26 @@ def read_wide2(spark: SparkSession, path: str, level_names: Sequence[str] = ("le
     ``(index, level0, level1, value)``.
 
     The header (two rows) is read once on the driver; the data rows are unpivoted in place
-    with one ``explode`` over literal labels, no join.
+    with one ``explode`` over literal labels, no join. A data row with a blank index is an
+    error, never dropped (several files must share one header); text that is not a plain
+    number, thousands separators included, is NULL.
     """
     header = wide2_header(spark, path)
     raw = spark.read.option("header", False).csv(path)
     cols = raw.columns
     idx = cols[0]
-    # Header rows are the first two lines; their index cell is blank in this layout.
-    data = raw.where(F.col(idx).isNotNull() & (F.trim(F.col(idx)) != ""))
+    head = spark.read.option("header", False).csv(path).limit(2).collect()
+    is_head = F.lit(False)
+    for row in head:
+        same = F.lit(True)
+        for c, v in zip(cols, row):
+            same = same & F.col(c).eqNullSafe(F.lit(v).cast("string"))
+        is_head = is_head | same
+    blank = F.coalesce(F.trim(F.col(idx)) == "", F.lit(True))
+    data = raw.where(~is_head).withColumn(idx, F.when(blank, F.raise_error(
+        F.lit(f"{path}: a data row has a blank {index}"))).otherwise(F.col(idx)))
     structs = [F.struct(F.lit(l0).alias(level_names[0]), F.lit(l1).alias(level_names[1]),
-                        F.regexp_replace(F.trim(F.col(c)), ",", "").try_cast(value_type).alias("value"))
+                        F.trim(F.col(c)).try_cast(value_type).alias("value"))
                for c, (l0, l1) in zip(cols[1:], header)]
     out = (data.select(F.trim(F.col(idx)).alias(index), F.explode(F.array(*structs)).alias("_s"))
            .select(index, f"_s.{level_names[0]}", f"_s.{level_names[1]}", "_s.value"))
@@ -105,12 +116,17 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str], fmt: str = "p
      .option("partitionOverwriteMode", "dynamic").partitionBy(*by).save(path))
 
 
-def done_keys(spark: SparkSession, path: str, keys: Sequence[str], fmt: str = "parquet") -> DataFrame:
-    """Partition values already written under ``path`` (empty when nothing exists yet)."""
+def done_keys(spark: SparkSession, path: str, keys: Sequence[str], fmt: str = "parquet"
+              ) -> DataFrame | None:
+    """Partition values already written under ``path``, as text (``None`` when the path does
+    not exist yet). Any other read error is raised: it must not look like "nothing written"."""
+    schema = ", ".join(f"`{k}` string" for k in keys)     # no type inference: '063' stays '063'
     try:
-        return spark.read.format(fmt).load(path).select(*keys).distinct()
-    except Exception:  # noqa: BLE001 - no output yet
-        return None
+        return spark.read.format(fmt).schema(schema).load(path).select(*keys).distinct()
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def pending_keys(grid: DataFrame, done: DataFrame | None, keys: Sequence[str],
@@ -122,14 +138,17 @@ def pending_keys(grid: DataFrame, done: DataFrame | None, keys: Sequence[str],
         g = g.where(F.month(month_col).isin(list(months_of_year)))
     if done is None:
         return g.select(*keys).distinct()
-    return g.select(*keys).distinct().join(done.select(*keys), list(keys), "left_anti")
+    kinds = dict(g.dtypes)
+    typed = done.select(*[F.col(k).cast(kinds[k]).alias(k) for k in keys])
+    return g.select(*keys).distinct().join(typed, list(keys), "left_anti")
 
 
 def build_base_layers(roads: Sequence[DataFrame], towns: Sequence[DataFrame],
                       class_col: str = "ROADCLASS1", drop_classes: Sequence[str] = ("HW",)) -> tuple[DataFrame, DataFrame]:
     """Union per-city roads and towns; drop highway classes; one boundary set per city.
 
-    Rows with no road class are kept (a NULL class is not a highway).
+    Rows with no road class are kept (a NULL class is not a highway). A town may have several
+    rows, one per ring of its boundary; only rows equal in every column are united.
     """
     r = roads[0]
     for x in roads[1:]:
@@ -138,4 +157,4 @@ def build_base_layers(roads: Sequence[DataFrame], towns: Sequence[DataFrame],
     for x in towns[1:]:
         t = t.unionByName(x, allowMissingColumns=True)
     r = r.where(F.col(class_col).isNull() | ~F.col(class_col).isin(list(drop_classes)))
-    return r, t.dropDuplicates(["city", "TOWNID"]) if "TOWNID" in t.columns else t.distinct()
+    return r, t.distinct()

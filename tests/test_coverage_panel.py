@@ -133,3 +133,45 @@ def test_lonlat_stations_are_projected(spark):
     a = coverage.coverage_panel(roads, towns, ll, project=True).first().asDict()
     b = coverage.coverage_panel(roads, towns, xy, project=False).first().asDict()
     assert a == b and a["len_0_500_m"] > 0
+
+
+TOWN = "city string, TOWNID string, TOWNNAME string, ring array<struct<x: double, y: double>>"
+ROAD = "city string, road_id long, ROADCLASS1 string, path array<struct<x: double, y: double>>"
+STAT = "city string, month string, station_id string, x double, y double"
+
+
+def box(x0, y0, x1, y1):
+    return [P(x0, y0), P(x1, y0), P(x1, y1), P(x0, y1)]
+
+
+def run(spark, towns, roads, stations, **kw):
+    out = coverage.coverage_panel(
+        spark.createDataFrame([("C", i, "LOCAL", p) for i, p in enumerate(roads)], ROAD),
+        spark.createDataFrame([("C", *t) for t in towns], TOWN),
+        spark.createDataFrame([("C", *s) for s in stations], STAT), project=False, **kw)
+    return {(r.month, r.TOWNID): r for r in out.collect()}
+
+
+def test_duplicate_road_in_other_direction_is_covered_once(spark):
+    got = run(spark, [("T", "t", box(-100, -100, 3000, 100))],
+              [[P(0, 0), P(2000, 0)], [P(2000, 0), P(0, 0)]], [("m", "s", OX, OY)])
+    r = got["m", "T"]
+    assert (r.len_total_m, r.len_0_500_m, r.reach500_pct) == (4000.0, 500.0, 12.5)
+
+
+def test_town_of_two_parts_and_a_hole(spark):
+    parts = [("T", "t", box(0, -50, 300, 50)), ("T", "t", box(600, -50, 1000, 50))]
+    r = run(spark, parts, [[P(0, 0), P(1000, 0)]], [("m", "s", OX, OY)])["m", "T"]
+    assert (r.len_total_m, r.n_pieces, r.len_0_500_m) == (700.0, 2, 300.0)
+    holed = [("T", "t", box(0, -50, 1000, 50)), ("T", "t", box(400, -20, 600, 20))]
+    got = run(spark, holed, [[P(0, 0), P(1000, 0)]], [("m", "s", OX + 10, OY), ("n", "s", OX + 500, OY)])
+    assert got["m", "T"].len_total_m == 800.0 and set(got) == {("m", "T")}    # n: inside the hole
+
+
+def test_every_town_and_every_month_with_a_station_inside(spark):
+    towns = [("A", "a", box(0, 0, 1000, 1000)), ("B", "b", box(1000, 0, 2000, 1000))]
+    got = run(spark, towns, [[P(100, 100), P(900, 100)]],
+              [("m1", "s", OX + 100, OY + 100), ("m2", "s", OX + 500, OY + 900), ("m3", "s", OX + 9000, OY)])
+    assert set(got) == {(m, t) for m in ("m1", "m2") for t in "AB"}
+    assert (got["m1", "B"].len_total_m, got["m1", "B"].n_pieces, got["m1", "B"].reach500_pct) == (0.0, 0, 0.0)
+    assert got["m2", "A"].len_gt1500_m == 800.0 and got["m1", "A"].len_0_500_m == 500.0

@@ -174,3 +174,47 @@ def test_singletons_removed_iteratively_across_dimensions(spark):
     df = spark.createDataFrame(rows, "a string, b string")
     out = sorted(tuple(r) for r in econ.drop_singletons(df, ["a", "b"]).collect())
     assert out == sorted([("y", "p"), ("y", "p"), ("z", "p"), ("z", "r"), ("y", "r")])
+
+
+def _panel(spark, extra):
+    rng = np.random.default_rng(12)
+    rows = []
+    for c in range(12):
+        for m in range(20):
+            x, w, z = map(float, rng.normal(size=3))
+            rows.append((f"c{c}", m, 0.5 * x + 0.3 * z + float(rng.normal()), x + z, w, z, *extra(c, m, w, z)))
+    return rows
+
+
+def test_absorbed_collinear_and_repeated_columns(spark):
+    rows = _panel(spark, lambda c, m, w, z: (float(c), 3.0 * w, 2.0 * z, 1e9 * (w + 2)))
+    df = spark.createDataFrame(rows, "county string, month int, y double, x double, w double, z double, "
+                                     "cc double, w3 double, z2 double, big double")
+    fe = ["month", "county"]
+    plain = econ.ols_fe(df, "y", ["x", "w"], fe, "county")
+    fit = econ.ols_fe(df, "y", ["x", "w", "cc", "w3"], fe, "county")
+    assert fit.terms == ["x", "w"] and fit.omitted == ["cc", "w3"]
+    assert np.allclose(fit.coef, plain.coef) and np.allclose(fit.se, plain.se)
+    base = econ.iv_2sls(df, "y", ["x"], ["z"], ["w"], fe, "county")["iv"]
+    iv = econ.iv_2sls(df, "y", ["x"], ["z", "z2"], ["w", "cc", "w3"], fe, "county")["iv"]
+    assert iv.stats["hansen_j_df"] == 0 and np.allclose(iv.coef, base.coef) and set(iv.omitted) >= {"cc", "w3"}
+    large = econ.ols_fe(df, "y", ["x", "big"], fe, "county")      # converges at any scale
+    assert np.isclose(large.coef[1] * 1e9, plain.coef[1]) and np.isclose(large.coef[0], plain.coef[0])
+    with pytest.raises(ValueError, match="not identified"):
+        econ.iv_2sls(df, "y", ["x"], ["cc"], [], fe, "county")
+
+
+def test_cross_products_wide_plan(spark):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(200, 28))
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x], ", ".join(f"c{i} double" for i in range(28)))
+    m, n = econ.cross_products(df, df.columns)
+    assert n == 200 and np.allclose(m, x.T @ x)
+    assert econ.cross_products(df.where("false"), df.columns)[1] == 0
+
+
+def test_demean_without_effects_has_no_cartesian(spark):
+    df = spark.createDataFrame([(float(i), 2.0 * i) for i in range(10)], "a double, b double")
+    out = econ.demean(df, ["a", "b"])
+    assert "Cartesian" not in out._jdf.queryExecution().toString()
+    assert abs(sum(r.a for r in out.collect())) < 1e-9

@@ -214,18 +214,6 @@ def test_describe_stata_quartiles(spark):
     assert (r5["p25"], r5["p50"], r5["p75"]) == (2.0, 3.0, 4.0)
 
 
-def test_exact_positions_across_partitions(spark):
-    import random
-
-    vals = [(g, random.Random(ord(g) * 1000 + i).random()) for g in "ab" for i in range(500)]
-    df = spark.createDataFrame(vals, "g string, x double").repartition(7)
-    pos = windows.exact_positions(df, ["g"], "x", "rank")
-    for g in "ab":
-        got = sorted((r["rank"], r["x"]) for r in pos.where(F.col("g") == g).collect())
-        assert [p for p, _ in got] == list(range(1, 501))
-        assert [x for _, x in got] == sorted(x for gg, x in vals if gg == g)
-
-
 def test_category_split_central_missing_month(spark):
     long = spark.createDataFrame([
         (d(2020, 1), "light", "臺北市", 5.0), (d(2020, 1), "light", "IDB", 1.0),
@@ -263,3 +251,47 @@ def test_io_parquet_csv_and_first_run(spark):
     assert io.done_keys(spark, os.path.join(base, "nothing_yet"), ["county"]) is None
     grid = spark.createDataFrame([("A", d(2020, 1)), ("A", d(2020, 1))], "city string, month date")
     assert rows(io.pending_keys(grid, None, ["city", "month"])) == [("A", d(2020, 1))]
+
+
+def test_read_wide2_keeps_or_refuses_every_row(spark):
+    path = os.path.join(tempfile.mkdtemp(), "wide.csv")
+    with open(path, "w", encoding="utf-8") as fh:
+        fh.write(",light,\n,A,B\n2018-01-01,\"1,234\",2\n,3,4\n")
+    with pytest.raises(Exception, match="blank date"):
+        io.read_wide2(spark, path).collect()
+    with open(path, "w", encoding="utf-8") as fh:
+        fh.write(",light,\n,A,B\n2018-01-01,\"1,234\",2\n")
+    assert rows(io.read_wide2(spark, path), "level1", "value") == [("A", None), ("B", 2.0)]
+
+
+def test_category_split_refuses_unknown_and_duplicate(spark):
+    def split(data):
+        long = spark.createDataFrame(data, "date date, category string, unit string, value double")
+        return agg.category_split_totals(long, "date", "category", "unit", "value", ["IDB"], ["light"], "sub")
+    with pytest.raises(Exception, match="unknown category"):
+        split([(d(2020, 1), "light", "A", 5.0), (d(2020, 1), "other", "A", 5.0)]).collect()
+    with pytest.raises(Exception, match="duplicate local key"):
+        split([(d(2020, 1), "light", "A", 5.0), (d(2020, 1), "light", "A", 6.0)]).collect()
+
+
+def test_calendar_lag_leap_day_and_uniqueness(spark):
+    import datetime
+
+    days = [datetime.date(2020, 2, 28), datetime.date(2020, 2, 29), datetime.date(2021, 2, 28)]
+    df = spark.createDataFrame([("A", x, float(i)) for i, x in enumerate(days)], "k string, m date, v double")
+    out = {r.m: r.lag1y_v for r in joins.calendar_lag(df, ["k"], "m", ["v"]).collect()}
+    assert out == {days[0]: None, days[1]: None, days[2]: 1.0}      # the 29th is the later one
+    with pytest.raises(Exception, match="repeat"):
+        joins.calendar_lag(df.union(df), ["k"], "m", ["v"]).collect()
+
+
+def test_done_keys_text_and_errors(spark):
+    out = os.path.join(tempfile.mkdtemp(), "part")
+    df = spark.createDataFrame([("063", 1.0)], "city string, v double")
+    io.write_partitioned(df, out, ["city"])
+    assert rows(io.done_keys(spark, out, ["city"])) == [("063",)]
+    assert io.pending_keys(df, io.done_keys(spark, out, ["city"]), ["city"]).count() == 0
+    with open(os.path.join(out, "city=063", "broken.parquet"), "w") as fh:
+        fh.write("not parquet")
+    with pytest.raises(Exception):
+        io.done_keys(spark, out, ["city"]).collect()
