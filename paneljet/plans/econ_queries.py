@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators import agg, econ, joins
 from .catalog import register
+from .econ_oracle import coefficient_rows, regression_ctes
 from .panel_queries import FACTS_SQL, money, nsum, order_cube
 
 REG_SQL = f"""{FACTS_SQL},
@@ -141,6 +142,63 @@ def e9_specs(spark, sf):
     return coefs
 
 
+_TERMS = {"y": "ln_revenue", "x": "ln_orders", "w": "share_f", "z1": "z_building", "z2": "z_urgent"}
+
+
+def _demeaned_sql(source: str, over: str) -> str:
+    cols = ", ".join(f"{v} - avg({v}) OVER ({over}) AS {k}" for k, v in _TERMS.items())
+    return f"SELECT district, {cols} FROM {source}"
+
+
+_TABLES_SQL = f"""WITH {REG_SQL},
+d0 AS ({_demeaned_sql("reg", "")}), d1 AS ({_demeaned_sql("s", "PARTITION BY month")}),
+{regression_ctes("r0", "d0", "1")},
+{regression_ctes("r1", "d1", "(SELECT lv FROM lv)")}"""
+_TABLE_SPECS = [("none", []), ("month", ["month"])]
+
+
+def _tables(spark, sf):
+    return econ.spec_grid(reg_panel(spark, sf), "ln_revenue", ["ln_orders"],
+                          ["z_building", "z_urgent"], ["share_f"], "district", _TABLE_SPECS)
+
+
+@register("c12_coefficients", _TABLES_SQL + "\n" + coefficient_rows("r0", "none", _TERMS)
+          + "\nUNION ALL " + coefficient_rows("r1", "month", _TERMS))
+def c12_coefficients(spark, sf):
+    """Coefficient tables of two specifications x (OLS, 2SLS, first stage)."""
+    coefs, stats = _tables(spark, sf)
+    n = stats.where("stat IN ('N', 'N_clust')").groupBy("spec").agg(
+        F.max(F.when(F.col("stat") == "N", F.col("value"))).cast("long").alias("n_obs"),
+        F.max(F.when(F.col("stat") == "N_clust", F.col("value"))).cast("long").alias("n_clusters"))
+    return coefs.join(n, "spec").select("spec", "model", "term", r6(F.col("coef")).alias("coef"),
+                                        r6(F.col("se")).alias("se"), F.round("t", 5).alias("t"),
+                                        "n_obs", "n_clusters")
+
+
+@register("e8_overid_stats", _TABLES_SQL + """
+SELECT 'none' AS spec, round(hansen_j, 5) AS hansen_j, 1 AS hansen_j_df, round(f_stat, 4) AS first_f FROM r0
+UNION ALL SELECT 'month', round(hansen_j, 5), 1, round(f_stat, 4) FROM r1""")
+def e8_overid_stats(spark, sf):
+    """Hansen J with its degrees of freedom and the first-stage F, two specifications."""
+    _, stats = _tables(spark, sf)
+    pick = lambda name: F.max(F.when(F.col("stat") == name, F.col("value")))
+    return stats.where("model = 'iv'").groupBy("spec").agg(
+        F.round(pick("hansen_j"), 5).alias("hansen_j"),
+        pick("hansen_j_df").cast("int").alias("hansen_j_df"),
+        F.round(pick("first_F_ln_orders"), 4).alias("first_f"))
+
+
+@register("e7_fitted", f"""WITH {REG_SQL}, d1 AS ({_demeaned_sql("s", "PARTITION BY month")}),
+{regression_ctes("r1", "d1", "(SELECT lv FROM lv)")}
+SELECT district, month, round(b_iv_x * ln_orders + b_iv_w * share_f, 5) AS fitted FROM reg, r1""")
+def e7_fitted(spark, sf):
+    """Linear prediction of every panel row from the 2SLS fit."""
+    panel = reg_panel(spark, sf)
+    fit = econ.iv_2sls(panel, "ln_revenue", ["ln_orders"], ["z_building", "z_urgent"], ["share_f"],
+                       ["month"], "district")["iv"]
+    return econ.fitted(panel, fit).select("district", "month", F.round("fitted", 5).alias("fitted"))
+
+
 @register("e10_sample", f"""WITH {FACTS_SQL},
 reg AS (
   SELECT district, month, ln(round(sum(price), 2)) AS ln_revenue, ln(count(*)) AS ln_orders,

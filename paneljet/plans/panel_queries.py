@@ -555,11 +555,16 @@ SELECT n.n_name AS district, cal.month,
 FROM nation n CROSS JOIN cal LEFT JOIN j7 ON j7.district = n.n_name AND j7.month = cal.month
 GROUP BY n.n_name, cal.month""")
 def c6_store_counts(spark, sf):
-    """C6 (J7, R4): open lineitem counts per district-month pivoted by return flag."""
-    long = shipments_open(spark, sf)
+    """C6 (J7, J4, R4): open lineitem counts per district-month pivoted by return flag, for every
+    district of the full list, with 0 where it has none."""
+    long = cut_lineage(shipments_open(spark, sf))
     wide = reshape.pivot_sum(long, ["district", "month"], "chain", "n_open", ["A", "N", "R"],
                              prefix="open_", fill=0)
-    return wide.select("district", "month", *[F.col(f"open_{c}").cast("long") for c in "ANR"])
+    every = joins.grid(table(spark, sf, "nation").select(F.col("n_name").alias("district")),
+                       long.select("month").distinct())
+    wide = every.join(wide, ["district", "month"], "left")
+    return wide.select("district", "month", *[
+        F.coalesce(F.col(f"open_{c}"), F.lit(0)).cast("long").alias(f"open_{c}") for c in "ANR"])
 
 
 # --------------------------------------------------------------------------------------
