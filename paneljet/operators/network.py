@@ -151,7 +151,10 @@ def network_distance(edges: DataFrame, sources: DataFrame, graph_keys: Sequence[
         return key_map.join(renamed, [*graph_keys, *reps]).drop(*reps)
     # Materialised once: every round joins the frontier with it, and recomputing it from
     # its source (e.g. an aggregate over a fact table) each round would rescan that source.
-    adj = cut_lineage(adjacency(edges, graph_keys, u, v, length))
+    # Its columns have names of their own: the graph keys may be the very columns of the sources.
+    adj = adjacency(edges, graph_keys, u, v, length).select(
+        *[F.col(k).alias(f"_g_{k}") for k in graph_keys], "src", "dst", "len")
+    adj = cut_lineage(adj)
     start = F.col(d0).cast("double") if d0 else F.lit(0.0)
     dist = (sources.select(*keys, F.col(node).alias("node"), start.alias("d"))
             .where(F.col("d") <= max_cost)
@@ -159,10 +162,9 @@ def network_distance(edges: DataFrame, sources: DataFrame, graph_keys: Sequence[
     dist = cut_lineage(dist)
     frontier = dist
     for rnd in range(1, max_rounds + 1):
-        cond = [frontier[k] == adj[k] for k in graph_keys] + [frontier["node"] == adj["src"]]
+        cond = [F.col(k) == F.col(f"_g_{k}") for k in graph_keys] + [F.col("node") == F.col("src")]
         cand = (frontier.join(adj, cond)
-                .select(*[frontier[k] for k in keys], adj["dst"].alias("node"),
-                        (frontier["d"] + adj["len"]).alias("d"))
+                .select(*keys, F.col("dst").alias("node"), (F.col("d") + F.col("len")).alias("d"))
                 .where(F.col("d") <= max_cost)
                 .groupBy(*keys, "node").agg(F.min("d").alias("d")))
         old = dist.select(*keys, "node", F.col("d").alias("d_old"))

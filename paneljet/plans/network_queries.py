@@ -414,3 +414,80 @@ def n10_coverage_layers(spark, sf):
     return out.select("city", "month", "TOWNID", "TOWNNAME", "len_total_m", "n_pieces",
                       "len_0_50_m", "len_50_100_m", "len_100_150_m", "len_gt150_m",
                       "reach50_pct", "reach100_pct", "reach150_pct")
+
+
+# --------------------------------------------------------------------------------------
+# C11 / N10 from raw layers with a closed-form oracle: every supplier has a straight road of its
+# nation, 1,000 m apart, whose length comes from its lineitems; three towns side by side (the
+# last has no road); a year's stations stand at distances from its returns
+# --------------------------------------------------------------------------------------
+
+_CITY_SQL = f"""WITH RECURSIVE {GRAPH_SQL.split("adj AS")[0].rstrip().rstrip(",")},
+road AS (SELECT s.s_suppkey AS k, n.n_name AS city, 1000 + sum(l.l_quantity) % 2001 AS len
+         FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
+         JOIN nation n ON s.s_nationkey = n.n_nationkey GROUP BY ALL),
+place AS (SELECT src.yr, src.node AS k, any_value(ret.q) % 1000 AS x, count(*) % 300 AS dy
+          FROM src JOIN ret ON ret.yr = src.yr AND ret.node = src.node
+          JOIN lineitem l ON l.l_suppkey = src.node AND year(l.l_shipdate) = src.yr
+          GROUP BY src.yr, src.node),
+town(t, lo, hi) AS (VALUES ('A', -100.0, 1500.0), ('B', 1500.0, 4000.0), ('C', 6000.0, 7000.0)),
+piece AS (SELECT city, k, t, greatest(lo, 0) AS p, least(hi, len) AS q FROM road, town
+          WHERE k % 7 <> 0 AND least(hi, len) > greatest(lo, 0)),
+seen AS (SELECT DISTINCT city, yr FROM place JOIN road USING (k)),
+tot AS (SELECT n.n_name AS city, town.t, coalesce(sum(q - p), 0) AS total, count(q) AS n_pieces
+        FROM nation n CROSS JOIN town LEFT JOIN piece ON piece.city = n.n_name AND piece.t = town.t
+        GROUP BY n.n_name, town.t),
+cov AS (SELECT city, t, yr,
+          {', '.join(f"sum(greatest(0, least(q, x + {d}) - greatest(p, x - {d}))) AS c{d}" for d in (500, 1000, 1500))}
+        FROM piece JOIN place USING (k) WHERE dy <= 200 GROUP BY ALL),
+g AS (SELECT seen.city, seen.yr, tot.t, total, n_pieces, coalesce(c500, 0) AS c500,
+             coalesce(c1000, 0) AS c1000, coalesce(c1500, 0) AS c1500
+      FROM seen JOIN tot ON tot.city = seen.city
+      LEFT JOIN cov ON cov.city = seen.city AND cov.yr = seen.yr AND cov.t = tot.t)
+SELECT city, yr AS month, t AS town, round(total, 1) AS len_total_m, n_pieces,
+       round(c500, 1) AS len_0_500_m, round(c1000 - c500, 1) AS len_500_1000_m,
+       round(c1500 - c1000, 1) AS len_1000_1500_m, round(total - c1500, 1) AS len_gt1500_m,
+       round(CASE WHEN total > 0 THEN 100 * c500 / total ELSE 0 END, 6) AS reach500_pct,
+       round(CASE WHEN total > 0 THEN 100 * c1000 / total ELSE 0 END, 6) AS reach1k_pct,
+       round(CASE WHEN total > 0 THEN 100 * c1500 / total ELSE 0 END, 6) AS reach1500_pct
+FROM g"""
+
+
+@register("c11_city_coverage", _CITY_SQL)
+def c11_city_coverage(spark, sf):
+    """The whole layer chain (highways dropped, clip, edges, stations inside, snap,
+    search, bands) per nation x year x town."""
+    from ..operators import coverage
+
+    li = table(spark, sf, "lineitem")
+    nations = table(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("city"))
+    city = table(spark, sf, "supplier").join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select(
+        F.col("s_suppkey").alias("k"), "city")
+    years = (li.groupBy(F.col("l_suppkey").alias("k"), F.year("l_shipdate").cast("int").alias("month"))
+             .agg(F.sum(F.when(F.col("l_returnflag") == "R", F.col("l_quantity")).otherwise(0)).alias("q"),
+                  F.sum("l_quantity").alias("all"), F.count(F.lit(1)).alias("n")))
+    years = cut_lineage(years)
+
+    def point(x, y):
+        return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
+
+    y = 1000 * F.col("k")
+    length = years.groupBy("k").agg((1000 + F.sum("all") % 2001).alias("len"))
+    roads = city.join(length, "k").select(
+        "city", F.col("k").alias("road_id"), F.when(F.col("k") % 7 == 0, "HW").otherwise("LOCAL").alias("ROADCLASS1"),
+        F.array(point(F.lit(0), y), point(F.col("len"), y)).alias("path"))
+    top = table(spark, sf, "supplier").agg((1000 * F.max("s_suppkey") + 500).alias("top"))
+    spans = [("A", -100.0, 1500.0), ("B", 1500.0, 4000.0), ("C", 6000.0, 7000.0)]
+    rects = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(lo).alias("lo"), F.lit(hi).alias("hi")) for t, lo, hi in spans])
+    towns = (nations.crossJoin(top).select("city", "top", F.explode(rects).alias("r"))
+             .select("city", F.col("r.t").alias("TOWNID"), F.col("r.t").alias("TOWNNAME"),
+                     F.array(point(F.col("r.lo"), F.lit(-500)), point(F.col("r.hi"), F.lit(-500)),
+                             point(F.col("r.hi"), F.col("top")), point(F.col("r.lo"), F.col("top"))).alias("ring")))
+    chosen = station_sets(spark, sf).select(F.col("yr").alias("month"), F.col("node").alias("k"))
+    stations = years.join(chosen, ["month", "k"]).join(city, "k").select(
+        "city", "month", F.col("k").cast("string").alias("station_id"),
+        (F.col("q") % 1000).cast("double").alias("x"), (y + F.col("n") % 300).cast("double").alias("y"))
+    out = coverage.coverage_panel(roads, towns, stations, project=False, cell=5000.0, digits_pct=6)
+    return out.select("city", "month", F.col("TOWNID").alias("town"), "len_total_m", "n_pieces",
+                      "len_0_500_m", "len_500_1000_m", "len_1000_1500_m", "len_gt1500_m",
+                      "reach500_pct", "reach1k_pct", "reach1500_pct")
