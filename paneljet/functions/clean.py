@@ -143,17 +143,13 @@ def map_values(c: ColumnOrName, mapping: Mapping, default: str = "keep") -> Colu
 
 
 def recode_join(df: DataFrame, col: str, lookup: DataFrame, key: str = "from", value: str = "to",
-                default: str = "keep", out: str | None = None,
-                max_broadcast_rows: int = 200_000) -> DataFrame:
+                default: str = "keep", out: str | None = None) -> DataFrame:
     """P5 for large mappings: recode ``col`` through a lookup table ``(key, value)``.
 
-    The lookup is broadcast after a size check (else a shuffle join); ``default="keep"``
-    keeps unmapped values, ``"null"`` turns them into NULL. Lookup keys must be unique.
+    The join is broadcast or shuffled by measured size; ``default="keep"`` keeps unmapped
+    values, ``"null"`` turns them into NULL. Lookup keys must be unique.
     """
-    from ..operators.util import broadcast_if_small
-
-    lk = broadcast_if_small(lookup.select(F.col(key).alias("_k"), F.col(value).alias("_v")),
-                            max_broadcast_rows)
+    lk = lookup.select(F.col(key).alias("_k"), F.col(value).alias("_v"))
     j = df.join(lk, df[col] == lk["_k"], "left")
     new = F.coalesce(F.col("_v"), F.col(col)) if default == "keep" else F.col("_v")
     return j.withColumn(out or col, new).drop("_k", "_v")

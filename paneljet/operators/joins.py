@@ -1,8 +1,7 @@
 """Join operators J1-J12.
 
-Catalyst chooses the physical join. Explicit broadcast hints are only put on frames whose
-size is bounded by construction (a calendar, one row per date) or checked
-(``broadcast_if_small``). Validations are opt-in actions; everything else is lazy.
+Catalyst chooses the physical join. Explicit broadcast hints are only put on calendars, whose
+size is checked (``broadcast_calendar``). Validations are opt-in actions; everything else is lazy.
 """
 
 from __future__ import annotations
@@ -15,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.clean import add_periods
 from .agg import assert_unique
 from .reshape import densify
-from .util import ValidationError, broadcast_if_small
+from .util import ValidationError, broadcast_calendar
 
 
 def left_join(left: DataFrame, right: DataFrame, keys: Sequence[str], validate: str | None = None,
@@ -57,9 +56,8 @@ def outer_join(left: DataFrame, right: DataFrame, keys: Sequence[str], prefer: s
 
 
 def grid(ids: DataFrame, periods: DataFrame) -> DataFrame:
-    """Every id with every period; the calendar side is broadcast (bounded by its
-    length)."""
-    return ids.crossJoin(F.broadcast(periods))
+    """Every id with every period; the calendar side is broadcast after a size check."""
+    return ids.crossJoin(broadcast_calendar(periods))
 
 
 def calendar_lag(df: DataFrame, keys: Sequence[str], date: str, cols: Sequence[str],
@@ -186,15 +184,14 @@ def priority_lookup(frames: Sequence[tuple[DataFrame, Mapping[str, str]]], key:
 
 
 def alias_expand(df: DataFrame, aliases: DataFrame, name: str, alias_col: str = "alias",
-                 target_col: str = "name", max_alias_rows: int = 100_000) -> DataFrame:
+                 target_col: str = "name") -> DataFrame:
     """Rows also appear under each alternative name of their name.
 
-    ``aliases`` is ``(alias, name)``. It is grouped to one list of alternatives per name and
-    broadcast after a size check; each input row is then exploded into itself plus its
-    aliases in a single pass (the input is not read twice).
+    ``aliases`` is ``(alias, name)``. It is grouped to one list of alternatives per name; each
+    input row is then exploded into itself plus its aliases in a single pass (the input is not
+    read twice). The join is broadcast or shuffled by measured size.
     """
-    alts = aliases.groupBy(target_col).agg(F.collect_list(alias_col).alias("_alts"))
-    a = broadcast_if_small(alts, max_alias_rows)
+    a = aliases.groupBy(target_col).agg(F.collect_list(alias_col).alias("_alts"))
     j = df.join(a, df[name] == a[target_col], "left")
     names = F.concat(F.array(df[name]), F.coalesce(F.col("_alts"), F.array().cast("array<string>")))
     return j.select(*[F.explode(names).alias(name) if c == name else df[c] for c in df.columns])

@@ -154,7 +154,9 @@ def network_distance(edges: DataFrame, sources: DataFrame, graph_keys: Sequence[
     # Its columns have names of their own: the graph keys may be the very columns of the sources.
     adj = adjacency(edges, graph_keys, u, v, length).select(
         *[F.col(k).alias(f"_g_{k}") for k in graph_keys], "src", "dst", "len")
-    adj = cut_lineage(adj)
+    # Kept hash-partitioned on the join key: the rounds shuffle the frontier, not the graph.
+    parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    adj = cut_lineage(adj.repartition(parts, *[f"_g_{k}" for k in graph_keys], "src"))
     start = F.col(d0).cast("double") if d0 else F.lit(0.0)
     dist = (sources.select(*keys, F.col(node).alias("node"), start.alias("d"))
             .where(F.col("d") <= max_cost)

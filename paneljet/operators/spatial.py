@@ -111,20 +111,30 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, cell: float, x: s
 
     Points go to their grid cell, polygons to every cell of their bounding box; the equi-join
     on the cell gives candidates, the bbox and crossing-number tests decide. A point has one
-    cell, so no pair is produced twice.
+    cell, so no pair is produced twice. Cells carry the polygon's keys and box only; its ring
+    joins the candidates by key, so a ring is never copied into the cells it covers.
     """
     minx, miny, maxx, maxy = ring_bbox(F.col(ring))
-    polys = polygons.select(*match, *[k for k in poly_keys if k not in match], ring,
-                            minx.alias("_minx"), miny.alias("_miny"),
+    keys = list(dict.fromkeys([*match, *poly_keys]))
+    boxes = polygons.select(*keys, minx.alias("_minx"), miny.alias("_miny"),
                             maxx.alias("_maxx"), maxy.alias("_maxy"))
-    polys = polys.withColumn("_cell", F.explode(cells_of_box(
+    boxes = boxes.withColumn("_cell", F.explode(cells_of_box(
         F.col("_minx"), F.col("_miny"), F.col("_maxx"), F.col("_maxy"), cell)))
     pts = points.withColumn("_cell", cell_of(F.col(x), F.col(y), cell))
-    j = pts.join(polys, ["_cell", *match])
-    inside = ((F.col(x) >= F.col("_minx")) & (F.col(x) <= F.col("_maxx"))
-              & (F.col(y) >= F.col("_miny")) & (F.col(y) <= F.col("_maxy"))
-              & point_in_ring(F.col(x), F.col(y), F.col(ring)))
-    return j.where(inside).drop("_cell", "_minx", "_miny", "_maxx", "_maxy", ring)
+    in_box = ((F.col(x) >= F.col("_minx")) & (F.col(x) <= F.col("_maxx"))
+              & (F.col(y) >= F.col("_miny")) & (F.col(y) <= F.col("_maxy")))
+    j = pts.join(boxes, ["_cell", *match]).where(in_box).drop("_cell", "_minx", "_miny", "_maxx", "_maxy")
+    j = _with_ring(j, polygons, keys, ring)
+    return j.where(point_in_ring(F.col(x), F.col(y), F.col("_ring"))).drop("_ring")
+
+
+def _with_ring(pairs: DataFrame, polygons: DataFrame, keys: list[str], ring: str) -> DataFrame:
+    """Candidates with their polygon's ring as ``_ring`` (polygon keys are unique)."""
+    rings = polygons.select(*[F.col(k).alias(f"_r_{k}") for k in keys], F.col(ring).alias("_ring"))
+    same = F.lit(True)
+    for k in keys:
+        same = same & (F.col(k) == F.col(f"_r_{k}"))
+    return pairs.join(rings, same).drop(*[f"_r_{k}" for k in keys])
 
 
 def clip_points(points: DataFrame, polygons: DataFrame, cell: float, by=("poly_id",), **kw) -> DataFrame:
@@ -178,7 +188,7 @@ def clip_lines(segments: DataFrame, polygons: DataFrame, cell: float,
     pairs are not duplicated and no distinct/shuffle is needed.
     """
     minx, miny, maxx, maxy = ring_bbox(F.col(ring))
-    polys = (polygons.select(*match, *[k for k in poly_keys if k not in match], ring,
+    polys = (polygons.select(*match, *[k for k in poly_keys if k not in match],
                              minx.alias("_pminx"), miny.alias("_pminy"),
                              maxx.alias("_pmaxx"), maxy.alias("_pmaxy"))
              .withColumn("_cell", F.explode(cells_of_box(F.col("_pminx"), F.col("_pminy"),
@@ -193,9 +203,9 @@ def clip_lines(segments: DataFrame, polygons: DataFrame, cell: float,
     iy0 = F.greatest("_sminy", "_pminy")
     overlap = ((ix0 <= F.least("_smaxx", "_pmaxx")) & (iy0 <= F.least("_smaxy", "_pmaxy")))
     ref = (F.col("_cell") == cell_of(ix0, iy0, cell))
-    j = j.where(overlap & ref)
+    j = _with_ring(j.where(overlap & ref), polygons, list(dict.fromkeys([*match, *poly_keys])), ring)
     seg_len = F.sqrt((F.col("x1") - F.col("x0")) ** 2 + (F.col("y1") - F.col("y0")) ** 2)
-    pieces = clip_segment_to_ring(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"), F.col(ring))
+    pieces = clip_segment_to_ring(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"), F.col("_ring"))
     extra = [c for c in (*match, *keep) if c not in seg_keys and c not in poly_keys]
     out = j.select(*seg_keys, *poly_keys, *extra, seg_len.alias("seg_len"), pieces.alias("pieces"))
     inside_len = F.aggregate("pieces", F.lit(0.0), lambda acc, p: acc + (p["b"] - p["a"]))

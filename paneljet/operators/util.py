@@ -7,18 +7,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
-DEFAULT_BROADCAST_ROWS = 200_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only after checking the row count stays under ``max_rows``.
-
-    The check reads at most ``max_rows + 1`` rows. Above the bound the frame is returned
-    unhinted and Catalyst/AQE pick a shuffle join (or broadcast it themselves when the
-    measured size is under ``spark.sql.autoBroadcastJoinThreshold``).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+MAX_CALENDAR_ROWS = 100_000
 
 
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
@@ -43,5 +32,16 @@ def cut_lineage_counted(df: DataFrame) -> tuple[DataFrame, int]:
     return out, int(obs.get["n"])
 
 
+def broadcast_calendar(df: DataFrame, max_rows: int = MAX_CALENDAR_ROWS) -> DataFrame:
+    """A calendar (one row per period), materialised and counted in one job, then broadcast.
+
+    A frame with more than ``max_rows`` rows is no calendar and is refused, never broadcast.
+    """
+    out, n = cut_lineage_counted(df)
+    if n > max_rows:
+        raise ValidationError(f"{n} periods: over the bound of {max_rows} for a calendar")
+    return F.broadcast(out)
+
+
 class ValidationError(ValueError):
     """Raised by the opt-in validation actions."""

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.clean import round_half_even
-from .util import cut_lineage
+from .util import broadcast_calendar, cut_lineage
 
 Order = str | Column
 
@@ -66,7 +66,7 @@ def expanding_ratio(df: DataFrame, keys: Sequence[str], order: str, num: str, de
     row of its key by ``explode(sequence)`` - no key x period grid is shuffled.
     """
     per = df.groupBy(*keys, order).agg(F.sum(num).alias("_n"), F.sum(den).alias("_d"))
-    pos = F.broadcast(positions(per, order, "pos"))
+    pos = broadcast_calendar(positions(per, order, "pos"))
     n_pos = pos.agg(F.max("pos").alias("_maxpos"))
     w = Window.partitionBy(*keys).orderBy("pos")
     wc = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -83,16 +83,18 @@ def expanding_ratio(df: DataFrame, keys: Sequence[str], order: str, num: str, de
 
 
 def scale_baseline(ratios: DataFrame, baseline: DataFrame, keys: Sequence[str],
-                   ratio: str = "ratio", base: str = "baseline", out: str = "stock") -> DataFrame:
+                   ratio: str = "ratio", base: str = "baseline", out: str = "stock",
+                   calendar: DataFrame | None = None) -> DataFrame:
     """Rounded ratio x initial stock, rounded half-even to units.
 
-    Every baseline key appears for every position; keys without data get NULL.
+    Every baseline key appears for every position; keys without data get NULL. ``calendar``
+    lists the positions (all columns of ``ratios`` but the keys and the ratio); without it they
+    are taken from ``ratios``.
     """
-    grid = baseline.select(*keys, base).crossJoin(
-        F.broadcast(ratios.select(*[c for c in ratios.columns if c not in keys and c != ratio])
-                    .distinct()))
-    j = grid.join(ratios, [*keys, *[c for c in ratios.columns if c not in keys and c != ratio]],
-                  "left")
+    when = [c for c in ratios.columns if c not in keys and c != ratio]
+    periods = (calendar if calendar is not None else ratios).select(*when).distinct()
+    grid = baseline.select(*keys, base).crossJoin(broadcast_calendar(periods))
+    j = grid.join(ratios, [*keys, *when], "left")
     return j.withColumn(out, round_half_even(F.col(ratio) * F.col(base), 0))
 
 

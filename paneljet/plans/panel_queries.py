@@ -483,7 +483,9 @@ def installed_base(spark, sf, cube: DataFrame) -> DataFrame:
     cust = table(spark, sf, "customer")
     base = (cust.join(districts(spark, sf), F.col("c_nationkey") == F.col("n_nationkey"))
             .groupBy("county", "district").agg(F.count(F.lit(1)).alias("baseline")))
-    return windows.scale_baseline(ratios, base, ["county", "district"], "ratio", "baseline", "stock")
+    calendar = windows.positions(p, "month", "pos")
+    return windows.scale_baseline(ratios, base, ["county", "district"], "ratio", "baseline", "stock",
+                                  calendar=calendar)
 
 
 @register("w5_expanding_ratio", _W5_SQL + """

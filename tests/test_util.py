@@ -1,7 +1,7 @@
 import contextlib
 import io
 
-from paneljet.operators.util import broadcast_if_small, cut_lineage_counted
+from paneljet.operators.util import broadcast_calendar, cut_lineage_counted
 
 
 def _plan(df):
@@ -11,15 +11,16 @@ def _plan(df):
     return buf.getvalue()
 
 
-def test_broadcast_only_within_the_checked_bound(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        big = spark.range(1000).withColumnRenamed("id", "k")
-        small = spark.range(10).withColumnRenamed("id", "k")
-        assert "BroadcastHashJoin" in _plan(big.join(broadcast_if_small(small, 100), "k"))
-        assert "BroadcastHashJoin" not in _plan(big.join(broadcast_if_small(big, 100), "k"))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def test_calendar_is_broadcast_within_its_bound_only(spark):
+    import pytest
+
+    from paneljet.operators.util import ValidationError
+
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    small = spark.range(10).withColumnRenamed("id", "m")
+    assert "BroadcastNestedLoopJoin" in _plan(big.crossJoin(broadcast_calendar(small, 10)))
+    with pytest.raises(ValidationError):
+        broadcast_calendar(small, 9)
 
 
 def test_counted_checkpoint(spark):
