@@ -630,6 +630,26 @@ def p12_url_parts(spark, sf):
         clean.normalize_text(host, [(".example.", " ")], strip=True, case="title").alias("host_label"))
 
 
+@register("p12_ids", r"""
+WITH t AS (SELECT page_id, url, CASE WHEN page_id % 3 <> 0 THEN url || '&ll=' || (page_id % 90) || '.'
+             || (page_id % 1000) || ',-' || (page_id % 180) || '.5' ELSE url END AS u FROM pages)
+SELECT page_id,
+  TRY_CAST(nullif(regexp_extract(u, 'll=(-?[0-9]+(?:\.[0-9]+)?),(-?[0-9]+(?:\.[0-9]+)?)', 1), '') AS DOUBLE) AS lat,
+  TRY_CAST(nullif(regexp_extract(u, 'll=(-?[0-9]+(?:\.[0-9]+)?),(-?[0-9]+(?:\.[0-9]+)?)', 2), '') AS DOUBLE) AS lon,
+  nullif(regexp_extract(url, '/en/([^/]+)', 1), '') AS en_id
+FROM t""")
+def p12_ids(spark, sf):
+    """Coordinates from an ll= parameter (two pages in three get one) and the id after a marker."""
+    pg = table(spark, sf, "pages").select("page_id", "url")
+    n = F.col("page_id")
+    ll = F.concat(F.col("url"), F.lit("&ll="), (n % 90).cast("string"), F.lit("."), (n % 1000).cast("string"),
+                  F.lit(",-"), (n % 180).cast("string"), F.lit(".5"))
+    pg = pg.withColumn("u", F.when(n % 3 != 0, ll).otherwise(F.col("url")))
+    lat, lon = clean.extract_ll("u")
+    return pg.select("page_id", lat.alias("lat"), lon.alias("lon"),
+                     clean.extract_path_id("url", "/en/").alias("en_id"))
+
+
 # --------------------------------------------------------------------------------------
 # Dates from text in several formats, some broken on purpose
 # --------------------------------------------------------------------------------------
