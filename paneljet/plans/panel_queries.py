@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import clean
 from ..operators import agg, joins, reshape, windows
 from ..operators.util import cut_lineage
+from ..sources import io
 from .catalog import register
 from .tables import table
 
@@ -630,6 +631,16 @@ def p12_url_parts(spark, sf):
         clean.normalize_text(host, [(".example.", " ")], strip=True, case="title").alias("host_label"))
 
 
+@register("s1_read_panel", """
+SELECT c_custkey, CAST(c_nationkey AS BIGINT) AS c_nationkey, CAST(c_acctbal AS DOUBLE) AS c_acctbal,
+       c_mktsegment FROM customer""")
+def s1_read_panel(spark, sf):
+    """Typed read of a Parquet table with required columns."""
+    return io.read_panel(spark, f"{sf}/customer.parquet", {
+        "c_custkey": "bigint", "c_nationkey": "bigint", "c_acctbal": "double", "c_mktsegment": "string"},
+        fmt="parquet")
+
+
 @register("p12_ids", r"""
 WITH t AS (SELECT page_id, url, CASE WHEN page_id % 3 <> 0 THEN url || '&ll=' || (page_id % 90) || '.'
              || (page_id % 1000) || ',-' || (page_id % 180) || '.5' ELSE url END AS u FROM pages)
