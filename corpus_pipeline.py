@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and
 read again as the next stage's ``docs``. All but the last return the columns of ``documents``.
-Empty tables, null texts and repeated rows go through every stage as its operator defines.
+Empty tables, null texts and repeated rows go through every stage as its operator defines. Rows
+whose doc_id is null or repeats are judged each by its own text.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 import uuid
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -23,14 +24,25 @@ TOKENIZER = "byte_bpe_50k.json"
 CAPACITY = 2048
 
 
-def _semi(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is (``left_semi``) or is not (``left_anti``) in ``ids``."""
-    return docs.join(ids.select(F.col("id").alias("__id")), F.col("doc_id") == F.col("__id"), how)
+def _key() -> Column:
+    """A row's key: its doc_id and text. Ids that are null or repeat are told apart by the text,
+    and rows equal in both get the same decisions. The smallest key of a group has an id."""
+    return F.struct(F.isnull("doc_id").alias("none"), F.col("doc_id").alias("doc"),
+                    F.xxhash64("text").alias("text")).alias("key")
+
+
+def _semi(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """Rows of ``docs`` whose key is (``left_semi``) or is not (``left_anti``) an ``id`` of ``keys``."""
+    k = keys.select(F.col("id.doc").alias("__key_doc"), F.col("id.text").alias("__key_text"))
+    same = (docs["doc_id"].eqNullSafe(k["__key_doc"])
+            & (F.xxhash64(docs["text"]) == k["__key_text"]))
+    return docs.join(k, same, how)
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a letter and those whose language is ambiguous."""
-    out = langid.identify(docs, fold(F.col("doc_id"), 5) != 0)
+    rows = docs.select(_key(), "doc_id", "text", "lang")
+    out = langid.identify(rows, fold(F.col("doc_id"), 5) != 0, id_col="key")
     rejected = cut_lineage(out.where((F.col("lang_pred") == "und") | F.col("ambiguous"))
                            .select("id").distinct())
     return _semi(docs, rejected, "left_anti")
@@ -38,21 +50,22 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document, the one with the smallest id, of each SimHash group."""
-    out = simhash.near_duplicates(docs, shingle=4, distance=4)
-    kept = cut_lineage(out.where(F.col("id").eqNullSafe(F.col("component"))).groupBy("id")
+    out = simhash.near_duplicates(docs.select(_key(), "text"), id_col="key", shingle=4, distance=4)
+    kept = cut_lineage(out.where(F.col("id") == F.col("component")).groupBy("id")
                        .agg(F.count(F.lit(1)).alias("n")))
-    rows = docs.join(kept.select(F.col("id").alias("__id")),
-                     F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+    rows = _semi(docs, kept, "left_semi")
     if kept.where("n > 1").isEmpty():
         return rows
-    # rows that repeat an id: the first by text stays
-    w = Window.partitionBy("doc_id").orderBy("text", *[c for c in docs.columns if c != "text"])
-    return rows.withColumn("__rank", F.row_number().over(w)).where("__rank = 1").drop("__rank")
+    # rows that repeat both id and text: the first by the other columns stays
+    w = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(*docs.columns)
+    rank = f"__rank_{uuid.uuid4().hex}"
+    return rows.withColumn(rank, F.row_number().over(w)).where(F.col(rank) == 1).drop(rank)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a copy of a benchmark item."""
-    found = decontam.leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    found = decontam.leaks(docs.select(_key(), "text"),
+                           spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="key")
     return _semi(docs, cut_lineage(found.select("id").distinct()), "left_anti")
 
 

@@ -106,3 +106,23 @@ def test_pipeline_awkward_tables(spark, tmp_path):
         out = corpus_pipeline.run(spark, sf)
         got = sorted((r.doc_id, r.length > 1) for r in out.collect())
         assert got == ([(1, True), (5, True)] if name == "a" else [])
+
+
+def test_pipeline_judges_null_and_repeated_ids_by_their_text(spark, tmp_path):
+    """Rows without an id, or that share one, are dropped or kept each for its own text."""
+    other = "a wholly different line about rivers and the boats that sail on them"
+    leak = "some other long benchmark sentence that nobody should train on"
+    rows = [(None, "the cat sat on the mat"), (None, other), (None, f"before {leak} after"),
+            (7, "12345"), (7, "the dog lay down on the rug by the fire"), (8, leak),
+            (8, "the bird flew over the house and the old garden"), (9, other), (9, other), (None, "678")]
+    sf = str(tmp_path)
+    (spark.createDataFrame([(i, t, "en", "s", len(t), "x") for i, t in rows],
+                           "doc_id long, text string, lang string, source string, n_chars long, __key_doc string")
+     .write.parquet(f"{sf}/documents.parquet"))
+    (spark.createDataFrame([(1, leak)], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet"))
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, sf).checkpoint()
+    assert sorted(map(repr, docs.select("doc_id", "text").collect())) == sorted(
+        f"Row(doc_id={i!r}, text={t!r})" for i, t in [
+            (None, rows[0][1]), (7, rows[4][1]), (8, rows[6][1]), (9, other)])
