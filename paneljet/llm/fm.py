@@ -202,7 +202,8 @@ def train(rows: DataFrame, votes: DataFrame, metadata: list[str], max_rows: int
                                              pa.array(stats.ravel()))], names=["y", "b", "x", "s"])
 
     got = sample.transform(map_arrow, run, "y int, b array<int>, x array<double>, s array<double>").toPandas()
-    got["h"] = [hash((y, len(b), tuple(s))) for y, b, s in zip(got.y, got.b, got.s)]
+    # missing metadata as a number: the hash of a NaN differs from object to object
+    got["h"] = [hash((y, len(b), tuple(np.nan_to_num(s, nan=-1e9)))) for y, b, s in zip(got.y, got.b, got.s)]
     got = got.sort_values("h", kind="stable")     # the order rows arrive in doesn't matter
     if not len(got):
         k = len(STATS) + len(metadata)
