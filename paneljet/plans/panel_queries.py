@@ -68,14 +68,21 @@ def order_cube(spark, sf) -> DataFrame:
     25 x months x 5 x 3 x 2 rows, whatever the data volume).
 
     The partial aggregate shrinks each input partition before the shuffle, and the result
-    is materialised with a reliable checkpoint so that every query built on it reads the
-    fact join once: filters applied later cannot be pushed into it and split the plan.
+    is materialised with a reliable checkpoint so that a query that uses it several times reads
+    the fact join once: filters applied later cannot be pushed into it and split the plan.
     """
     cube = order_facts(spark, sf).groupBy(*CUBE_KEYS).agg(
         F.count(F.lit(1)).alias("n"), F.sum("price").alias("price_sum"))
     return cut_lineage(cube)
 
 
+def order_rows(spark, sf) -> DataFrame:
+    """The cube's columns with one row per order, not materialised: for queries that read them
+    once, so that their filters reach the scan and one aggregate does the work of two."""
+    return order_facts(spark, sf).select(*CUBE_KEYS, F.lit(1).cast("long").alias("n"),
+                                         F.col("price").alias("price_sum"))
+
+
 def nsum(cond=None) -> F.Column:
     """Order count (sum of cube counts), optionally only where ``cond``."""
     return F.sum("n") if cond is None else F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0))
@@ -120,7 +127,7 @@ SELECT county,
 FROM cm""")
 def c3_running_totals(spark, sf):
     """C3 (W4, W8, O2, P5, P10): county-month orders, running total, year-end flag, custom order."""
-    p = nation_month(order_cube(spark, sf))
+    p = nation_month(order_rows(spark, sf))
     cm = clean.filter_members(p, "county", C3_ORDER).groupBy("county", "month").agg(
         F.sum("n_orders").cast("long").alias("n_orders"))
     cm = cm.withColumn("label", clean.map_values("county", {"ASIA": "Asia", "EUROPE": "Europe"}))
@@ -142,7 +149,7 @@ FROM panel WHERE county IN ('ASIA', 'EUROPE', 'AMERICA') GROUP BY month""")
 def c3_monthly_total(spark, sf):
     """Monthly sum over the selected counties and its running total (the series behind
     the national trend plot). The running sum is over a calendar-sized table."""
-    p = clean.filter_members(nation_month(order_cube(spark, sf)), "county", C3_ORDER)
+    p = clean.filter_members(nation_month(order_rows(spark, sf)), "county", C3_ORDER)
     m = p.groupBy("month").agg(F.sum("n_orders").cast("long").alias("n_orders"))
     m = m.withColumn("_all", F.lit(1))
     out = windows.running_sum(m, ["_all"], ["month"], "n_orders", "cum_orders")
@@ -220,7 +227,7 @@ SELECT m.month, lab.county, lab.series, CAST(coalesce(c.n, 0) AS BIGINT) AS n_or
 FROM m CROSS JOIN lab LEFT JOIN c ON c.month = m.month AND c.county = lab.county AND c.series = lab.series""")
 def s2_wide_long(spark, sf):
     """Region x priority wide table by month, melted back and labels split."""
-    f = order_cube(spark, sf).withColumn("label", clean.composite_key(["county", "series"], "_"))
+    f = order_rows(spark, sf).withColumn("label", clean.composite_key(["county", "series"], "_"))
     labels = [f"{r}_{p}" for r in REGIONS for p in PRIORITIES]
     wide = reshape.pivot_sum(f, ["month"], "label", "n", labels)
     long = reshape.melt(wide, ["month"], labels, "label", "n_orders")
@@ -235,7 +242,7 @@ SELECT month, county, series, round(sum(price), 2) AS revenue FROM facts
 WHERE status = 'F' GROUP BY month, county, series""")
 def r2_stack_dropnull(spark, sf):
     """R3 pivot with NULL cells, then the legacy stack that drops them (R2)."""
-    f = order_cube(spark, sf).where(F.col("status") == "F").withColumn(
+    f = order_rows(spark, sf).where(F.col("status") == "F").withColumn(
         "label", clean.composite_key(["county", "series"], "_"))
     per = f.groupBy("month", "label").agg(money().alias("revenue"))
     pairs = {f"{r}_{p}": (r, p) for r in REGIONS for p in PRIORITIES}
@@ -264,7 +271,7 @@ SELECT district, month,
 FROM s GROUP BY district, month""")
 def r3_pivot(spark, sf):
     """Order counts per district-month pivoted by priority, with an absent priority column."""
-    s = order_cube(spark, sf).groupBy("district", "month", "series").agg(nsum().alias("n"))
+    s = order_rows(spark, sf).groupBy("district", "month", "series").agg(nsum().alias("n"))
     return reshape.pivot_first(s, ["district", "month"], "series", "n", list(_R3_NAMES),
                                names=_R3_NAMES)
 
@@ -277,7 +284,7 @@ SELECT district, month,
 FROM facts GROUP BY district, month""")
 def r4_pivot(spark, sf):
     """Order counts per district-month pivoted by status, gaps 0."""
-    f = order_cube(spark, sf)
+    f = order_rows(spark, sf)
     out = reshape.pivot_sum(f, ["district", "month"], "status", "n", ["F", "O", "P", "X"],
                             prefix="n_")
     return out.select("district", "month", *[F.col(f"n_{s}").cast("long") for s in "FOPX"])
@@ -446,7 +453,7 @@ SELECT district, month, series, revenue_f FROM (
 WHERE rn = 1""")
 def w7_best_row(spark, sf):
     """Per district-month the priority with the highest finished revenue, NULLs last."""
-    s = order_cube(spark, sf).groupBy("district", "month", "series").agg(
+    s = order_rows(spark, sf).groupBy("district", "month", "series").agg(
         money(F.col("status") == "F").alias("revenue_f"))
     return windows.best_value_row(s, ["district", "month"], "revenue_f", ["series"]).select(
         "district", "month", "series", "revenue_f")
@@ -907,7 +914,7 @@ SELECT county, round(sum(price) FILTER (WHERE flag), 2) AS flagged, round(sum(pr
 FROM facts GROUP BY county""")
 def a12_share_of_flag(spark, sf):
     """BUILDING-segment share of order value per county."""
-    out = agg.share_of_flag(order_cube(spark, sf), ["county"], F.col("flag"), "price_sum")
+    out = agg.share_of_flag(order_rows(spark, sf), ["county"], F.col("flag"), "price_sum")
     return out.select("county", F.round("flagged", 2).alias("flagged"), F.round("total", 2).alias("total"),
                       F.round("share", 6).alias("share"))
 
@@ -924,7 +931,7 @@ SELECT district, month, v, v_ffill, v_bfill, coalesce(v_ffill, v_bfill) AS v_eit
        coalesce(v, 0.0) AS v_zero FROM w""")
 def w1_fill_gaps(spark, sf):
     """Urgent finished revenue per district-month, filled forward/backward/zero."""
-    f = order_cube(spark, sf)
+    f = order_rows(spark, sf)
     s = f.groupBy("district", "month").agg(
         money((F.col("status") == "F") & (F.col("series") == "1-URGENT")).alias("v"))
     s = windows.ffill(s, ["district"], ["month"], "v", "v_ffill")
@@ -941,7 +948,7 @@ SELECT county, CAST(year(month) AS INTEGER) AS year, month, n_orders FROM (
 WHERE rn = 1""")
 def w8_last_per_group(spark, sf):
     """Last month of each county-year."""
-    cm = order_cube(spark, sf).groupBy("county", "month").agg(nsum().alias("n_orders"))
+    cm = order_rows(spark, sf).groupBy("county", "month").agg(nsum().alias("n_orders"))
     cm = cm.withColumn("year", F.year("month").cast("int"))
     return windows.last_per_group(cm, ["county", "year"], ["month"]).select(
         "county", "year", "month", "n_orders")

@@ -23,6 +23,8 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "ReadSchema: struct<user_id:bigint,event_type:string,value:double>" in text
     # C1 takes status and attributes from one materialised pass over the event log
     assert "events.parquet" not in formatted(spark, "c1_station_status")
+    # the orders of a query that reads them once are filtered by the scan
+    assert "EqualTo(o_orderstatus,F)" in formatted(spark, "r2_stack_dropnull")
     docs = formatted(spark, "c4_missing_profile_active")
     assert "EqualTo(toxic,1)" in docs
     li = formatted(spark, "a10_describe")
