@@ -24,6 +24,7 @@ from ..functions.clean import safe_ratio
 from .util import cut_lineage, cut_lineage_counted
 
 THRESHOLDS = (500, 1000, 1500)
+GRID_SLICES = 16        # slices in which a graph's towns meet its search keys
 
 
 def road_edges(segments: DataFrame, keys: Sequence[str], line_id: str, path: str = "path",
@@ -301,8 +302,13 @@ def length_by_region(edges: DataFrame, covered: DataFrame, graph_keys: Sequence[
            .agg(*[F.sum(F.when(F.col("D") == float(t), F.col("covered_m"))).alias(f"cum_{int(t)}")
                   for t in thresholds]))
     report_keys = keys_table.select(*graph_keys, *search_keys).distinct()
-    grid = (totals.join(report_keys, list(graph_keys)) if graph_keys
-            else totals.crossJoin(report_keys))   # every town for every search key is the output
+    # Every town for every search key is the output. The keys are dealt over slices and the
+    # towns copied into each: an equi-join, spread over tasks even if there is only one graph.
+    slice_of = F.pmod(F.xxhash64(*search_keys), F.lit(GRID_SLICES)) if search_keys else F.lit(0)
+    slices = F.explode(F.array(*[F.lit(i).cast("long") for i in range(GRID_SLICES if search_keys else 1)]))
+    grid = (totals.withColumn("_slice", slices)
+            .join(report_keys.withColumn("_slice", slice_of.cast("long")), [*graph_keys, "_slice"])
+            .drop("_slice"))
     out = grid.join(cov, [*graph_keys, *search_keys, town], "left")
     return out.withColumns({f"cum_{int(t)}": F.coalesce(F.col(f"cum_{int(t)}"), F.lit(0.0))
                             for t in thresholds})

@@ -479,7 +479,7 @@ def c11_city_coverage(spark, sf):
     top = table(spark, sf, "supplier").agg((1000 * F.max("s_suppkey") + 500).alias("top"))
     spans = [("A", -100.0, 1500.0), ("B", 1500.0, 4000.0), ("C", 6000.0, 7000.0)]
     rects = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(lo).alias("lo"), F.lit(hi).alias("hi")) for t, lo, hi in spans])
-    towns = (nations.crossJoin(top).select("city", "top", F.explode(rects).alias("r"))
+    towns = (nations.crossJoin(F.broadcast(top)).select("city", "top", F.explode(rects).alias("r"))
              .select("city", F.col("r.t").alias("TOWNID"), F.col("r.t").alias("TOWNNAME"),
                      F.array(point(F.col("r.lo"), F.lit(-500)), point(F.col("r.hi"), F.lit(-500)),
                              point(F.col("r.hi"), F.col("top")), point(F.col("r.lo"), F.col("top"))).alias("ring")))
