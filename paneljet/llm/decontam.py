@@ -1,13 +1,11 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Texts and items are word sequences (case folded, punctuation and white space separate words). A
 pass over all documents finds every n-gram that occurs in a benchmark item (an item of fewer
-words is one gram) and cuts the passage around each cluster of hits. An item's seeds are its
-rare grams: those in at most ``rare`` of all documents, or at most as frequent as the item's own
-median gram, so an item that leaked into a third of the corpus keeps seeds. Passages with a seed, and
-those with a tenth of the item's grams, however common, are aligned with their item, word by
-word (match +2, mismatch and gap -1). A passage whose score is at least ``threshold`` of the
-item's self-score is a leak.
+words is one gram), cuts the passage around each cluster of hits and aligns it with the item, word
+by word (match +2, mismatch and gap -1). A passage whose score is at least ``threshold`` of the
+item's self-score is a leak. Whether a passage is aligned depends on its own words and the item's
+only, not on how many documents hold it or how large the corpus is.
 
 The benchmark is taken in blocks of at most about BLOCK_BYTES (a stated query set): each block's grams
 and words are broadcast, so the broadcast is bounded whatever the benchmark's size.
@@ -29,7 +27,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.util import cut_lineage
 from .common import SLICE_BYTES, map_arrow, text_slices, word_bounds
 from .langid import fold_case
 
@@ -41,6 +38,8 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _POWERS: dict[str, np.ndarray] = {}
 _MIX = np.uint64(0xD6E8FEB86659FD93)
+ALIGN_CELLS = 1 << 16                       # words of the passages that are aligned together
+_NO_TEXT, _NO_ITEM = np.uint64(2 ** 64 - 1), np.uint64(2 ** 64 - 2)       # paddings: equal nothing
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -90,24 +89,53 @@ def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     return mix(h)
 
 
-def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
-    """(best local score, end in the passage) of Smith-Waterman over word hashes."""
-    m = len(passage)
-    steps = np.arange(m + 1)
-    prev = np.zeros(m + 1, dtype=np.int64)
-    best, at = 0, 0
-    for w in item:
-        here = np.zeros(m + 1, dtype=np.int64)
-        here[1:] = np.maximum(prev[:-1] + np.where(passage == w, MATCH, MISS), prev[1:] + GAP)
-        np.maximum(here, 0, out=here)
-        here = np.maximum.accumulate(here - GAP * steps) + GAP * steps   # gaps along the passage
-        top = int(here.argmax())
-        if here[top] > best:
-            best, at = int(here[top]), top
-        prev = here
+def align_many(items: list[np.ndarray], passages: list[np.ndarray]
+               ) -> tuple[np.ndarray, np.ndarray]:
+    """(best local scores, their first ends in the passages) of Smith-Waterman over word hashes,
+    each item with its passage; pairs of like length are aligned together."""
+    best, at = np.zeros(len(items), dtype=np.int64), np.zeros(len(items), dtype=np.int64)
+    order = sorted(range(len(items)), key=lambda k: (len(passages[k]), len(items[k])))
+    lo = 0
+    while lo < len(order):
+        hi = lo + 1
+        while hi < len(order) and (hi + 1 - lo) * len(passages[order[hi]]) <= ALIGN_CELLS:
+            hi += 1
+        part = order[lo:hi]
+        m = len(passages[part[-1]])
+        text = np.full((len(part), m), _NO_TEXT, dtype=np.uint64)
+        query = np.full((len(part), max(len(items[k]) for k in part)), _NO_ITEM, dtype=np.uint64)
+        for r, k in enumerate(part):
+            text[r, :len(passages[k])] = passages[k]
+            query[r, :len(items[k])] = items[k]
+        steps = GAP * np.arange(m + 1, dtype=np.int32)
+        rows = np.arange(len(part))
+        score, end = np.zeros(len(part), dtype=np.int64), np.zeros(len(part), dtype=np.int64)
+        prev = np.zeros((len(part), m + 1), dtype=np.int32)
+        here = np.zeros_like(prev)
+        for i in range(query.shape[1]):
+            gain = np.where(text == query[:, i:i + 1], np.int32(MATCH), np.int32(MISS))
+            here[:, 0] = 0
+            np.maximum(prev[:, :-1] + gain, prev[:, 1:] + np.int32(GAP), out=here[:, 1:])
+            np.maximum(here, 0, out=here)
+            here -= steps
+            np.maximum.accumulate(here, axis=1, out=here)         # gaps along the passage
+            here += steps
+            top = here.argmax(axis=1)
+            now = here[rows, top]
+            better = (now > score) | (now == score) & (top < end)
+            score[better], end[better] = now[better], top[better]
+            prev, here = here, prev
+        best[part], at[part] = score, end
+        lo = hi
     return best, at
 
 
+def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
+    """``align_many`` of one pair."""
+    best, at = align_many([item], [passage])
+    return int(best[0]), int(at[0])
+
+
 def _passages(hits: list[tuple[int, int]], length: int) -> Iterator[tuple[int, int]]:
     """Word windows around clusters of (text position, item position) hits of one item."""
     slack = length // 4 + 2
@@ -133,8 +161,27 @@ def _item_words(texts: list[str | None]) -> list[np.ndarray]:
     return out
 
 
-def _block(docs: DataFrame, items: list[tuple], n: int, rare: float, total: int,
-           threshold: float) -> DataFrame:
+def _aligned(found: list[tuple[int, int, np.ndarray]], words: list[np.ndarray], threshold: float
+             ) -> Iterator[tuple[int, float, int, int]]:
+    """(number in ``found``, score, first word, last word + 1) of the (row, item, passage words)
+    that reach the threshold. Equal passages are aligned once."""
+    keys: dict[tuple[int, bytes], int] = {}
+    which = [keys.setdefault((item, passage.tobytes()), len(keys)) for _, item, passage in found]
+    items = [words[item] for item, _ in keys]
+    passages = [np.frombuffer(p, dtype=np.uint64) for _, p in keys]
+    best, end = align_many(items, passages)
+    share = best / np.array([MATCH * len(w) for w in items], dtype=np.float64)
+    good = np.flatnonzero(share >= threshold).tolist()
+    _, back = align_many([items[k][::-1] for k in good],
+                         [passages[k][:end[k]][::-1] for k in good])
+    spans = {k: (float(share[k]), int(end[k]) - int(r), int(end[k]))
+             for k, r in zip(good, back) if end[k]}
+    for i, k in enumerate(which):
+        if k in spans:
+            yield i, *spans[k]
+
+
+def _block(docs: DataFrame, items: list[tuple], n: int, threshold: float) -> DataFrame:
     """Leaks of one block of items (id, text) in all documents."""
     spark = docs.sparkSession
     words = _item_words([t for _, t in items])
@@ -146,22 +193,20 @@ def _block(docs: DataFrame, items: list[tuple], n: int, rare: float, total: int,
             for pos, g in enumerate(gram_hashes(w, size).tolist()):
                 where[g].append((i, pos))
                 sizes[size].add(g)
-    lengths = [len(w) for w in words]
     known = spark.sparkContext.broadcast(
-        (dict(where), {s: np.array(sorted(g), dtype=np.uint64) for s, g in sizes.items()}, lengths))
+        (dict(where), {s: np.array(sorted(g), dtype=np.uint64) for s, g in sizes.items()}, words))
     kind = docs.schema["id"].dataType.simpleString()
 
-    def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        where, sizes, lengths = known.value
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        where, sizes, words = known.value
         masks = {}
         for s, grams in sizes.items():
             masks[s] = np.zeros(1 << 20, dtype=bool)     # one lookup rules most grams out
             masks[s][(grams & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
         for batch in batches:
-            row, cols = [], ([], [], [], [], [])
             for lo, hi, data, starts in text_slices(batch.column(1)):
                 ws, we, wh, doc = slice_words(data, starts)
-                found: dict[tuple[int, int], list] = defaultdict(list)
+                hits: dict[tuple[int, int], list] = defaultdict(list)
                 for s, grams in sizes.items():
                     h = gram_hashes(wh, s)
                     may = np.flatnonzero(masks[s][(h & np.uint64((1 << 20) - 1)).astype(np.int64)])
@@ -170,80 +215,32 @@ def _block(docs: DataFrame, items: list[tuple], n: int, rare: float, total: int,
                     may = may[grams[np.minimum(at, len(grams) - 1)] == h[may]]
                     for p, g in zip(may.tolist(), h[may].tolist()):
                         for item, pos in where[g]:
-                            found[int(doc[p]), item].append((p, pos, g))
-                if not found:
+                            hits[int(doc[p]), item].append((p, pos))
+                if not hits:
                     continue
                 first = np.searchsorted(doc, np.arange(hi - lo))
                 last = np.searchsorted(doc, np.arange(hi - lo), side="right")
-                for (d, item), got in found.items():
-                    got.sort()
-                    for a, b in _passages([x[:2] for x in got], lengths[item]):
-                        a, b = max(a, int(first[d])), min(b, int(last[d]))
-                        at0 = int(starts[d])
-                        row.append(lo + d)
-                        for c, x in zip(cols, (
-                                item, sorted({g for p, _, g in got if a <= p < b}),
-                                wh[a:b].view(np.int64),
-                                (ws[a:b] - at0).astype(np.int64), (we[a:b] - at0).astype(np.int64))):
-                            c.append(x)
-            if row:
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(row, pa.int64())), pa.array(cols[0], pa.int32()),
-                     pa.array([np.array(g, dtype=np.uint64).view(np.int64) for g in cols[1]],
-                              pa.list_(pa.int64())),
-                     *[pa.array(c, pa.list_(pa.int64())) for c in cols[2:]]],
-                    names=["id", "item", "grams", "words", "starts", "ends"])
-
-    found = cut_lineage(docs.transform(map_arrow,
-        hits, f"id {kind}, item int, grams array<long>, words array<long>, starts array<long>, "
-              "ends array<long>"))
-    # document frequency of the block's grams: at most as many rows as the block has grams
-    df = {r["g"]: r["n"] for r in
-          found.select("id", F.explode("grams").alias("g")).distinct()
-          .groupBy("g").agg(F.count(F.lit(1)).alias("n")).collect()}
-    signed = {g: int(np.array(g, dtype=np.uint64).view(np.int64)) for g in where}
-    mine: dict[int, list[int]] = defaultdict(list)
-    for g, places in where.items():
-        for i in {i for i, _ in places}:
-            mine[i].append(signed[g])
-    seeds, dense = {}, {}
-    for i, grams in mine.items():
-        usual = float(np.median([df.get(g, 0) for g in grams]))
-        seeds[i] = {g for g in grams if df.get(g, 0) <= max(rare * total, usual)}
-        dense[i] = max(2, -(-len(grams) // 10))
-    plan = spark.sparkContext.broadcast((seeds, dense, words))
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seeds, dense, words = plan.value
-        for batch in batches:
-            row, cols, seen = [], ([], [], [], []), {}
-            for i, (item, grams) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2))):
-                grams = grams.as_py()
-                if len(grams) < dense[item] and seeds[item].isdisjoint(grams):
-                    continue
-                passage = np.asarray(batch.column(3)[i].values, dtype=np.int64).view(np.uint64)
-                key = (item, passage.tobytes())
-                if key not in seen:                  # copies of a passage are aligned once a batch
-                    query = words[item]
-                    best, end = align(query, passage)
-                    share = best / (MATCH * len(query))
-                    if share >= threshold:
-                        _, back = align(query[::-1], passage[:end][::-1])
-                        seen[key] = share, end - back, end
-                    else:
-                        seen[key] = None
-                if seen[key]:
-                    share, a, b = seen[key]
-                    row.append(i)
-                    for c, x in zip(cols, (item, share, batch.column(4)[i][a].as_py(),
-                                           batch.column(5)[i][b - 1].as_py())):
+                found, begin = [], []
+                for (d, item), got in hits.items():
+                    for a, b in _passages(sorted(got), len(words[item])):
+                        a = max(a, int(first[d]))
+                        found.append((d, item, wh[a:min(b, int(last[d]))]))
+                        begin.append(a)
+                row, cols = [], ([], [], [], [])
+                for i, share, a, b in _aligned(found, words, threshold):
+                    d, item, _ = found[i]
+                    row.append(lo + d)
+                    for c, x in zip(cols, (item, share, int(ws[begin[i] + a] - starts[d]),
+                                           int(we[begin[i] + b - 1] - starts[d]))):
                         c.append(x)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(row, pa.int64())), pa.array(cols[0], pa.int32()),
-                 pa.array(cols[1], pa.float64()), pa.array(cols[2], pa.int64()),
-                 pa.array(cols[3], pa.int64())], names=["id", "item", "score", "start", "end"])
-
-    leaks = found.transform(map_arrow, score, f"id {kind}, item int, score double, start long, end long")
+                if row:
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).take(pa.array(row, pa.int64())),
+                         pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.float64()),
+                         pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int64())],
+                        names=["id", "item", "score", "start", "end"])
+
+    leaks = docs.transform(map_arrow, run, f"id {kind}, item int, score double, start long, end long")
     best = (leaks.groupBy("id", "item")
             .agg(F.max_by(F.struct("score", "start", "end"),
                           F.struct("score", -F.col("start"), -F.col("end"))).alias("b")))
@@ -258,7 +255,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, n: int = 5, rare: float = 0.001
           item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """(id, item_id, score, start, end) of every document that holds a copy of an item.
 
-    ``start`` and ``end`` are UTF-8 byte offsets of the best aligned passage.
+    ``start`` and ``end`` are UTF-8 byte offsets of the best aligned passage. ``rare`` no longer
+    has an effect: grams of any frequency are seeds.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t")) \
         .where(F.col("id").isNotNull())
@@ -267,13 +265,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, n: int = 5, rare: float = 0.001
     size = items.agg(F.sum(F.octet_length("t") + 16).alias("n")).first()["n"] or 0
     blocks = max(1, -(-size // BLOCK_BYTES))
     items = items.withColumn("block", F.pmod(F.xxhash64("item_id", "t"), F.lit(blocks)))
-    total = rows.count()
     parts = []
     for b in range(blocks):
         got = [(r["item_id"], r["t"]) for r in
                items.where(F.col("block") == b).orderBy("item_id", "t").collect()]
         if got:
-            parts.append(_block(rows, got, n, rare, total, threshold))
+            parts.append(_block(rows, got, n, threshold))
     if not parts:
         return rows.sparkSession.createDataFrame(
             [], f"id {docs.schema[id_col].dataType.simpleString()}, item_id long, score double, "

@@ -472,3 +472,16 @@ def test_decontamination(spark, empty, monkeypatch):
     assert decontam.leaks(docs, bench.where("false")).count() == 0
     monkeypatch.setattr(decontam, "BLOCK_BYTES", 300)                 # several blocks, same leaks
     assert {(r.id, r.item_id) for r in decontam.leaks(docs, bench).collect()} == want
+
+
+@pytest.mark.parametrize("others,copies", [(2500, 1), (99, 1), (200, 100)])
+def test_decontamination_does_not_depend_on_corpus_or_copies(spark, others, copies):
+    rng = np.random.default_rng(21)
+    vocab = np.array([a + b + c for a in "bdfgk" for b in "aeiou" for c in "lmnrst"])
+    item = rng.choice(vocab, 40).tolist()
+    edited = item[:5] + [w if i % 4 else "xx" for i, w in enumerate(item[5:])]    # one intact 5-gram
+    rows = [(i, " ".join(rng.choice(vocab, 30))) for i in range(others)]
+    rows += [(10000 + i, f"{rows[i % others][1]} {' '.join(edited)} {i}") for i in range(copies)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    assert {r.id for r in decontam.leaks(docs, bench).collect()} == {10000 + i for i in range(copies)}
