@@ -1,11 +1,21 @@
-"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: word-pair seeds, then Smith-Waterman alignment.
 
 Texts and items are word sequences (case folded, punctuation and white space separate words). A
-pass over all documents finds every n-gram that occurs in a benchmark item (an item of fewer
-words is one gram), cuts the passage around each cluster of hits and aligns it with the item, word
-by word (match +2, mismatch and gap -1). A passage whose score is at least ``threshold`` of the
-item's self-score is a leak. Whether a passage is aligned depends on its own words and the item's
-only, not on how many documents hold it or how large the corpus is.
+passage whose local alignment with an item (match +2, mismatch and gap -1 a word) scores at least
+``threshold`` of the item's self-score is a leak.
+
+Seeds miss none of them. Let an item have L words, the alignment M matches and E edits: from
+2M - E >= 2 * threshold * L, at most M - threshold * L of the M - 1 steps from one match to the next hold
+two edits or more. The other steps, at least ceil(threshold * L) - 1, go one or two words on in the
+item and in the text. So a pass over all documents looks up the pairs (p, p + 1) and (p, p + 2) of
+every text position among such pairs of the items, and aligns wherever that many positions hit one
+item within the (3 - 2 * threshold) * L words that an alignment can span. Pairs that more than
+``rare`` of a block's items share are not looked up; the count is lowered by all they could have
+added, and they make up half of it at most. The passages aligned depend on the text and the
+benchmark only, not on how many documents hold them.
+
+An item of fewer than ``n`` words leaks as a whole only. At least one pair must hit, which matters for
+thresholds of up to one word of an item.
 
 The benchmark is taken in blocks of at most about BLOCK_BYTES (a stated query set): each block's grams
 and words are broadcast, so the broadcast is bounded whatever the benchmark's size.
@@ -18,8 +28,9 @@ empty tables give no rows; extra columns are ignored.
 
 from __future__ import annotations
 
-from collections import defaultdict
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -31,6 +42,7 @@ from .common import SLICE_BYTES, map_arrow, text_slices, word_bounds
 from .langid import fold_case
 
 BLOCK_BYTES = 4 << 20
+PASS_BYTES = 512 << 10                      # of text looked up at once: bounds the hits held
 MATCH, MISS, GAP = 2, -1, -1
 _WORD = np.zeros(256, dtype=bool)
 _WORD[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
@@ -39,6 +51,7 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _POWERS: dict[str, np.ndarray] = {}
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 ALIGN_CELLS = 1 << 16                       # words of the passages that are aligned together
+MIN_SHARED = 16                             # a pair that at most so many items share is rare
 _NO_TEXT, _NO_ITEM = np.uint64(2 ** 64 - 1), np.uint64(2 ** 64 - 2)       # paddings: equal nothing
 
 
@@ -89,6 +102,12 @@ def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     return mix(h)
 
 
+def pair_hashes(words: np.ndarray, step: int) -> np.ndarray:
+    """Hash of the words at each position and ``step`` further on, the same for every step."""
+    with np.errstate(over="ignore"):
+        return mix(words[:-step] * np.uint64(0x100000001B3) + words[step:])
+
+
 def align_many(items: list[np.ndarray], passages: list[np.ndarray]
                ) -> tuple[np.ndarray, np.ndarray]:
     """(best local scores, their first ends in the passages) of Smith-Waterman over word hashes,
@@ -136,22 +155,6 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
     return int(best[0]), int(at[0])
 
 
-def _passages(hits: list[tuple[int, int]], length: int) -> Iterator[tuple[int, int]]:
-    """Word windows around clusters of (text position, item position) hits of one item."""
-    slack = length // 4 + 2
-    lo = hi = None
-    for at, pos in hits:
-        a, b = at - pos - slack, at + length - pos + slack
-        if hi is not None and a <= hi:
-            lo, hi = min(lo, a), max(hi, b)
-        else:
-            if hi is not None:
-                yield lo, hi
-            lo, hi = a, b
-    if hi is not None:
-        yield lo, hi
-
-
 def _item_words(texts: list[str | None]) -> list[np.ndarray]:
     out = [np.zeros(0, dtype=np.uint64)] * len(texts)
     for lo, hi, data, starts in text_slices(pa.array(texts, pa.string())):
@@ -181,51 +184,133 @@ def _aligned(found: list[tuple[int, int, np.ndarray]], words: list[np.ndarray],
             yield i, *spans[k]
 
 
-def _block(docs: DataFrame, items: list[tuple], n: int, threshold: float) -> DataFrame:
+@dataclass
+class _Index:
+    """Hashes, ascending, and the items of each: ``items[start[k]:start[k + 1]]``."""
+
+    hashes: np.ndarray
+    start: np.ndarray
+    items: np.ndarray
+    mask: int
+
+    @classmethod
+    def of(cls, hashes: list[np.ndarray], items: list[int]) -> _Index:
+        h = np.concatenate(hashes)
+        of = np.repeat(np.array(items, dtype=np.int64), [len(x) for x in hashes])
+        order = np.argsort(h, kind="stable")
+        keys, first = np.unique(h[order], return_index=True)
+        bits = min(24, max(20, len(keys).bit_length() + 4))
+        return cls(keys, np.append(first, len(h)), of[order], (1 << bits) - 1)
+
+    def table(self) -> np.ndarray:
+        """One lookup by the low bits rules most hashes out."""
+        out = np.zeros(self.mask + 1, dtype=bool)
+        out[(self.hashes & np.uint64(self.mask)).astype(np.int64)] = True
+        return out
+
+    def find(self, h: np.ndarray, same: np.ndarray, table: np.ndarray
+             ) -> tuple[np.ndarray, np.ndarray]:
+        """(positions in ``h``, items) of all that are found where ``same`` holds."""
+        may = np.flatnonzero(table[(h & np.uint64(self.mask)).astype(np.int64)] & same)
+        at = np.minimum(np.searchsorted(self.hashes, h[may]), len(self.hashes) - 1)
+        good = self.hashes[at] == h[may]
+        may, at = may[good], at[good]
+        n = self.start[at + 1] - self.start[at]
+        begin = np.repeat(self.start[at] - np.cumsum(n) + n, n)
+        return np.repeat(may, n), self.items[begin + np.arange(len(begin))]
+
+
+def _pair_index(words: list[np.ndarray], n: int, rare: float, threshold: float
+                ) -> tuple[_Index | None, np.ndarray]:
+    """Index of the pairs of the items of at least ``n`` words, and the hits that each needs."""
+    pairs = {i: [pair_hashes(w, 1), pair_hashes(w, 2)] for i, w in enumerate(words)
+             if len(w) >= max(n, 2)}
+    need = np.ones(len(words), dtype=np.int64)
+    if not pairs:
+        return None, need
+    mine = {i: np.unique(np.concatenate(p)) for i, p in pairs.items()}
+    keys, shared = np.unique(np.concatenate(list(mine.values())), return_counts=True)
+    for i, own in mine.items():
+        full = math.ceil(threshold * len(words[i]) - 1e-9) - 1
+        fan = shared[np.searchsorted(keys, own)]
+        steps: set[int] = set()                  # the item's positions that lose a pair
+        drop = []
+        for k in np.argsort(-fan, kind="stable").tolist():
+            if fan[k] <= max(MIN_SHARED, rare * len(words)):
+                break
+            lost = steps.union(*(np.flatnonzero(p == own[k]).tolist() for p in pairs[i]))
+            if len(lost) <= full // 2:
+                steps = lost
+                drop.append(k)
+        mine[i] = np.delete(own, drop)
+        need[i] = max(1, full - len(steps))
+    return _Index.of(list(mine.values()), list(mine)), need
+
+
+def _block(docs: DataFrame, items: list[tuple], n: int, rare: float, threshold: float) -> DataFrame:
     """Leaks of one block of items (id, text) in all documents."""
     spark = docs.sparkSession
     words = _item_words([t for _, t in items])
-    where: dict[int, list[tuple[int, int]]] = defaultdict(list)   # gram -> (item, position)
-    sizes: dict[int, set] = defaultdict(set)
-    for i, w in enumerate(words):
-        size = min(n, len(w))
-        if size:
-            for pos, g in enumerate(gram_hashes(w, size).tolist()):
-                where[g].append((i, pos))
-                sizes[size].add(g)
-    known = spark.sparkContext.broadcast(
-        (dict(where), {s: np.array(sorted(g), dtype=np.uint64) for s, g in sizes.items()}, words))
+    pairs, need = _pair_index(words, n, rare, threshold)
+    whole = {}                                   # items of fewer than n words, by their number
+    for s in sorted({len(w) for w in words if 0 < len(w) < max(n, 2)}):
+        own = [i for i, w in enumerate(words) if len(w) == s]
+        whole[s] = _Index.of([gram_hashes(words[i], s) for i in own], own)
+    lengths = np.array([len(w) for w in words], dtype=np.int64)
+    # the most words of a text that an alignment over the threshold spans
+    spans = np.maximum(lengths, np.floor((3 - 2 * threshold) * lengths + 1e-9).astype(np.int64))
+    known = spark.sparkContext.broadcast((words, pairs, need, whole, spans))
     kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        where, sizes, words = known.value
-        masks = {}
-        for s, grams in sizes.items():
-            masks[s] = np.zeros(1 << 20, dtype=bool)     # one lookup rules most grams out
-            masks[s][(grams & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
+        words, pairs, need, whole, spans = known.value
+        pair_table = None if pairs is None else pairs.table()
+        tables = {s: x.table() for s, x in whole.items()}
+
+        def windows(wh: np.ndarray, doc: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+            """(items, first words, last words + 1) that may hold a leak, in order in each text."""
+            if pairs is not None:
+                codes = []
+                for step in (1, 2):
+                    p, item = pairs.find(pair_hashes(wh, step), doc[:-step] == doc[step:], pair_table)
+                    codes.append(item << 40 | p)
+                code = np.unique(np.concatenate(codes))       # a text position hits an item once
+                item, p = code >> 40, code & ((1 << 40) - 1)
+                j = np.arange(len(code))
+                k = j + need[item] - 1
+                j, k = j[k < len(code)], k[k < len(code)]
+                ok = ((item[j] == item[k]) & (doc[p[j]] == doc[p[k]])
+                      & (p[k] - p[j] < spans[item[j]]))
+                j, k = j[ok], k[ok]
+                yield item[j], p[k] - spans[item[j]] + 1, p[j] + spans[item[j]], p[j]
+            for s, index in whole.items():
+                m = max(0, len(wh) - s + 1)
+                p, item = index.find(gram_hashes(wh, s), doc[:m] == doc[s - 1:s - 1 + m], tables[s])
+                order = np.argsort(item, kind="stable")
+                p, item = p[order], item[order]
+                yield item, p, p + s, p
+
         for batch in batches:
-            for lo, hi, data, starts in text_slices(batch.column(1)):
+            for lo, hi, data, starts in text_slices(batch.column(1), PASS_BYTES):
                 ws, we, wh, doc = slice_words(data, starts)
-                hits: dict[tuple[int, int], list] = defaultdict(list)
-                for s, grams in sizes.items():
-                    h = gram_hashes(wh, s)
-                    may = np.flatnonzero(masks[s][(h & np.uint64((1 << 20) - 1)).astype(np.int64)])
-                    may = may[doc[may] == doc[may + s - 1]]
-                    at = np.searchsorted(grams, h[may])
-                    may = may[grams[np.minimum(at, len(grams) - 1)] == h[may]]
-                    for p, g in zip(may.tolist(), h[may].tolist()):
-                        for item, pos in where[g]:
-                            hits[int(doc[p]), item].append((p, pos))
-                if not hits:
-                    continue
                 first = np.searchsorted(doc, np.arange(hi - lo))
                 last = np.searchsorted(doc, np.arange(hi - lo), side="right")
                 found, begin = [], []
-                for (d, item), got in hits.items():
-                    for a, b in _passages(sorted(got), len(words[item])):
-                        a = max(a, int(first[d]))
-                        found.append((d, item, wh[a:min(b, int(last[d]))]))
-                        begin.append(a)
+                for item, a, b, p in windows(wh, doc):
+                    if not len(item):
+                        continue
+                    d = doc[p]
+                    a, b = np.maximum(a, first[d]), np.minimum(b, last[d])
+                    # windows that meet are one passage
+                    new = np.flatnonzero(np.concatenate([[True], (item[1:] != item[:-1])
+                                                         | (d[1:] != d[:-1]) | (a[1:] > b[:-1])]))
+                    ends = b[np.append(new[1:], len(b)) - 1]
+                    for i, d0, a0, b0 in zip(item[new].tolist(), d[new].tolist(), a[new].tolist(),
+                                             ends.tolist()):
+                        found.append((d0, i, wh[a0:b0]))
+                        begin.append(a0)
+                if not found:
+                    continue
                 row, cols = [], ([], [], [], [])
                 for i, share, a, b in _aligned(found, words, threshold):
                     d, item, _ = found[i]
@@ -255,8 +340,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, n: int = 5, rare: float = 0.001
           item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """(id, item_id, score, start, end) of every document that holds a copy of an item.
 
-    ``start`` and ``end`` are UTF-8 byte offsets of the best aligned passage. ``rare`` no longer
-    has an effect: grams of any frequency are seeds.
+    ``start`` and ``end`` are UTF-8 byte offsets of the best aligned passage.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t")) \
         .where(F.col("id").isNotNull())
@@ -270,7 +354,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, n: int = 5, rare: float = 0.001
         got = [(r["item_id"], r["t"]) for r in
                items.where(F.col("block") == b).orderBy("item_id", "t").collect()]
         if got:
-            parts.append(_block(rows, got, n, threshold))
+            parts.append(_block(rows, got, n, rare, threshold))
     if not parts:
         return rows.sparkSession.createDataFrame(
             [], f"id {docs.schema[id_col].dataType.simpleString()}, item_id long, score double, "

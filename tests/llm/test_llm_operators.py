@@ -485,3 +485,36 @@ def test_decontamination_does_not_depend_on_corpus_or_copies(spark, others, copi
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
     assert {r.id for r in decontam.leaks(docs, bench).collect()} == {10000 + i for i in range(copies)}
+
+
+@pytest.mark.parametrize("shared,threshold", [(16, 0.5), (1, 0.5), (1, 0.7)])
+def test_decontamination_finds_all_that_align(spark, monkeypatch, shared, threshold):
+    rng = np.random.default_rng(22)
+    vocab = np.array([a + b + c for a in "bdfgk" for b in "aeiou" for c in "lmnrst"])
+    items = [rng.choice(vocab, int(n)).tolist() for n in rng.integers(12, 40, 12)]
+    items += [items[0][:20] + rng.choice(vocab, 8).tolist(), items[0][5:] + items[1][:9]]   # pairs in common
+    texts = [[w if i % 5 else "xx" for i, w in enumerate(items[2])],              # no 5-gram left
+             [w if i % 3 else "xx" for i, w in enumerate(items[3])],              # no 3-gram left
+             [x for w in items[4] for x in (w, "xx")],                            # no two words in a row
+             [w for i, w in enumerate(items[5]) if i % 4]]
+    for _ in range(150):
+        out = []
+        for w in items[rng.integers(len(items))]:
+            u = rng.random() * 2
+            out += [[rng.choice(vocab)], [w, rng.choice(vocab)], []][int(u * 5)] if u < 0.6 else [w]
+        texts.append(rng.choice(vocab, 9).tolist() + out + rng.choice(vocab, 9).tolist())
+    want = set()
+    for d, t in enumerate(texts):
+        for i, x in enumerate(items):
+            if brute_align(x, t) >= threshold * 2 * len(x):
+                want.add((d, i))
+    assert 40 < len(want) and (threshold > 0.5 or {(0, 2), (1, 3), (2, 4), (3, 5)} <= want)
+    monkeypatch.setattr(decontam, "MIN_SHARED", shared, raising=False)
+    docs = spark.createDataFrame([(d, " ".join(t)) for d, t in enumerate(texts)], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    got = decontam.leaks(docs, bench, threshold=threshold).collect()
+    assert {(r.id, r.item_id) for r in got} == want
+    for r in got:
+        t, x = texts[r.id], items[r.item_id]
+        assert r.score == brute_align(x, t) / (2 * len(x))
+        assert brute_align(x, " ".join(t)[r.start:r.end].split()) == brute_align(x, t)
