@@ -124,9 +124,10 @@ def http_parts(block: bytes) -> tuple[bytes, bytes]:
     return b"", block
 
 
-def to_warc(record: ArcRecord, key: str, first_key: str | None = None) -> bytes:
-    """The WARC record of an ARC record; ``first_key`` names the record it repeats, if any."""
-    head, payload = http_parts(record.block)
+def to_warc(record: ArcRecord, key: str, first_key: str | None = None, bare: bool = False) -> bytes:
+    """The WARC record of an ARC record; ``first_key`` names the record it repeats, if any. The
+    block of a ``bare`` record is all payload, even if it starts like an HTTP header."""
+    head, payload = (b"", record.block) if bare else http_parts(record.block)
     status = record.fields.get("Result-code", "200")
     if not head:
         head = (f"HTTP/1.0 {status} OK\r\nContent-Type: {record.fields['Content-type']}\r\n"
@@ -193,7 +194,7 @@ def convert_pages(pages: DataFrame, key_col: str, url_col: str, payload_col: str
                 keys, firsts = part.column(0).to_pylist(), part.column(3).to_pylist()
                 arc = write_arc([(u.as_py(), p.as_py().encode())
                                  for u, p in zip(part.column(1), part.column(2))], version)
-                out = [to_warc(rec, str(k), None if f is None else str(f)).decode()[:-2]
+                out = [to_warc(rec, str(k), None if f is None else str(f), bare=True).decode()[:-2]
                        for rec, k, f in zip(parse_arc(arc), keys, firsts, strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["record"])
 

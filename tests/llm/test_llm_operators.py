@@ -518,3 +518,13 @@ def test_decontamination_finds_all_that_align(spark, monkeypatch, shared, thresh
         t, x = texts[r.id], items[r.item_id]
         assert r.score == brute_align(x, t) / (2 * len(x))
         assert brute_align(x, " ".join(t)[r.start:r.end].split()) == brute_align(x, t)
+
+
+def test_warc_keeps_a_page_that_starts_like_an_http_header(spark):
+    raw = "HTTP/1.1 200 OK\r\nServer: x\r\n\r\n<p>page</p>"
+    pages = [(1, raw), (2, raw * 5), (3, raw * 5), (4, "HTTP/1.0 without an end"), (5, "HTTP/1.1 204\r\n\r\n")]
+    df = spark.createDataFrame([(i, "http://a", h) for i, h in pages], "page_id long, url string, html string")
+    got = {int(r.key): r for r in warc.round_trip(df).collect()}
+    for i, h in pages:
+        assert got[i].length == len(h) and got[i].digest == hashlib.sha256(h.encode()).hexdigest()
+        assert (got[i].refers_key == "2" and got[i].payload is None) if i == 3 else bytes(got[i].payload) == h.encode()
