@@ -47,8 +47,9 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _CARD_GAP = re.compile(r"[ -]")
 _AUTHORITY = re.compile(r"[^\s/?#<>\"']+")
 _IPV4_HOST = re.compile(r"([0-9]{1,3})\.([0-9]{1,3})\.([0-9]{1,3})\.([0-9]{1,3})(?::[0-9]+)?$")
-_AFTER_CUE = re.compile(r"(?:[ \t]*(?:no|nr|number|num|id|is|ist|es|est)\b\.?)?[ \t]*[:#=]?[ \t]*"
-                        r"([A-Z]{0,4}[0-9][A-Z0-9]*(?:[ -]?[A-Z0-9]+){0,8})", re.I)
+_BLANKS = re.compile(r"[ \t]*")
+_FILLER = re.compile(r"(?:no|nr|number|num|id|is|ist|es|est)\b\.?", re.I)
+_IDENTIFIER = re.compile(r"[A-Z]{0,4}[0-9][A-Z0-9]*(?:[ -]?[A-Z0-9]+){0,8}", re.I)
 _AUTOMATON = None
 
 
@@ -107,6 +108,18 @@ def _numbers(text: str, out: list) -> None:
                     out.append((m.start(), 2, m.end()))
 
 
+def _after_cue(text: str, at: int) -> re.Match | None:
+    """The identifier after a cue that ends before ``at``: blanks, a filler word and a mark are
+    passed one after the other, so a long run of blanks is read once."""
+    at = _BLANKS.match(text, at).end()
+    m = _FILLER.match(text, at)
+    if m:
+        at = _BLANKS.match(text, m.end()).end()
+    if text[at:at + 1] in (":", "#", "="):
+        at = _BLANKS.match(text, at + 1).end()
+    return _IDENTIFIER.match(text, at)
+
+
 def find_spans(text: str | None) -> list[tuple[str, int, int]]:
     """(kind, start, end) of all personal data in a whole text, by start, then kind."""
     if not text:
@@ -135,8 +148,7 @@ def find_spans(text: str | None) -> list[tuple[str, int, int]]:
                     out.append((last, 3, phone_end))
         elif what == "://":
             start = last - 2
-            while start > 0 and last - 2 - start < 16 and text[start - 1].isascii() \
-                    and text[start - 1].isalpha():
+            while start > 0 and text[start - 1].isascii() and text[start - 1].isalpha():
                 start -= 1
             m = _AUTHORITY.match(text, last + 1) if start < last - 2 else None
             if m:
@@ -149,10 +161,10 @@ def find_spans(text: str | None) -> list[tuple[str, int, int]]:
             if start < account_end or start and text[start - 1].isalnum() \
                     or last + 1 < n and text[last + 1].isalpha():
                 continue
-            m = _AFTER_CUE.match(text, last + 1, min(n, last + 1 + 80))
+            m = _after_cue(text, last + 1)
             if m:
                 # the identifier ends with the last piece that holds a digit
-                ident = m.group(1)
+                ident = m.group()
                 pieces = list(re.finditer(r"[A-Za-z0-9]+", ident))
                 whole = [p.end() for p in pieces if any(c.isdigit() for c in p.group())]
                 for end in reversed(whole):
@@ -163,8 +175,8 @@ def find_spans(text: str | None) -> list[tuple[str, int, int]]:
                     end = max([w for w in whole if w <= end], default=whole[0])
                 digits = sum(c.isdigit() for c in ident[:end])
                 if 6 <= digits <= 20 or _iban(ident[:end]):
-                    account_end = m.start(1) + end
-                    out.append((m.start(1), 5, account_end))
+                    account_end = m.start() + end
+                    out.append((m.start(), 5, account_end))
     _numbers(text, out)
     out.sort()
     return [(KINDS[k], a, b) for a, k, b in out]

@@ -528,3 +528,18 @@ def test_warc_keeps_a_page_that_starts_like_an_http_header(spark):
     for i, h in pages:
         assert got[i].length == len(h) and got[i].digest == hashlib.sha256(h.encode()).hexdigest()
         assert (got[i].refers_key == "2" and got[i].payload is None) if i == 3 else bytes(got[i].payload) == h.encode()
+
+
+def test_pii_identifiers_and_schemes_are_not_cut():
+    for gap in (1, 70, 100, 5000):
+        for cue in ("Account no", "IBAN", "konto :"):
+            ident = "GB82 WEST 1234 5698 7654 32" if cue == "IBAN" else "1234567890123456"
+            t = cue + " " * gap + ident
+            found = [(a, b) for k, a, b in pii.find_spans(t) if k == "account"]
+            assert found == [(len(t) - len(ident), len(t))], (cue, gap)
+            assert not any(c.isdigit() for c in pii.redact_text(t, pii.find_spans(t)))
+    assert not [s for s in pii.find_spans("account " + "7" * 90) if s[0] == "account"]     # too long: no part of it
+    t = "averyveryverylongscheme://me:secret@host/x"
+    assert ("address", 0, t.index("/x")) in pii.find_spans(t)
+    assert pii.find_spans("account" + " " * 200000) == [] and pii.find_spans("iban x " * 20000 + "a" * 50000 + "://") == []
+    assert pii.find_spans("iban 1" + "9a" * 50000) == []
