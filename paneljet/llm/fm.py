@@ -177,18 +177,35 @@ def _metadata(batch: pa.RecordBatch, first: int) -> np.ndarray:
 def train(rows: DataFrame, votes: DataFrame, metadata: list[str], max_rows: int = MAX_ROWS,
           buckets: int = BUCKETS) -> Machine:
     """Fit on the ``max_rows`` ids of ``votes`` (id, label) with the smallest hashes, with the
-    texts of ``rows`` (id, text, metadata)."""
+    texts of ``rows`` (id, text, metadata); of rows that repeat an id, one, that with the smallest
+    hash, so no more than ``max_rows`` rows are collected."""
     votes = (votes.where("label IS NOT NULL AND id IS NOT NULL").groupBy(F.col("id").alias("i"))
              .agg(F.avg(F.col("label").cast("double")).alias("y")))
     picked = cut_lineage(votes.orderBy(F.xxhash64(F.col("i").cast("string")), "i").limit(max_rows))
-    # the sample has at most max_rows rows, so it may be broadcast
-    sample = rows.join(F.broadcast(picked), F.col("id") == F.col("i")).select(
-        F.col("text").cast("string").alias("t"), (F.col("y") >= 0.5).cast("int").alias("y"),
-        *[F.col(c).cast("double") for c in metadata])
+    # picked has at most max_rows rows, so it may be broadcast
+    cols = ["t", *[f"m{k}" for k in range(len(metadata))]]
+    found = rows.join(F.broadcast(picked), F.col("id") == F.col("i")).select(
+        "i", F.col("text").cast("string").alias("t"), (F.col("y") >= 0.5).cast("int").alias("y"),
+        *[F.col(c).cast("double").alias(m) for c, m in zip(metadata, cols[1:])])
+    found = found.withColumn("h", F.xxhash64(*[x for c in cols for x in (F.col(c), F.isnull(c))]))
+    least = cut_lineage(found.groupBy(F.col("i").alias("i0")).agg(F.min("h").alias("h0")))
+    sample = found.join(F.broadcast(least), (F.col("i") == F.col("i0")) & (F.col("h") == F.col("h0"))
+                        ).select("t", "y", *cols[1:], "i")
+    kind = sample.schema["i"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for batch in batches:
-            meta = _metadata(batch, 2)
+            first = []                    # rows equal in id and hash: one a task
+            for r, i in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
+                if i not in seen:
+                    seen.add(i)
+                    first.append(r)
+            if not first:
+                continue
+            batch = batch.take(pa.array(first, pa.int64()))
+            ids = batch.column(batch.num_columns - 1)
+            meta = _metadata(batch.select(list(range(batch.num_columns - 1))), 2)
             for lo, hi, data, starts in text_slices(batch.column(0)):
                 d, b, x, stats = slice_features(data, starts, buckets)
                 stats = np.concatenate([stats, meta[lo:hi]], axis=1)
@@ -199,9 +216,11 @@ def train(rows: DataFrame, votes: DataFrame, metadata: list[str], max_rows: int
                     pa.ListArray.from_arrays(cut, pa.array(b.astype(np.int32))),
                     pa.ListArray.from_arrays(cut, pa.array(x.astype(np.float64))),
                     pa.ListArray.from_arrays(pa.array(np.arange(hi - lo + 1, dtype=np.int32) * k),
-                                             pa.array(stats.ravel()))], names=["y", "b", "x", "s"])
+                                             pa.array(stats.ravel())),
+                    ids.slice(lo, hi - lo)], names=["y", "b", "x", "s", "i"])
 
-    got = sample.transform(map_arrow, run, "y int, b array<int>, x array<double>, s array<double>").toPandas()
+    got = (sample.transform(map_arrow, run, f"y int, b array<int>, x array<double>, s array<double>, i {kind}")
+           .dropDuplicates(["i"]).drop("i").toPandas())
     # missing metadata as a number: the hash of a NaN differs from object to object
     got["h"] = [hash((y, len(b), tuple(np.nan_to_num(s, nan=-1e9)))) for y, b, s in zip(got.y, got.b, got.s)]
     got = got.sort_values("h", kind="stable")     # the order rows arrive in doesn't matter

@@ -543,3 +543,14 @@ def test_pii_identifiers_and_schemes_are_not_cut():
     assert ("address", 0, t.index("/x")) in pii.find_spans(t)
     assert pii.find_spans("account" + " " * 200000) == [] and pii.find_spans("iban x " * 20000 + "a" * 50000 + "://") == []
     assert pii.find_spans("iban 1" + "9a" * 50000) == []
+
+
+def test_quality_fit_takes_one_row_of_an_id(spark, monkeypatch):
+    rows = [(i, prose("aa", 40, i) if i % 2 else "zq" + " %%% zq" * 30, i) for i in range(40)]
+    rows += [(3, rows[3][1], 3)] * 200 + [(4, prose("bb", 30, i), i) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, text string, n long")
+    votes = spark.createDataFrame([(i, i % 2) for i in range(40)], "id long, label int")
+    sizes, fit = [], fm.fit
+    monkeypatch.setattr(fm, "fit", lambda words, stats, y, buckets: sizes.append(len(y)) or fit(words, stats, y, buckets))
+    a, b = (fm.train(df.repartition(k), votes, ["n"], max_rows=30) for k in (1, 7))
+    assert sizes == [30, 30] and np.array_equal(a.w, b.w)
