@@ -1,4 +1,4 @@
-"""Registered queries of the training-data operators (op1 .. op10) and their oracles."""
+"""Registered queries of the training-data operators (op1 .. op13) and their oracles."""
 
 from __future__ import annotations
 
@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, fm, langid, packing, pii, sharding, simhash, urlrep, vecjoin, warc
+from . import decontam, fm, hardneg, langid, packing, periodic, pii, sharding, simhash, urlrep
+from . import vecjoin, warc
 from .common import fold
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -186,3 +187,68 @@ def op10_decontamination(spark, sf_dir):
     """Documents that hold a copy, edited or not, of a benchmark item, with the aligned passage."""
     out = decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.select(F.col("id").alias("doc_id"), "item_id", "score", "start", "end")
+
+
+@register
+def op11_hard_negatives(spark, sf_dir):
+    """Hard negatives of every fiftieth vector and its five nearest rows of its label."""
+    v = table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    out = hardneg.mine(v, F.col("vec_id") % 50 == 0, scale=256.0, positives=5, negatives=3, low=50, high=95)
+    return out.select(F.col("anchor").alias("anchor_id"), F.col("positive").alias("positive_id"), "rank",
+                      F.col("negative").alias("negative_id"), "positive_score", "negative_score")
+
+
+ORACLE["op11_hard_negatives"] = """
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * x::DOUBLE) for x in embedding] AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id AS id,
+         list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM r a JOIN r b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id,
+       (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id))::INT AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) <= 3
+"""
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text), where the words of one document in ten, by crc32 of its id, repeat
+    with a period from some word on; null ids are left alone."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    rows = (docs.withColumn("g", F.floor(h / 10)).withColumn("words", F.when(h % 10 == 0, words))
+            .withColumn("n", F.size("words")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+            .withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)")))
+    tail = F.expr("slice(flatten(array_repeat(slice(words, int(a) + 1, int(p)), "
+                  "int(ceil((n - a) / p)))), 1, int(n - a))")
+    text = F.when(F.col("a").isNotNull(), F.array_join(
+        F.concat(F.expr("slice(words, 1, int(a))"), tail), " ")).otherwise(F.col("text"))
+    return rows.select("doc_id", text.alias("text"))
+
+
+@register
+def op13_periodic_runs(spark, sf_dir):
+    """Periodic runs of words in every document (some periods are planted), and their digests."""
+    out = periodic.periodic_runs(with_planted_periods(table(spark, sf_dir, "documents")
+                                                      .select("doc_id", "text")), min_words=12)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(
+        ",", *[r[c].cast("string") for c in ("start", "length", "period")]))
+    listed = F.when(F.size("runs") > 0, F.concat(F.array_join(lines, "\n"), F.lit("\n"))).otherwise("")
+    return out.withColumn("top", longest).select(
+        F.col("id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("top.s")).alias("start"), F.col("top.length").alias("length"),
+        (-F.col("top.p")).alias("period"), F.expr("1000 * top.length div -top.p").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
