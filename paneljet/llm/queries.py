@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, fm, hardneg, langid, packing, periodic, pii, sharding, simhash, urlrep
-from . import vecjoin, warc
+from . import decontam, fm, hardneg, langid, packing, periodic, pii, repeats, sharding
+from . import simhash, urlrep, vecjoin, warc
 from .common import fold
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -222,6 +222,35 @@ QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DE
 """
 
 
+@register
+def op12_repeated_strings(spark, sf_dir):
+    """All documents without the bytes that a 100-byte string standing earlier too covers."""
+    out = repeats.remove_repeats(table(spark, sf_dir, "documents"), length=100)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return out.select(F.col("id").alias("doc_id"), "n_bytes", removed.alias("n_removed"),
+                      F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLE["op12_repeated_strings"] = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+p AS (SELECT doc_id, h, unnest(range(length(h) // 2 - 99)) AS s FROM d),
+w AS (SELECT doc_id, s FROM p
+      QUALIFY row_number() OVER (PARTITION BY substr(h, 2 * s + 1, 200) ORDER BY doc_id, s) > 1),
+i AS (SELECT doc_id, s, sum(fresh) OVER (PARTITION BY doc_id ORDER BY s) AS island FROM (
+  SELECT doc_id, s, CASE WHEN s <= lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 100
+                         THEN 0 ELSE 1 END AS fresh FROM w)),
+spans AS (SELECT doc_id, min(s) AS a, max(s) + 100 AS b FROM i GROUP BY doc_id, island),
+gaps AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS e FROM spans),
+cut AS (SELECT doc_id, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans, max(b) AS z,
+               string_agg(substr(h, 2 * e + 1, 2 * (a - e)), '' ORDER BY a) AS head
+        FROM gaps JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(head || substr(h, 2 * z + 1), h))) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id)
+"""
+
+
 def with_planted_periods(docs: DataFrame) -> DataFrame:
     """``docs`` (doc_id, text), where the words of one document in ten, by crc32 of its id, repeat
     with a period from some word on; null ids are left alone."""

@@ -15,13 +15,15 @@ def dense(values: np.ndarray) -> np.ndarray:
     return np.unique(values, return_inverse=True)[1].astype(np.int32) + 1
 
 
-def name_levels(symbols: np.ndarray, ends: np.ndarray, depth: int | None = None) -> list[np.ndarray]:
-    """Names of levels 0, 1, ... until all differ or a level covers ``depth`` symbols."""
+def name_levels(symbols: np.ndarray, ends: np.ndarray, depth: int | None = None, span: int = 1
+                ) -> list[np.ndarray]:
+    """Names of levels 0, 1, ... until all differ or a level covers ``depth`` symbols. With a
+    ``span``, a position's entry of ``symbols`` already stands for so many symbols from it on."""
     n = len(symbols)
     at = np.arange(n)
     levels = [dense(symbols)]
-    span = 1
-    while n and levels[-1].max() < n and (depth is None or span < depth):
+    depth = n if depth is None else depth
+    while span < depth and levels[-1].max() < n:
         last = levels[-1]
         pair = last.astype(np.int64) * (n + 1)
         more = np.flatnonzero(at + span < ends)
