@@ -101,7 +101,10 @@ def _compare(rows: DataFrame, anchors: DataFrame, grid: DataFrame, fn, schema: s
                      F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile"),
                      F.lit(True).alias("side"), "row", "id", "label", "vec", "windows"))
     ship_package(rows.sparkSession)
-    return tile.unionByName(group).groupBy("dim", "group", "tile").applyInArrow(fn, schema)
+    # tasks are short of bytes but long of work: a fixed number of partitions is not coalesced
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cells = tile.unionByName(group).repartition(parts, "dim", "group", "tile")
+    return cells.groupBy("dim", "group", "tile").applyInArrow(fn, schema)
 
 
 def _sides(table: pa.Table, scale: float, primes: tuple[int, ...]):
