@@ -20,6 +20,23 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def cut_lineage_partitioned(df: DataFrame, parts: int, *cols: str) -> DataFrame:
+    """``cut_lineage`` of ``df`` hash-partitioned on ``cols``, in a way that later plans know it.
+
+    Joins and aggregates on ``cols`` with ``parts`` shuffle partitions then leave these rows
+    where they are. An adaptive plan does not tell its partitioning to the checkpoint, so this
+    one plan is made without adaptive execution.
+    """
+    spark = df.sparkSession
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        return cut_lineage(df.repartition(parts, *cols))
+    finally:
+        spark.conf.set(key, before)
+
+
 def cut_lineage_counted(df: DataFrame) -> tuple[DataFrame, int]:
     """``cut_lineage`` that also returns the row count, observed while the checkpoint is
     written (no second job)."""
