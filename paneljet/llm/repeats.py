@@ -17,16 +17,18 @@ rank of its parse suffix, and neighbours with the same dictionary suffix share i
 the least common prefix between their parse ranks. Neighbours that share ``length`` bytes or
 more are one class, of which the earliest stays.
 
-Scale. A key with very many phrases (a passage that stands in a third of all texts) is split over
-range partitions and buckets of bounded size; classes of such keys are settled between buckets
-by their earliest member only, in an aggregate over window hashes. Texts are sent once, compressed, and
-kept partitioned; equal phrases met in one batch are sent on once. No task holds more than a
-bucket or a slice of texts, and nothing of the data reaches the driver.
+Scale. Texts are sent once, in compressed blocks of bounded size, and kept partitioned by block;
+of equal texts only the earliest is parsed. A key that holds a large share of all phrases (a
+passage that stands in a third of all texts) is found in a sample of the blocks, spread over
+partitions by salt and split into buckets of bounded size; classes of such keys are settled
+between buckets by their earliest members only, in an aggregate over window hashes. Equal phrases
+met in one batch of blocks are sent on once. No task holds more than a bucket, a chunk or a batch of
+blocks, and only the hot keys of the sample (at most 8 for each partition) reach the driver.
 
 Defined cases: a null text is an empty one; texts shorter than ``length`` lose nothing; null ids
-come after all others; texts with equal ids are ordered by hash of their text, and of repeated
-rows any one counts as the first; ids are whole numbers; an empty table gives no rows; extra columns are
-ignored. Windows of a split key are told apart by 128-bit hashes, all others byte by byte.
+come after all others; texts with equal ids, or none, are ordered as the table holds them; ids are
+whole numbers; an empty table gives no rows; extra columns are ignored. Whole texts and windows
+of a split key are told apart by 128-bit hashes, all other windows byte by byte.
 """
 
 from __future__ import annotations
@@ -42,14 +44,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.util import cut_lineage
-from .common import SLICE_BYTES, map_arrow
+from ..operators.util import cut_lineage, cut_lineage_partitioned
+from .common import map_arrow, text_slices
 from .suffix import least_between, name_levels, range_minimum
 
 GRAM = 12               # bytes of a trigger
 BUCKET = 1 << 12        # most phrases of a bucket
 CHUNK_BYTES = 1 << 22   # phrase bytes ordered at a time
-FIELD = 12              # bits of a phrase's number of starts, and of its trigger's offset
+BLOCK_BYTES = 1 << 18   # text bytes of a block (a longer text is one of its own)
+BATCH_BYTES = 1 << 24   # text bytes of the blocks whose equal phrases are sent on once
+SAMPLE = 64             # one block in so many is looked through for hot keys
+FIELD = 12              # bits of a text's place in its block, of a phrase's number of starts,
+                        # and of its trigger's offset
 PACK = 6                # dictionary bytes in a first name
 BASE = np.uint64(0x9E3779B97F4A7C15)
 TABLE = np.random.default_rng(11).integers(0, 2 ** 64, 256, dtype=np.uint64) | np.uint64(1)
@@ -76,15 +82,17 @@ def triggers_of(length: int) -> int:
     return length * 16 // 25
 
 
-def phrases(data: np.ndarray, starts: np.ndarray, length: int
+def phrases(data: np.ndarray, starts: np.ndarray, skip: np.ndarray, length: int
             ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Phrases of texts in one buffer (each followed by one byte): first start, number of starts,
-    offset of the trigger, key."""
+    """Phrases of texts in one buffer (each followed by one byte), without the texts of ``skip``:
+    first start, number of starts, offset of the trigger, key."""
     n = len(data)
     none = np.zeros(0, np.int64)
     inside = np.ones(n, dtype=np.int8)              # starts of windows within one text
     for s, e in zip(starts[:-1].tolist(), starts[1:].tolist()):
         inside[max(s, e - length):e] = 0
+    for k in skip.tolist():
+        inside[starts[k]:starts[k + 1]] = 0
     at = np.flatnonzero(inside)
     if not len(at):
         return none, none, none, none
@@ -110,105 +118,123 @@ def phrases(data: np.ndarray, starts: np.ndarray, length: int
     return at[first], count, place - at[first], key.view(np.int64)
 
 
-def _texts(bodies) -> Iterator[tuple[list[int], list[bytes]]]:
-    """Rows and texts of compressed ``bodies``, in slices of about SLICE_BYTES."""
-    unpack = zstandard.ZstdDecompressor()
-    rows, texts, size = [], [], 0
-    for i, body in enumerate(bodies):
-        rows.append(i)
-        texts.append(unpack.decompress(body.as_py()))
-        size += len(texts[-1])
-        if size >= SLICE_BYTES:
-            yield rows, texts
-            rows, texts, size = [], [], 0
-    if rows:
-        yield rows, texts
-
-
-def numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(num, none, doc, dig, id, body): texts compressed, kept partitioned by their number;
-    (none, doc, dig, num) is their order. Written once, so that numbers stay."""
+def blocks_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(block, ids, starts, body, copies): blocks of compressed texts, kept partitioned. A text's
+    number is its block's with its place there in the lowest bits; ``copies`` are the places of
+    texts that an earlier one equals. Written once, so that numbers stay."""
     kind = docs.schema[id_col].dataType.simpleString()
+    most = 1 << FIELD
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1)
+        block = TaskContext.get().partitionId() << 40
         for batch in batches:
-            texts = [(t.as_py() or "").encode() for t in batch.column(2)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1),
-                 pa.array([xxhash.xxh3_64_intdigest(t) - (1 << 63) for t in texts], pa.int64()),
-                 pa.array([pack.compress(t) for t in texts], pa.binary())],
-                names=["num", "id", "dig", "body"])
-
-    rows = docs.select(F.monotonically_increasing_id().alias("num"), F.col(id_col).alias("id"),
-                       F.col(text_col).cast("string").alias("t"))
-    rows = map_arrow(rows, run, f"num long, id {kind}, dig long, body binary")
+            for row in range(0, batch.num_rows, most):
+                part = batch.slice(row, most)
+                for lo, hi, data, starts in text_slices(part.column(1), BLOCK_BYTES):
+                    raw = memoryview(data)
+                    digest = b"".join([xxhash.xxh3_128_digest(raw[a:b - 1])
+                                       for a, b in zip(starts[:-1].tolist(), starts[1:].tolist())])
+                    both = np.frombuffer(digest, dtype=np.int64).reshape(-1, 2)
+
+                    def listed(values):
+                        return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([block]), listed(part.column(0).slice(lo, hi - lo)),
+                         listed(pa.array(both[:, 0].copy())), listed(pa.array(both[:, 1].copy())),
+                         listed(pa.array(starts.astype(np.int64))), pa.array([pack.compress(raw)], pa.binary())],
+                        names=["block", "ids", "d1", "d2", "starts", "body"])
+                    block += 1 << FIELD
+
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t"))
+    rows = map_arrow(rows, run, f"block long, ids array<{kind}>, d1 array<long>, d2 array<long>, "
+                                "starts array<long>, body binary")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return cut_lineage(rows.select(
-        "num", F.isnull("id").alias("none"), F.coalesce(F.col("id").cast("long"), F.lit(0)).alias("doc"),
-        "dig", "id", "body").repartition(parts, "num"))
+    rows = cut_lineage_partitioned(rows, parts, "block")
+    each = rows.select("block", F.posexplode(F.arrays_zip("ids", "d1", "d2")).alias("k", "t")).select(
+        F.struct(F.isnull("t.ids").alias("none"), F.coalesce(F.col("t.ids").cast("long"), F.lit(0)).alias("doc"),
+                 (F.col("block") + F.col("k")).alias("num")).alias("place"), "t.d1", "t.d2")
+    first = each.groupBy(F.col("d1").alias("f1"), F.col("d2").alias("f2")).agg(
+        F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    later = (each.join(first, (F.col("d1") == F.col("f1")) & (F.col("d2") == F.col("f2")))
+             .where(F.col("place") != F.col("first"))
+             .select((F.col("place.num") - F.col("place.num") % most).alias("block"),
+                     (F.col("place.num") % most).cast("int").alias("k"))
+             .groupBy("block").agg(F.collect_list("k").alias("copies")))
+    return rows.drop("d1", "d2").join(cut_lineage(later), "block", "left")
+
+
+def _opened(batch: pa.RecordBatch) -> Iterator[tuple[int, bytes, np.ndarray, np.ndarray]]:
+    """Block, texts, starts and copies of every row (columns block, body, starts, copies)."""
+    unpack = zstandard.ZstdDecompressor()
+    for i in range(batch.num_rows):
+        copies = batch.column(3)[i]
+        skip = copies.values.to_numpy() if copies.is_valid else np.zeros(0, np.int32)
+        yield (batch.column(0)[i].as_py(), unpack.decompress(batch.column(1)[i].as_py()),
+               batch.column(2)[i].values.to_numpy(), skip)
 
 
 def shared_phrases(texts: DataFrame, length: int) -> DataFrame:
     """(num, at, bucket, open) of the phrases whose key is not theirs alone. ``at`` packs start,
-    number of starts and trigger offset; an ``open`` bucket's key may stand in others too."""
+    number of starts and trigger offset; an ``open`` bucket's key stands in others too."""
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            num = batch.column(0).to_numpy()
-            for rows, found in _texts(batch.column(1)):
-                starts = np.cumsum([0] + [len(t) + 1 for t in found])
-                data = np.frombuffer(b" ".join(found) + b" ", dtype=np.uint8)
-                s, count, off, key = phrases(data, starts, length)
+            for block, body, starts, skip in _opened(batch):
+                s, count, off, key = phrases(np.frombuffer(body, np.uint8), starts, skip, length)
                 of = np.searchsorted(starts, s, side="right") - 1
                 at = ((s - starts[of]) << 2 * FIELD) | (count << FIELD) | off
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key), pa.array(num[np.array(rows)[of]]), pa.array(at)],
-                    names=["key", "num", "at"])
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(block + of), pa.array(at)],
+                                                 names=["key", "num", "at"])
 
     def share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        held = [np.zeros(0, np.int64)] * 3          # a bucket that may go on
-        before, first = 0, None                     # phrases of its key that went out already
+        held = [np.zeros(0, t) for t in (np.int64, np.int64, np.int64, bool)]   # a bucket that may go on
+        before = 0                                  # phrases of its key that went out already
 
-        def emit(key, num, at, index, last=None):
+        def emit(key, num, at, hot, index):
             cut = np.append(True, (key[1:] != key[:-1]) | (index[1:] % BUCKET == 0))[:len(key)]
             lo = np.flatnonzero(cut)
             size = np.diff(np.append(lo, len(key)))
             number = index[lo] // BUCKET
             with np.errstate(over="ignore"):
                 bucket = _mixed((key[lo].view(np.uint64) * BASE) ^ _mixed(
-                    number.astype(np.uint64) * BASE + np.uint64(part))).view(np.int64)
-            ajar = (number > 0) | (size == BUCKET) | (key[lo] == first)
-            if last is not None:
-                ajar |= key[lo] == last
+                    number.astype(np.uint64) * BASE + np.uint64(part))).astype(np.uint32).view(np.int32)
+            ajar = (number > 0) | (size == BUCKET) | hot[lo]
             keep = np.repeat((size > 1) | ajar, size)
             return pa.RecordBatch.from_arrays(
                 [pa.array(num[keep]), pa.array(at[keep]), pa.array(np.repeat(bucket, size)[keep]),
                  pa.array(np.repeat(ajar, size)[keep])], names=["num", "at", "bucket", "open"])
 
         for batch in batches:
-            key, num, at = (np.concatenate([h, batch.column(i).to_numpy()]) for i, h in enumerate(held))
+            key, num, at, hot = (np.concatenate([h, batch.column(i).to_numpy(zero_copy_only=False)])
+                                 for i, h in enumerate(held))
             if not len(key):
                 continue
-            first = key[0] if first is None else first
             head = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
             index = np.arange(len(key)) - np.repeat(head, np.diff(np.append(head, len(key))))
-            if len(head) > 1:
-                index[:head[1]] += before
-            else:
-                index += before
-            tail = len(key) - 1 - int(index[-1] % BUCKET)
-            tail = max(tail, int(head[-1]))
+            index[:head[1] if len(head) > 1 else None] += before
+            tail = max(len(key) - 1 - int(index[-1] % BUCKET), int(head[-1]))
             if tail:
-                yield emit(key[:tail], num[:tail], at[:tail], index[:tail])
-            held, before = [key[tail:], num[tail:], at[tail:]], int(index[tail])
+                yield emit(key[:tail], num[:tail], at[:tail], hot[:tail], index[:tail])
+            held, before = [key[tail:], num[tail:], at[tail:], hot[tail:]], int(index[tail])
         if len(held[0]):
-            yield emit(*held, before + np.arange(len(held[0])), last=held[0][-1])
+            yield emit(*held, before + np.arange(len(held[0])))
 
-    found = map_arrow(texts.select("num", "body"), parse, "key long, num long, at long")
+    opened = texts.select("block", "body", "starts", "copies")
+    found = map_arrow(opened, parse, "key long, num long, at long")
     parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return map_arrow(found.repartitionByRange(parts, "key", "num").sortWithinPartitions("key"), share,
-                     "num long, at long, bucket long, open boolean")
+    # a key is hot with over an eighth of a partition's share of the sample: at most 8 * parts are
+    some = map_arrow(opened.where(F.pmod(F.xxhash64("block"), F.lit(SAMPLE)) == 0), parse,
+                     "key long, num long, at long").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    some = cut_lineage(some)
+    total = some.agg(F.sum("n")).first()[0] or 0
+    hot = [r[0] for r in some.where(F.col("n") > max(64, total / (8 * parts))).select("key").collect()]
+    is_hot = F.col("key").isin(hot) if hot else F.lit(False)
+    salt = F.when(is_hot, F.pmod(F.xxhash64("num"), F.lit(parts))).otherwise(0)
+    found = found.withColumn("hot", is_hot)
+    return map_arrow(found.repartition(parts, "key", salt).sortWithinPartitions("key"), share,
+                     "num long, at long, bucket int, open boolean")
 
 
 def window_classes(texts: list[bytes], off: np.ndarray, count: np.ndarray, length: int
@@ -285,74 +311,93 @@ def _resolve(texts: list[bytes], num, order, at, open_, length):
     return (np.concatenate(rows), np.concatenate(lo), np.concatenate(n)), (i, start[ajar])
 
 
-ORDER = ("none", "doc", "dig")
-
-
 def repeated_starts(texts: DataFrame, length: int) -> DataFrame:
-    """(num, runs): runs of starts of repeated windows, each packed as start and number."""
-    wanted = shared_phrases(texts, length).groupBy("num").agg(
-        F.collect_list(F.struct("at", "bucket", "open")).alias("wanted"))
+    """(block, runs): runs of starts of repeated windows, each packed as start, number of starts
+    and the text's place in the block."""
+    field, low = F.lit(1 << FIELD), (1 << FIELD) - 1
+    num = F.col("num")
+    wanted = shared_phrases(texts, length).groupBy((num - num % field).alias("block")).agg(
+        F.collect_list(F.struct((num % field).cast("int").alias("k"), "at", "bucket", "open")).alias("wanted"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def send(held):
+            """Phrases of some blocks in corpus order; equal ones once, the later ones as runs."""
+            body = [h[1] for h in held]
+            col = [np.concatenate(c) for c in zip(*(h[2:] for h in held))]
+            of = np.repeat(np.arange(len(held)), [len(h[2]) for h in held])
+            none, doc, num, at, base, bucket, ajar = col
+            order = np.lexsort((at, num, doc, none))
+            s, n = at >> 2 * FIELD, (at >> FIELD) & low
+            a = base + s
+            seen, keep, texts_, runs = set(), [], [], {}
+            for i, b, x, y in zip(order.tolist(), of[order].tolist(), a[order].tolist(),
+                                  (a + n - 1 + length)[order].tolist()):
+                phrase = body[b][x:y]
+                if phrase in seen:
+                    runs.setdefault(b, []).append(i)
+                else:
+                    seen.add(phrase)
+                    keep.append(i)
+                    texts_.append(phrase)
+            i, m = np.array(keep, dtype=np.int64), len(runs)
+            packed = (s << 2 * FIELD) | (n << FIELD) | (num & low)
+            blocks = [held[b][0] for b in runs]
+            nulls = [None] * m
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([bucket[i], np.array([b >> FIELD for b in blocks], np.int64).astype(np.int32)])),
+                 pa.array(np.concatenate([num[i], np.array(blocks, np.int64)])),
+                 pa.concat_arrays([pa.array(none[i]), pa.array(nulls, pa.bool_())]),
+                 pa.concat_arrays([pa.array(doc[i]), pa.array(nulls, pa.int64())]),
+                 pa.concat_arrays([pa.array(at[i]), pa.array(nulls, pa.int64())]),
+                 pa.concat_arrays([pa.array(ajar[i]), pa.array(nulls, pa.bool_())]),
+                 pa.array(texts_ + nulls, pa.binary()),
+                 pa.array([None] * len(i) + [packed[r] for r in runs.values()], pa.list_(pa.int64()))],
+                names=["bucket", "num", "none", "doc", "at", "open", "x", "runs"])
+
+        held, size = [], 0
         for batch in batches:
-            num, none, doc, dig = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
-            lists = batch.column(5)
-            for rows, found in _texts(batch.column(4)):
-                rows = np.array(rows)
-                seen: set[bytes] = set()
-                out, runs = [[] for _ in range(5)], {}
-                for k in np.lexsort((num[rows], dig[rows], doc[rows], none[rows])).tolist():
-                    i, text = int(rows[k]), found[k]
-                    struct = lists[i].values
-                    at, bucket, ajar = (struct.field(c).to_numpy(zero_copy_only=False) for c in range(3))
-                    for j in np.argsort(at).tolist():
-                        a = int(at[j])
-                        s, n = a >> 2 * FIELD, (a >> FIELD) & ((1 << FIELD) - 1)
-                        x = text[s:s + n - 1 + length]
-                        if x in seen:       # an earlier one of this slice goes on for both
-                            runs.setdefault(i, []).append((s << FIELD) | n)
-                        else:
-                            seen.add(x)
-                            for col, v in zip(out, (bucket[j], i, a, ajar[j], x)):
-                                col.append(v)
-                i = np.array(out[1] + list(runs), dtype=np.int64)
-                none_of = [None] * len(runs)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(out[0] + [int(x) for x in num[list(runs)]], pa.int64()), pa.array(num[i]), pa.array(none[i]),
-                     pa.array(doc[i]), pa.array(dig[i]), pa.array(out[2] + none_of, pa.int64()),
-                     pa.array(out[3] + none_of, pa.bool_()), pa.array(out[4] + none_of, pa.binary()),
-                     pa.array([None] * len(out[0]) + list(runs.values()), pa.list_(pa.int64()))],
-                    names=["bucket", "num", *ORDER, "at", "open", "x", "runs"])
+            for i, (block, body, starts, _) in enumerate(_opened(batch)):
+                ids, w = batch.column(4)[i].values, batch.column(5)[i].values
+                k, at, bucket, ajar = (w.field(c).to_numpy(zero_copy_only=False) for c in range(4))
+                none = ids.is_null().to_numpy(zero_copy_only=False)
+                doc = ids.cast(pa.int64()).fill_null(0).to_numpy()
+                held.append((block, body, none[k], doc[k], block + k.astype(np.int64), at, starts[k], bucket, ajar))
+                size += len(body)
+                if size >= BATCH_BYTES:
+                    yield send(held)
+                    held, size = [], 0
+        if held:
+            yield send(held)
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["num", "runs", *ORDER, "start", "c1", "c2"]
-        kinds = [pa.int64(), pa.list_(pa.int64()), pa.bool_(), pa.int64(), pa.int64(), pa.int64(),
-                 pa.int64(), pa.int64()]
+        names = ["num", "runs", "none", "doc", "start", "c1", "c2"]
+        kinds = [pa.int64(), pa.list_(pa.int64()), pa.bool_(), *[pa.int64()] * 4]
 
         def solve(table: pa.Table) -> pa.RecordBatch:
             x = table.column("x").to_pylist()
-            num, none, doc, dig, at, ajar = (table.column(c).to_numpy() for c in ("num", *ORDER, "at", "open"))
-            (rows, lo, n), (first, start) = _resolve(x, num, (none, doc, dig), at, ajar.astype(bool), length)
+            num, none, doc, at, ajar = (table.column(c).to_numpy() for c in ("num", "none", "doc", "at", "open"))
+            none = none.astype(bool)
+            (rows, lo, n), (first, start) = _resolve(x, num, (none, doc), at, ajar.astype(bool), length)
             base = at >> 2 * FIELD
-            packed = ((base[rows] + lo) << FIELD) | n
-            by = np.argsort(num[rows], kind="stable")
-            owner, head = np.unique(num[rows][by], return_index=True)
+            packed = ((base[rows] + lo) << 2 * FIELD) | (n << FIELD) | (num[rows] & low)
+            block = num[rows] & ~low
+            by = np.argsort(block, kind="stable")
+            owner, head = np.unique(block[by], return_index=True)
             runs = pa.ListArray.from_arrays(pa.array(np.append(head, len(by)).astype(np.int32)), pa.array(packed[by]))
             digest = [xxhash.xxh3_128_digest(x[i][s:s + length]) for i, s in zip(first.tolist(), start.tolist())]
             c = np.frombuffer(b"".join(digest), dtype=np.int64).reshape(-1, 2)
             m, k = len(owner), len(first)
-            nulls = [pa.nulls(m, t) for t in kinds]
-            left = [pa.array(owner), runs, *nulls[2:]]
-            right = [pa.array(num[first]), pa.nulls(k, kinds[1]), pa.array(none[first].astype(bool)), pa.array(doc[first]),
-                     pa.array(dig[first]), pa.array(base[first] + start), pa.array(c[:, 0].copy()), pa.array(c[:, 1].copy())]
+            left = [pa.array(owner), runs, *[pa.nulls(m, t) for t in kinds[2:]]]
+            right = [pa.array(num[first]), pa.nulls(k, kinds[1]), pa.array(none[first]), pa.array(doc[first]),
+                     pa.array(base[first] + start), pa.array(c[:, 0].copy()), pa.array(c[:, 1].copy())]
             return pa.RecordBatch.from_arrays([pa.concat_arrays([a, b]) for a, b in zip(left, right)], names=names)
 
         held, size = [], 0
         for batch in batches:
             known = batch.filter(pa.compute.is_null(batch.column("x")))
             if known.num_rows:
-                nulls = [pa.nulls(known.num_rows, t) for t in kinds]
-                yield pa.RecordBatch.from_arrays([known.column("num"), known.column("runs"), *nulls[2:]], names=names)
+                nulls = [pa.nulls(known.num_rows, t) for t in kinds[2:]]
+                yield pa.RecordBatch.from_arrays([known.column("num"), known.column("runs"), *nulls], names=names)
             batch = batch.filter(pa.compute.is_valid(batch.column("x")))
             if not batch.num_rows:
                 continue
@@ -370,20 +415,21 @@ def repeated_starts(texts: DataFrame, length: int) -> DataFrame:
             yield solve(pa.Table.from_batches(held).combine_chunks())
 
     parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = texts.join(wanted, "num").select("num", *ORDER, "body", "wanted")
-    found = map_arrow(found, cut, "bucket long, num long, none boolean, doc long, dig long, at long, "
-                                  "open boolean, x binary, runs array<long>")
+    found = texts.join(wanted, "block").select("block", "body", "starts", "copies", "ids", "wanted")
+    found = map_arrow(found, cut, "bucket int, num long, none boolean, doc long, at long, open boolean, "
+                                  "x binary, runs array<long>")
     found = cut_lineage(map_arrow(
         found.repartition(parts, "bucket").sortWithinPartitions("bucket"), settle,
-        "num long, runs array<long>, none boolean, doc long, dig long, start long, c1 long, c2 long"))
+        "num long, runs array<long>, none boolean, doc long, start long, c1 long, c2 long"))
     # classes of split keys: all but the earliest of the buckets' earliest windows repeat
     split = found.where("runs IS NULL")
-    place = F.struct(*ORDER, "num", "start")
+    place = F.struct("none", "doc", "num", "start")
     least = split.groupBy(F.col("c1").alias("k1"), F.col("c2").alias("k2")).agg(F.min(place).alias("least"))
     again = (split.join(least, (F.col("c1") == F.col("k1")) & (F.col("c2") == F.col("k2")))
              .where(place != F.col("least"))
-             .select("num", F.array((F.shiftleft("start", FIELD) + 1)).alias("runs")))
-    return found.where("runs IS NOT NULL").select("num", "runs").unionByName(again)
+             .select((num - num % field).alias("block"),
+                     F.array(F.shiftleft("start", 2 * FIELD) + field + num % field).alias("runs")))
+    return found.where("runs IS NOT NULL").select(num.alias("block"), "runs").unionByName(again)
 
 
 def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text"
@@ -392,35 +438,39 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     ``length`` bytes cover, and the text's other bytes."""
     if not 2 * GRAM <= length or triggers_of(length) >= 1 << FIELD:
         raise ValueError("length must be 24 to 6000")
-    texts = numbered(docs, id_col, text_col)
-    runs = (repeated_starts(texts, length).groupBy("num")
+    texts = blocks_of(docs, id_col, text_col)
+    runs = (repeated_starts(texts, length).groupBy("block")
             .agg(F.flatten(F.collect_list("runs")).alias("runs")))
+    kind = docs.schema[id_col].dataType.simpleString()
+    low = (1 << FIELD) - 1
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column(2)
-            for rows, found in _texts(batch.column(1)):
-                spans, kept = [], []
-                for i, text in zip(rows, found):
-                    if not lists[i].is_valid:
-                        spans.append([])
-                        kept.append(text)
-                        continue
-                    packed = lists[i].values.to_numpy()
-                    start = packed >> FIELD
-                    edge = np.zeros(len(text) + 1, dtype=np.int32)
-                    np.add.at(edge, start, 1)
-                    np.add.at(edge, start + (packed & ((1 << FIELD) - 1)) - 1 + length, -1)
-                    out = np.cumsum(edge)[:-1] > 0
-                    change = np.flatnonzero(np.diff(np.concatenate([[False], out, [False]]).astype(np.int8)))
-                    spans.append([{"start": a, "end": b} for a, b in change.reshape(-1, 2).tolist()])
-                    kept.append(np.frombuffer(text, np.uint8)[~out].tobytes())
-                pair = pa.struct([("start", pa.int64()), ("end", pa.int64())])
+            for i, (_, body, starts, copies) in enumerate(_opened(batch)):
+                data, n = np.frombuffer(body, np.uint8), len(starts) - 1
+                edge = np.zeros(len(data) + 1, dtype=np.int32)
+                size = np.diff(starts) - 1
+                whole = copies[size[copies] >= length]
+                np.add.at(edge, starts[whole], 1)
+                np.add.at(edge, starts[whole + 1] - 1, -1)
+                if batch.column(5)[i].is_valid:
+                    packed = batch.column(5)[i].values.to_numpy()
+                    at = starts[packed & low] + (packed >> 2 * FIELD)
+                    np.add.at(edge, at, 1)
+                    np.add.at(edge, at + ((packed >> FIELD) & low) - 1 + length, -1)
+                out = np.cumsum(edge)[:-1] > 0
+                change = np.flatnonzero(np.diff(np.concatenate([[False], out, [False]]).astype(np.int8))).reshape(-1, 2)
+                of = np.searchsorted(starts, change[:, 0], side="right") - 1
+                spans = pa.StructArray.from_arrays([pa.array(c - starts[of]) for c in change.T.copy()], names=["start", "end"])
+                split = np.append(0, np.cumsum(np.bincount(of, minlength=n)))
+                out[starts[1:] - 1] = True                              # the bytes between texts
+                left = np.append(0, np.cumsum(~out))[starts]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(rows)), pa.array([len(t) for t in found], pa.int64()),
-                     pa.array(spans, pa.list_(pair)), pa.array(kept, pa.binary())],
+                    [batch.column(4)[i].values, pa.array(size.astype(np.int64)),
+                     pa.ListArray.from_arrays(pa.array(split.astype(np.int32)), spans),
+                     pa.LargeBinaryArray.from_buffers(pa.large_binary(), n, [
+                         None, pa.py_buffer(left.astype(np.int64)), pa.py_buffer(data[~out].tobytes())]).cast(pa.binary())],
                     names=["id", "n_bytes", "spans", "kept"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return map_arrow(texts.join(runs, "num", "left").select("id", "body", "runs"), apply,
-                     f"id {kind}, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")
+    return map_arrow(texts.join(runs, "block", "left").select("block", "body", "starts", "copies", "ids", "runs"),
+                     apply, f"id {kind}, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")

@@ -155,7 +155,9 @@ def test_repeated_strings(spark, monkeypatch, bucket):
     monkeypatch.setattr(repeats, "BUCKET", bucket)
     if bucket == 3:
         monkeypatch.setattr(repeats, "CHUNK_BYTES", 3000)
-        monkeypatch.setattr(repeats, "SLICE_BYTES", 4000)
+        monkeypatch.setattr(repeats, "BLOCK_BYTES", 4000)
+        monkeypatch.setattr(repeats, "BATCH_BYTES", 9000)
+        monkeypatch.setattr(repeats, "SAMPLE", 1)
     texts = corpus()
     out = repeats.remove_repeats(documents(spark, list(enumerate(texts))), 100)
     assert out.columns == ["id", "n_bytes", "spans", "kept"]
