@@ -182,10 +182,11 @@ def category_split_totals(long: DataFrame, date: str, category: str, unit: str,
 
     The central table has one row per date (a calendar-sized frame), joined m:1 by date.
     Missing values are dropped first (the long table comes from a stack that drops them),
-    so a unit-date with no value at all has no row. A category outside ``categories`` and a
-    local (unit, date, category) that occurs twice are errors.
+    so a unit-date with no value at all has no row. A value without a unit, a category outside
+    ``categories`` and a local (unit, date, category) that occurs twice are errors.
     """
-    long = long.where(F.col(value).isNotNull())
+    long = long.where(F.col(value).isNotNull()).withColumn(unit, F.coalesce(
+        F.col(unit), F.raise_error(F.lit("a value without a unit")).cast(long.schema[unit].dataType)))
     known = F.coalesce(F.col(category).isin(list(categories)), F.lit(False))
     long = long.withColumn(category, F.when(known, F.col(category)).otherwise(F.raise_error(
         F.concat(F.lit("unknown category: "), F.coalesce(F.col(category).cast("string"), F.lit("null"))))))

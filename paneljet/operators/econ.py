@@ -6,21 +6,25 @@ receives K x K moment matrices and solves them (K = regressors + instruments, a
 
 Conventions (reghdfe-style, documented as assumptions): singleton groups are dropped
 iteratively; the small-sample factor is ``G/(G-1) * (N-1)/(N-K)`` with K = regressors plus
-absorbed levels of fixed effects not nested in the clusters (one level per extra fixed
-effect counted as redundant); p-values use t(G-1) and F(L, G-1); the over-identification
-statistic is Hansen's J from two-step GMM with the cluster-robust weight matrix.
+the rank of the absorbed effects not nested in the clusters (see ``absorbed_dof``); p-values
+use t(G-1) and F(L, G-1); the over-identification statistic is Hansen's J from two-step GMM
+with the cluster-robust weight matrix.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from itertools import combinations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.dist import chi2_upper_p, f_upper_p, stars, t_two_sided_p
+from .graph import bipartite_components
 from .util import cut_lineage
 
 CONST = "_const"
@@ -98,56 +102,137 @@ def drop_singletons(df: DataFrame, absorb: Sequence[str], max_iter: int = 100) -
     raise RuntimeError("singleton removal did not converge")
 
 
+def _stats_of(cols: Sequence[str]) -> list[Column]:
+    return [*[F.avg(c).alias(f"a{i}") for i, c in enumerate(cols)],
+            *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(cols)]]
+
+
+def _stats_from(row, cols: Sequence[str]) -> dict[str, tuple[float, float]]:
+    return {c: (row[f"a{i}"] or 0.0, row[f"s{i}"] or 0.0) for i, c in enumerate(cols)}
+
+
 def _overall(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float, float]]:
     """Mean and standard deviation of every column: one row to the driver."""
-    row = df.agg(*[F.avg(c).alias(f"a{i}") for i, c in enumerate(cols)],
-                 *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(cols)]).first()
-    return {c: (row[f"a{i}"] or 0.0, row[f"s{i}"] or 0.0) for i, c in enumerate(cols)}
+    return _stats_from(df.agg(*_stats_of(cols)).first(), cols)
 
 
-def _subtract_means(df: DataFrame, cols: Sequence[str], fe: str) -> tuple[DataFrame, DataFrame]:
+def _subtract_means(df: DataFrame, cols: Sequence[str], fe: str) -> DataFrame:
     means = df.groupBy(fe).agg(*[F.avg(c).alias(f"_m_{c}") for c in cols])
     keep = [c for c in df.columns if c not in cols]
-    out = df.join(means, fe).select(*keep, *[(F.col(c) - F.col(f"_m_{c}")).alias(c) for c in cols])
-    return out, means
+    return df.join(means, fe).select(*keep, *[(F.col(c) - F.col(f"_m_{c}")).alias(c) for c in cols])
+
+
+def absorb_effects(df: DataFrame, cols: Sequence[str], absorb: Sequence[str], tol: float = 1e-8,
+                   max_iter: int = 1000, stats: dict | None = None) -> tuple[DataFrame, int]:
+    """E1 for two or more effects: ``df`` with the effects removed from ``cols``, and the number of
+    conjugate-gradient steps.
+
+    Rows are read twice: once for the cells (rows and sums per combination of levels), once
+    to subtract the fitted level coefficients. In between only vectors over levels move: the
+    first effect is eliminated exactly (its coefficients are means), the others' normal
+    equations are solved by conjugate gradients, preconditioned with the level sizes, for all
+    columns at once. Steps grow with the square root of the panel's condition number, those of
+    alternating projections with the number itself; a balanced panel takes one step.
+    A column is done when the level means left in it are below ``tol`` standard deviations (root
+    mean square over rows). Levels are compared as strings, NULL being a level of its own.
+    """
+    cols, k = list(cols), range(len(cols))
+    stats = stats or _overall(df, cols)
+    scale = [sd if sd > 0 else 1.0 for _, sd in (stats[c] for c in cols)]
+    centred = [F.col(c) - F.lit(float(stats[c][0])) for c in cols]
+    level = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
+    others = range(1, len(absorb))
+    lv = [f"l{i}" for i in range(len(absorb))]
+    cells = cut_lineage(df.groupBy(*[level(c).alias(v) for c, v in zip(absorb, lv)]).agg(
+        F.count(F.lit(1)).cast("double").alias("n"), *[F.sum(y).alias(f"y{i}") for i, y in zip(k, centred)]))
+
+    def within(frame: DataFrame, values: list[str]) -> DataFrame:
+        """``values`` (sums over a cell's rows) less the first effect's means of them."""
+        mean = frame.groupBy("l0").agg(*[(F.sum(v) / F.sum("n")).alias(f"_{v}") for v in values])
+        return frame.join(mean.withColumnRenamed("l0", "_l0"), F.col("l0") == F.col("_l0")).select(
+            *lv, "n", *[(F.col(v) - F.col("n") * F.col(f"_{v}")).alias(v) for v in values])
+
+    def by_level(frame: DataFrame, values: list[str], out: list[str]) -> DataFrame:
+        return reduce(DataFrame.unionByName, [
+            frame.groupBy(F.lit(f).alias("f"), F.col(lv[f]).alias("lv")).agg(
+                F.sum("n").alias("size"), *[F.sum(v).alias(o) for v, o in zip(values, out)])
+            for f in others])
+
+    def spread(vec: DataFrame, names: list[str], also: Sequence[str] = ()) -> DataFrame:
+        """Cells with the sums over their rows of the others' coefficients."""
+        out = cells
+        for f in others:
+            part = vec.where(F.col("f") == f).select(F.col("lv").alias("_lv"), *[
+                F.col(c).alias(f"_{f}_{c}") for c in names])
+            out = out.join(part, F.col(lv[f]) == F.col("_lv")).drop("_lv")
+        return out.select(*lv, "n", *also, *[
+            (F.col("n") * sum((F.col(f"_{f}_{c}") for f in others), F.lit(0.0))).alias(c) for c in names])
+
+    r, p, w, x = ([f"{t}{i}" for i in k] for t in "rpwx")
+    state = by_level(within(cells, [f"y{i}" for i in k]), [f"y{i}" for i in k], r)
+    state = cut_lineage(state.select("f", "lv", "size", *r, *[(F.col(a) / F.col("size")).alias(b) for a, b in zip(r, p)],
+                                     *[F.lit(0.0).alias(c) for c in x]))
+
+    def dot(frame: DataFrame) -> list[float]:
+        row = frame.agg(F.max("f"), *[F.sum(F.col(c) * F.col(c) / F.col("size")) for c in r],
+                        F.sum(F.when(F.col("f") == 1, F.col("size")))).first()
+        return [float(v or 0.0) for v in row[1:]]
+
+    *rz, rows = dot(state)
+    limit = [rows * (tol * s) ** 2 for s in scale]
+    steps = 0
+    while any(a > b for a, b in zip(rz, limit)):
+        if steps == max_iter:
+            raise RuntimeError(f"demeaning did not converge in {max_iter} steps")
+        steps += 1
+        image = by_level(within(spread(state, p), p), p, w).drop("size")
+        seen = Observation(f"cg_{uuid.uuid4().hex}")
+        both = state.join(image.withColumnRenamed("lv", "_lv").withColumnRenamed("f", "_f"),
+                          (F.col("f") == F.col("_f")) & (F.col("lv") == F.col("_lv"))).drop("_f", "_lv")
+        both = cut_lineage(both.observe(seen, *[F.sum(F.col(a) * F.col(b)).alias(f"d{i}")
+                                                for i, a, b in zip(k, p, w)]))
+        pw = [float(seen.get[f"d{i}"] or 0.0) for i in k]
+        alpha = [a / b if a > c and b > 0 else 0.0 for a, b, c in zip(rz, pw, limit)]
+        moved = both.select("f", "lv", "size",
+                            *[(F.col(a) - F.lit(al) * F.col(b)).alias(a) for a, b, al in zip(r, w, alpha)],
+                            *[(F.col(a) + F.lit(al) * F.col(b)).alias(a) for a, b, al in zip(x, p, alpha)], *p)
+        *now, _ = dot(moved)
+        beta = [a / b if b > 0 and al else 0.0 for a, b, al in zip(now, rz, alpha)]
+        state = moved.select("f", "lv", "size", *r, *x, *[
+            (F.col(a) / F.col("size") + F.lit(be) * F.col(b)).alias(b) for a, b, be in zip(r, p, beta)])
+        rz = now
+    # the first effect: means of what the others leave
+    rest = spread(state, x, [f"y{i}" for i in k])
+    first = rest.groupBy(F.col("l0").alias("__l0")).agg(
+        *[(F.sum(F.col(f"y{i}") - F.col(f"x{i}")) / F.sum("n")).alias(f"__m{i}") for i in k])
+    out = df.withColumns({f"__of{i}": level(c) for i, c in enumerate(absorb)})
+    out = out.join(first, F.col("__of0") == F.col("__l0")).drop("__l0")
+    fitted_ = [F.col(f"__m{i}") for i in k]
+    for f in others:
+        part = state.where(F.col("f") == f).select(F.col("lv").alias("__lv"), *[
+            F.col(c).alias(f"__{f}_{c}") for c in x])
+        out = out.join(part, F.col(f"__of{f}") == F.col("__lv")).drop("__lv")
+        fitted_ = [a + F.col(f"__{f}_{c}") for a, c in zip(fitted_, x)]
+    keep = [c for c in df.columns if c not in cols]
+    return out.select(*keep, *[(y - a).alias(c) for y, a, c in zip(centred, fitted_, cols)]), steps
 
 
 def demean(df: DataFrame, cols: Sequence[str], absorb: Sequence[str] = (), tol: float = 1e-8,
-           max_iter: int = 1000) -> DataFrame:
+           max_iter: int = 1000, _stats: dict | None = None) -> DataFrame:
     """Remove fixed effects from ``cols``.
 
     No fixed effect: subtract the overall mean (the constant). One: subtract group means
     (group means are an aggregate joined back, so a hot group is combined map-side). Several:
-    alternating projections until every group mean is below ``tol`` times the column's
-    standard deviation, with a reliable checkpoint each sweep.
+    ``absorb_effects``, conjugate gradients over the levels' coefficients.
     """
-    cols = list(cols)
-    if absorb and len(absorb) == 1:
-        return _subtract_means(df, cols, absorb[0])[0]
+    cols, absorb = list(cols), list(dict.fromkeys(absorb))
+    if len(absorb) == 1:
+        return _subtract_means(df, cols, absorb[0])
     if absorb:
-        df = cut_lineage(df)
-    overall = _overall(df, cols)
+        return absorb_effects(df if _stats else cut_lineage(df), cols, absorb, tol, max_iter, _stats)[0]
+    stats = _stats or _overall(df, cols)
     keep = [c for c in df.columns if c not in cols]
-    cur = df.select(*keep, *[(F.col(c) - F.lit(float(overall[c][0]))).alias(c) for c in cols])
-    if not absorb:
-        return cur
-    scale = {c: sd if sd > 0 else 1.0 for c, (_, sd) in overall.items()}
-    for _ in range(max_iter):
-        for fe in absorb:                       # one sweep, lazily
-            cur, _ = _subtract_means(cur, cols, fe)
-        cur = cut_lineage(cur)
-        # After the sweep the last dimension's group means are exactly zero; convergence
-        # needs the others' means below tol - one aggregation job for all of them.
-        peaks = None
-        for fe in absorb[:-1]:
-            m = cur.groupBy(fe).agg(*[F.avg(c).alias(f"_m_{c}") for c in cols])
-            tops = [F.max(F.abs(f"_m_{c}")) / F.lit(float(scale[c])) for c in cols]
-            part = m.agg((F.greatest(*tops) if len(tops) > 1 else tops[0]).alias("w"))
-            peaks = part if peaks is None else peaks.unionByName(part)
-        worst = peaks.agg(F.max("w")).first()[0] or 0.0
-        if worst < tol:
-            return cur
-    raise RuntimeError("demeaning did not converge")
+    return df.select(*keep, *[(F.col(c) - F.lit(float(stats[c][0]))).alias(c) for c in cols])
 
 
 # --------------------------------------------------------------------------------------
@@ -155,22 +240,25 @@ def demean(df: DataFrame, cols: Sequence[str], absorb: Sequence[str] = (), tol:
 # --------------------------------------------------------------------------------------
 
 def cross_products(df: DataFrame, cols: Sequence[str]) -> tuple[np.ndarray, int]:
-    """The K x K matrix of sums of products and N.
+    """The K x K matrix of sums of products and N (the corner of a column of ones).
 
     Rows become vectors whose outer products are summed in the JVM, partition by partition and
     then in a tree (a Gram matrix), so the plan does not grow with K.
     """
+    m = _gram(df, [F.lit(1.0), *[F.col(c) for c in cols]])
+    return m[1:, 1:], int(round(m[0, 0]))
+
+
+def _gram(df: DataFrame, cols: Sequence[Column]) -> np.ndarray:
     from pyspark.ml.functions import array_to_vector
     from pyspark.mllib.linalg.distributed import RowMatrix
     from pyspark.mllib.util import MLUtils
 
-    cols = list(cols)
-    rows = df.select(array_to_vector(F.array(*[F.col(c).cast("double") for c in cols])).alias("v"))
-    n = rows.count()
-    if not n:
-        return np.zeros((len(cols), len(cols))), 0
-    matrix = RowMatrix(MLUtils.convertVectorColumnsFromML(rows, "v"), n, len(cols))
-    return matrix.computeGramianMatrix().toArray(), n
+    rows = df.select(array_to_vector(F.array(*[c.cast("double") for c in cols])).alias("v"))
+    # a row of zeros changes no sum; without any row there would be no matrix
+    rows = rows.union(df.sparkSession.range(1).select(array_to_vector(F.array(*[F.lit(0.0) for _ in cols]))))
+    return RowMatrix(MLUtils.convertVectorColumnsFromML(rows, "v"), 0, len(cols)
+                     ).computeGramianMatrix().toArray()
 
 
 def cluster_meat(df: DataFrame, cluster: str | None, scores: Sequence) -> tuple[np.ndarray, int]:
@@ -184,40 +272,70 @@ def cluster_meat(df: DataFrame, cluster: str | None, scores: Sequence) -> tuple[
 
 def cluster_meats(df: DataFrame, cluster: str | None, blocks: Sequence[Sequence]
                   ) -> tuple:
-    """``cluster_meat`` of several blocks of scores from one pass over the data: returns one
-    matrix per block, then the number of clusters. Cross-blocks are not formed."""
-    names = [[f"s{b}_{i}" for i in range(len(scores))] for b, scores in enumerate(blocks)]
-    flat = [(n, s) for ns, scores in zip(names, blocks) for n, s in zip(ns, scores)]
-    if cluster is None:
-        sums = df.select(*[s.alias(n) for n, s in flat])
-    else:
-        sums = df.groupBy(cluster).agg(*[F.sum(s).alias(n) for n, s in flat])
-        if len(blocks) > 1:
-            sums = cut_lineage(sums)
-    grams = [cross_products(sums, ns) for ns in names]
-    return (*[m for m, _ in grams], grams[0][1])
-
-
-def absorbed_dof(df: DataFrame, absorb: Sequence[str], cluster: str | None) -> int:
-    """Levels of fixed effects not nested in the clusters (minus one redundant level per
-    additional effect); a constant counts 1 when nothing is absorbed."""
-    if not absorb:
-        return 1
-    dof, counted = 0, 0
+    """``cluster_meat`` of several blocks of scores from one Gram matrix: returns one matrix per
+    block, then the number of clusters."""
+    return (*_spec_meats(df, cluster, [(F.lit(True), blocks)])[0],)
+
+
+def _spec_meats(df: DataFrame, cluster: str | None, specs: Sequence[tuple[Column, Sequence[Sequence]]]
+                ) -> list[tuple]:
+    """``cluster_meats`` of several specifications, each of the rows where its condition holds,
+    from one aggregate and one Gram matrix over all of them."""
+    cols, shape = [], []
+    for s, (mine, blocks) in enumerate(specs):
+        flat = [F.when(mine, c).otherwise(0.0) for scores in blocks for c in scores]
+        one = F.when(mine, 1.0).otherwise(0.0)
+        cols += [one.alias(f"n{s}"), *[c.alias(f"s{s}_{i}") for i, c in enumerate(flat)]]
+        shape.append([len(scores) for scores in blocks])
+    sums = df.select(*([cluster] if cluster else []), *cols)
+    names = [c for c in sums.columns if c != cluster]
+    if cluster:
+        sums = sums.groupBy(cluster).agg(*[(F.max(c) if c.startswith("n") else F.sum(c)).alias(c) for c in names])
+    gram = _gram(sums, [F.col(c) for c in names])
+    out, at = [], 0
+    for sizes in shape:
+        g, at = int(round(gram[at, at])), at + 1
+        meats = []
+        for k in sizes:
+            meats.append(gram[at:at + k, at:at + k])
+            at += k
+        out.append((*meats, g))
+    return out
+
+
+def _levels_of(df: DataFrame, absorb: Sequence[str], cluster: str | None) -> DataFrame | None:
+    """(fe, levels, nested) of every effect: number of levels, and whether each lies in one cluster."""
+    parts = []
     for fe in absorb:
-        if cluster is not None:
-            per = df.groupBy(fe).agg(F.countDistinct(cluster).alias("_c"))
-            row = per.agg(F.count(F.lit(1)).alias("levels"), F.max("_c").alias("mx")).first()
-            nested = (row["mx"] or 0) <= 1
+        if cluster is None:
+            per = df.select(fe).distinct().withColumn("one", F.lit(False))
         else:
-            row = df.agg(F.countDistinct(fe).alias("levels")).first()
-            nested = False
-        if not nested:
-            dof += int(row["levels"])
-            counted += 1
-    if counted == 0:
+            per = df.groupBy(fe).agg((F.min(cluster) == F.max(cluster)).alias("one"))
+        parts.append(per.agg(F.count(F.lit(1)).alias("levels"), F.bool_and("one").alias("nested"))
+                     .select(F.lit(fe).alias("fe"), "levels", "nested"))
+    return reduce(DataFrame.unionByName, parts) if parts else None
+
+
+def absorbed_dof(df: DataFrame, absorb: Sequence[str], cluster: str | None, _levels: dict | None = None) -> int:
+    """Degrees of freedom that the absorbed effects use: the rank of the dummies of all effects
+    not nested in the clusters (1, the constant, if there is none).
+
+    Two effects: levels of both less the connected components of the graph that joins levels
+    met together, which is the rank exactly. More: each further effect loses as many levels as
+    the most components it has with an earlier one, a lower bound of its redundancy.
+    """
+    absorb = list(dict.fromkeys(absorb))
+    if not absorb:
+        return 1
+    if _levels is None:
+        _levels = {r["fe"]: (r["levels"], r["nested"]) for r in _levels_of(df, absorb, cluster).collect()}
+    free = [fe for fe in absorb if not _levels[fe][1]]
+    if not free:
         return 1
-    return dof - (counted - 1)
+    lost = {fe: 0 for fe in free}
+    for a, b in combinations(free, 2):
+        lost[b] = max(lost[b], bipartite_components(df, a, b))
+    return sum(_levels[fe][0] - lost[fe] for fe in free)
 
 
 def _independent(xtx: np.ndarray, norms: np.ndarray, rel_tol: float = 1e-9) -> list[int]:
@@ -280,21 +398,53 @@ def _q(n: int, g: int, k: int, clustered: bool) -> float:
     return n / (n - k) if n > k else float("nan")
 
 
-def _prepare(df, cols, absorb, cluster, singletons=True):
-    """Sample (complete cases, singletons dropped), its demeaned copy and the cross-product
-    moments of ``cols`` with the squared norms the columns had before demeaning."""
+@dataclass
+class _Prepared:
+    """A specification's demeaned sample: the rows of ``dm`` where ``mine`` holds."""
+
+    dm: DataFrame
+    mine: Column
+    moments: tuple
+    dof: int
+
+
+def _prepare(df, cols, specs, cluster, singletons=True) -> list[_Prepared]:
+    """Of every specification (a list of absorbed effects): its sample (complete cases, singletons
+    dropped), the demeaned copy, the cross-product moments of ``cols`` with the squared norms the
+    columns had before demeaning. The demeaned copies are written as one table, and one
+    Gram matrix over it holds the moments and sizes of all of them."""
     cols = list(dict.fromkeys(cols))
-    need = [*cols, *absorb] + ([cluster] if cluster else [])
-    sample = df.select(*dict.fromkeys(need)).dropna()
-    if absorb and singletons:
-        sample = drop_singletons(sample, absorb)
-    sample = cut_lineage(sample)
-    overall = _overall(sample, cols)
-    dm = cut_lineage(demean(sample, cols, absorb))
-    m, n = cross_products(dm, cols)
-    # squared deviations from the mean; a constant column's are rounding of its size
-    norms = np.array([n * (sd * sd + 1e-15 * a * a) for a, sd in (overall[c] for c in cols)])
-    return sample, dm, (m, n, cols, norms), absorbed_dof(sample, absorb, cluster)
+    samples, parts, levels = [], [], []
+    for s, absorb in enumerate(specs):
+        need = [*cols, *absorb] + ([cluster] if cluster else [])
+        sample = df.select(*dict.fromkeys(need)).dropna()
+        if absorb and singletons:
+            sample = drop_singletons(sample, absorb)
+        seen = Observation(f"sample_{uuid.uuid4().hex}")
+        sample = cut_lineage(sample.observe(seen, *_stats_of(cols)))
+        stats = _stats_from(seen.get, cols)
+        samples.append((sample, stats))
+        keep = [F.col(cluster).alias("_cluster")] if cluster else []
+        parts.append(demean(sample.select(*dict.fromkeys(need)), cols, absorb, _stats=stats)
+                     .select(F.lit(s).alias("_spec"), *keep, *cols))
+        if absorb:
+            levels.append(_levels_of(sample, absorb, cluster).withColumn("_spec", F.lit(s)))
+    dm = cut_lineage(reduce(DataFrame.unionByName, parts))
+    width = len(cols) + 1
+    gram = _gram(dm, [F.when(F.col("_spec") == s, c).otherwise(0.0) for s in range(len(specs))
+                      for c in (F.lit(1.0), *[F.col(c) for c in cols])])
+    found: dict[int, dict] = {}
+    for r in (reduce(DataFrame.unionByName, levels).collect() if levels else []):
+        found.setdefault(r["_spec"], {})[r["fe"]] = (r["levels"], r["nested"])
+    out = []
+    for s, (absorb, (sample, stats)) in enumerate(zip(specs, samples)):
+        block = gram[s * width:(s + 1) * width, s * width:(s + 1) * width]
+        n = int(round(block[0, 0]))
+        # squared deviations from the mean; a constant column's are rounding of its size
+        norms = np.array([n * (sd * sd + 1e-15 * a * a) for a, sd in (stats[c] for c in cols)])
+        out.append(_Prepared(dm, F.col("_spec") == s, (block[1:, 1:], n, cols, norms),
+                             absorbed_dof(sample, absorb, cluster, found.get(s))))
+    return out
 
 
 def _sub_moments(moments, want: Sequence[str]) -> tuple[np.ndarray, int, np.ndarray]:
@@ -304,12 +454,19 @@ def _sub_moments(moments, want: Sequence[str]) -> tuple[np.ndarray, int, np.ndar
 
 
 def ols_fe(df: DataFrame, y: str, x: Sequence[str], absorb: Sequence[str] = (),
-           cluster: str | None = None, singletons: bool = True, _prepared=None) -> Fit:
+           cluster: str | None = None, singletons: bool = True) -> Fit:
     """OLS of ``y`` on ``x`` after absorbing ``absorb``; cluster-robust when ``cluster``
     is given, else heteroskedasticity-robust."""
     x = list(x)
-    sample, dm, moments, dof = _prepared or _prepare(df, [y, *x], absorb, cluster, singletons)
-    m, n, norms = _sub_moments(moments, [*x, y])
+    prepared = _prepare(df, [y, *x], [absorb], cluster, singletons)[0]
+    blocks, finish = _ols_solve(prepared, y, x, cluster)
+    return finish(*cluster_meats(prepared.dm, "_cluster" if cluster else None, blocks))["ols"]
+
+
+def _ols_solve(prepared: _Prepared, y: str, x: list[str], cluster: str | None
+               ) -> tuple[list[list[Column]], Callable]:
+    """Coefficients from the moments: blocks of scores, and what makes the fit of their meats."""
+    m, n, norms = _sub_moments(prepared.moments, [*x, y])
     k = len(x)
     keep = _independent(m[:k, :k], norms)
     if not keep:
@@ -319,19 +476,22 @@ def ols_fe(df: DataFrame, y: str, x: Sequence[str], absorb: Sequence[str] = (),
     xty = m[keep, k]
     b = np.linalg.solve(xtx, xty)
     resid = F.col(y) - sum((F.lit(float(bi)) * F.col(c) for bi, c in zip(b, xs)), F.lit(0.0))
-    meat, g = cluster_meat(dm, cluster, [F.col(c) * resid for c in xs])
-    kk = len(xs) + dof
-    inv = np.linalg.inv(xtx)
-    v = _q(n, g, kk, cluster is not None) * inv @ meat @ inv
-    ssr = m[k, k] - 2 * b @ xty + b @ xtx @ b
-    stats = {"N": n, "N_clust": g, "r2_within": 1 - ssr / m[k, k] if m[k, k] > 0 else float("nan"),
-             "df_absorbed": kk - len(xs)}
-    return Fit("ols", xs, b, v, n, g, kk, stats, [c for c in x if c not in xs])
+
+    def finish(meat: np.ndarray, g: int) -> dict[str, Fit]:
+        kk = len(xs) + prepared.dof
+        inv = np.linalg.inv(xtx)
+        v = _q(n, g, kk, cluster is not None) * inv @ meat @ inv
+        ssr = m[k, k] - 2 * b @ xty + b @ xtx @ b
+        stats = {"N": n, "N_clust": g, "r2_within": 1 - ssr / m[k, k] if m[k, k] > 0 else float("nan"),
+                 "df_absorbed": kk - len(xs)}
+        return {"ols": Fit("ols", xs, b, v, n, g, kk, stats, [c for c in x if c not in xs])}
+
+    return [[F.col(c) * resid for c in xs]], finish
 
 
 def iv_2sls(df: DataFrame, y: str, endog: Sequence[str], instruments: Sequence[str],
             exog: Sequence[str] = (), absorb: Sequence[str] = (), cluster: str | None = None,
-            singletons: bool = True, _prepared=None) -> dict[str, Fit]:
+            singletons: bool = True) -> dict[str, Fit]:
     """E4 + E6 + E7 + E8: 2SLS of ``y`` on ``endog`` (instrumented) and ``exog``.
 
     Returns ``{"iv": Fit, "first:<endog>": Fit, ...}``. The IV fit's ``stats`` carry the
@@ -340,9 +500,18 @@ def iv_2sls(df: DataFrame, y: str, endog: Sequence[str], instruments: Sequence[s
     computed from one cross-product pass and one cluster pass.
     """
     endog, exog, instruments = list(endog), list(exog), list(instruments)
+    prepared = _prepare(df, [*endog, *exog, *instruments, y], [absorb], cluster, singletons)[0]
+    blocks, finish = _iv_solve(prepared, y, endog, instruments, exog, cluster)
+    return finish(*cluster_meats(prepared.dm, "_cluster" if cluster else None, blocks))
+
+
+def _iv_solve(prepared: _Prepared, y: str, endog: list[str], instruments: list[str], exog: list[str],
+              cluster: str | None) -> tuple[list[list[Column]], Callable]:
+    """Coefficients from the moments: blocks of scores (2SLS, then every first stage), and what makes
+    the fits of their meats."""
     cols = [*endog, *exog, *instruments, y]
-    sample, dm, moments, dof = _prepared or _prepare(df, cols, absorb, cluster, singletons)
-    m, n, norms = _sub_moments(moments, cols)
+    dof = prepared.dof
+    m, n, norms = _sub_moments(prepared.moments, cols)
     ix = {c: i for i, c in enumerate(cols)}
 
     def left(first, then):
@@ -376,44 +545,48 @@ def iv_2sls(df: DataFrame, y: str, endog: Sequence[str], instruments: Sequence[s
     # One cluster pass: scores z*e for 2SLS and z*v for every first stage.
     blocks = [[F.col(z) * resid for z in znames]]
     blocks += [[F.col(z) * v_first[e] for z in znames] for e in endog]
-    meat_z, *meats_first, g = cluster_meats(dm, cluster, blocks)
-    nl = len(znames)
-    kk_abs = dof
-    clustered = cluster is not None
-    v = _q(n, g, len(xnames) + kk_abs, clustered) * bread @ (a @ meat_z @ a.T) @ bread
-    stats = {"N": n, "N_clust": g, "df_absorbed": kk_abs}
-    # Two-step GMM with the cluster-robust weight, Hansen's J.
-    w = np.linalg.pinv(meat_z)
-    b_gmm = np.linalg.solve(zx.T @ w @ zx, zx.T @ w @ zy)
-    ze = zy - zx @ b_gmm
-    j = float(ze @ w @ ze)
-    over = len(instruments) - len(endog)
-    stats["hansen_j"] = j if over > 0 else 0.0
-    stats["hansen_j_df"] = over
-    stats["hansen_j_p"] = chi2_upper_p(j, over) if over > 0 else float("nan")
-    # Second stage on fitted values, from moments (X_hat = Z pi).
-    xhx = pi.T @ zz @ pi
-    xhy = pi.T @ zy
-    b2 = np.linalg.solve(xhx, xhy)
-    ssr2 = m[yi, yi] - 2 * b2 @ xhy + b2 @ xhx @ b2
-    stats["r2_fitted_second_stage"] = 1 - ssr2 / m[yi, yi] if m[yi, yi] > 0 else float("nan")
-    fits = {"iv": Fit("iv", xnames, b, v, n, g, len(xnames) + kk_abs, stats,
-                      [c for c in gone if c not in instruments])}
-    # First stages (endog on instruments + exog) with F on the excluded instruments.
-    kf = nl + kk_abs
-    for j_e, e in enumerate(endog):
-        meat_f = meats_first[j_e]
-        vf = _q(n, g, kf, clustered) * zz_inv @ meat_f @ zz_inv
-        bz = pi[: len(instruments), j_e]
-        vzz = vf[: len(instruments), : len(instruments)]
-        f_stat = float(bz @ np.linalg.solve(vzz, bz)) / len(instruments)
-        df2 = (g - 1) if clustered else (n - kf)
-        st = {"N": n, "N_clust": g, "F": f_stat, "F_df1": len(instruments), "F_df2": df2,
-              "F_p": f_upper_p(f_stat, len(instruments), df2)}
-        fits["iv"].stats[f"first_F_{e}"] = f_stat
-        fits["iv"].stats[f"first_F_p_{e}"] = st["F_p"]
-        fits[f"first:{e}"] = Fit("first", znames, pi[:, j_e], vf, n, g, kf, st)
-    return fits
+
+    def finish(meat_z: np.ndarray, *rest) -> dict[str, Fit]:
+        *meats_first, g = rest
+        nl = len(znames)
+        kk_abs = dof
+        clustered = cluster is not None
+        v = _q(n, g, len(xnames) + kk_abs, clustered) * bread @ (a @ meat_z @ a.T) @ bread
+        stats = {"N": n, "N_clust": g, "df_absorbed": kk_abs}
+        # Two-step GMM with the cluster-robust weight, Hansen's J.
+        w = np.linalg.pinv(meat_z)
+        b_gmm = np.linalg.solve(zx.T @ w @ zx, zx.T @ w @ zy)
+        ze = zy - zx @ b_gmm
+        j = float(ze @ w @ ze)
+        over = len(instruments) - len(endog)
+        stats["hansen_j"] = j if over > 0 else 0.0
+        stats["hansen_j_df"] = over
+        stats["hansen_j_p"] = chi2_upper_p(j, over) if over > 0 else float("nan")
+        # Second stage on fitted values, from moments (X_hat = Z pi).
+        xhx = pi.T @ zz @ pi
+        xhy = pi.T @ zy
+        b2 = np.linalg.solve(xhx, xhy)
+        ssr2 = m[yi, yi] - 2 * b2 @ xhy + b2 @ xhx @ b2
+        stats["r2_fitted_second_stage"] = 1 - ssr2 / m[yi, yi] if m[yi, yi] > 0 else float("nan")
+        fits = {"iv": Fit("iv", xnames, b, v, n, g, len(xnames) + kk_abs, stats,
+                          [c for c in gone if c not in instruments])}
+        # First stages (endog on instruments + exog) with F on the excluded instruments.
+        kf = nl + kk_abs
+        for j_e, e in enumerate(endog):
+            meat_f = meats_first[j_e]
+            vf = _q(n, g, kf, clustered) * zz_inv @ meat_f @ zz_inv
+            bz = pi[: len(instruments), j_e]
+            vzz = vf[: len(instruments), : len(instruments)]
+            f_stat = float(bz @ np.linalg.solve(vzz, bz)) / len(instruments)
+            df2 = (g - 1) if clustered else (n - kf)
+            st = {"N": n, "N_clust": g, "F": f_stat, "F_df1": len(instruments), "F_df2": df2,
+                  "F_p": f_upper_p(f_stat, len(instruments), df2)}
+            fits["iv"].stats[f"first_F_{e}"] = f_stat
+            fits["iv"].stats[f"first_F_p_{e}"] = st["F_p"]
+            fits[f"first:{e}"] = Fit("first", znames, pi[:, j_e], vf, n, g, kf, st)
+        return fits
+
+    return blocks, finish
 
 
 def fitted(df: DataFrame, fit: Fit, out: str = "fitted") -> DataFrame:
@@ -433,25 +606,29 @@ def spec_grid(df: DataFrame, y: str, endog: Sequence[str], instruments: Sequence
     tables ``(spec, model, term, coef, se, t, p, stars, fe)`` and ``(spec, model, stat, value)``.
     The input is cut from its lineage once and shared by all fits."""
     spark = df.sparkSession
+    endog, instruments, exog = list(endog), list(instruments), list(exog)
     base = cut_lineage(df.select(*dict.fromkeys([y, *endog, *instruments, *exog, cluster,
                                                  *[c for _, a in specs for c in a]])))
+    # One sample per spec, complete on every model variable, demeaned once and shared by the
+    # OLS, 2SLS and first-stage fits; one Gram matrix for all moments, one for all scores.
+    prepared = _prepare(base, [*endog, *exog, *instruments, y], [a for _, a in specs], cluster)
+    solved = []
+    for p in prepared:
+        mine = []
+        if "ols" in models:
+            mine.append(_ols_solve(p, y, [*endog, *exog], cluster))
+        if "iv" in models or "first" in models:
+            mine.append(_iv_solve(p, y, endog, instruments, exog, cluster))
+        solved.append(mine)
+    meats = _spec_meats(prepared[0].dm, "_cluster", [
+        (p.mine, [b for blocks, _ in mine for b in blocks]) for p, mine in zip(prepared, solved)])
     coef_rows, stat_rows = [], []
-    for name, absorb in specs:
+    for (name, absorb), mine, (*all_meats, g) in zip(specs, solved, meats):
         fe = "+".join(absorb) if absorb else "none"
         fits = {}
-        # One sample per spec, complete on every model variable, demeaned once and shared
-        # by the OLS, 2SLS and first-stage fits.
-        prepared = _prepare(base, [*endog, *exog, *instruments, y], absorb, cluster)
-        if "ols" in models:
-            fits["ols"] = ols_fe(base, y, [*endog, *exog], absorb, cluster, _prepared=prepared)
-        if "iv" in models or "first" in models:
-            ivf = iv_2sls(base, y, endog, instruments, exog, absorb, cluster, _prepared=prepared)
-            if "iv" in models:
-                fits["iv"] = ivf["iv"]
-            if "first" in models:
-                for k, f in ivf.items():
-                    if k.startswith("first:"):
-                        fits[k] = f
+        for blocks, finish in mine:
+            got, all_meats = all_meats[:len(blocks)], all_meats[len(blocks):]
+            fits |= {k: f for k, f in finish(*got, g).items() if k.split(":")[0] in models}
         for model, fit in fits.items():
             for r in fit.table():
                 coef_rows.append((name, model, r["term"], r["coef"], r["se"], r["t"], r["p"],

@@ -113,8 +113,9 @@ def regression_ctes(name: str, demeaned: str, dof: str) -> str:
 {name} AS (SELECT n, g, {', '.join(out)}, {f_stat} / 2 AS f_stat, {j} AS hansen_j FROM {name}_c)"""
 
 
-def coefficient_rows(name: str, spec: str, terms: dict[str, str]) -> str:
-    """Tidy (spec, model, term, coef, se, t) rows of ``regression_ctes``' last row."""
+def coefficient_rows(name: str, spec: str, terms: dict[str, str], fe: str = "") -> str:
+    """Tidy (spec, model, term, coef, se, t, n_obs, n_clusters, raw t, fe) rows of
+    ``regression_ctes``' last row."""
     rows = []
     for model, cols in (("ols", ["x", "w"]), ("iv", ["x", "w"]), ("first", ["z1", "z2", "w"])):
         label = f"first:{terms['x']}" if model == "first" else model
@@ -122,5 +123,6 @@ def coefficient_rows(name: str, spec: str, terms: dict[str, str]) -> str:
             b, v = f"b_{model}_{c}", f"v_{model}_{c}"
             rows.append(f"SELECT '{spec}' AS spec, '{label}' AS model, '{terms[c]}' AS term, "
                         f"round({b}, 6) AS coef, round(sqrt({v}), 6) AS se, "
-                        f"round({b} / sqrt({v}), 5) AS t, n AS n_obs, g AS n_clusters FROM {name}")
+                        f"round({b} / sqrt({v}), 5) AS t, n AS n_obs, g AS n_clusters, "
+                        f"{b} / sqrt({v}) AS raw, '{fe}' AS fe FROM {name}")
     return " UNION ALL ".join(rows)

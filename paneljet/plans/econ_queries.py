@@ -131,17 +131,6 @@ def e8_overid(spark, sf):
     return spark.createDataFrame(rows, "stat string, value double")
 
 
-SPECS = [("none", []), ("month", ["month"]), ("month_county", ["month", "county"])]
-
-
-@register("e9_specs")
-def e9_specs(spark, sf):
-    """Three specifications x (OLS, 2SLS, first stage): tidy coefficient table."""
-    coefs, _ = econ.spec_grid(reg_panel(spark, sf), "ln_revenue", ["ln_orders"],
-                              ["z_building", "z_urgent"], ["share_f"], "district", SPECS)
-    return coefs
-
-
 _TERMS = {"y": "ln_revenue", "x": "ln_orders", "w": "share_f", "z1": "z_building", "z2": "z_urgent"}
 
 
@@ -150,22 +139,67 @@ def _demeaned_sql(source: str, over: str) -> str:
     return f"SELECT district, {cols} FROM {source}"
 
 
+def _two_way_sql(source: str, stem: str, levels: int) -> str:
+    """CTEs ending in ``{stem}``: the variables less month and county effects, and the rank of the
+    effects' dummies. Month means are subtracted from variables and county dummies; then every
+    column is made orthogonal to one demeaned dummy after the other (a dummy that earlier ones
+    span has no norm left: it takes no degree of freedom)."""
+    dums = [f"c{k}" for k in range(1, levels + 1)]
+    ranked = f"SELECT *, dense_rank() OVER (ORDER BY county) AS ck FROM {source}"
+    demeaned = [f"{v} - avg({v}) OVER (PARTITION BY month) AS {k}" for k, v in _TERMS.items()]
+    demeaned += [f"(ck = {k})::DOUBLE - avg((ck = {k})::DOUBLE) OVER (PARTITION BY month) AS {c}"
+                 for k, c in enumerate(dums, 1)]
+    ctes = [f"{stem}_0 AS (SELECT district, 0 AS used, {', '.join(demeaned)} FROM ({ranked}))"]
+    for k, c in enumerate(dums, 1):
+        left = [*_TERMS, *dums[k:]]
+        norm = f"sum({c} * {c}) OVER ()"
+        fit = [f"{v} - CASE WHEN {norm} > 1e-9 THEN sum({v} * {c}) OVER () / {norm} ELSE 0 END * {c} AS {v}"
+               for v in left]
+        ctes.append(f"{stem}_{k} AS (SELECT district, used + CASE WHEN {norm} > 1e-9 THEN 1 ELSE 0 END AS used, "
+                    f"{', '.join(fit)} FROM {stem}_{k - 1})")
+    return ",\n".join(ctes) + f",\n{stem} AS (SELECT * FROM {stem}_{levels})"
+
+
 _TABLES_SQL = f"""WITH {REG_SQL},
 d0 AS ({_demeaned_sql("reg", "")}), d1 AS ({_demeaned_sql("s", "PARTITION BY month")}),
+{_two_way_sql("s", "d2", 5)},
 {regression_ctes("r0", "d0", "1")},
-{regression_ctes("r1", "d1", "(SELECT lv FROM lv)")}"""
-_TABLE_SPECS = [("none", []), ("month", ["month"])]
+{regression_ctes("r1", "d1", "(SELECT lv FROM lv)")},
+{regression_ctes("r2", "d2", "(SELECT lv + (SELECT max(used) FROM d2) FROM lv)")}"""
+SPECS = [("none", []), ("month", ["month"]), ("month_county", ["month", "county"])]
 
 
 def _tables(spark, sf):
     return econ.spec_grid(reg_panel(spark, sf), "ln_revenue", ["ln_orders"],
-                          ["z_building", "z_urgent"], ["share_f"], "district", _TABLE_SPECS)
+                          ["z_building", "z_urgent"], ["share_f"], "district", SPECS)
+
+
+_COEFFICIENTS_SQL = " UNION ALL ".join(coefficient_rows(f"r{i}", name, _TERMS) for i, (name, _) in enumerate(SPECS))
+
+
+@register("e9_specs", f"""{_TABLES_SQL},
+rows AS ({" UNION ALL ".join(coefficient_rows(f"r{i}", name, _TERMS, "+".join(a) or "none") for i, (name, a) in enumerate(SPECS))}),
+a AS (SELECT *, atan(abs(raw) / sqrt(n_clusters - 1)) AS th, (n_clusters - 1)::INT AS df FROM rows),
+p AS (SELECT *, CASE WHEN df % 2 = 0
+    THEN 1 - sin(th) * list_sum([cos(th) ** (2 * k) * coalesce(list_aggregate(
+           [(2 * j - 1) / (2.0 * j) for j in range(1, k + 1)], 'product'), 1) for k in range(df // 2)])
+    ELSE 1 - 2 / pi() * (th + sin(th) * cos(th) * coalesce(list_sum([cos(th) ** (2 * k) * coalesce(list_aggregate(
+           [2 * j / (2.0 * j + 1) for j in range(1, k + 1)], 'product'), 1) for k in range((df - 1) // 2)]), 0))
+    END AS p0 FROM a)
+SELECT spec, model, term, coef, se, t, round(p0, 6) AS p,
+       CASE WHEN p0 < 0.01 THEN '***' WHEN p0 < 0.05 THEN '**' WHEN p0 < 0.1 THEN '*' ELSE '' END AS stars, fe
+FROM p""")
+def e9_specs(spark, sf):
+    """Three specifications, one with two effects, x (OLS, 2SLS, first stage): tidy
+    coefficient table with p-values and stars."""
+    coefs, _ = _tables(spark, sf)
+    return coefs.select("spec", "model", "term", r6(F.col("coef")).alias("coef"), r6(F.col("se")).alias("se"),
+                        F.round("t", 5).alias("t"), r6(F.col("p")).alias("p"), "stars", "fe")
 
 
-@register("c12_coefficients", _TABLES_SQL + "\n" + coefficient_rows("r0", "none", _TERMS)
-          + "\nUNION ALL " + coefficient_rows("r1", "month", _TERMS))
+@register("c12_coefficients", f"{_TABLES_SQL}\nSELECT * EXCLUDE (raw, fe) FROM ({_COEFFICIENTS_SQL})")
 def c12_coefficients(spark, sf):
-    """Coefficient tables of two specifications x (OLS, 2SLS, first stage)."""
+    """Coefficient tables of three specifications x (OLS, 2SLS, first stage)."""
     coefs, stats = _tables(spark, sf)
     n = stats.where("stat IN ('N', 'N_clust')").groupBy("spec").agg(
         F.max(F.when(F.col("stat") == "N", F.col("value"))).cast("long").alias("n_obs"),
@@ -177,9 +211,10 @@ def c12_coefficients(spark, sf):
 
 @register("e8_overid_stats", _TABLES_SQL + """
 SELECT 'none' AS spec, round(hansen_j, 5) AS hansen_j, 1 AS hansen_j_df, round(f_stat, 4) AS first_f FROM r0
-UNION ALL SELECT 'month', round(hansen_j, 5), 1, round(f_stat, 4) FROM r1""")
+UNION ALL SELECT 'month', round(hansen_j, 5), 1, round(f_stat, 4) FROM r1
+UNION ALL SELECT 'month_county', round(hansen_j, 5), 1, round(f_stat, 4) FROM r2""")
 def e8_overid_stats(spark, sf):
-    """Hansen J with its degrees of freedom and the first-stage F, two specifications."""
+    """Hansen J with its degrees of freedom and the first-stage F, three specifications."""
     _, stats = _tables(spark, sf)
     pick = lambda name: F.max(F.when(F.col("stat") == name, F.col("value")))
     return stats.where("model = 'iv'").groupBy("spec").agg(

@@ -218,3 +218,114 @@ def test_demean_without_effects_has_no_cartesian(spark):
     out = econ.demean(df, ["a", "b"])
     assert "Cartesian" not in out._jdf.queryExecution().toString()
     assert abs(sum(r.a for r in out.collect())) < 1e-9
+
+
+# ---- two-way effects: rank of the dummies, accelerated demeaning --------------------------
+
+def dummy_matrix(*columns):
+    return np.concatenate([dummies(list(c))[0] for c in columns], axis=1)
+
+
+def test_components_equal_union_find(spark):
+    from paneljet.operators.graph import connected_components
+
+    rng = np.random.default_rng(3)
+    edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (190, 2))] + [(i, i + 1) for i in range(1000, 1200)]
+    edges += [(2000, 2000), (2001, 2000), (2001, 2000), (5, None)] + [(3000, 3001 + i) for i in range(50)]
+    parent = {}
+
+    def find(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for a, b in edges:
+        if b is not None:
+            a, b = find(a), find(b)
+            parent[max(a, b)] = min(a, b)
+    df = spark.createDataFrame(edges, "a long, b long")
+    got = {r.node: r.component for r in connected_components(df).collect()}
+    assert got == {x: find(x) for x in parent}
+    assert connected_components(df.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_absorbed_dof_is_the_rank_of_the_dummies(spark, seed):
+    rng = np.random.default_rng(seed)
+    rows = []
+    for block in range(int(rng.integers(1, 4))):         # blocks of effects that never meet
+        rows += [(f"a{block}_{rng.integers(0, 4)}", 100 * block + int(rng.integers(0, 5)), f"g{rng.integers(0, 9)}")
+                 for _ in range(int(rng.integers(3, 12)))]
+    df = spark.createDataFrame(rows, "a string, b int, g string")
+    a, b, _ = zip(*rows)
+    assert econ.absorbed_dof(df, ["a", "b"], None) == np.linalg.matrix_rank(dummy_matrix(a, b))
+
+
+def test_blocks_that_never_meet_lose_one_level_each(spark):
+    rows = [(f"a{k}{i}", 10 * k + j, f"c{(i + j) % 3}") for k in range(2) for i in range(2) for j in range(2)] * 2
+    df = spark.createDataFrame(rows, "a string, b int, g string")
+    assert econ.absorbed_dof(df, ["a", "b"], None) == 6 and econ.absorbed_dof(df, ["a", "b"], "g") == 6
+
+
+def chain(n, rng):
+    """A weakly connected panel: level i of one effect meets levels i and i + 1 of the other."""
+    rows = [(i, i + d) for i in range(n) for d in (0, 1) for _ in range(int(rng.integers(1, 4)))]
+    return [(a, b, float(rng.normal() + a), float(rng.normal() * 5 + 1e3), f"c{rng.integers(0, 6)}") for a, b in rows]
+
+
+def test_weakly_connected_panel_converges_quickly(spark):
+    rng = np.random.default_rng(8)
+    rows = chain(25, rng)
+    df = spark.createDataFrame(rows, "a int, b int, y double, x double, g string")
+    a, b, y, x, _ = zip(*rows)
+    d = dummy_matrix(a, b)
+    out, steps = econ.absorb_effects(df, ["y", "x"], ["a", "b"])
+    want = {}
+    for name, v in (("y", np.array(y)), ("x", np.array(x))):
+        want[name] = v - d @ np.linalg.lstsq(d, v, rcond=None)[0]
+        got = np.sort([r[0] for r in out.select(name).collect()])
+        assert np.allclose(got, np.sort(want[name]), atol=1e-6)
+    # the sweeps that plain alternating projections need for the same bound
+    r, sweeps = np.array(y) - np.mean(y), 0
+    while True:
+        for col in (a, b):
+            m = dummies(list(col))[0]
+            r = r - m @ ((m.T @ r) / m.sum(axis=0))
+        sweeps += 1
+        m = dummies(list(a))[0]
+        if np.abs((m.T @ r) / m.sum(axis=0)).max() < 1e-8 * np.std(y):
+            break
+    assert steps <= sweeps / 10
+    fit = econ.ols_fe(df, "y", ["x"], ["a", "b"], "g", singletons=False)
+    assert fit.coef[0] == pytest.approx(want["x"] @ want["y"] / (want["x"] @ want["x"]), rel=1e-6)
+    assert fit.k == 1 + np.linalg.matrix_rank(d)
+
+
+def test_balanced_panel_takes_one_step_and_three_effects_agree(spark):
+    rng = np.random.default_rng(4)
+    rows = [(f"u{i}", j, (i * j) % 3, float(rng.normal()), 0) for i in range(6) for j in range(5) for _ in range(2)]
+    df = spark.createDataFrame(rows, "a string, b int, c int, y double, l0 int")
+    assert econ.absorb_effects(df, ["y"], ["a", "b"])[1] == 1
+    d = dummy_matrix(*list(zip(*rows))[:3])
+    y = np.array([r[3] for r in rows])
+    got = econ.demean(df, ["y"], ["a", "b", "c"])
+    assert got.columns == ["a", "b", "c", "l0", "y"]
+    want = y - d @ np.linalg.lstsq(d, y, rcond=None)[0]
+    assert np.allclose(np.sort([r.y for r in got.collect()]), np.sort(want), atol=1e-7)
+
+
+def test_spec_grid_equals_single_fits_and_jobs_do_not_grow_with_models(spark):
+    rows = make_panel(seed=11, g=12, t=6, n_inst=2)
+    df = to_df(spark, rows, 2)
+    specs = [("none", []), ("month", ["month"]), ("two", ["month", "cl"])]
+    coefs, stats = econ.spec_grid(df, "y", ["x"], ["z0", "z1"], ["w"], "cl", specs)
+    got = {(r.spec, r.model, r.term): (r.coef, r.se) for r in coefs.collect()}
+    n = {(r.spec, r.model, r.stat): r.value for r in stats.collect()}
+    for name, absorb in specs:
+        ols = econ.ols_fe(df, "y", ["x", "w"], absorb, "cl")
+        iv = econ.iv_2sls(df, "y", ["x"], ["z0", "z1"], ["w"], absorb, "cl")
+        for model, fit in (("ols", ols), ("iv", iv["iv"]), ("first:x", iv["first:x"])):
+            for r in fit.table():
+                assert got[name, model, r["term"]] == pytest.approx((r["coef"], r["se"]), rel=1e-9)
+            for k, v in fit.stats.items():
+                assert n[name, model, k] == pytest.approx(v, rel=1e-9)
