@@ -33,7 +33,8 @@ _LOADED: dict[str, object] = {}
 def _encoder(path: str):
     """Tokeniser of ``path``: ids as numpy. The JSON file's ids come from the rank file of the
     same vocabulary beside it, which encodes about four times as fast; texts that spell out the special
-    token go to the JSON tokeniser itself."""
+    token, or whose runs of white space are too long for the rank file's pattern matcher (it
+    gives up with an error), go to the JSON tokeniser itself."""
     if path not in _LOADED:
         import os
 
@@ -52,9 +53,12 @@ def _encoder(path: str):
                                      mergeable_ranks=ranks, special_tokens={})
 
         def encode(text: str) -> np.ndarray:
-            if fast is None or SPECIAL in text:
-                return np.array(full.encode(text, add_special_tokens=False).ids, dtype="<u4")
-            return fast.encode_to_numpy(text, disallowed_special=())
+            if fast is not None and SPECIAL not in text:
+                try:
+                    return fast.encode_to_numpy(text, disallowed_special=())
+                except ValueError:      # the pattern matcher's backtracking limit
+                    pass
+            return np.array(full.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
         _LOADED[path] = encode
     return _LOADED[path]

@@ -157,6 +157,7 @@ def blocks_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                  (F.col("block") + F.col("k")).alias("num")).alias("place"), "t.d1", "t.d2")
     first = each.groupBy(F.col("d1").alias("f1"), F.col("d2").alias("f2")).agg(
         F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    first = cut_lineage(first)          # a join of two shuffles, so that a hot text is split
     later = (each.join(first, (F.col("d1") == F.col("f1")) & (F.col("d2") == F.col("f2")))
              .where(F.col("place") != F.col("first"))
              .select((F.col("place.num") - F.col("place.num") % most).alias("block"),
