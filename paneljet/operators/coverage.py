@@ -163,8 +163,7 @@ def contracted_ends(pieces: DataFrame, on_edge: DataFrame, max_d: float) -> Data
                                       (F.col("L") - F.col("pos")).alias("d0"))))
     cedges = chains.select(CITY, F.col("chain_id").alias("edge_id"), F.col("start").alias("u"),
                            F.col("end").alias("v"), F.col("L").alias("len_m"))
-    dist = network.network_distance(cedges, sources, [CITY], [MONTH], max_d, d0="d0",
-                                    checkpoint_every=2)
+    dist = network.network_distance(cedges, sources, [CITY], [MONTH], max_d, d0="d0")
     ds = dist.select(CITY, MONTH, F.col("node").alias("start"), F.col("d").alias("_ds"))
     de = dist.select(CITY, MONTH, F.col("node").alias("end"), F.col("d").alias("_de"))
     cend = (chains.join(ds, [CITY, "start"]).select(CITY, MONTH, "chain_id", "L", "_ds",
@@ -247,7 +246,7 @@ def coverage_panel(roads: DataFrame, towns: DataFrame, stations: DataFrame,
                    .unionByName(ends.select(CITY, MONTH, F.col("v").alias("node"),
                                             (F.col("len_m") - F.col("offset")).alias("d0"))))
         dist = network.network_distance(uniq, sources, [CITY], [MONTH], max_d,
-                                        d0="d0", checkpoint_every=2)
+                                        d0="d0")
         cov = network.covered_length(uniq, dist, [CITY], [MONTH], thresholds, on_edge=stations_on)
     keys = (stations if emit_empty else pts).select(CITY, MONTH).distinct()
     names = towns.groupBy(CITY, "TOWNID").agg(F.min("TOWNNAME").alias("TOWNNAME"))

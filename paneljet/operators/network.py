@@ -3,9 +3,10 @@
 The reference computes one city x month at a time in memory (service areas, then a
 geometry dissolve). Here every (city, month) is a key of the same distributed job:
 
-* N5 ``network_distance``: bounded multi-source shortest distances by frontier relaxation
-  (join frontier with the adjacency, ``min`` per (key, node), keep improvements). Lineage is
-  cut with reliable checkpoints; rounds are bounded and the loop fails if not converged.
+* N5 ``network_distance``: bounded multi-source shortest distances by delta-stepping (the
+  nearest pending nodes are joined with the adjacency, ``min`` per (key, node); improvements
+  go to an append-only log whose minimum is taken once). Lineage is cut with reliable
+  checkpoints; rounds are bounded and the loop fails if not converged.
 * N6/N7: the covered part of an edge for threshold D is the union of intervals reached from
   its two ends (and from stations lying on it); no geometry union is needed.
 * N8/N9: lengths by town, threshold pivot, bands and reach percentages.
@@ -15,13 +16,15 @@ Node ids may be any orderable type (an integer, or a struct of exact coordinates
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions.clean import safe_ratio
-from .util import cut_lineage, cut_lineage_counted
+from .util import cut_lineage, cut_lineage_partitioned
 
 THRESHOLDS = (500, 1000, 1500)
 GRID_SLICES = 16        # slices in which a graph's towns meet its search keys
@@ -121,7 +124,7 @@ def _any_shared_signature(sources, graph_keys, search_keys, node, d0) -> bool:
 def network_distance(edges: DataFrame, sources: DataFrame, graph_keys: Sequence[str],
                      search_keys: Sequence[str], max_cost: float, u: str = "u", v: str = "v",
                      length: str = "len_m", node: str = "node", d0: str | None = None,
-                     max_rounds: int = 10_000, checkpoint_every: int = 1,
+                     max_rounds: int = 10_000, delta: float | None = None,
                      share_identical: bool = True) -> DataFrame:
     """Least network distance ``d`` from any source of the same search key to every node
     reachable within ``max_cost``: ``(graph_keys, search_keys, node, d)``.
@@ -131,9 +134,13 @@ def network_distance(edges: DataFrame, sources: DataFrame, graph_keys: Sequence[
     ``sources`` has ``(graph_keys, search_keys, node[, d0])``; ``d0`` is an initial offset
     (a station snapped mid-edge enters at both ends with its offsets).
 
-    Each round joins only the nodes improved in the previous round (the frontier) with the
-    adjacency, so total work is bounded by the improvements, and stops when none are left.
-    With ``share_identical`` search keys whose source sets are equal share one search
+    Delta-stepping: a round expands the pending nodes within ``delta`` (default: the longest
+    edge) of the nearest one, joined with the adjacency, which stays where it is; the others
+    wait. What a round improves is appended to a log, whose minimum per node is taken once at
+    the end; no round reads all distances. To tell improvements from detours a round needs
+    only the log entries at most one longest edge nearer than its nearest node: a node v
+    expanded at d(v) has offered d(v) + len to each neighbour u, so d(u) <= d(v) + len.
+    Log tables that lie below are left out altogether. With ``share_identical`` search keys whose source sets are equal share one search
     (``share_identical_sources``) and the distances are copied to each of them.
     """
     keys = [*graph_keys, *search_keys]
@@ -145,7 +152,7 @@ def network_distance(edges: DataFrame, sources: DataFrame, graph_keys: Sequence[
         key_map = cut_lineage(key_map)
         dist = network_distance(edges, rep_sources.drop("_zero_d0") if not d0 else rep_sources,
                                 graph_keys, search_keys, max_cost, u, v, length, node, d0,
-                                max_rounds, checkpoint_every, share_identical=False)
+                                max_rounds, delta, share_identical=False)
         reps = [f"rep_{k}" for k in search_keys]
         renamed = dist.select(*graph_keys, *[F.col(k).alias(r) for k, r in zip(search_keys, reps)],
                               node, "d")
@@ -153,35 +160,50 @@ def network_distance(edges: DataFrame, sources: DataFrame, graph_keys: Sequence[
     # Materialised once: every round joins the frontier with it, and recomputing it from
     # its source (e.g. an aggregate over a fact table) each round would rescan that source.
     # Its columns have names of their own: the graph keys may be the very columns of the sources.
-    adj = adjacency(edges, graph_keys, u, v, length).select(
+    # Edges over max_cost lead nowhere.
+    longest = Observation(f"adjacency_{uuid.uuid4().hex}")
+    adj = (adjacency(edges, graph_keys, u, v, length).where(F.col("len") <= max_cost).select(
         *[F.col(k).alias(f"_g_{k}") for k in graph_keys], "src", "dst", "len")
+        .observe(longest, F.max("len").alias("len")))
     # Kept hash-partitioned on the join key: the rounds shuffle the frontier, not the graph.
     parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    adj = cut_lineage(adj.repartition(parts, *[f"_g_{k}" for k in graph_keys], "src"))
+    adj = cut_lineage_partitioned(adj, parts, *[f"_g_{k}" for k in graph_keys], "src")
+    reach = float(longest.get["len"] or 0.0)
+    delta = reach if delta is None else float(delta)
     start = F.col(d0).cast("double") if d0 else F.lit(0.0)
-    dist = (sources.select(*keys, F.col(node).alias("node"), start.alias("d"))
-            .where(F.col("d") <= max_cost)
-            .groupBy(*keys, "node").agg(F.min("d").alias("d")))
-    dist = cut_lineage(dist)
-    frontier = dist
-    for rnd in range(1, max_rounds + 1):
+    found = (sources.select(*keys, F.col(node).alias("node"), start.alias("d"))
+             .where(F.col("d") <= max_cost)
+             .groupBy(*keys, "node").agg(F.min("d").alias("d"), F.lit(True).alias("new")))
+    log: list[tuple[float, DataFrame]] = []          # improvements of a round, and the greatest of them
+    for _ in range(max_rounds + 1):
+        seen = Observation(f"round_{uuid.uuid4().hex}")
+        pending = cut_lineage(found.observe(seen, F.min("d").alias("low"), F.max(F.when(F.col("new"), F.col("d"))).alias("high")))
+        low, high = seen.get["low"], seen.get["high"]
+        if high is not None:
+            log.append((high, pending.where("new").drop("new")))
+        if low is None:                              # nothing is pending
+            if not log:
+                return pending.drop("new").withColumnRenamed("node", node)
+            return (reduce(DataFrame.unionByName, [t for _, t in log])
+                    .groupBy(*keys, F.col("node").alias(node)).agg(F.min("d").alias("d")))
+        near = F.col("d") <= low + delta
         cond = [F.col(k) == F.col(f"_g_{k}") for k in graph_keys] + [F.col("node") == F.col("src")]
-        cand = (frontier.join(adj, cond)
+        cand = (pending.where(near).join(adj, cond)
                 .select(*keys, F.col("dst").alias("node"), (F.col("d") + F.col("len")).alias("d"))
                 .where(F.col("d") <= max_cost)
                 .groupBy(*keys, "node").agg(F.min("d").alias("d")))
-        old = dist.select(*keys, "node", F.col("d").alias("d_old"))
-        improved = (cand.join(old, [*keys, "node"], "left")
+        # a tolerance far under any length keeps rounding of sums from hiding an entry
+        floor = low - reach * (1 + 1e-9) - 1e-9
+        band = reduce(DataFrame.unionByName, [t.where(F.col("d") >= floor) for top, t in log if top >= floor])
+        known = band.groupBy(*keys, "node").agg(F.min("d").alias("d_old"))
+        improved = (cand.join(known, [*keys, "node"], "left")
                     .where(F.col("d_old").isNull() | (F.col("d") < F.col("d_old")))
-                    .select(*keys, "node", "d"))
-        improved, n_improved = cut_lineage_counted(improved)
-        if n_improved == 0:
-            return dist.withColumnRenamed("node", node)
-        merged = (dist.join(improved.withColumnRenamed("d", "d_new"), [*keys, "node"], "full")
-                  .select(*keys, "node", F.least(F.coalesce("d", "d_new"),
-                                                 F.coalesce("d_new", "d")).alias("d")))
-        dist = cut_lineage(merged) if rnd % checkpoint_every == 0 else merged
-        frontier = improved
+                    .select(*keys, "node", "d", F.lit(True).alias("new")))
+        waiting = pending.where(~near).withColumn("new", F.lit(False))
+        # one entry a node: the nearer one, which is the new one where there is a new one
+        best = F.min(F.struct("d", (~F.col("new")).alias("old")))
+        found = (waiting.unionByName(improved).groupBy(*keys, "node").agg(best.alias("b"))
+                 .select(*keys, "node", "b.d", (~F.col("b.old")).alias("new")))
     raise RuntimeError(f"network_distance did not converge in {max_rounds} rounds")
 
 

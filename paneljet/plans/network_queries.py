@@ -78,8 +78,7 @@ def station_sets(spark, sf) -> DataFrame:
 
 def _distances(spark, sf):
     edges = cut_lineage(supplier_graph(spark, sf))
-    return edges, network.network_distance(edges, station_sets(spark, sf), [], ["yr"], 1500.0,
-                                           checkpoint_every=2)
+    return edges, network.network_distance(edges, station_sets(spark, sf), [], ["yr"], 1500.0)
 
 
 @register("n4_edges", "WITH " + GRAPH_SQL.split("src AS")[0].rstrip().rstrip(",")
@@ -145,7 +144,7 @@ def coverage(spark, sf, keys: DataFrame | None = None) -> DataFrame:
     sources = station_sets(spark, sf)
     if keys is not None:
         sources = sources.join(keys, ["yr"], "left_semi")
-    dist = network.network_distance(edges, sources, [], ["yr"], 1500.0, checkpoint_every=2)
+    dist = network.network_distance(edges, sources, [], ["yr"], 1500.0)
     cov = network.covered_length(edges, dist, [], ["yr"])
     by_town = network.length_by_region(edges, cov, [], ["yr"], sources.select("yr").distinct(),
                                        town="town")
@@ -158,7 +157,7 @@ def coverage(spark, sf, keys: DataFrame | None = None) -> DataFrame:
 def _by_town(spark, sf) -> DataFrame:
     edges = cut_lineage(supplier_graph(spark, sf))
     sources = station_sets(spark, sf)
-    dist = network.network_distance(edges, sources, [], ["yr"], 1500.0, checkpoint_every=2)
+    dist = network.network_distance(edges, sources, [], ["yr"], 1500.0)
     cov = network.covered_length(edges, dist, [], ["yr"])
     return network.length_by_region(edges, cov, [], ["yr"], sources.select("yr").distinct(),
                                     town="town")

@@ -2,6 +2,8 @@ import heapq
 import math
 import random
 
+import numpy as np
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -232,3 +234,44 @@ def test_random_concave_polygons_points_and_clipping(spark):
             frac = sum(_inside(x0 + (x1 - x0) * (j + 0.5) / steps, y0 + (y1 - y0) * (j + 0.5) / steps, ring)
                        for j in range(steps)) / steps
             assert clip.get((i, k), 0.0) == pytest.approx(frac * L, abs=L * 2 / steps + 1e-9), (i, k)
+
+
+# ---- N5: delta-stepping over a log of improvements ---------------------------------------
+
+@pytest.mark.parametrize("delta", [None, 25.0])
+def test_delta_stepping_equals_dijkstra(spark, delta):
+    """Lengths of very different size, detours over many short edges, two graphs, two searches."""
+    import heapq
+
+    rng = np.random.default_rng(7)
+    edges = [(g, int(a), int(b), float(rng.choice([1, 2, 5, 40, 90])) + float(rng.random()))
+             for g in (0, 1) for a, b in rng.integers(0, 40, (90, 2))]
+    edges += [(0, 100 + i, 101 + i, 1.0) for i in range(8)] + [(0, 100, 108, 55.0), (0, 3, 104, 2.0)]
+    sources = [(g, s, int(n), float(d)) for g in (0, 1) for s in (0, 1) for n, d in
+               zip(rng.integers(0, 40, 3), rng.random(3) * 30)] + [(0, 0, 100, 0.0), (0, 1, 999, 5.0), (1, 1, 2, 300.0)]
+    best = {}
+    for g, s in {(g, s) for g, s, _, _ in sources}:
+        heap = [(d, n) for a, b, n, d in sources if (a, b) == (g, s) and d <= 120]
+        heapq.heapify(heap)
+        while heap:
+            d, n = heapq.heappop(heap)
+            if (g, s, n) in best:
+                continue
+            best[g, s, n] = d
+            for e, a, b, w in edges:
+                if e == g and n in (a, b) and d + w <= 120:
+                    heapq.heappush(heap, (d + w, b if n == a else a))
+    got = network.network_distance(
+        spark.createDataFrame(edges, "g int, u long, v long, len_m double"),
+        spark.createDataFrame(sources, "g int, s int, node long, d0 double"), ["g"], ["s"], 120.0,
+        d0="d0", delta=delta)
+    assert got.columns == ["g", "s", "node", "d"]
+    got = {(r.g, r.s, r.node): r.d for r in got.collect()}
+    assert got.keys() == best.keys() and all(abs(got[k] - best[k]) < 1e-9 for k in best)
+
+
+def test_no_sources_give_no_distances(spark):
+    edges = spark.createDataFrame([(0, 1, 2, 1.0)], "g int, u long, v long, len_m double")
+    none = spark.createDataFrame([], "g int, s int, node long")
+    out = network.network_distance(edges, none, ["g"], ["s"], 5.0)
+    assert out.columns == ["g", "s", "node", "d"] and out.count() == 0
