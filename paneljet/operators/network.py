@@ -188,22 +188,24 @@ def network_distance(edges: DataFrame, sources: DataFrame, graph_keys: Sequence[
                     .groupBy(*keys, F.col("node").alias(node)).agg(F.min("d").alias("d")))
         near = F.col("d") <= low + delta
         cond = [F.col(k) == F.col(f"_g_{k}") for k in graph_keys] + [F.col("node") == F.col("src")]
-        cand = (pending.where(near).join(adj, cond)
-                .select(*keys, F.col("dst").alias("node"), (F.col("d") + F.col("len")).alias("d"))
-                .where(F.col("d") <= max_cost)
-                .groupBy(*keys, "node").agg(F.min("d").alias("d")))
+        nothing = F.lit(None).cast("double")
+        offers = (pending.where(near).join(adj, cond)
+                  .select(*keys, F.col("dst").alias("node"), (F.col("d") + F.col("len")).alias("offer"),
+                          nothing.alias("known"), nothing.alias("wait"))
+                  .where(F.col("offer") <= max_cost))
         # a tolerance far under any length keeps rounding of sums from hiding an entry
         floor = low - reach * (1 + 1e-9) - 1e-9
         band = reduce(DataFrame.unionByName, [t.where(F.col("d") >= floor) for top, t in log if top >= floor])
-        known = band.groupBy(*keys, "node").agg(F.min("d").alias("d_old"))
-        improved = (cand.join(known, [*keys, "node"], "left")
-                    .where(F.col("d_old").isNull() | (F.col("d") < F.col("d_old")))
-                    .select(*keys, "node", "d", F.lit(True).alias("new")))
-        waiting = pending.where(~near).withColumn("new", F.lit(False))
-        # one entry a node: the nearer one, which is the new one where there is a new one
-        best = F.min(F.struct("d", (~F.col("new")).alias("old")))
-        found = (waiting.unionByName(improved).groupBy(*keys, "node").agg(best.alias("b"))
-                 .select(*keys, "node", "b.d", (~F.col("b.old")).alias("new")))
+        band = band.select(*keys, "node", nothing.alias("offer"), F.col("d").alias("known"), nothing.alias("wait"))
+        waiting = pending.where(~near).select(*keys, "node", nothing.alias("offer"), nothing.alias("known"),
+                                              F.col("d").alias("wait"))
+        # one shuffle: a node's best offer against what is known of it and what waits there
+        better = F.col("known").isNull() | (F.col("offer") < F.col("known"))
+        found = (offers.unionByName(band).unionByName(waiting).groupBy(*keys, "node")
+                 .agg(*[F.min(c).alias(c) for c in ("offer", "known", "wait")])
+                 .withColumn("new", F.coalesce(F.col("offer").isNotNull() & better, F.lit(False)))
+                 .select(*keys, "node", F.when(F.col("new"), F.col("offer")).otherwise(F.col("wait")).alias("d"), "new")
+                 .where(F.col("d").isNotNull()))
     raise RuntimeError(f"network_distance did not converge in {max_rounds} rounds")
 
 
