@@ -1,7 +1,7 @@
 """Join operators J1-J12.
 
 Catalyst chooses the physical join. Explicit broadcast hints are only put on calendars, whose
-size is checked (``broadcast_calendar``). Validations are opt-in actions; everything else is lazy.
+size is checked (``every_period``). Validations are opt-in actions; everything else is lazy.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.clean import add_periods
 from .agg import assert_unique
 from .reshape import densify
-from .util import ValidationError, broadcast_calendar
+from .util import ValidationError, every_period
 
 
 def left_join(left: DataFrame, right: DataFrame, keys: Sequence[str], validate: str | None = None,
@@ -56,8 +56,8 @@ def outer_join(left: DataFrame, right: DataFrame, keys: Sequence[str], prefer: s
 
 
 def grid(ids: DataFrame, periods: DataFrame) -> DataFrame:
-    """Every id with every period; the calendar side is broadcast after a size check."""
-    return ids.crossJoin(broadcast_calendar(periods))
+    """Every id with every period; a calendar is broadcast, more periods are dealt over slices."""
+    return every_period(ids, periods)
 
 
 def calendar_lag(df: DataFrame, keys: Sequence[str], date: str, cols: Sequence[str],

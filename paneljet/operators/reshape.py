@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clean import period_step
-from .util import broadcast_calendar
+from .util import every_period
 
 
 def melt(df: DataFrame, ids: Sequence[str], cols: Sequence[str], var: str = "variable",
@@ -98,10 +98,10 @@ def densify(df: DataFrame, keys: Sequence[str], period: str, periods: DataFrame,
             fill_cols: Sequence[str], fill=0) -> DataFrame:
     """Every key group gets every period of ``periods``; gaps filled with ``fill``.
 
-    ``periods`` is a calendar (its size is checked), broadcast into the cross product with
-    the distinct keys; the data joins the grid on (keys, period).
+    ``periods`` meets the distinct keys in ``every_period`` (broadcast if it is a calendar, dealt
+    over slices if it is larger); the data joins the grid on (keys, period).
     """
-    grid = df.select(*keys).distinct().crossJoin(broadcast_calendar(periods.select(period)))
+    grid = every_period(df.select(*keys).distinct(), periods.select(period))
     out = grid.join(df, [*keys, period], "left")
     return out.withColumns({c: F.coalesce(F.col(c), F.lit(fill)) for c in fill_cols})
 

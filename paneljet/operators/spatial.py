@@ -74,6 +74,25 @@ def cells_of_box(minx: Column, miny: Column, maxx: Column, maxy: Column, cell: f
         F.sequence(cy0, cy1), lambda cy: F.struct(cx.alias("cx"), cy.alias("cy")))))
 
 
+def cells_along(x0: Column, y0: Column, x1: Column, y1: Column, reach: float, cell: float) -> Column:
+    """All grid cells that hold a point within ``reach`` of a segment, few others: for every column
+    of cells, those beside the part of the segment within ``reach`` of the column (array of
+    struct(cx, cy)). Their number is linear in the segment's length, whatever its direction."""
+    far = reach * (1 + 1e-9) + 1e-6             # over the rounding of the part's ends
+    lo, hi = F.least(x0, x1), F.greatest(x0, x1)
+    slope = F.try_divide(y1 - y0, x1 - x0)
+
+    def column(cx: Column) -> Column:
+        y = [F.coalesce(y0 + slope * (F.greatest(lo, F.least(hi, edge)) - x0), other) for edge, other in
+             ((cx * cell - far, y0), (cx * cell + (cell + far), y1))]
+        ys = F.sequence(F.floor((F.least(*y) - far) / cell).cast("long"),
+                        F.floor((F.greatest(*y) + far) / cell).cast("long"))
+        return F.transform(ys, lambda cy: F.struct(cx.alias("cx"), cy.alias("cy")))
+
+    return F.flatten(F.transform(F.sequence(F.floor((lo - far) / cell).cast("long"),
+                                            F.floor((hi + far) / cell).cast("long")), column))
+
+
 def ring_bbox(ring: Column) -> tuple[Column, Column, Column, Column]:
     xs = F.transform(ring, lambda p: p["x"])
     ys = F.transform(ring, lambda p: p["y"])
@@ -223,14 +242,13 @@ def snap_points(points: DataFrame, segments: DataFrame, max_m: float = 200.0,
     """Nearest segment ``(x0, y0, x1, y1)`` within ``max_m`` of each point, with the
     projection parameter ``t`` (0..1), the offset along the segment and the distance.
 
-    Segments are registered in every cell of their bounding box grown by ``max_m``, points in
-    their own cell; ``min_by`` over (distance, segment key) picks the nearest, ties to the
+    Segments are registered in the cells along them that hold a point within ``max_m``
+    (``cells_along``), points in their own cell; ``min_by`` over (distance, segment key) picks the nearest, ties to the
     smaller key. Points with no segment in range are absent.
     """
     cell = cell or max(max_m, 1.0)
-    segs = segments.withColumn("_cell", F.explode(cells_of_box(
-        F.least("x0", "x1") - max_m, F.least("y0", "y1") - max_m,
-        F.greatest("x0", "x1") + max_m, F.greatest("y0", "y1") + max_m, cell)))
+    segs = segments.withColumn("_cell", F.explode(cells_along(
+        *[F.col(c).cast("double") for c in ("x0", "y0", "x1", "y1")], max_m, cell)))
     pts = points.select(*dict.fromkeys([*match, *point_keys]), F.col(x).alias("_px"),
                         F.col(y).alias("_py")).withColumn(
         "_cell", cell_of(F.col("_px"), F.col("_py"), cell))

@@ -60,5 +60,25 @@ def broadcast_calendar(df: DataFrame, max_rows: int = MAX_CALENDAR_ROWS) -> Data
     return F.broadcast(out)
 
 
+def every_period(ids: DataFrame, periods: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """Every row of ``ids`` with every row of ``periods``, whatever their number.
+
+    Up to ``max_rows`` (default MAX_CALENDAR_ROWS) periods are a calendar and broadcast. More of them are dealt
+    over slices, as the ids are, each side copied into the other's slices: an equi-join on
+    the pair of slices, spread over tasks, that no task holds a side of.
+    """
+    max_rows = MAX_CALENDAR_ROWS if max_rows is None else max_rows
+    cal, n = cut_lineage_counted(periods)
+    if n <= max_rows:
+        return ids.crossJoin(F.broadcast(cal))
+    few = -(-n // max(1, min(max_rows, 10_000)))
+    many = int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    deal = lambda df, m: F.pmod(F.xxhash64(*df.columns), F.lit(m)).cast("int")
+    copies = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
+    left = ids.withColumn("_deal_i", deal(ids, many)).withColumn("_deal_p", copies(few))
+    right = cal.withColumn("_deal_p", deal(cal, few)).withColumn("_deal_i", copies(many))
+    return left.join(right, ["_deal_i", "_deal_p"]).select(*ids.columns, *periods.columns)
+
+
 class ValidationError(ValueError):
     """Raised by the opt-in validation actions."""

@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.clean import round_half_even
-from .util import broadcast_calendar, cut_lineage
+from . import util
+from .util import cut_lineage, cut_lineage_counted, every_period
 
 Order = str | Column
 
@@ -48,38 +49,54 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[Order], col:
 
 
 def positions(df: DataFrame, order: str, name: str = "pos") -> DataFrame:
-    """1-based dense position of each distinct ``order`` value (a calendar-sized table)."""
-    d = df.select(order).where(F.col(order).isNotNull()).distinct()
-    return d.withColumn(name, F.dense_rank().over(Window.orderBy(order)).cast("int"))
+    """1-based dense position of each distinct ``order`` value."""
+    return _positions(df, order, name)[0]
+
+
+def _positions(df: DataFrame, order: str, name: str) -> tuple[DataFrame, int]:
+    """``positions`` and their number. A calendar-sized table is ranked as it is; a larger one is
+    ranked inside ranges of the values, shifted by the sizes of the earlier ranges."""
+    d, n = cut_lineage_counted(df.select(order).where(F.col(order).isNotNull()).distinct())
+    if n <= util.MAX_CALENDAR_ROWS:
+        return d.withColumn(name, F.dense_rank().over(Window.orderBy(order)).cast("int")), n
+    # materialised once: ranks and offsets must see the same ranges
+    ranged = cut_lineage(d.repartitionByRange(order).withColumn("_pid", F.spark_partition_id()))
+    inner = F.row_number().over(Window.partitionBy("_pid").orderBy(order))
+    sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_pid", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_off"))
+    return (ranged.withColumn("_r", inner).join(F.broadcast(sizes), "_pid")    # a row a partition
+            .select(order, (F.col("_off") + F.col("_r")).cast("int").alias(name))), n
 
 
 def expanding_ratio(df: DataFrame, keys: Sequence[str], order: str, num: str, den: str,
                     digits: int = 4, out: str = "ratio") -> DataFrame:
     """Ratio of cumulative sums for each prefix of the observed periods.
 
-    Periods are the distinct ``order`` values of the whole input, numbered 1..n (``pos``).
-    For key k and prefix x the ratio is ``sum(num) / sum(den)`` over k's rows with position
-    <= x, NULL while k has no row yet or while the denominator sum is 0, rounded half-even.
+    Periods are the distinct ``order`` values of the whole input, numbered 1..n (``pos``). Every
+    key of the input has a row for every position x: ``sum(num) / sum(den)`` over its rows with
+    position <= x, NULL before its first row or while the denominator sum is 0, rounded half-even.
 
     Plan: sums per (key, period) (partial aggregate), cumulative sums over each key's own
     rows (window bounded by #periods), then each row covers the positions up to the next
-    row of its key by ``explode(sequence)`` - no key x period grid is shuffled.
+    row of its key by ``explode(sequence)``, a key's first row also those before it - no
+    key x period grid is shuffled. Positions are broadcast only while they are a calendar.
     """
     per = df.groupBy(*keys, order).agg(F.sum(num).alias("_n"), F.sum(den).alias("_d"))
-    pos = broadcast_calendar(positions(per, order, "pos"))
-    n_pos = pos.agg(F.max("pos").alias("_maxpos"))
+    pos, n = _positions(per, order, "pos")
+    if n <= util.MAX_CALENDAR_ROWS:
+        pos = F.broadcast(pos)
     w = Window.partitionBy(*keys).orderBy("pos")
     wc = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cum = (per.join(pos, order)
            .withColumn("_cn", F.sum(F.coalesce("_n", F.lit(0))).over(wc))
            .withColumn("_cd", F.sum(F.coalesce("_d", F.lit(0))).over(wc))
-           .withColumn("_next", F.lead("pos").over(w))
-           .crossJoin(F.broadcast(n_pos)))
+           .withColumn("_prev", F.lag("pos").over(w)).withColumn("_next", F.lead("pos").over(w)))
     ratio = round_half_even(F.try_divide(F.col("_cn"), F.col("_cd")), digits)
-    expanded = cum.select(*keys, F.explode(F.sequence(
-        F.col("pos"), F.coalesce(F.col("_next") - 1, F.col("_maxpos")))).alias("pos"),
-        ratio.alias(out))
-    return expanded.join(pos, "pos").select(*keys, order, "pos", out)
+    first = F.when(F.col("_prev").isNull(), F.lit(1)).otherwise(F.col("pos"))
+    expanded = cum.select(*keys, F.col("pos").alias("_from"), ratio.alias(out), F.explode(F.sequence(
+        first, F.coalesce(F.col("_next") - 1, F.lit(n)))).alias("pos"))
+    value = F.when(F.col("pos") >= F.col("_from"), F.col(out)).alias(out)
+    return expanded.join(pos, "pos").select(*keys, order, "pos", value)
 
 
 def scale_baseline(ratios: DataFrame, baseline: DataFrame, keys: Sequence[str],
@@ -93,7 +110,7 @@ def scale_baseline(ratios: DataFrame, baseline: DataFrame, keys: Sequence[str],
     """
     when = [c for c in ratios.columns if c not in keys and c != ratio]
     periods = (calendar if calendar is not None else ratios).select(*when).distinct()
-    grid = baseline.select(*keys, base).crossJoin(broadcast_calendar(periods))
+    grid = every_period(baseline.select(*keys, base), periods)
     j = grid.join(ratios, [*keys, *when], "left")
     return j.withColumn(out, round_half_even(F.col(ratio) * F.col(base), 0))
 

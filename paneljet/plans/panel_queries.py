@@ -505,6 +505,26 @@ def w5_expanding_ratio(spark, sf):
                                             "baseline", "stock")
 
 
+@register("w5_ratio_rows", f"""
+WITH {FACTS_SQL},
+per AS (SELECT district, series, month, count(*) FILTER (WHERE status = 'F') AS n, count(*) AS d
+        FROM facts GROUP BY district, series, month),
+pos AS (SELECT month, CAST(dense_rank() OVER (ORDER BY month) AS INTEGER) AS pos
+        FROM (SELECT DISTINCT month FROM per)),
+cum AS (SELECT k.district, k.series, p.month, p.pos, sum(n) OVER w AS cn, sum(d) OVER w AS cd
+        FROM (SELECT DISTINCT district, series FROM per) k CROSS JOIN pos p
+        LEFT JOIN per ON per.district = k.district AND per.series = k.series AND per.month = p.month
+        WINDOW w AS (PARTITION BY k.district, k.series ORDER BY p.pos))
+SELECT district, series, month, pos, round_even(CAST(cn AS DOUBLE) / cd, 4) AS ratio FROM cum""")
+def w5_ratio_rows(spark, sf):
+    """Cumulative share of finished orders for every district, priority and month, NULL
+    before a pair's first order."""
+    p = order_rows(spark, sf).groupBy("district", "series", "month").agg(
+        nsum().alias("d"), nsum(F.col("status") == "F").alias("n"))
+    return windows.expanding_ratio(p, ["district", "series"], "month", "n", "d").select(
+        "district", "series", "month", "pos", "ratio")
+
+
 # --------------------------------------------------------------------------------------
 # Open intervals counted per month start
 # --------------------------------------------------------------------------------------

@@ -275,3 +275,30 @@ def test_no_sources_give_no_distances(spark):
     none = spark.createDataFrame([], "g int, s int, node long")
     out = network.network_distance(edges, none, ["g"], ["s"], 5.0)
     assert out.columns == ["g", "s", "node", "d"] and out.count() == 0
+
+
+def test_snap_cells_are_linear_in_length_and_miss_no_point(spark):
+    rng = np.random.default_rng(5)
+    segs = [(i, *map(float, rng.uniform(-3000, 3000, 4))) for i in range(40)]
+    segs += [(50, 0.0, 0.0, 0.0, 900.0), (51, -500.0, 20.0, 700.0, 20.0), (52, 5.0, 5.0, 5.0, 5.0), (53, 0.0, 0.0, 20000.0, 20000.0)]
+    pts = [(i, *map(float, rng.uniform(-3000, 3000, 2))) for i in range(300)]
+
+    def distance(p, s):
+        dx, dy = s[3] - s[1], s[4] - s[2]
+        t = ((p[1] - s[1]) * dx + (p[2] - s[2]) * dy) / (dx * dx + dy * dy) if dx or dy else 0.0
+        t = min(1.0, max(0.0, t))
+        return math.hypot(p[1] - s[1] - t * dx, p[2] - s[2] - t * dy)
+    want = {}
+    for p in pts:
+        d, s = min((distance(p, s), s[0]) for s in segs)
+        if d <= 150.0:
+            want[p[0]] = (s, d)
+    sdf = spark.createDataFrame(segs, "seg_id int, x0 double, y0 double, x1 double, y1 double")
+    pdf = spark.createDataFrame(pts, "point_id int, x double, y double")
+    for cell in (None, 400.0, 60.0):
+        got = {r.point_id: (r.seg_id, r.dist) for r in spatial.snap_points(pdf, sdf, 150.0, cell=cell).collect()}
+        assert got.keys() == want.keys()
+        assert all(got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) < 1e-9 for k in want)
+    n = sdf.where("seg_id = 53").select(F.size(spatial.cells_along(
+        *[F.col(c) for c in ("x0", "y0", "x1", "y1")], 200.0, 200.0)).alias("n")).first().n
+    assert n < 8 * math.hypot(20000, 20000) / 200

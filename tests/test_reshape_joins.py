@@ -295,3 +295,43 @@ def test_done_keys_text_and_errors(spark):
         fh.write("not parquet")
     with pytest.raises(Exception):
         io.done_keys(spark, out, ["city"]).collect()
+
+
+def test_expanding_ratio_has_rows_before_a_key_starts(spark):
+    df = spark.createDataFrame([("a", 1, 1, 2), ("a", 3, 1, 2), ("b", 3, 0, 0), ("b", 5, 3, 4), ("c", 5, 1, 1)],
+                               "k string, m int, num long, den long")
+    got = rows(windows.expanding_ratio(df, ["k"], "m", "num", "den"), "k", "m", "pos", "ratio")
+    assert got == sorted([("a", 1, 1, 0.5), ("a", 3, 2, 0.5), ("a", 5, 3, 0.5), ("b", 1, 1, None), ("b", 3, 2, None),
+                          ("b", 5, 3, 0.75), ("c", 1, 1, None), ("c", 3, 2, None), ("c", 5, 3, 1.0)], key=repr)
+
+
+def test_more_periods_than_a_calendar_equal_the_small_path(spark, monkeypatch):
+    """J4, R5, W5, W6 give the same rows when the periods are too many to broadcast."""
+    from pyspark.sql import functions as F
+
+    from paneljet.operators import joins, reshape, util
+
+    df = spark.range(300).select((F.col("id") % 7).alias("k"), (F.col("id") * 37 % 101).alias("m"),
+                                 (F.col("id") % 3).alias("num"), (F.col("id") % 5).alias("den"))
+    base = spark.createDataFrame([(i, 10 * i) for i in range(9)], "k long, baseline long")
+
+    def results():
+        ratio = windows.expanding_ratio(df, ["k"], "m", "num", "den")
+        return [rows(x) for x in (
+            joins.grid(base.select("k"), df.select("m").distinct()), windows.positions(df, "m"), ratio,
+            windows.scale_baseline(ratio, base, ["k"], "ratio", "baseline"),
+            reshape.densify(df.groupBy("k", "m").agg(F.sum("num").alias("num")), ["k"], "m",
+                            df.select("m").distinct(), ["num"]))]
+    small = results()
+    monkeypatch.setattr(util, "MAX_CALENDAR_ROWS", 20)
+    assert results() == small
+
+
+def test_a_million_periods(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.range(1_000_000).select((F.col("id") * 60).alias("t"), (F.col("id") % 2).alias("num"), F.lit(1).alias("den"),
+                                       F.lit("k").alias("k"))
+    out = windows.expanding_ratio(df, ["k"], "t", "num", "den", digits=2)
+    row = out.agg(F.count("ratio").alias("n"), F.max("pos").alias("top"), F.max_by("ratio", "pos").alias("last")).first()
+    assert (row.n, row.top, row["last"]) == (1_000_000, 1_000_000, 0.5)
