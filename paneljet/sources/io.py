@@ -6,6 +6,7 @@ key is spread over several files instead of one task.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
@@ -143,6 +144,71 @@ def pending_keys(grid: DataFrame, done: DataFrame | None, keys: Sequence[str],
     return g.select(*keys).distinct().join(typed, list(keys), "left_anti")
 
 
+def input_fingerprints(df: DataFrame, keys: Sequence[str], out: str = "fingerprint") -> DataFrame:
+    """``(keys, fingerprint)`` of the input rows of every key: their number and the sum of their
+    hashes, whatever their order (one partial aggregate)."""
+    h = F.sum(F.xxhash64(*sorted(df.columns)).cast("decimal(38,0)"))
+    return df.groupBy(*keys).agg(F.concat_ws(":", F.count(F.lit(1)).cast("string"), h.cast("string")).alias(out))
+
+
+def _parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
+    """The table at ``path``, or ``None`` when there is none yet; other errors are raised."""
+    try:
+        return (spark.read.schema(schema) if schema else spark.read).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def committed_keys(spark: SparkSession, commits: str, keys: Sequence[str]) -> DataFrame | None:
+    """The last commit ``(keys, fingerprint, batch)`` of every finished key, or ``None`` when
+    nothing was committed yet."""
+    log = _parquet(spark, commits)
+    if log is None:
+        return None
+    last = F.max_by(F.struct("fingerprint", "batch"), F.struct("committed_at", "batch"))
+    return log.groupBy(*keys).agg(last.alias("_c")).select(*keys, "_c.fingerprint", "_c.batch")
+
+
+def uncommitted_keys(grid: DataFrame, done: DataFrame | None, keys: Sequence[str]) -> DataFrame:
+    """The keys of ``grid`` (``keys`` and ``fingerprint``, NULL for a key without input) that were
+    never committed or whose input has changed since. A key committed as empty is finished."""
+    wanted = grid.select(*keys, "fingerprint").distinct()
+    if done is None:
+        return wanted
+    return wanted.join(done, [wanted[c].eqNullSafe(done[c]) for c in (*keys, "fingerprint")], "left_anti")
+
+
+def write_committed(df: DataFrame, pending: DataFrame, path: str, commits: str, by: Sequence[str],
+                    sort_keys: Sequence[str] = ()) -> None:
+    """S5 + S6: write the rows of the ``pending`` keys (``by`` and ``fingerprint``), then commit every
+    one of them, also those without a row.
+
+    Each call writes a batch of its own beside earlier ones and names it in the commit, which
+    follows the data: what a crash in between leaves behind is never read, and its keys are
+    still pending. A key whose rows have gone is empty in its new batch.
+    """
+    batch = uuid.uuid4().hex
+    rows = df.withColumn("batch", F.lit(batch))
+    (rows.repartitionByRange(*by, *sort_keys).sortWithinPartitions(*by, *sort_keys)
+     .write.mode("append").partitionBy(*by, "batch").parquet(path))
+    (pending.select(*by, "fingerprint").distinct()
+     .select("*", F.lit(batch).alias("batch"), F.current_timestamp().alias("committed_at"))
+     .write.mode("append").parquet(commits))
+
+
+def read_committed(spark: SparkSession, path: str, commits: str, by: Sequence[str], schema: T.StructType
+                   ) -> DataFrame:
+    """The rows of ``schema`` that belong to the last commit of their key."""
+    done = committed_keys(spark, commits, by)
+    rows = _parquet(spark, path, T.StructType([*schema.fields, T.StructField("batch", T.StringType())]))
+    if done is None or rows is None:
+        return spark.createDataFrame([], schema)
+    last = [rows[c].eqNullSafe(done[c]) for c in (*by, "batch")]
+    return rows.join(done, last, "left_semi").select(*schema.names)
+
+
 def build_base_layers(roads: Sequence[DataFrame], towns: Sequence[DataFrame],
                       class_col: str = "ROADCLASS1", drop_classes: Sequence[str] = ("HW",)) -> tuple[DataFrame, DataFrame]:
     """Union per-city roads and towns; drop highway classes; one boundary set per city.

@@ -335,3 +335,48 @@ def test_a_million_periods(spark):
     out = windows.expanding_ratio(df, ["k"], "t", "num", "den", digits=2)
     row = out.agg(F.count("ratio").alias("n"), F.max("pos").alias("top"), F.max_by("ratio", "pos").alias("last")).first()
     assert (row.n, row.top, row["last"]) == (1_000_000, 1_000_000, 0.5)
+
+
+def test_commit_table_resumes(spark, tmp_path):
+    """An empty key is finished, changed input is pending again, and what a crash between data
+    and commit leaves behind is neither read nor taken for finished."""
+    from pyspark.sql import functions as F
+
+    from paneljet.sources import io
+
+    path, log = str(tmp_path / "out"), str(tmp_path / "log")
+    by = ["city", "month"]
+
+    def inputs(values):
+        return spark.createDataFrame([("A", 1, v) for v in values] + [("B", 1, 7)], "city string, month int, v long")
+
+    def pending(df):
+        keys = spark.createDataFrame([("A", 1), ("B", 1), ("C", 1)], "city string, month int")
+        grid = keys.join(io.input_fingerprints(df, by), by, "left")
+        return io.uncommitted_keys(grid, io.committed_keys(spark, log, by), by)
+
+    def compute(df, todo):
+        return df.join(todo.select(*by), by, "left_semi").groupBy(*by).agg(F.sum("v").alias("total"))
+
+    schema = compute(inputs([1]), pending(inputs([1]))).schema
+    read = lambda: rows(io.read_committed(spark, path, log, by, schema), *by, "total")
+    assert read() == []
+    df = inputs([1, 2])
+    todo = pending(df)
+    assert rows(todo, *by) == [("A", 1), ("B", 1), ("C", 1)]
+    # a crash after the data, before the commit
+    compute(df, todo).withColumn("batch", F.lit("dead")).write.mode("append").partitionBy(*by, "batch").parquet(path)
+    assert read() == [] and pending(df).count() == 3
+    io.write_committed(compute(df, todo), todo, path, log, by)
+    assert read() == [("A", 1, 3), ("B", 1, 7)]
+    assert pending(df).count() == 0                        # C is finished though it has no row
+    assert pending(df.repartition(7)).count() == 0         # whatever the order of the rows
+    df = inputs([1, 2, 9])
+    todo = pending(df)
+    assert rows(todo, *by) == [("A", 1)]
+    io.write_committed(compute(df, todo), todo, path, log, by)
+    assert read() == [("A", 1, 12), ("B", 1, 7)]
+    df = inputs([])
+    todo = pending(df)                                     # A has lost its input: empty from now on
+    io.write_committed(compute(df, todo), todo, path, log, by)
+    assert read() == [("B", 1, 7)] and pending(df).count() == 0
