@@ -380,3 +380,26 @@ def test_commit_table_resumes(spark, tmp_path):
     todo = pending(df)                                     # A has lost its input: empty from now on
     io.write_committed(compute(df, todo), todo, path, log, by)
     assert read() == [("B", 1, 7)] and pending(df).count() == 0
+
+
+def test_quartiles_are_exact_whatever_the_distribution(spark):
+    import math
+
+    import numpy as np
+
+    from paneljet.operators import agg
+
+    rng = np.random.default_rng(2)
+    n = 40_000
+    cols = {"heavy": rng.lognormal(0, 4, n), "ties": rng.integers(0, 3, n).astype(float), "one": np.full(n, 7.0),
+            "normal": rng.normal(1e9, 1e-3, n), "few": np.where(np.arange(n) < 6, rng.normal(size=n), np.nan)}
+    data = [tuple(None if k == "few" and math.isnan(v) else float(v) for k, v in zip(cols, r)) for r in zip(*cols.values())]
+    df = spark.createDataFrame(data, ", ".join(f"{k} double" for k in cols) + "")
+    got = {r.variable: r for r in agg.describe(df, list(cols)).collect()}
+    for k, v in cols.items():
+        x = np.sort(v[~np.isnan(v)])
+        for name, p in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75)):
+            r = len(x) * p
+            want = (x[int(r) - 1] + x[int(r)]) / 2 if r == int(r) else x[math.ceil(r) - 1]
+            assert got[k][name] == want, (k, name)
+        assert got[k]["count"] == len(x)
