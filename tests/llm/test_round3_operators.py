@@ -234,3 +234,23 @@ def test_runs_do_not_depend_on_slices():
             got += [(n, runs[a:b].tolist(), t) for n, a, b, t in zip(counts.tolist(), splits, splits[1:], text.to_pylist())]
         seen.append(got)
     assert seen[0] == seen[1] == seen[2]
+
+
+# ---- packing: texts that the rank file's matcher gives up on ------------------------------
+
+def test_packing_of_very_long_white_space(spark):
+    import zlib
+
+    from tokenizers import Tokenizer
+
+    from paneljet.llm import packing
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    full = Tokenizer.from_file(path)
+    texts = [" " * 1_200_000, "\n" * 1_200_000, "word" + " \t\n" * 500_000 + "end", "plain text"]
+    out = packing.pack(documents(spark, list(enumerate(texts))), path).collect()
+    for i, t in enumerate(texts):
+        ids = np.array(full.encode(t, add_special_tokens=False).ids + [0], dtype="<u4")
+        pieces = sorted((r.piece, r.start, r.length, r.crc) for r in out if r.id == i)
+        assert sum(p[2] for p in pieces) == len(ids)
+        assert all(zlib.crc32(ids[a:a + n].tobytes()) == c for _, a, n, c in pieces)
