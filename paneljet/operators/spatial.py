@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 # --------------------------------------------------------------------------------------
 # EPSG:4326 -> EPSG:3826 (TWD97 / TM2 zone 121)
@@ -66,14 +67,6 @@ def cell_of(x: Column, y: Column, cell: float) -> Column:
                     F.floor(y / cell).cast("long").alias("cy"))
 
 
-def cells_of_box(minx: Column, miny: Column, maxx: Column, maxy: Column, cell: float) -> Column:
-    """All grid cells touched by a bounding box (array of struct(cx, cy))."""
-    cx0, cy0 = F.floor(minx / cell).cast("long"), F.floor(miny / cell).cast("long")
-    cx1, cy1 = F.floor(maxx / cell).cast("long"), F.floor(maxy / cell).cast("long")
-    return F.flatten(F.transform(F.sequence(cx0, cx1), lambda cx: F.transform(
-        F.sequence(cy0, cy1), lambda cy: F.struct(cx.alias("cx"), cy.alias("cy")))))
-
-
 def cells_along(x0: Column, y0: Column, x1: Column, y1: Column, reach: float, cell: float) -> Column:
     """All grid cells that hold a point within ``reach`` of a segment, few others: for every column
     of cells, those beside the part of the segment within ``reach`` of the column (array of
@@ -93,12 +86,6 @@ def cells_along(x0: Column, y0: Column, x1: Column, y1: Column, reach: float, ce
                                             F.floor((hi + far) / cell).cast("long")), column))
 
 
-def ring_bbox(ring: Column) -> tuple[Column, Column, Column, Column]:
-    xs = F.transform(ring, lambda p: p["x"])
-    ys = F.transform(ring, lambda p: p["y"])
-    return F.array_min(xs), F.array_min(ys), F.array_max(xs), F.array_max(ys)
-
-
 # --------------------------------------------------------------------------------------
 # Point in polygon (crossing number, half-open rule)
 # --------------------------------------------------------------------------------------
@@ -123,37 +110,93 @@ def point_in_ring(px: Column, py: Column, ring: Column) -> Column:
     return (hits % 2) == 1
 
 
+def _columns_in_row(a: Column, b: Column, cy: Column, cell: float) -> tuple[Column, Column]:
+    """First and last cell column of the part of edge a-b in row ``cy`` of cells, rounded outwards."""
+    far = F.lit(cell * 1e-9) + (F.abs(a["x"]) + F.abs(b["x"]) + F.abs(a["y"]) + F.abs(b["y"])) * 1e-12
+    slope = F.try_divide(b["x"] - a["x"], b["y"] - a["y"])
+    lo, hi = F.least(a["y"], b["y"]), F.greatest(a["y"], b["y"])
+
+    def at(y: Column, flat: Column) -> Column:      # a horizontal edge spans both its ends
+        return F.coalesce(a["x"] + slope * (F.greatest(lo, F.least(hi, y)) - a["y"]), flat)
+
+    x0, x1 = at(cy * cell - far, a["x"]), at((cy + 1) * cell + far, b["x"])
+    return (F.floor((F.least(x0, x1) - far) / cell).cast("long"),
+            F.floor((F.greatest(x0, x1) + far) / cell).cast("long"))
+
+
+def polygon_cells(polygons: DataFrame, keys: list[str], ring: str, cell: float) -> DataFrame:
+    """Index of polygons by grid cell: ``(keys, _cell, _mark, _edges)``, one row per polygon and cell
+    that its boundary meets or that lies inside; other cells have no row.
+
+    ``_edges`` are the edges that meet the cell. All edges further right in the same row of cells
+    are folded into a parity: an end above the row counts for every point of the cell (``_mark``,
+    a running parity along the row), an end below for none, and an end within the row cancels
+    against the next edge of the ring, unless that one meets the cell itself; such ends stay with
+    the local edge (``ta``, ``tb``). ``in_cell`` then gives exactly ``point_in_ring``.
+    """
+    n = F.size(ring)
+
+    def vertex(i: Column) -> Column:
+        return F.get(F.col(ring), F.pmod(i, n))
+
+    def row(v: Column) -> Column:
+        return F.floor(v["y"] / cell).cast("long")
+
+    around = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(
+        vertex(i - 1).alias("p"), vertex(i).alias("a"), vertex(i + 1).alias("b"), vertex(i + 2).alias("q")))
+    edges = polygons.where(n > 0).select(*keys, F.explode(around).alias("_e")).select(*keys, "_e.*")
+    p, a, b, q = (F.col(c) for c in "pabq")
+    edges = edges.withColumn("_cy", F.explode(F.sequence(F.least(row(a), row(b)), F.greatest(row(a), row(b)))))
+    cy = F.col("_cy")
+    first, last = _columns_in_row(a, b, cy, cell)
+    edges = edges.withColumns({
+        "_c0": first, "_c1": last,
+        "_pc": F.when(row(a) == cy, _columns_in_row(p, a, cy, cell)[0]),
+        "_qc": F.when(row(b) == cy, _columns_in_row(b, q, cy, cell)[0])})
+
+    # cells with an odd number of ends above among the edges that begin further right
+    starts = edges.groupBy(*keys, "_cy", "_c0").agg(
+        F.sum(((row(a) > cy) != (row(b) > cy)).cast("int")).alias("_odd"))
+    right = Window.partitionBy(*keys, "_cy").orderBy("_c0")
+    starts = starts.select(*keys, "_cy", "_c0", F.lead("_c0").over(right).alias("_next"), F.sum("_odd").over(
+        right.rowsBetween(1, Window.unboundedFollowing)).alias("_ends")).where("_ends % 2 = 1")
+    marked = starts.select(*keys, "_cy", F.explode(F.sequence(F.col("_c0"), F.col("_next") - 1)).alias("_cx"),
+                           F.lit(1).alias("_mark"))
+    local = edges.withColumn("_cx", F.explode(F.sequence("_c0", "_c1"))).select(
+        *keys, "_cy", "_cx", F.lit(0).alias("_mark"), F.struct(
+            a["x"].alias("ax"), a["y"].alias("ay"), b["x"].alias("bx"), b["y"].alias("by"),
+            F.when(F.col("_pc") > F.col("_cx"), a["y"]).alias("ta"),
+            F.when(F.col("_qc") > F.col("_cx"), b["y"]).alias("tb")).alias("_edge"))
+    return (local.unionByName(marked, allowMissingColumns=True)
+            .groupBy(*keys, F.struct(F.col("_cx").alias("cx"), F.col("_cy").alias("cy")).alias("_cell"))
+            .agg(F.max("_mark").alias("_mark"), F.collect_list("_edge").alias("_edges")))
+
+
+def in_cell(px: Column, py: Column, mark: Column, edges: Column) -> Column:
+    """Whether a point of a cell is inside the polygon, by the cell's row of ``polygon_cells``."""
+
+    def hits(e: Column) -> Column:
+        straddles = (e["ay"] > py) != (e["by"] > py)
+        xcross = F.try_divide((e["bx"] - e["ax"]) * (py - e["ay"]), e["by"] - e["ay"]) + e["ax"]
+        return sum((F.when(c, F.lit(1)).otherwise(F.lit(0)) for c in (
+            straddles & (px < xcross), e["ta"] > py, e["tb"] > py)), F.lit(0))
+
+    return F.aggregate(edges, mark, lambda n, e: n + hits(e)) % 2 == 1
+
+
 def points_in_polygons(points: DataFrame, polygons: DataFrame, cell: float, x: str = "x",
                        y: str = "y", ring: str = "ring", poly_keys=("poly_id",),
                        match: tuple = ()) -> DataFrame:
     """Pairs (point, polygon) with the point inside the polygon.
 
-    Points go to their grid cell, polygons to every cell of their bounding box; the equi-join
-    on the cell gives candidates, the bbox and crossing-number tests decide. A point has one
-    cell, so no pair is produced twice. Cells carry the polygon's keys and box only; its ring
-    joins the candidates by key, so a ring is never copied into the cells it covers.
+    Points go to their grid cell and meet the polygons' cells there (``polygon_cells``); each is
+    tested against the edges in its cell only. A point has one cell, so no pair is produced
+    twice, and no ring is carried past the index.
     """
-    minx, miny, maxx, maxy = ring_bbox(F.col(ring))
     keys = list(dict.fromkeys([*match, *poly_keys]))
-    boxes = polygons.select(*keys, minx.alias("_minx"), miny.alias("_miny"),
-                            maxx.alias("_maxx"), maxy.alias("_maxy"))
-    boxes = boxes.withColumn("_cell", F.explode(cells_of_box(
-        F.col("_minx"), F.col("_miny"), F.col("_maxx"), F.col("_maxy"), cell)))
     pts = points.withColumn("_cell", cell_of(F.col(x), F.col(y), cell))
-    in_box = ((F.col(x) >= F.col("_minx")) & (F.col(x) <= F.col("_maxx"))
-              & (F.col(y) >= F.col("_miny")) & (F.col(y) <= F.col("_maxy")))
-    j = pts.join(boxes, ["_cell", *match]).where(in_box).drop("_cell", "_minx", "_miny", "_maxx", "_maxy")
-    j = _with_ring(j, polygons, keys, ring)
-    return j.where(point_in_ring(F.col(x), F.col(y), F.col("_ring"))).drop("_ring")
-
-
-def _with_ring(pairs: DataFrame, polygons: DataFrame, keys: list[str], ring: str) -> DataFrame:
-    """Candidates with their polygon's ring as ``_ring`` (polygon keys are unique)."""
-    rings = polygons.select(*[F.col(k).alias(f"_r_{k}") for k in keys], F.col(ring).alias("_ring"))
-    same = F.lit(True)
-    for k in keys:
-        same = same & (F.col(k) == F.col(f"_r_{k}"))
-    return pairs.join(rings, same).drop(*[f"_r_{k}" for k in keys])
+    j = pts.join(polygon_cells(polygons, keys, ring, cell), ["_cell", *match])
+    return j.where(in_cell(F.col(x), F.col(y), F.col("_mark"), F.col("_edges"))).drop("_cell", "_mark", "_edges")
 
 
 def clip_points(points: DataFrame, polygons: DataFrame, cell: float, by=("poly_id",), **kw) -> DataFrame:
@@ -170,31 +213,34 @@ def _cross(ax, ay, bx, by):
     return ax * by - ay * bx
 
 
-def clip_segment_to_ring(x0: Column, y0: Column, x1: Column, y1: Column, ring: Column) -> Column:
-    """Parameter intervals ``[a, b]`` (0..1 along the segment) of the pieces inside the ring.
+def clip_segment(x0: Column, y0: Column, x1: Column, y1: Column, cells: Column, cell: float) -> Column:
+    """Parameter intervals ``[a, b]`` (0..1 along the segment) of the pieces inside a polygon, whose
+    rows of ``polygon_cells`` along the segment are ``cells`` (in any order, repeats included).
 
-    Cut parameters are the proper crossings with the ring edges; between consecutive cuts
+    Cut parameters are the proper crossings with the edges; between consecutive cuts
     the midpoint decides inside/outside. Returns ``ARRAY<STRUCT<a, b>>``.
     """
-    n = F.size(ring)
     dx, dy = x1 - x0, y1 - y0
 
-    def cut(i):
-        a = F.get(ring, i)
-        b = F.get(ring, (i + 1) % n)
-        ex, ey = b["x"] - a["x"], b["y"] - a["y"]
+    def cut(e: Column) -> Column:
+        ex, ey = e["bx"] - e["ax"], e["by"] - e["ay"]
         den = _cross(dx, dy, ex, ey)
-        wx, wy = a["x"] - x0, a["y"] - y0
+        wx, wy = e["ax"] - x0, e["ay"] - y0
         t = F.try_divide(_cross(wx, wy, ex, ey), den)
         s = F.try_divide(_cross(wx, wy, dx, dy), den)
         return F.when((den != 0) & (t > 0) & (t < 1) & (s >= 0) & (s <= 1), t)
 
-    cuts = F.filter(F.transform(F.sequence(F.lit(0), n - 1), cut), lambda t: t.isNotNull())
+    def inside(p: Column) -> Column:
+        px, py = x0 + dx * (p["a"] + p["b"]) / 2, y0 + dy * (p["a"] + p["b"]) / 2
+        at = cell_of(px, py, cell)
+        return F.exists(cells, lambda c: (c["_cell"] == at) & in_cell(px, py, c["_mark"], c["_edges"]))
+
+    cuts = F.filter(F.flatten(F.transform(cells, lambda c: F.transform(c["_edges"], cut))),
+                    lambda t: t.isNotNull())
     ts = F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0.0)), cuts, F.array(F.lit(1.0)))))
     pieces = F.transform(F.sequence(F.lit(0), F.size(ts) - 2),
                          lambda k: F.struct(F.get(ts, k).alias("a"), F.get(ts, k + 1).alias("b")))
-    return F.filter(pieces, lambda p: (p["b"] > p["a"]) & point_in_ring(
-        x0 + dx * (p["a"] + p["b"]) / 2, y0 + dy * (p["a"] + p["b"]) / 2, ring))
+    return F.filter(pieces, lambda p: (p["b"] > p["a"]) & inside(p))
 
 
 def clip_lines(segments: DataFrame, polygons: DataFrame, cell: float,
@@ -202,34 +248,27 @@ def clip_lines(segments: DataFrame, polygons: DataFrame, cell: float,
                match: tuple = (), keep: tuple = ()) -> DataFrame:
     """Pieces of segments ``(x0, y0, x1, y1)`` inside polygons, with their length.
 
-    Candidates from a grid-cell join of both bounding boxes; each (segment, polygon) pair is
-    kept only in the cell holding the lower-left corner of the two boxes' intersection, so
-    pairs are not duplicated and no distinct/shuffle is needed.
+    Segments go to the cells along them (linear in their length) and meet the polygons' cells
+    there; a (segment, polygon) pair collects the edges of those cells only, never a ring. Rows
+    that repeat a segment are each clipped.
     """
-    minx, miny, maxx, maxy = ring_bbox(F.col(ring))
-    polys = (polygons.select(*match, *[k for k in poly_keys if k not in match],
-                             minx.alias("_pminx"), miny.alias("_pminy"),
-                             maxx.alias("_pmaxx"), maxy.alias("_pmaxy"))
-             .withColumn("_cell", F.explode(cells_of_box(F.col("_pminx"), F.col("_pminy"),
-                                                         F.col("_pmaxx"), F.col("_pmaxy"), cell))))
-    segs = segments.withColumns({
-        "_sminx": F.least("x0", "x1"), "_sminy": F.least("y0", "y1"),
-        "_smaxx": F.greatest("x0", "x1"), "_smaxy": F.greatest("y0", "y1")})
-    segs = segs.withColumn("_cell", F.explode(cells_of_box(
-        F.col("_sminx"), F.col("_sminy"), F.col("_smaxx"), F.col("_smaxy"), cell)))
-    j = segs.join(polys, ["_cell", *match])
-    ix0 = F.greatest("_sminx", "_pminx")
-    iy0 = F.greatest("_sminy", "_pminy")
-    overlap = ((ix0 <= F.least("_smaxx", "_pmaxx")) & (iy0 <= F.least("_smaxy", "_pmaxy")))
-    ref = (F.col("_cell") == cell_of(ix0, iy0, cell))
-    j = _with_ring(j.where(overlap & ref), polygons, list(dict.fromkeys([*match, *poly_keys])), ring)
+    polys = polygon_cells(polygons, list(dict.fromkeys([*match, *poly_keys])), ring, cell)
+    line = list(dict.fromkeys([*match, *seg_keys, "x0", "y0", "x1", "y1", *keep]))
+    ends = [F.col(c).cast("double") for c in ("x0", "y0", "x1", "y1")]
+    segs = (segments.select(*line, F.posexplode(cells_along(*ends, 0.0, cell)).alias("_at", "_cell")))
+    near = segs.join(polys, ["_cell", *match]).groupBy(
+        *line, *[k for k in poly_keys if k not in line]).agg(
+        F.collect_list(F.struct("_at", "_cell", "_mark", "_edges")).alias("_cells"))
+    # a segment meets each of its cells once: entries of its first one are rows that repeat it
+    first = F.array_min(F.transform("_cells", lambda c: c["_at"]))
+    copies = F.size(F.filter("_cells", lambda c: c["_at"] == first))
     seg_len = F.sqrt((F.col("x1") - F.col("x0")) ** 2 + (F.col("y1") - F.col("y0")) ** 2)
-    pieces = clip_segment_to_ring(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"), F.col("_ring"))
     extra = [c for c in (*match, *keep) if c not in seg_keys and c not in poly_keys]
-    out = j.select(*seg_keys, *poly_keys, *extra, seg_len.alias("seg_len"), pieces.alias("pieces"))
+    out = near.select(*seg_keys, *poly_keys, *extra, seg_len.alias("seg_len"),
+                      clip_segment(*ends, F.col("_cells"), cell).alias("pieces"), copies.alias("_n"))
     inside_len = F.aggregate("pieces", F.lit(0.0), lambda acc, p: acc + (p["b"] - p["a"]))
-    return (out.withColumn("len_inside", inside_len * F.col("seg_len"))
-            .where(F.size("pieces") > 0))
+    return (out.withColumn("len_inside", inside_len * F.col("seg_len")).where(F.size("pieces") > 0)
+            .withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_n")))).drop("_n"))
 
 
 # --------------------------------------------------------------------------------------

@@ -236,6 +236,44 @@ def test_random_concave_polygons_points_and_clipping(spark):
             assert clip.get((i, k), 0.0) == pytest.approx(frac * L, abs=L * 2 / steps + 1e-9), (i, k)
 
 
+def test_cell_index_equals_the_ring_test_on_grid_lines(spark):
+    """Rings and points on cell borders, horizontal and repeated vertices, holes, tiny and large cells."""
+    rnd = random.Random(7)
+    rings = {f"G{k}": [(float(rnd.randint(-6, 6)), float(rnd.randint(-6, 6))) for _ in range(rnd.randint(1, 12))]
+             for k in range(12)}                                   # self-crossing rings on whole numbers
+    rings["box"] = [(-4.0, -4.0), (4.0, -4.0), (4.0, 4.0), (-4.0, 4.0), (-4.0, -4.0)]
+    polys = spark.createDataFrame([*rings.items(), ("none", []), ("null", None)],
+                                  "poly_id string, ring array<struct<x: double, y: double>>")
+    pts = [(i * 100 + j, (i - 14) / 2, (j - 14) / 2) for i in range(29) for j in range(29)]
+    pts += [(10000 + k, rnd.uniform(-7, 7), rnd.uniform(-7, 7)) for k in range(300)]
+    pdf = spark.createDataFrame(pts, "id int, x double, y double")
+    want = {(i, k) for i, x, y in pts for k, ring in rings.items() if _inside(x, y, ring)}
+    for cell in (0.7, 1.0, 2.0, 50.0):
+        got = [(r["id"], r["poly_id"]) for r in spatial.points_in_polygons(pdf, polys, cell).collect()]
+        assert len(got) == len(set(got)) and set(got) == want, cell
+    segs = [(k, *(float(rnd.randint(-7, 7)) for _ in range(4))) for k in range(80)] + [(500, 1.0, 1.0, 2.0, 1.0)] * 2
+    sdf = spark.createDataFrame(segs, "seg_id int, x0 double, y0 double, x1 double, y1 double")
+    sums = [sorted((r["seg_id"], r["poly_id"], tuple(map(tuple, r["pieces"]))) for r in
+                   spatial.clip_lines(sdf, polys, cell).collect()) for cell in (0.7, 2.0, 50.0)]
+    assert sums[0] == sums[1] == sums[2] and len(sums[0]) > 100
+    assert [p for k, p, _ in sums[0] if k == 500].count("box") == 2       # rows that repeat a segment
+
+
+def test_large_ring_is_tested_by_the_edges_of_a_cell(spark):
+    rnd = random.Random(11)
+    n = 5000
+    ring = [((100 + rnd.uniform(0, 6)) * math.cos(2 * math.pi * k / n),
+             (100 + rnd.uniform(0, 6)) * math.sin(2 * math.pi * k / n)) for k in range(n)]
+    poly = spark.createDataFrame([("P", ring)], "poly_id string, ring array<struct<x: double, y: double>>")
+    cells = spatial.polygon_cells(poly, ["poly_id"], "ring", 4.0)
+    sizes = [r["n"] for r in cells.select(F.size("_edges").alias("n")).collect()]
+    assert max(sizes) < 150 and sum(sizes) < 3 * n and sizes.count(0) > len(sizes) / 2
+    pts = [(k, rnd.uniform(-110, 110), rnd.uniform(-110, 110)) for k in range(1000)]
+    hits = spatial.points_in_polygons(spark.createDataFrame(pts, "id int, x double, y double"), poly, 4.0)
+    assert {r["id"] for r in hits.collect()} == {i for i, x, y in pts if _inside(x, y, ring)}
+    assert "ring" not in hits.columns
+
+
 # ---- N5: delta-stepping over a log of improvements ---------------------------------------
 
 @pytest.mark.parametrize("delta", [None, 25.0])
