@@ -153,7 +153,7 @@ def op7_vector_dedup(spark, sf_dir):
 @register
 def op8_warc(spark, sf_dir):
     """All pages through ARC into WARC archives and back: payload digests and revisits."""
-    out = warc.round_trip(table(spark, sf_dir, "pages"))
+    out = warc.round_trip(table(spark, sf_dir, "pages"), payloads=False)
     return out.select(F.expr("try_cast(key AS bigint)").alias("page_id"),
                       F.col("length").alias("payload_bytes"), F.col("digest").alias("payload_digest"),
                       F.col("type").alias("record_type"),

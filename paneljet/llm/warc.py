@@ -6,9 +6,12 @@ each header line and exactly the declared number of bytes, so payloads may hold
 ``to_warc`` synthesises the equivalent WARC record: an identifier derived from the record's key,
 an ISO date from the 14-digit one, the type (``response``, or ``revisit`` of an equal payload)
 and SHA-256 digests. WARC archives are written and read by Spark's own writers and readers, so
-any file system will do; every file is gzip-compressed and holds a bounded number of records.
+any file system will do; every file is gzip-compressed. Files are cut by bytes: records are
+joined to bundles of about BUNDLE_BYTES (a larger record is one of its own) and a file holds
+BUNDLES of them. They are read back as a stream, in batches of bounded bytes.
 
-Defined cases: a null payload is an empty one; a null or blank url becomes ``urn:none``; blanks
+Defined cases: a null payload is an empty one; a row with a null key is written as a response with
+an empty key, read back as null, and takes no part in the choice of revisits; a null or blank url becomes ``urn:none``; blanks
 and controls in urls are percent-encoded, and headers stay one line; a truncated ARC record, a wrong length or
 a digest that does not fit its payload raise an error; rows that repeat a key and its payload
 are each written alike; an empty table writes no record and reads back none; extra columns are
@@ -19,11 +22,14 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+import io
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +46,9 @@ ARC_FIELDS = {
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 NAMESPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:record")
 MIN_REVISIT = 100              # smaller payloads are always written in full
-ARCHIVE_BYTES = 32 << 20       # uncompressed size that a WARC file aims at
+BUNDLE_BYTES = 4 << 20         # uncompressed size of the records written as one row
+BUNDLES = 8                    # rows of a WARC file
+BATCH_BYTES = 4 << 20          # payload bytes of a batch of records read
 CAPTURED = "20200101000000"    # capture date of tables that have none
 
 
@@ -149,26 +157,27 @@ def to_warc(record: ArcRecord, key: str, first_key: str | None = None, bare: boo
 
 
 def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers, block) of every record of a WARC file (plain or gzip)."""
-    if data[:2] == b"\x1f\x8b":
-        data = gzip.decompress(data)
+    """(headers, block) of every record of a WARC file (plain or gzip, any number of members),
+    unpacked record by record."""
+    file = gzip.GzipFile(fileobj=io.BytesIO(data)) if data[:2] == b"\x1f\x8b" else io.BytesIO(data)
     at = 0
-    while at < len(data):
-        end = data.find(b"\r\n\r\n", at)
-        lines = data[at:end].decode().split("\r\n") if end >= 0 else [""]
-        if not lines[0].startswith("WARC/"):
+    while first := file.readline():
+        lines = [first]
+        while lines[-1].endswith(b"\r\n") and lines[-1] != b"\r\n":
+            lines.append(file.readline())
+        if not first.startswith(b"WARC/") or lines[-1] != b"\r\n":
             raise ValueError(f"no WARC record at {at}")
-        headers = dict(x.split(": ", 1) for x in lines[1:])
+        headers = dict(x[:-2].decode().split(": ", 1) for x in lines[1:-1])
         length = int(headers["Content-Length"])
-        block = data[end + 4:end + 4 + length]
-        if len(block) != length or data[end + 4 + length:end + 8 + length] != b"\r\n\r\n":
+        block = file.read(length)
+        if len(block) != length or file.read(4) != b"\r\n\r\n":
             raise ValueError(f"WARC record at {at} does not have its declared length")
         yield headers, block
-        at = end + 8 + length
+        at += sum(map(len, lines)) + length + 4
 
 
 def convert_pages(pages: DataFrame, key_col: str, url_col: str, payload_col: str) -> DataFrame:
-    """(record): one WARC record as text per row, through ARC files built of runs of rows.
+    """(records): bundles of WARC records as text, through ARC files built of runs of rows.
 
     Of rows with equal payloads of at least MIN_REVISIT bytes, the smallest key's is written in
     full and the others refer to it. The choice is made on (key, digest, size) alone: digests
@@ -177,7 +186,7 @@ def convert_pages(pages: DataFrame, key_col: str, url_col: str, payload_col: str
     rows = pages.select(F.col(key_col).alias("key"), F.col(url_col).cast("string").alias("url"),
                         F.coalesce(F.col(payload_col).cast("string"), F.lit("")).alias("payload"))
     rows = rows.withColumn("digest", F.sha2(F.col("payload").cast("binary"), 256))
-    big = rows.where(F.octet_length("payload") >= MIN_REVISIT).select("key", "digest")
+    big = rows.where((F.octet_length("payload") >= MIN_REVISIT) & F.col("key").isNotNull()).select("key", "digest")
     first = (big.groupBy("digest").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("n"))
              .where("n > 1").drop("n"))
     again = cut_lineage(big.join(first, "digest").where(F.col("key") != F.col("first")).distinct())
@@ -185,20 +194,42 @@ def convert_pages(pages: DataFrame, key_col: str, url_col: str, payload_col: str
     linked = rows.join(again, (F.col("key") == F.col("k")) & (F.col("digest") == F.col("d")),
                        "left").select("key", "url", "payload", "first")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[bytes]:
         version = 2
         for batch in batches:
             version = 3 - version
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
+            for lo, hi in _runs(pc.binary_length(batch.column(2)).to_pylist(), 256):
+                part = batch.slice(lo, hi - lo)
                 keys, firsts = part.column(0).to_pylist(), part.column(3).to_pylist()
                 arc = write_arc([(u.as_py(), p.as_py().encode())
                                  for u, p in zip(part.column(1), part.column(2))], version)
-                out = [to_warc(rec, str(k), None if f is None else str(f), bare=True).decode()[:-2]
-                       for rec, k, f in zip(parse_arc(arc), keys, firsts, strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["record"])
+                for rec, k, f in zip(parse_arc(arc), keys, firsts, strict=True):
+                    yield to_warc(rec, "" if k is None else str(k), None if f is None else str(f), bare=True)
 
-    return linked.transform(map_arrow, run, "record string")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bundle, size = [], 0
+        for rec in chain(records(batches), [None]):
+            if bundle and (rec is None or size + len(rec) > BUNDLE_BYTES):
+                out = b"".join(bundle)[:-2]         # the last line end is the writer's
+                bundle, size = [], 0
+                yield pa.RecordBatch.from_arrays([pa.array([out], pa.binary()).cast(pa.string())], names=["records"])
+            if rec is not None:
+                bundle.append(rec)
+                size += len(rec)
+
+    return linked.transform(map_arrow, run, "records string")
+
+
+def _runs(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """Runs of at most ``most`` rows and about BUNDLE_BYTES bytes (one row at least)."""
+    lo = total = 0
+    for i, n in enumerate(sizes):
+        if i > lo and (i - lo == most or total + n > BUNDLE_BYTES):
+            yield lo, i
+            lo, total = i, 0
+        total += n
+    if sizes:
+        yield lo, len(sizes)
 
 
 def convert_arc_files(files: DataFrame, content_col: str = "content", path_col: str = "path"
@@ -216,53 +247,61 @@ def convert_arc_files(files: DataFrame, content_col: str = "content", path_col:
     return files.select(path_col, content_col).transform(map_arrow, run, "record binary")
 
 
-def write_warc(records: DataFrame, path: str, per_file: int) -> None:
-    """Write text records as WARC files: the last line end of a record is the writer's."""
-    (records.write.mode("overwrite").option("lineSep", "\r\n").option("compression", "gzip")
-     .option("maxRecordsPerFile", per_file).text(path))
+def write_warc(bundles: DataFrame, path: str) -> None:
+    """Write bundles of records as WARC files: the last line end of a bundle is the writer's."""
+    (bundles.write.mode("overwrite").option("lineSep", "\r\n").option("compression", "gzip")
+     .option("maxRecordsPerFile", BUNDLES).text(path))
 
 
-def read_warc(spark, path: str) -> DataFrame:
-    """(key, url, type, digest, length, refers_key, payload) of every record under ``path``.
+def read_warc(spark, path: str, payloads: bool = True) -> DataFrame:
+    """(key, url, type, digest, length, refers_key, payload) of every record under ``path``;
+    without ``payloads`` the last column is left out.
 
     Block digests and, for responses, payload digests are checked against the bytes read.
     """
-    names = ["key", "url", "type", "digest", "length", "refers_key", "payload"]
+    schema = {"key": pa.string(), "url": pa.string(), "type": pa.string(), "digest": pa.string(),
+              "length": pa.int64(), "refers_key": pa.string(), "payload": pa.binary()}
+    if not payloads:
+        del schema["payload"]
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(zip(*rows), schema.values())], names=list(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, size = [], 0
         for batch in batches:
             for data in batch.column(0):
-                cols: list[list] = [[] for _ in names]
                 for h, block in parse_warc(data.as_py()):
                     head, payload = http_parts(block)
-                    kind = h["WARC-Type"]
+                    full = h["WARC-Type"] == "response"
                     told = h["WARC-Payload-Digest"].removeprefix("sha256:")
                     if f"sha256:{hashlib.sha256(block).hexdigest()}" != h["WARC-Block-Digest"] or \
-                            kind == "response" and hashlib.sha256(payload).hexdigest() != told:
+                            full and hashlib.sha256(payload).hexdigest() != told:
                         raise ValueError(f"digest of {h['WARC-Record-ID']} does not fit")
-                    full = kind == "response"
-                    row = (h["X-Record-Key"], h["WARC-Target-URI"], kind, told,
+                    row = (h["X-Record-Key"] or None, h["WARC-Target-URI"], h["WARC-Type"], told,
                            len(payload) if full else int(h["X-Payload-Length"]),
-                           h.get("X-Refers-To-Key"), payload if full else None)
-                    for c, x in zip(cols, row):
-                        c.append(x)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(cols, (
-                        pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(),
-                        pa.string(), pa.binary()))], names=names)
-
+                           h.get("X-Refers-To-Key"))
+                    if payloads:
+                        row += (payload if full else None,)
+                        size += len(payload)
+                    rows.append(row)
+                    if size > BATCH_BYTES or len(rows) == 4096:
+                        yield batch_of(rows)
+                        rows, size = [], 0
+        if rows:
+            yield batch_of(rows)
+
+    names = {pa.int64(): "long", pa.binary(): "binary"}
     return (spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path)
-            .select("content").transform(map_arrow,
-                run, "key string, url string, type string, digest string, length long, "
-                     "refers_key string, payload binary"))
+            .select("content").transform(map_arrow, run, ", ".join(
+                f"{c} {names.get(t, 'string')}" for c, t in schema.items())))
 
 
 def round_trip(pages: DataFrame, key_col: str = "page_id", url_col: str = "url",
-               payload_col: str = "html") -> DataFrame:
+               payload_col: str = "html", payloads: bool = True) -> DataFrame:
     """Write ``pages`` as WARC archives in the shared folder and read them back."""
     spark = pages.sparkSession
-    size = pages.agg(F.avg(F.octet_length(payload_col)).alias("s")).first()["s"] or 0
-    per_file = max(1, int(ARCHIVE_BYTES // (size + 1000)))
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
-    write_warc(convert_pages(pages, key_col, url_col, payload_col), path, per_file)
-    return read_warc(spark, path)
+    write_warc(convert_pages(pages, key_col, url_col, payload_col), path)
+    return read_warc(spark, path, payloads)

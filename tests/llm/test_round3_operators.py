@@ -1,5 +1,7 @@
 """Hard negatives, repeated strings and periodic runs against brute force, awkward rows included."""
 
+import collections
+import gzip
 import random
 
 import numpy as np
@@ -254,3 +256,33 @@ def test_packing_of_very_long_white_space(spark):
         pieces = sorted((r.piece, r.start, r.length, r.crc) for r in out if r.id == i)
         assert sum(p[2] for p in pieces) == len(ids)
         assert all(zlib.crc32(ids[a:a + n].tobytes()) == c for _, a, n, c in pieces)
+
+
+def test_warc_files_are_cut_by_bytes_and_null_keys_are_responses(spark, tmp_path, monkeypatch):
+    from paneljet.llm import warc
+
+    monkeypatch.setattr(warc, "BUNDLE_BYTES", 20_000)
+    monkeypatch.setattr(warc, "BATCH_BYTES", 20_000)
+    small, large = "<p>s</p>" * 20, "<p>\u00e9\r\n</p>" * 4000
+    rows = [(i, "http://a", f"{i}" + (large if 40 <= i < 50 else small)) for i in range(200)]
+    rows += [(None, "http://n", rows[3][2]), (None, None, None), (300, "http://b", rows[3][2])]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    bundles = warc.convert_pages(df, "page_id", "url", "html")
+    sizes = [len(r.records.encode()) for r in bundles.collect()]
+    assert sum(n > 20_000 for n in sizes) == 10 and max(sizes) < 48_000      # a large record alone
+    warc.write_warc(bundles, str(tmp_path / "w"))
+    plain = [len(gzip.decompress(p.read_bytes())) for p in (tmp_path / "w").glob("*.gz")]
+    assert len(plain) == -(-len(sizes) // warc.BUNDLES) > 1
+    got = warc.read_warc(spark, str(tmp_path / "w")).collect()
+    assert collections.Counter((r.key, r.type, r.refers_key) for r in got) == collections.Counter(
+        [(str(i), "response", None) for i in range(200)] + [(None, "response", None)] * 2 + [("300", "revisit", "3")])
+    assert {r.key: bytes(r.payload) for r in got if r.key == "45"} == {"45": rows[45][2].encode()}
+    lean = warc.read_warc(spark, str(tmp_path / "w"), payloads=False)
+    assert "payload" not in lean.columns and lean.count() == len(rows)
+    data = warc.to_warc(warc.ArcRecord({"URL": "u", "IP-address": "0", "Archive-date": "2020", "Content-type": "t"},
+                                       b"x"), "k")
+    members = gzip.compress(data) + gzip.compress(data)
+    assert [h["X-Record-Key"] for h, _ in warc.parse_warc(members)] == ["k", "k"]
+    for bad in (data[:-3], data[:-5] + data[-4:], b"WARC/1.0\r\nA: b"):
+        with pytest.raises(ValueError):
+            list(warc.parse_warc(bad))
