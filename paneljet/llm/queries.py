@@ -102,8 +102,12 @@ l AS (SELECT doc_id, max(CASE WHEN toxic = 1 OR quality = 0 THEN 1 ELSE 0 END) A
 h0 AS (SELECT host, count(bad)::DOUBLE AS n, coalesce(sum(bad), 0)::DOUBLE AS k
        FROM (SELECT u.host, l.bad FROM u LEFT JOIN l ON u.n = l.doc_id) GROUP BY host),
 h1 AS (SELECT *, regexp_replace(regexp_extract(host, '[^@]*$', 0), ':[0-9]*$', '') AS name FROM h0),
-h AS (SELECT host, n, k, regexp_extract(name, '([^.]*\.)?[^.]*$', 0) AS domain,
-             regexp_extract(name, '[^.]*$', 0) AS suffix FROM h1),
+h2 AS (SELECT *, regexp_extract(name, '([^.]*\.)?[^.]*$', 0) AS two,
+              regexp_matches(name, '^(\[.*\]|[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+)$') AS ip FROM h1),
+h AS (SELECT host, n, k, CASE WHEN ip THEN name WHEN two IN (@SUFFIXES)
+               THEN regexp_extract(name, '([^.]*\.)?([^.]*\.)?[^.]*$', 0) ELSE two END AS domain,
+             CASE WHEN ip THEN '' WHEN two IN (@SUFFIXES) THEN two
+               ELSE regexp_extract(name, '[^.]*$', 0) END AS suffix FROM h2),
 overall AS (SELECT (sum(k) + 0.5) / (sum(n) + 1.0) AS mu FROM h),
 s AS (SELECT suffix, sum(n) AS n, sum(k) AS k, (SELECT mu FROM overall) AS mu FROM h GROUP BY suffix),
 sw AS (SELECT 1.0 / least(greatest(coalesce(
@@ -138,7 +142,7 @@ SELECT u.page_id, u.host, u.path, fit.rule,
        coalesce(fit.v, CASE WHEN u.host <> '' AND bound.lo > 0.5 THEN 'block' ELSE 'allow' END)
          AS verdict
 FROM u JOIN bound USING (host) LEFT JOIN fit USING (page_id)
-"""
+""".replace("@SUFFIXES", ", ".join(f"'{s}'" for s in urlrep.SUFFIXES))
 
 
 @register

@@ -11,7 +11,11 @@ The counts are partial aggregates (a hot host is combined map-side); three numbe
 the driver; hosts are joined back by an ordinary join, which adaptive execution broadcasts or
 splits by measured size.
 
-Defined cases: a url that is null or has no ``://`` has an empty host and path, fits no rule, and
+The registered domain is found with a short list of two-label public suffixes (SUFFIXES); under a
+suffix outside it, hosts share the prior of the last two labels.
+
+Defined cases: of rules of one length the later in text order wins; urls are read whole, however
+long; a url that is null or has no ``://`` has an empty host and path, fits no rule, and
 is allowed; hosts without labelled pages get their domain's, suffix's or the overall prior; null
 outcomes are unlabelled; with no labels at all the prior is even and weak, so nothing is blocked; repeated rows
 count each; an empty table gives no rows.
@@ -28,6 +32,16 @@ from ..operators.util import cut_lineage
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
+_IP = r"^(\[.*\]|[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+)$"
+# fixed values: common public suffixes of two labels, registries first, then hosting services
+SUFFIXES = tuple((
+    "ac.jp ac.nz ac.uk co.id co.il co.in co.jp co.ke co.kr co.nz co.th co.uk co.za com.ar com.au com.br com.cn "
+    "com.co com.eg com.hk com.mx com.my com.ng com.ph com.pk com.pl com.sa com.sg com.tr com.tw com.ua com.vn "
+    "edu.au edu.cn edu.hk edu.tw go.jp go.kr gov.au gov.br gov.cn gov.in gov.tw gov.uk ltd.uk me.uk ne.jp net.au "
+    "net.br net.cn net.in net.nz net.uk nhs.uk or.jp or.kr org.au org.br org.cn org.hk org.in org.nz org.tw org.uk "
+    "org.za plc.uk sch.uk "
+    "appspot.com azurewebsites.net blogspot.com cloudfront.net github.io gitlab.io herokuapp.com netlify.app "
+    "pages.dev vercel.app web.app wordpress.com").split())
 RHO_RANGE = (0.0005, 0.5)      # prior weights from 1 to 1,999 observations
 
 
@@ -53,13 +67,18 @@ def path_of(url: Column) -> Column:
 
 
 def suffix_of(host: Column) -> Column:
-    """Last label of the host name (without user info and port)."""
-    return F.substring_index(_name(host), ".", -1)
+    """Public suffix of the host name (without user info and port): one of SUFFIXES, else the last
+    label; empty for IP literals."""
+    name, two = _name(host), F.substring_index(_name(host), ".", -2)
+    return (F.when(name.rlike(_IP), F.lit("")).when(two.isin(list(SUFFIXES)), two)
+            .otherwise(F.substring_index(name, ".", -1)))
 
 
 def domain_of(host: Column) -> Column:
-    """Last two labels of the host name."""
-    return F.substring_index(_name(host), ".", -2)
+    """Registered domain: the public suffix and the label before it; an IP literal is its own."""
+    name, two = _name(host), F.substring_index(_name(host), ".", -2)
+    return (F.when(name.rlike(_IP), name).when(two.isin(list(SUFFIXES)), F.substring_index(name, ".", -3))
+            .otherwise(two))
 
 
 def _name(host: Column) -> Column:

@@ -286,3 +286,29 @@ def test_warc_files_are_cut_by_bytes_and_null_keys_are_responses(spark, tmp_path
     for bad in (data[:-3], data[:-5] + data[-4:], b"WARC/1.0\r\nA: b"):
         with pytest.raises(ValueError):
             list(warc.parse_warc(bad))
+
+
+def test_registered_domains_and_strangers_under_one_public_suffix(spark):
+    from paneljet.llm import urlrep
+
+    hosts = {"a.b.example.com": ("example.com", "com"), "x.shop.co.uk": ("shop.co.uk", "co.uk"),
+             "co.uk": ("co.uk", "co.uk"), "u:p@me.github.io:80": ("me.github.io", "github.io"),
+             "10.20.30.40:8080": ("10.20.30.40", ""), "[2001:db8::1]:80": ("[2001:db8::1]", ""),
+             "localhost": ("localhost", "localhost"), "": ("", ""), "notco.uk": ("notco.uk", "uk")}
+    df = spark.createDataFrame([(h,) for h in hosts], "host string")
+    got = df.select("host", urlrep.domain_of(F.col("host")), urlrep.suffix_of(F.col("host"))).collect()
+    assert {r[0]: (r[1], r[2]) for r in got} == hosts
+    # bad pages of one domain tell more of its own new host than of a stranger's under the suffix
+    pages = [(f"http://h{i}.bad.co.uk/{j}", 1) for i in range(3) for j in range(200)]
+    pages += [(f"http://www.good{i}.co.uk/{j}", 0) for i in range(6) for j in range(100)]
+    pages += [(f"http://www.site{i}.com/{j}", int(i == 0)) for i in range(9) for j in range(60)]
+    pages += [("http://new.bad.co.uk/", None), ("http://fresh.co.uk/" + "x" * 200_000, None)]
+    table = spark.createDataFrame(pages, "url string, bad int")
+    rows = {r.host: r for r in urlrep.judge(table, [], "bad").collect()}
+    assert rows["h0.bad.co.uk"].verdict == "block" and rows["fresh.co.uk"].verdict == "allow"
+    assert rows["new.bad.co.uk"].bad_rate > rows["fresh.co.uk"].bad_rate + 0.2
+    # ties between rules of one length: the later in text order
+    tied = [urlrep.Rule("uk", "/ab", "allow"), urlrep.Rule("x.uk", "/", "block")]
+    one = spark.createDataFrame([("http://x.uk/abc", None)], "url string, bad int")
+    assert [r.rule for r in urlrep.judge(one, tied, "bad").collect() + urlrep.judge(one, tied[::-1], "bad").collect()
+            ] == ["x.uk/"] * 2
