@@ -337,28 +337,40 @@ def round_half_even(c: ColumnOrName, digits: int = 0) -> Column:
     return F.rint(x * F.lit(scale)) / F.lit(scale)
 
 
-def encode_ids(df: DataFrame, col: str, out: str) -> DataFrame:
-    """Dense integer ids 1..n in sort order of the distinct values.
+def encode_ids(df: DataFrame, col: str, out: str, hot_share: float = 0.001) -> DataFrame:
+    """Dense integer ids 1..n in sort order of the distinct values; NULL has no id.
 
     No single-task global window: the distinct values are range-partitioned, ranked inside
     each range, and offset by the sizes of the preceding ranges (a table with one row per
-    partition). The codes are then joined back on the value.
+    partition). The codes are joined back in two parts: values with more than ``hot_share`` of
+    the rows (at most ``1 / hot_share`` of them) are broadcast, so their rows are not gathered
+    by value; the rest meet by an ordinary join, for which hot rows are spread by a hash.
     """
     from pyspark.sql import Window
 
     from ..operators.util import cut_lineage
 
-    # materialised once: both branches below must see the same ranges
-    vals = cut_lineage(df.select(col).where(F.col(col).isNotNull()).distinct()
+    # materialised once: all branches below must see the same ranges
+    vals = cut_lineage(df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_rows"))
                        .repartitionByRange(col).withColumn("_pid", F.spark_partition_id()))
     local = vals.withColumn("_r", F.row_number().over(Window.partitionBy("_pid").orderBy(col)))
-    sizes = vals.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = vals.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.sum("_rows").alias("_all"))
     offsets = sizes.withColumn(
         "_off", F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(
-            Window.unboundedPreceding, -1)), F.lit(0)))
-    codes = (local.join(F.broadcast(offsets.select("_pid", "_off")), "_pid")
-             .select(col, (F.col("_off") + F.col("_r")).cast("int").alias(out)))
-    return df.join(codes, on=col, how="left").select(*df.columns, out)
+            Window.unboundedPreceding, -1)), F.lit(0))).withColumn(
+        "_all", F.sum("_all").over(Window.partitionBy()))
+    codes = (local.join(F.broadcast(offsets.select("_pid", "_off", "_all")), "_pid")
+             .select(F.col(col).alias("_v"), (F.col("_off") + F.col("_r")).cast("int").alias("_id"),
+                     (F.col("_rows") > F.lit(hot_share) * F.col("_all")).alias("_hot")))
+    hot = F.broadcast(codes.where("_hot").select("_v", F.col("_id").alias("_hot_id")))
+    rest = codes.where("NOT _hot").select("_v", "_id", F.lit(0).cast("long").alias("_s"))
+    keep, hashed = df.columns, [c for c, kind in df.dtypes if "map<" not in kind]
+    spread = F.when(F.col("_hot_id").isNotNull() | F.col(col).isNull(),
+                    F.xxhash64(*hashed).bitwiseOR(F.lit(1).cast("long"))).otherwise(F.lit(0))
+    rows = df.join(hot, F.col(col) == F.col("_v"), "left").drop("_v").withColumn("_at", spread)
+    # hot and NULL rows have an odd _at and find nothing here; their id is at hand
+    return (rows.join(rest, (F.col(col) == F.col("_v")) & (F.col("_at") == F.col("_s")), "left")
+            .select(*keep, F.coalesce("_hot_id", "_id").alias(out)))
 
 
 def indicator_product(status: ColumnOrName, value: ColumnOrName) -> Column:

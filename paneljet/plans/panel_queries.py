@@ -238,13 +238,14 @@ def s2_wide_long(spark, sf):
 
 @register("r2_stack_dropnull", f"""
 WITH {FACTS_SQL}
-SELECT month, county, series, round(sum(price), 2) AS revenue FROM facts
-WHERE status = 'F' GROUP BY month, county, series""")
+SELECT month, county, series, round(sum(CASE WHEN status = 'F' THEN price END), 2) AS revenue FROM facts
+GROUP BY month, county, series HAVING count(CASE WHEN status = 'F' THEN price END) > 0""")
 def r2_stack_dropnull(spark, sf):
-    """R3 pivot with NULL cells, then the legacy stack that drops them (R2)."""
-    f = order_rows(spark, sf).where(F.col("status") == "F").withColumn(
+    """R3 pivot with NULL cells, then the legacy stack that drops them (R2): revenue of filled
+    orders, NULL in the cells whose orders are all open."""
+    f = order_rows(spark, sf).withColumn(
         "label", clean.composite_key(["county", "series"], "_"))
-    per = f.groupBy("month", "label").agg(money().alias("revenue"))
+    per = f.groupBy("month", "label").agg(money(F.col("status") == "F").alias("revenue"))
     pairs = {f"{r}_{p}": (r, p) for r in REGIONS for p in PRIORITIES}
     wide = reshape.pivot_first(per, ["month"], "label", "revenue", list(pairs))
     return reshape.stack_levels(wide, ["month"], pairs, ("county", "series"), "revenue",

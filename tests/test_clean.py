@@ -84,6 +84,18 @@ def test_safe_ratio_and_rounding(spark):
     assert got[3]["c"] == 0.12
 
 
+def test_encode_ids_with_hot_values_and_nulls(spark):
+    rows = [("hot", i) for i in range(300)] + [(None, i) for i in range(50)] + [(f"v{i % 90:02d}", i) for i in range(200)]
+    rows += [("hot", 1)] * 40
+    df = spark.createDataFrame(rows, "v string, n int")
+    order = {v: k + 1 for k, v in enumerate(sorted({v for v, _ in rows if v is not None}))}
+    want = sorted((str(v), n, order.get(v) or 0) for v, n in rows)
+    for share in (0.0, 0.1, 1.0):                    # all hot, one hot, none hot
+        got = clean.encode_ids(df.repartition(3), "v", "id", hot_share=share)
+        assert got.columns == ["v", "n", "id"]
+        assert sorted((str(r.v), r.n, r.id or 0) for r in got.collect()) == want
+
+
 def test_encode_ids_dense(spark):
     df = spark.createDataFrame([(v,) for v in ["b", "a", "c", "a", None, "b"]], "v string")
     out = clean.encode_ids(df.repartition(3), "v", "id")
