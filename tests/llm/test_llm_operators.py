@@ -346,7 +346,7 @@ def test_url_parts_rules_and_reputation(spark):
 
 @pytest.mark.parametrize("dim,cosine", [(64, 0.95), (20, 0.9), (3, 0.99), (1, 0.5)])
 def test_vector_links_match_brute_force(spark, dim, cosine, monkeypatch):
-    monkeypatch.setattr(vecjoin, "TILE", 64)      # several tiles a cell
+    monkeypatch.setattr(vecjoin, "TILE", 16)      # several cells, tiles of residents and guests
     rng = np.random.default_rng(dim)
     base = rng.normal(size=(25, dim))
     x = np.concatenate([base + s * rng.normal(size=base.shape) * np.abs(base).mean() for s in (0, 0.1, 0.2, 0.3)])
@@ -367,6 +367,34 @@ def test_vector_links_match_brute_force(spark, dim, cosine, monkeypatch):
     assert vecjoin.near_duplicates(df.where("false")).count() == 0
 
 
+def test_vector_join_compares_few_pairs():
+    rng = np.random.default_rng(3)
+    shares = []
+    for n in (4000, 8000):
+        x = rng.normal(size=(n, 64)).astype(np.float32)
+        plan = vecjoin.make_plan(x[:vecjoin.SAMPLE], n, 0.95)
+        tiles = [vecjoin.Tile(plan, b, 0, n, x, np.arange(n), True, False)
+                 for b in range(len(plan.spans))]
+        assert not [1 for t in tiles for _ in t.pairs()]
+        shares.append(sum(t.compared for t in tiles) / (n * (n - 1) / 2))
+    assert max(shares) < 1 / 3 and shares[1] < shares[0]
+
+
+@pytest.mark.parametrize("tile", [1 << 14, 100])
+def test_vector_near_copies_make_no_pair_table(spark, tile, monkeypatch):
+    monkeypatch.setattr(vecjoin, "TILE", tile)
+    rng = np.random.default_rng(4)
+    group = rng.normal(size=64) + 0.02 * rng.normal(size=(600, 64))
+    x = np.concatenate([rng.normal(size=(200, 64)), group]).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    nodes = df.select(F.col("vec_id").alias("node"), F.lit(1).cast("long").alias("copies"),
+                      F.col("embedding").alias("vec"))
+    found = vecjoin.links(nodes, 64, 0.95)
+    assert found.count() <= 600 * 5 * (1 if tile > 600 else 60)
+    got = {r.id: (r.n_links, r.component) for r in vecjoin.near_duplicates(df).collect()}
+    assert got == {i: (0, i) if i < 200 else (599, 200) for i in range(800)}
+
+
 # ---- 8 WARC ---------------------------------------------------------------------------
 
 def test_arc_versions_and_errors():
