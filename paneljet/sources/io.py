@@ -48,15 +48,23 @@ def read_panel(spark: SparkSession, path: str, schema: T.StructType | Mapping[st
     return raw.select(*cols)
 
 
+def _first_two_lines(raw: DataFrame, path: str) -> list:
+    lines = raw.limit(2).collect()
+    if len(lines) < 2:
+        raise ValidationError(f"{path}: expected two header rows")
+    return lines
+
+
 def wide2_header(spark: SparkSession, path: str) -> list[tuple[str, str]]:
     """The two header rows of a two-level CSV as (level0, level1) per data column.
 
     Blank top cells take the last non-blank label to their left. Only the first two lines
     of the file are read (the header, not the data).
     """
-    lines = spark.read.option("header", False).csv(path).limit(2).collect()
-    if len(lines) < 2:
-        raise ValidationError(f"{path}: expected two header rows")
+    return _labels(_first_two_lines(spark.read.option("header", False).csv(path), path))
+
+
+def _labels(lines: list) -> list[tuple[str, str]]:
     top, sub = list(lines[0])[1:], list(lines[1])[1:]
     out, last = [], None
     for a, b in zip(top, sub):
@@ -76,11 +84,11 @@ def read_wide2(spark: SparkSession, path: str, level_names: Sequence[str] = ("le
     error, never dropped (several files must share one header); text that is not a plain
     number, thousands separators included, is NULL.
     """
-    header = wide2_header(spark, path)
     raw = spark.read.option("header", False).csv(path)
     cols = raw.columns
     idx = cols[0]
-    head = spark.read.option("header", False).csv(path).limit(2).collect()
+    head = _first_two_lines(raw, path)
+    header = _labels(head)
     is_head = F.lit(False)
     for row in head:
         same = F.lit(True)

@@ -403,3 +403,16 @@ def test_quartiles_are_exact_whatever_the_distribution(spark):
             want = (x[int(r) - 1] + x[int(r)]) / 2 if r == int(r) else x[math.ceil(r) - 1]
             assert got[k][name] == want, (k, name)
         assert got[k]["count"] == len(x)
+
+
+def test_write_wide2_reads_back(spark):
+    from paneljet.plans.io_queries import write_wide2
+
+    wide = spark.createDataFrame([("2020-01", 1, None, 3), ("2020-02", None, 5, 6)],
+                                 "month string, a int, b int, c int")
+    path = os.path.join(tempfile.mkdtemp(), "wide")
+    write_wide2(wide, path, "month", {"a": ("X", "p"), "b": ("X", "q"), "c": ("Y", "p")})
+    long = io.read_wide2(spark, path, ("top", "sub"), index="month")
+    assert sorted(rows(long, "month", "top", "sub", "value"), key=str) == sorted([
+        ("2020-01", "X", "p", 1.0), ("2020-01", "X", "q", None), ("2020-01", "Y", "p", 3.0),
+        ("2020-02", "X", "p", None), ("2020-02", "X", "q", 5.0), ("2020-02", "Y", "p", 6.0)], key=str)
