@@ -118,7 +118,7 @@ def road_chains(pieces: DataFrame) -> tuple[DataFrame, DataFrame]:
     the first piece of a road, after a gap (a dropped duplicate), and at any piece whose
     start vertex has degree other than 2 in the whole graph (a junction or a dead end).
     Returns ``(pieces with chain_id and off_u - the distance of their start from the chain
-    start -, chains (city, chain_id, start, end, L))``. Windows run per road, so their size
+    start -, chains (city, chain_id, start, end, L))``, both materialised. Windows run per road, so their size
     is bounded by the road's vertex count.
     """
     ends = pieces.select(CITY, F.col("u").alias("node")).unionByName(
@@ -135,11 +135,13 @@ def road_chains(pieces: DataFrame) -> tuple[DataFrame, DataFrame]:
                                                                     Window.currentRow)) - F.col("len_m"))
          .withColumn("chain_id", F.concat_ws("#", F.col("road_id").cast("string"),
                                              F.col("_chain").cast("string"))))
+    # What follows reads both several times: the windows above run once.
+    p = cut_lineage(p.drop("_deg", "_brk", "_chain"))
     order = F.struct("i", "t0")
     chains = p.groupBy(CITY, "chain_id").agg(F.min_by("u", order).alias("start"),
                                              F.max_by("v", order).alias("end"),
                                              F.sum("len_m").alias("L"))
-    return p.drop("_deg", "_brk", "_chain"), chains
+    return p, cut_lineage(chains)
 
 
 def contracted_ends(pieces: DataFrame, on_edge: DataFrame, max_d: float) -> DataFrame:
@@ -153,8 +155,7 @@ def contracted_ends(pieces: DataFrame, on_edge: DataFrame, max_d: float) -> Data
     as many rounds as junction hops, not vertex hops.
     """
     p, chains = road_chains(pieces)
-    p = cut_lineage(p.select(CITY, "edge_id", "chain_id", "off_u", "len_m"))
-    # chains is a small aggregate of the materialised pieces: recomputing it is cheap
+    p = p.select(CITY, "edge_id", "chain_id", "off_u", "len_m")
     st = (on_edge.join(p, [CITY, "edge_id"])
           .select(CITY, MONTH, "chain_id", (F.col("off_u") + F.col("offset")).alias("pos"))
           .join(chains, [CITY, "chain_id"]))
