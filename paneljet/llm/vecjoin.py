@@ -44,7 +44,7 @@ from .common import components, map_arrow, ship_package
 
 BLOCK = 13          # target dimensions of a block
 TILE = 1 << 14      # rows of a cell in one comparison task; its guests are up to four times as many
-VISITS = 256        # mean visits of a row inside a task beyond which no further axis is cut
+VISITS = 1 << 23    # visits of all rows inside a task beyond which no further axis is cut
 CHUNK = 1 << 20     # block distances computed at a time inside a task
 CACHED = 1 << 13    # found pairs verified at a time
 SAMPLE = 2048       # vectors whose medians are the cuts
@@ -191,7 +191,7 @@ class Tile:
         x = offsets(self.u, axes)
         # residents visit only if they are compared with each other
         self.first = 0 if within else home
-        row, at, k = visits(x[self.first:], limit[self.first:], VISITS * max(len(vec), 1))
+        row, at, k = visits(x[self.first:], limit[self.first:], VISITS)
         self.x = x[:, :k]
         self.own = cell_of(self.x)
         by = np.argsort(at, kind="stable")
