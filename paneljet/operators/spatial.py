@@ -2,12 +2,18 @@
 
 Geometries are ordinary columns: a point is two DOUBLE columns, a ring or path is
 ``ARRAY<STRUCT<x: DOUBLE, y: DOUBLE>>``. Tests run inside the JVM with higher-order
-functions (``transform``/``aggregate``), so there is no Python on the hot path. Candidate
-pairs come from an equi-join on grid cells, never from a cross join.
+functions (``transform``/``aggregate``); only the search for the nearest segment (J14) runs in
+numpy, on bounded groups that Spark deals out. Candidates come from an equi-join or grouping
+on grid cells, never from a cross join.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -275,36 +281,126 @@ def clip_lines(segments: DataFrame, polygons: DataFrame, cell: float,
 # Snap points to the nearest segment within a tolerance
 # --------------------------------------------------------------------------------------
 
+SNAP_SHARDS = 4096          # groups that the tiles of a match key are dealt over
+SNAP_ROWS = 100_000         # points, and segments, of a group; larger ones are split
+SNAP_PAIRS = 1 << 15        # point-segment pairs measured in one array
+
+
+def _project(px, py, x0, y0, x1, y1):
+    """Parameter along the segments of the nearest place to the points, segment length, distance."""
+    dx, dy = x1 - x0, y1 - y0
+    l2 = dx * dx + dy * dy
+    with np.errstate(divide="ignore", invalid="ignore"):
+        t = np.where(l2 > 0, np.minimum(1.0, np.maximum(0.0, ((px - x0) * dx + (py - y0) * dy) / l2)), 0.0)
+    ex, ey = px - (x0 + t * dx), py - (y0 + t * dy)
+    return t, np.sqrt(l2), np.sqrt(ex * ex + ey * ey)
+
+
+def nearest_segment(points: np.ndarray, segments: np.ndarray, max_m: float) -> np.ndarray:
+    """Index of the nearest of ``segments`` (4, n) within ``max_m`` of each of ``points`` (2, m), the
+    first of equals; -1 where there is none.
+
+    Points are halved by place. With m the least distance from the middle of a half's box and r
+    its half diagonal, all its points have a segment within m + r, and none that is over m + 2r
+    from the middle can be nearest to any: a half goes on with the others only.
+    """
+    best = np.full(points.shape[1], -1)
+    slack = 1e-12 * max(np.abs(points).max(initial=0.0), np.abs(segments).max(initial=0.0))
+    todo = [(np.arange(points.shape[1]), np.arange(segments.shape[1]))]
+    while todo:
+        p, s = todo.pop()
+        xy, lines = points[:, p], segments[:, s]
+        if len(p) > 1 and len(p) * len(s) > SNAP_PAIRS:
+            lo, hi = xy.min(axis=1), xy.max(axis=1)
+            r = float(np.hypot(*(hi - lo))) / 2
+            d = _project(*((lo + hi) / 2), *lines)[2]
+            least = d.min()
+            s = s[d <= min(least + 2 * r, max_m + r) + slack + 1e-9 * (least + r)]
+            half = np.argpartition(xy[int(np.argmax(hi - lo))], len(p) // 2)
+            todo += [(p[h], s) for h in (half[:len(p) // 2], half[len(p) // 2:]) if len(s)]
+        elif len(p) and len(s):
+            d = _project(*xy[:, :, None], *lines[:, None, :])[2]
+            at = d.argmin(axis=1)
+            best[p] = np.where(d[np.arange(len(p)), at] <= max_m, s[at], -1)
+    return best
+
+
+def _shards(cells: Column) -> Column:
+    return F.array_distinct(F.transform(cells, lambda c: F.pmod(F.xxhash64(c["cx"], c["cy"]), F.lit(SNAP_SHARDS))))
+
+
+def _split_groups(points: DataFrame, segments: DataFrame, group: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``_pp`` and ``_sp``: of a group with over SNAP_ROWS points or segments, every part
+    of the points meets every part of the segments."""
+    def parts(c: str) -> Column:
+        return F.ceil(F.sum(c) / SNAP_ROWS)
+
+    rows = points.select(*group, F.lit(1).alias("p"), F.lit(0).alias("s")).unionByName(
+        segments.select(*group, F.lit(0).alias("p"), F.lit(1).alias("s")))
+    large = F.broadcast(rows.groupBy(*group).agg(parts("p").alias("_np"), parts("s").alias("_ns"))
+                        .where("_np > 0 AND _ns > 0 AND _np + _ns > 2"))     # at most one per SNAP_ROWS rows
+
+    def dealt(df: DataFrame, own: str, n_own: str, other: str, n_other: str, place: list[str]) -> DataFrame:
+        return (df.join(large, group, "left")
+                .withColumn(own, F.pmod(F.xxhash64(*place), F.coalesce(n_own, F.lit(1))))
+                .withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(n_other, F.lit(1)) - 1)))
+                .drop("_np", "_ns"))
+
+    return (dealt(points, "_pp", "_np", "_sp", "_ns", ["_px", "_py"]),
+            dealt(segments, "_sp", "_ns", "_pp", "_np", ["x0", "y0", "x1", "y1"]))
+
+
 def snap_points(points: DataFrame, segments: DataFrame, max_m: float = 200.0,
                 cell: float | None = None, point_keys=("point_id",), seg_keys=("seg_id",),
                 x: str = "x", y: str = "y", match: tuple = ()) -> DataFrame:
     """Nearest segment ``(x0, y0, x1, y1)`` within ``max_m`` of each point, with the
     projection parameter ``t`` (0..1), the offset along the segment and the distance.
 
-    Segments are registered in the cells along them that hold a point within ``max_m``
-    (``cells_along``), points in their own cell; ``min_by`` over (distance, segment key) picks the nearest, ties to the
-    smaller key. Points with no segment in range are absent.
+    Segments go once to every group of tiles along them that hold a point within ``max_m``
+    (``cells_along``), places of points to the group of their own tile; a group finds the nearest
+    segment of all its places at once (``nearest_segment``), so no point-segment pair is ever a
+    row. Ties go to the smaller key. Points with no segment in range are absent.
     """
-    cell = cell or max(max_m, 1.0)
-    segs = segments.withColumn("_cell", F.explode(cells_along(
-        *[F.col(c).cast("double") for c in ("x0", "y0", "x1", "y1")], max_m, cell)))
-    pts = points.select(*dict.fromkeys([*match, *point_keys]), F.col(x).alias("_px"),
-                        F.col(y).alias("_py")).withColumn(
-        "_cell", cell_of(F.col("_px"), F.col("_py"), cell))
-    j = pts.join(segs, ["_cell", *match])
-    dx, dy = F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")
-    l2 = dx * dx + dy * dy
-    t_raw = F.try_divide((F.col("_px") - F.col("x0")) * dx + (F.col("_py") - F.col("y0")) * dy, l2)
-    t = F.when(l2 > 0, F.least(F.lit(1.0), F.greatest(F.lit(0.0), t_raw))).otherwise(F.lit(0.0))
-    j = j.withColumn("t", t)
-    qx, qy = F.col("x0") + F.col("t") * dx, F.col("y0") + F.col("t") * dy
-    j = j.withColumn("dist", F.sqrt((F.col("_px") - qx) ** 2 + (F.col("_py") - qy) ** 2)).where(
-        F.col("dist") <= max_m)
-    j = j.withColumn("offset", F.col("t") * F.sqrt(l2))
-    best = j.groupBy(*dict.fromkeys([*match, *point_keys])).agg(F.min_by(
-        F.struct(*[F.col(k) for k in seg_keys], "t", "offset", "dist"),
-        F.struct("dist", *[F.col(k) for k in seg_keys])).alias("_b"))
-    return best.select(*dict.fromkeys([*match, *point_keys]), "_b.*")
+    tile = max(cell or 1.0, 4 * max_m)
+    ends, place = ["x0", "y0", "x1", "y1"], ["_px", "_py"]
+    group = [*match, "_shard"]
+
+    def finite(df: DataFrame, cols: list[str]) -> DataFrame:
+        return df.where(reduce(Column.__and__, [F.abs(c) < float("inf") for c in cols])).dropna(subset=list(match) or cols)
+
+    # equal segments (the smallest key stands for them) and equal places are measured once
+    segs = (finite(segments.select(*dict.fromkeys([*match, *seg_keys]), *[F.col(c).cast("double").alias(c) for c in ends]), ends)
+            .groupBy(*match, *ends).agg(F.min(F.struct(*[F.col(k) for k in seg_keys])).alias("_k"))
+            .select(*match, *ends, *[F.col("_k")[k].alias(f"_k{i}") for i, k in enumerate(seg_keys)])
+            .withColumn("_shard", F.explode(_shards(cells_along(*[F.col(c) for c in ends], max_m, tile)))))
+    pts = finite(points.select(*dict.fromkeys([*match, *point_keys]), F.col(x).cast("double").alias("_px"),
+                               F.col(y).cast("double").alias("_py")), place)
+    places = pts.select(*match, *place).distinct().withColumn(
+        "_shard", F.get(_shards(F.array(cell_of(F.col("_px"), F.col("_py"), tile))), 0))
+    places, segs = _split_groups(places, segs, group)
+    group += ["_pp", "_sp"]
+    keys = [f"_k{i}" for i in range(len(seg_keys))]
+
+    def nearest(near: pa.Table, lines: pa.Table) -> pa.Table:
+        if near.num_rows and lines.num_rows:
+            lines = lines.take(pc.sort_indices(lines, [(k, "ascending") for k in keys], null_placement="at_start"))
+        xy, line = (np.array([t[c].to_numpy() for c in cols]).reshape(len(cols), -1)
+                    for t, cols in ((near, place), (lines, ends)))
+        best = nearest_segment(xy, line, max_m)
+        xy, found, line = xy[:, best >= 0], best[best >= 0], line[:, best[best >= 0]]
+        t, length, dist = _project(*xy, *line)
+        near, lines = near.filter(pa.array(best >= 0)), lines.take(pa.array(found))
+        return pa.table({**{c: near[c] for c in (*match, *place)}, **{k: lines[k] for k in keys},
+                         "t": t, "offset": t * length, "dist": dist})
+
+    kinds = {f.name: f.dataType.simpleString() for df in (places, segs) for f in df.schema.fields}
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in (*match, *place, *keys)) + ", t double, offset double, dist double"
+    snapped = places.groupBy(*group).cogroup(segs.groupBy(*group)).applyInArrow(nearest, schema)
+    out = list(dict.fromkeys([*match, *point_keys]))
+    best = pts.join(snapped, [*match, *place]).groupBy(*out).agg(F.min_by(
+        F.struct(*[F.col(c).alias(k) for c, k in zip(keys, seg_keys)], "t", "offset", "dist"),
+        F.struct("dist", *keys)).alias("_b"))
+    return best.select(*out, "_b.*")
 
 
 def rect_ring(x0: float, y0: float, x1: float, y1: float) -> list[tuple[float, float]]:

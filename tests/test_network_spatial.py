@@ -340,3 +340,54 @@ def test_snap_cells_are_linear_in_length_and_miss_no_point(spark):
     n = sdf.where("seg_id = 53").select(F.size(spatial.cells_along(
         *[F.col(c) for c in ("x0", "y0", "x1", "y1")], 200.0, 200.0)).alias("n")).first().n
     assert n < 8 * math.hypot(20000, 20000) / 200
+
+
+def _rows_made(node) -> int:
+    """Most rows that any operator of a finished plan put out."""
+    name = node.nodeName()
+    if name == "AdaptiveSparkPlan":
+        return _rows_made(node.executedPlan())
+    if name.endswith("QueryStage"):
+        return _rows_made(node.plan())
+    metric, children = node.metrics().get("numOutputRows"), node.children()
+    own = metric.get().value() if metric.isDefined() else 0
+    return max([own, *[_rows_made(children.apply(i)) for i in range(children.size())]])
+
+
+def test_snap_makes_no_row_per_point_and_segment(spark):
+    n = 3000
+    at = lambda k: F.pmod(F.xxhash64(F.lit(k), "id"), F.lit(80_000)) / 1000
+    pts = spark.range(n).select(F.col("id").alias("point_id"), at(1).alias("x"), at(2).alias("y"))
+    segs = spark.range(n).select(F.col("id").alias("seg_id"), *[at(k).alias(c) for k, c in enumerate(("x0", "y0", "x1", "y1"), 3)])
+    df = spatial.snap_points(pts, segs, 20.0)
+    assert df.count() == n                   # every point is near some segment, and near most of them
+    df.collect()
+    assert _rows_made(df._jdf.queryExecution().executedPlan()) < 20 * n
+
+
+def test_snap_in_split_groups_ties_copies_and_odd_rows(spark, monkeypatch):
+    monkeypatch.setattr(spatial, "SNAP_ROWS", 40)
+    monkeypatch.setattr(spatial, "SNAP_PAIRS", 64)
+    rng = np.random.default_rng(9)
+    nan = float("nan")
+    # a grid's coordinates, so that many distances are equal; copies under other keys; two cities
+    segs = [("AB"[i % 2], f"s{i:03d}", *map(float, rng.integers(0, 12, 4) * 5)) for i in range(300)]
+    segs += [(c, "a" + k, *e) for c, k, *e in segs[:30]] + [("A", "nan", nan, 0.0, 1.0, 1.0), (None, "s", 0.0, 0.0, 9.0, 9.0),
+                                                            ("A", "null", None, 0.0, 1.0, 1.0), ("B", None, 200.0, 200.0, 200.0, 203.0)]
+    pts = [("AB"[i % 2], i, *map(float, rng.integers(0, 24, 2) * 2.5)) for i in range(200)]
+    pts += [("A", 500, *pts[0][2:]), ("A", 501, nan, 1.0), ("B", 502, None, 1.0), (None, 503, 1.0, 1.0), ("B", 504, 201.0, 201.0),
+            ("A", 505, 900.0, 900.0), ("A", 506, 5.0, 5.0), ("A", 506, 17.5, 22.5), ("B", None, 7.5, 2.5)]
+
+    want = {}
+    for c, k, x, y in pts:
+        for b, s, *e in segs:
+            if c is None or b != c or None in (x, y, *e):
+                continue
+            t, length, d = (float(v) for v in spatial._project(*(np.float64(v) for v in (x, y, *e))))
+            if d <= 4.0:
+                want.setdefault((c, k), []).append(((d, s is not None, s or ""), (s, t, t * length, d)))
+    sdf = spark.createDataFrame(segs, "city string, seg_id string, x0 double, y0 double, x1 double, y1 double")
+    pdf = spark.createDataFrame(pts, "city string, point_id int, x double, y double")
+    got = {(r.city, r.point_id): (r.seg_id, r.t, r.offset, r.dist) for r in spatial.snap_points(
+        pdf, sdf, 4.0, cell=20.0, match=("city",)).collect()}
+    assert got == {k: min(v)[1] for k, v in want.items()}
