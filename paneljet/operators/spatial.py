@@ -379,6 +379,8 @@ def snap_points(points: DataFrame, segments: DataFrame, max_m: float = 200.0,
         "_shard", F.get(_shards(F.array(cell_of(F.col("_px"), F.col("_py"), tile))), 0))
     places, segs = _split_groups(places, segs, group)
     group += ["_pp", "_sp"]
+    # names of their own: both sides may have the match columns from one frame
+    segs = segs.withColumnsRenamed({c: f"_g{c}" for c in group})
     keys = [f"_k{i}" for i in range(len(seg_keys))]
 
     def nearest(near: pa.Table, lines: pa.Table) -> pa.Table:
@@ -395,7 +397,7 @@ def snap_points(points: DataFrame, segments: DataFrame, max_m: float = 200.0,
 
     kinds = {f.name: f.dataType.simpleString() for df in (places, segs) for f in df.schema.fields}
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in (*match, *place, *keys)) + ", t double, offset double, dist double"
-    snapped = places.groupBy(*group).cogroup(segs.groupBy(*group)).applyInArrow(nearest, schema)
+    snapped = places.groupBy(*group).cogroup(segs.groupBy(*[f"_g{c}" for c in group])).applyInArrow(nearest, schema)
     out = list(dict.fromkeys([*match, *point_keys]))
     best = pts.join(snapped, [*match, *place]).groupBy(*out).agg(F.min_by(
         F.struct(*[F.col(c).alias(k) for c, k in zip(keys, seg_keys)], "t", "offset", "dist"),

@@ -391,3 +391,12 @@ def test_snap_in_split_groups_ties_copies_and_odd_rows(spark, monkeypatch):
     got = {(r.city, r.point_id): (r.seg_id, r.t, r.offset, r.dist) for r in spatial.snap_points(
         pdf, sdf, 4.0, cell=20.0, match=("city",)).collect()}
     assert got == {k: min(v)[1] for k, v in want.items()}
+
+
+def test_snap_of_points_and_segments_from_one_frame(spark):
+    base = spark.createDataFrame([("A", 1), ("B", 2)], "city string, k int")
+    line = [F.col("k").cast("double").alias(c) for c in ("x0", "y0")] + [F.lit(9.0).alias(c) for c in ("x1", "y1")]
+    pts = base.select("city", F.col("k").alias("point_id"), F.lit(9.0).alias("x"), F.lit(10.0).alias("y")).checkpoint()
+    segs = base.select("city", F.col("k").alias("seg_id"), *line).checkpoint()
+    got = spatial.snap_points(pts, segs, 5.0, match=("city",)).collect()
+    assert sorted((r.city, r.point_id, r.seg_id, r.t, r.dist) for r in got) == [("A", 1, 1, 1.0, 1.0), ("B", 2, 2, 1.0, 1.0)]
